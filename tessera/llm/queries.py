@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, sharding
+from . import mixing, quality_rules, sharding, url_filter
 from .common import table
 
 
@@ -22,5 +22,9 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op5_quality_rules, op6_mixing)}
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_pages(table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op5_quality_rules, op6_mixing, op9_url_filter)}
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL}
