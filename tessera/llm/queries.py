@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality_rules, sharding, url_filter
+from . import bpe, html_extract, mixing, quality_rules, sharding, url_filter
 from .common import table
 
 
@@ -26,9 +26,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op3_bpe, op5_quality_rules, op6_mixing, op9_url_filter)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op3_bpe, op5_quality_rules, op6_mixing, op8_html_extraction, op9_url_filter)}
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL}
