@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_extract, mixing, quality_rules, sharding, url_filter
+from . import bpe, html_extract, mixing, quality_model, quality_rules, sharding, toxicity, url_filter
 from .common import table
 
 
@@ -14,10 +14,18 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_by_file(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
 
@@ -34,5 +42,5 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op3_bpe, op5_quality_rules, op6_mixing, op8_html_extraction, op9_url_filter)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_toxicity, op3_bpe, op4_quality_classifier, op5_quality_rules, op6_mixing, op8_html_extraction, op9_url_filter)}
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL}
