@@ -10,7 +10,7 @@ rest is brought to NFC and lower case, split by the file's pattern, and each pie
 the tokens with one space each, as a description without decoder asks for; `to_text` gives readable text.
 
 It runs as Python over Arrow batches: a row needs nothing but itself, a word's result is kept for the next time it comes
-(at most CACHE words a worker), and no row is shuffled. The driver reads the file and broadcasts its bytes, so executors
+(at most 2 * CACHE words a worker), and no row is shuffled. The driver reads the file and broadcasts its bytes, so executors
 need no copy; their size is the vocabulary's.
 
 A null text is an empty one: no tokens, empty decoded text. Long texts are encoded whole. Repeated rows, empty tables
@@ -19,18 +19,20 @@ and other columns need no care: the columns named are read, extra ones are carri
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import hashlib
 import json
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose results a worker keeps.
+#: New words after which a worker drops the results that it hasn't used since.
 CACHE = 200_000
 NONE = 1 << 62
 _LATER_SCRIPTS = regex.compile("[^\\x00-\u052f]").search
@@ -43,24 +45,19 @@ def byte_symbols() -> list[str]:
     return [chr(hidden.get(b, b)) for b in range(256)]
 
 
-class PairTree:
-    """A segment tree of minima over the pairs of adjacent symbols."""
+class Kept(dict):
+    """Results by word. When `most` new ones have come, those not asked for since the last such time go."""
 
-    def __init__(self, leaves: list[int]):
-        self.size = 1 << max(0, len(leaves) - 1).bit_length()
-        self.at = [NONE] * self.size + leaves + [NONE] * (self.size - len(leaves))
-        for i in range(self.size - 1, 0, -1):
-            self.at[i] = min(self.at[2 * i], self.at[2 * i + 1])
+    def __init__(self, make: Callable[[str], tuple[bytes, str]], most: int):
+        self.make, self.most, self.older = make, most, {}
 
-    def put(self, i: int, value: int) -> None:
-        at, i = self.at, i + self.size
-        at[i] = value
-        while i > 1:
-            i >>= 1
-            low = at[2 * i] if at[2 * i] < at[2 * i + 1] else at[2 * i + 1]
-            if at[i] == low:
-                break
-            at[i] = low
+    def __missing__(self, word: str) -> tuple[bytes, str]:
+        found = self.older.get(word) or self.make(word)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[word] = found
+        return found
 
 
 class Codec:
@@ -71,10 +68,10 @@ class Codec:
         self.end = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in d["added_tokens"]}
         self.names = {i: t for t, i in (self.vocab | self.special).items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[int, tuple[int, int]] = {}  # left << 32 | right: rank << 32, merged
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[self.vocab[left], self.vocab[right]] = rank, self.vocab[left + right]
+            self.merges[self.vocab[left] << 32 | self.vocab[right]] = rank << 32, self.vocab[left + right]
         symbols = byte_symbols()
         self.inner = [self.vocab.get(s) for s in symbols]
         self.last = [self.vocab.get(s + self.end) for s in symbols]
@@ -84,51 +81,60 @@ class Codec:
         self.pieces = regex.compile(self.pattern).findall
         self.careful_pieces = None
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")").split if self.special else None
-        self.ids_of: dict[str, bytes] = {}
-        self.tokens_of: dict[str, str] = {}
-        self.cache = cache
+        self.kept = Kept(self._made, cache)
 
     def merge(self, word: str) -> list[int]:
         """The ids of one piece."""
         data = word.encode()
-        ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
-        ids = [i for i in ids if i is not None]
+        ids = [self.inner[b] for b in data[:-1]]
+        ids.append(self.last[data[-1]])
+        if None in ids:
+            ids = [i for i in ids if i is not None]
         n = len(ids)
         if n < 2:
             return ids
-        merges, following, before = self.merges, list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def leaf(i: int) -> int:
-            j = following[i]
-            found = merges.get((ids[i], ids[j])) if j < n else None
-            return NONE if found is None else found[0] << 32 | i
-
-        tree = PairTree([leaf(i) for i in range(n - 1)])
-        while (top := tree.at[1]) != NONE:
+        find = self.merges.get
+        following, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        # the tree: leaves from `size` on, the parent of node p is p // 2
+        size = 1 << (n - 2).bit_length()
+        at = [NONE] * (2 * size)
+        for i in range(n - 1):
+            if found := find(ids[i] << 32 | ids[i + 1]):
+                at[size + i] = found[0] | i
+        for p in range(size - 1, 0, -1):
+            low, high = at[2 * p], at[2 * p + 1]
+            at[p] = low if low < high else high
+        while (top := at[1]) != NONE:
             i = top & 0xFFFFFFFF
             j = following[i]
-            ids[i] = merges[ids[i], ids[j]][1]
-            ids[j] = -1
             k = following[i] = following[j]
+            ids[i] = find(ids[i] << 32 | ids[j])[1]
+            ids[j] = -1
+            changed = [(j, NONE)] if j < n - 1 else []
+            found = None
             if k < n:
                 before[k] = i
-            if j < n - 1:
-                tree.put(j, NONE)
-            tree.put(i, leaf(i))
-            if before[i] >= 0:
-                tree.put(before[i], leaf(before[i]))
+                found = find(ids[i] << 32 | ids[k])
+            changed.append((i, found[0] | i if found else NONE))
+            if (h := before[i]) >= 0:
+                found = find(ids[h] << 32 | ids[i])
+                changed.append((h, found[0] | h if found else NONE))
+            for p, value in changed:
+                p += size
+                at[p] = value
+                while p > 1:
+                    p >>= 1
+                    low, high = at[2 * p], at[2 * p + 1]
+                    if high < low:
+                        low = high
+                    if at[p] == low:
+                        break
+                    at[p] = low
         return [i for i in ids if i >= 0]
 
-    def _learn(self, words: list[str]) -> None:
-        new = {w for w in words if w not in self.ids_of}
-        if len(self.ids_of) + len(new) > self.cache:
-            self.ids_of.clear()
-            self.tokens_of.clear()
-            new = set(words)
-        for w in new:
-            ids = self.merge(w)
-            self.ids_of[w] = array("I", ids).tobytes()
-            self.tokens_of[w] = " ".join(self.names[i] for i in ids)
+    def _made(self, word: str) -> tuple[bytes, str]:
+        ids = self.merge(word)
+        return array("I", ids).tobytes(), " ".join([self.names[i] for i in ids])
 
     def normal(self, text: str) -> str:
         if text.isascii():
@@ -159,9 +165,9 @@ class Codec:
                 ids.append(array("I", [self.special[part]]).tobytes())
                 tokens.append(part)
             elif words := self.split(self.normal(part)):
-                self._learn(words)
-                ids.append(b"".join(map(self.ids_of.__getitem__, words)))
-                tokens.append(" ".join(map(self.tokens_of.__getitem__, words)))
+                found = list(map(self.kept.__getitem__, words))
+                ids.append(b"".join([made for made, _ in found]))
+                tokens.append(" ".join([named for _, named in found]))
         return b"".join(ids), " ".join(tokens)
 
     def decode(self, ids: list[int]) -> str:
@@ -181,6 +187,18 @@ class Codec:
         return out.decode("utf-8", "replace").rstrip(" ")
 
 
+@contextlib.contextmanager
+def no_cycles() -> Iterator[None]:
+    """Without the collector of reference cycles: the work makes none, and it would walk all kept results again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 _codecs: dict[str, Codec] = {}
 
 
@@ -221,7 +239,8 @@ def encode(docs: DataFrame, description: bytes) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value)
         for batch in batches:
-            found = [own.encode(t or "") for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            with no_cycles():
+                found = [own.encode(t or "") for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
             ids = pa.array([array("I", x).tolist() for x, _ in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array([x for _, x in found], pa.string())], names=[*names, "ids", "decoded"])
 
@@ -240,11 +259,12 @@ def digest_documents(docs: DataFrame, description: bytes) -> DataFrame:
         own = codec(shared.value)
         for batch in batches:
             n, ids_sha, text_sha = [], [], []
-            for text in batch.column(1):
-                ids, decoded = own.encode(text.as_py() or "")
-                n.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(little_endian(ids)).hexdigest())
-                text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
+            with no_cycles():
+                for text in batch.column(1):
+                    ids, decoded = own.encode(text.as_py() or "")
+                    n.append(len(ids) // 4)
+                    ids_sha.append(hashlib.sha256(little_endian(ids)).hexdigest())
+                    text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
