@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Values that a label may have.
+MOST_VALUES = 32
 #: Characters that don't count at a word's ends.
 OUTER = ".,;:!?\"'()[]{}«»„“”‚‘’…¿¡-–—*_#|<>/\\"
 
@@ -17,14 +20,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_value: i
     held_out_fold: rows whose crc32(doc_id as text) mod 5 is 0 are left out. Repeated labels of a document: the largest.
     Ids are chosen first, from the narrow labels table; only the chosen texts are read into the driver.
     """
-    from pyspark.sql import Window
-
     rows = labels.select("doc_id", F.col(label).cast("int").alias("y")).where("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
     if held_out_fold:
         rows = rows.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
     rows = rows.join(docs.select("doc_id"), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id", F.lit(label)))
-    first = Window.partitionBy("y").orderBy("h", "doc_id")
-    chosen = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_value).select("doc_id", "y", "h")
+    values = [r.y for r in rows.groupBy("y").count().orderBy("y").limit(MOST_VALUES + 1).collect()]
+    if len(values) > MOST_VALUES:
+        raise ValueError(f"{label} has more than {MOST_VALUES} values")
+    if not values:
+        return []
+    chosen = reduce(DataFrame.unionByName, (rows.where(F.col("y") == y).orderBy("h", "doc_id").limit(per_value) for y in values))
     # at most per_value ids for each value of the label
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y", "h").agg(F.max("text").alias("text")).collect()
     return [(r.text or "", r.y) for r in sorted(found, key=lambda r: (r.h, r.doc_id))]
