@@ -145,8 +145,7 @@ class Scorer:
         words = (text or "").split()
         if not words:
             return 0.0
-        new = set(words) - self.value.keys()
-        if new:
+        if new := {w for w in words if w not in self.value}:
             if len(self.value) + len(new) > CACHE:
                 self.value.clear()
                 new = set(words)
