@@ -131,7 +131,7 @@ def _arrays(parts: list[np.ndarray]) -> pa.Array:
 
 
 def first_pass(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n, set and, once for each set of a task, the prefix by hash alone, for counting."""
+    """doc_id, mark, n, set and, once for each set of a task, the prefix by hash alone, for counting."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen, none = Shingler(k), set(), np.zeros(0, dtype=np.uint64)
@@ -144,10 +144,10 @@ def first_pass(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 seen.add(which)
                 n.append(len(s))
                 ids.append(which)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(ids, pa.int64()), _arrays(heads)], names=["doc_id", "n", "set", "head"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int32()), pa.array(ids, pa.int64()), _arrays(heads)], names=["doc_id", "mark", "n", "set", "head"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n int, set long, head array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, n int, set long, head array<long>")
 
 
 def prefixes(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
@@ -315,18 +315,49 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFr
     return found.unionByName(last).where(F.col("overlap") >= needed(n, m, percent)).select("a", "b")
 
 
-def connect(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row; component_id is the smallest doc_id of the row's group."""
+def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, mark (a hash of the text), n, set and component, for every row."""
     first = stage(first_pass(docs, k, percent), "first")
     own = groups(link_sets(docs, first, k, percent))
     sets = first.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("low"))
-    known = sets.join(own, "set", "left").withColumn("group", F.coalesce("group", "set"))
-    known = stage(known, "known")
+    known = stage(sets.join(own, "set", "left").withColumn("group", F.coalesce("group", "set")), "known")
     lowest = known.groupBy("group").agg(F.min("low").alias("component"))
-    by_set = known.join(lowest, "group").select("set", "component")
-    rows = first.where("n > 0").join(by_set, "set")
-    lone = first.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))
-    return rows.select("doc_id", "n", "component").unionByName(lone).select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
+    by_set = known.join(lowest, "group").select("set", "component", "group")
+    lone = first.where("n = 0").withColumn("component", F.col("doc_id")).withColumn("group", F.lit(None).cast("long"))
+    names = ("doc_id", "mark", "n", "set", "component", "group")
+    return first.where("n > 0").join(by_set, "set").select(*names).unionByName(lone.select(*names))
+
+
+def connect(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row; component_id is the smallest doc_id of the row's group."""
+    return components(docs, k, percent).select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """One row of each group, with its own columns: the smallest doc_id's (null last), of equal ids the smallest hash of the text.
+
+    Rows without words link with nothing and stay, each of them. Rows that agree in doc_id and text are one row.
+    A bitmap of the rows to remove, of fixed size, tells for most rows that they stay; only the others' texts are
+    shuffled for the exact test.
+    """
+    names = docs.columns
+    rows = stage(components(docs, k, percent).where("n > 0").select("doc_id", "mark", "group"), "rows")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    first = rows.groupBy("group").agg(F.min(key).alias("first"))
+    again = rows.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id", "mark", F.lit(True).alias("again"))
+    lost = rows.join(first, "group").where(key != F.col("first")).select("doc_id", "mark", F.lit(False).alias("again"))
+    touched = stage(lost.unionByName(again).groupBy("doc_id", "mark").agg(F.min("again").alias("again")), "touched").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "again")
+    spot = lambda c: F.pmod(c, F.lit(BITS))
+    words = touched.groupBy(F.expr(f"pmod(_mark, {BITS}) div 32").alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(_mark, {BITS}) % 32 as int)))").alias("bits"))
+    field = docs.sparkSession.range(BITS // 32).join(words, F.col("id") == F.col("at"), "left").agg(F.expr("transform(array_sort(collect_list(struct(id, coalesce(bits, 0L) as bits))), x -> x.bits)").alias("field"))
+    marked = docs.withColumn("_mark_", F.xxhash64("text"))
+    bit = F.call_function("shiftright", F.get(stage(field, "field").scalar(), F.floor(spot(F.col("_mark_")) / 32).cast("int")), (spot(F.col("_mark_")) % 32).cast("int")).bitwiseAND(F.lit(1))
+    marked = marked.withColumn("_maybe", bit == 1)
+    sure = marked.where(~F.col("_maybe")).select(*names)
+    unsure = marked.where("_maybe").join(touched, (F.col("_mark_") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    own = unsure.where("again is null").select(*names)
+    one = unsure.where("again").groupBy("doc_id", "_mark_").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")).select("row.*")
+    return sure.unionByName(own).unionByName(one)
 
 
 ORACLE_SQL = r"""

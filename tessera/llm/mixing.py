@@ -96,3 +96,20 @@ def mix(rows: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
 def mix_documents(docs: DataFrame, **how) -> DataFrame:
     mixed = mix(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), **how)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
+
+
+def take(docs: DataFrame, **how) -> DataFrame:
+    """The mix itself: each row of docs as many times as it is taken, with its own columns.
+
+    Rows that share doc_id, source and size are interchangeable: each gets the whole part of their mean number of
+    copies, and one more if a hash of the row and its place in the input says so, at the rate of the fraction.
+    """
+    names = docs.columns
+    size = word_count(F.col("text"))
+    mixed = mix(docs.select("doc_id", "source", size.alias("size")), **how)
+    taken = mixed.groupBy("doc_id", "source", "size").agg((F.sum("copies") / F.count(F.lit(1))).alias("_mean"))
+    taken = taken.where("_mean > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_n"), "_mean")
+    keyed = docs.withColumn("_size", size).withColumn("_u", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(1 << 20)) / F.lit(float(1 << 20)))
+    same = keyed["doc_id"].eqNullSafe(taken["_id"]) & keyed["source"].eqNullSafe(taken["_source"]) & (keyed["_size"] == taken["_n"])
+    copies = F.floor("_mean") + (F.col("_u") < F.col("_mean") - F.floor("_mean")).cast("long")
+    return keyed.join(taken, same).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*names)

@@ -112,9 +112,10 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 1
     order = [r for r, _, _ in ranked_rules(docs, rules, sample_rows)]
     return (
         measure(docs)
+        .withColumn("_row", F.monotonically_increasing_id())  # a filter on the verdict stays above the counts, which would else be computed again for each rule
         .withColumn("rejected_by", F.when(~F.col("base_failed"), cascade(order)))
-        .withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
-        .drop("word")
+        .withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull() & (F.col("_row") >= 0))
+        .drop("word", "_row")
     )
 
 
