@@ -6,20 +6,21 @@ similarity reaches the threshold t (in percent).
 Index. Shingles have one global order: rare ones first, by hash; the frequent ones (at most FREQUENT of them, counted
 over all documents' prefixes) last, by frequency. Of n shingles, a set's prefix holds the first n - ceil(t n) + l. Sets
 that link share at least l shingles of their prefixes (the smaller l of both), so index lists hold prefixes only: for
-each shingle the sets that have it, with size and position, cut into blocks of like sizes. A probe skips the blocks of
-sizes out of reach, and inside a block each entry whose positions don't leave room for the overlap that linking takes.
-Sets in fewer than l lists with anyone else leave the index before anything is compared.
-
-Answers from answers. A list isn't expanded into its pairs. In STAR_ROUNDS rounds each list's pivot set alone is
-compared with the list's other sets, and their overlaps are kept: o with pivot x says of sets y and z that
+each shingle the sets that have it, with size and position. Sets in fewer than l lists with anyone else leave the index
+before anything is compared, and for the others the number of such lists bounds the overlap with any set. Lists are cut
+into blocks of like sizes. The larger set of a pair probes, and skips the blocks whose sizes its own largest overlap
+can't serve; within a block an entry is skipped if its position, or both positions together, leave no room for the
+overlap that linking takes, or if the sets' parity sketches differ in more bits than the sets may in shingles.
+
+Answers from answers. A list isn't expanded into its pairs. First each list's pivot, the set with the largest possible
+overlap, is compared with the list's other sets, and overlaps are kept: o with pivot x says of sets y and z that
 |y & z| <= min(o(x,y), o(x,z)) + min(|y| - o(x,y), |z| - o(x,z)). Sets that link with a pivot are one group, known to be
 connected, and are not compared with each other again. What is left, pairs of sets of different groups that share a
-list, is enumerated in full, less what the sizes, positions and the bounds from pivots rule out, and less pairs that
-share fewer than l lists. The rest is verified on the whole sets. So no link between sets of different groups is lost,
-while thousands of near copies cost a few comparisons each.
+list, is enumerated in full, less what the bounds above rule out, and verified on the whole sets. So no link between
+sets of different groups is lost, while thousands of near copies cost a few comparisons each.
 
-How it runs. Texts are read three times, as Python over Arrow batches, and never shuffled: for set hashes and prefix
-counts, for prefixes, and for the whole sets of those few that are compared. Equal sets are one: a worker emits a set
+How it runs. Texts are read four times, as numpy over Arrow batches, and never shuffled: for set hashes and prefix
+counts, for prefixes, and twice for the whole sets of those few that are compared. Equal sets are one: a worker emits a set
 once, and aggregation unites the rest, so a group of exact copies that holds a third of all rows adds one entry a task.
 Joins, counts and verification are DataFrame operations. Groups come from contraction: each set joins its smallest
 neighbour by hash, links become links between groups, until none is left; every round is a table in the shared folder.
@@ -33,7 +34,9 @@ rows, ties, empty tables and other columns need no care; texts are read whole.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +48,14 @@ from .common import SPACES, stage
 
 SHINGLE, PERCENT = 3, 90
 FREQUENT, FREQUENT_FROM = 300_000, 12
-STAR_ROUNDS = 2
+BLOCKS = 2
+#: Numbers of 64 bits in a set's parity sketch.
+SKETCH = 4
 BITS = 1 << 22
-CACHE = 400_000
-_UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Bytes of text hashed at once; only a longer word takes more.
+CHUNK = 1 << 20
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
-_OTHER_SPACE = "".join(chr(c) for c in (0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0))
+_BASE, _INVERSE = 0x2545F4914F6CDD1D, pow(0x2545F4914F6CDD1D, -1, 1 << 64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -59,60 +64,116 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: A number for each byte, the same for a letter of either case.
+_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_VALUE[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]
+_IN_WORD = np.ones(256, dtype=bool)
+_IN_WORD[[ord(c) for c in SPACES]] = False
+
+
+class Powers:
+    """Powers of an odd number modulo 2 ** 64, as many as were asked for."""
+
+    def __init__(self, base: int):
+        self.base, self.values = base, np.ones(1, dtype=np.uint64)
+
+    def first(self, n: int) -> np.ndarray:
+        while len(self.values) < n:
+            step = np.uint64(pow(self.base, len(self.values), 1 << 64))
+            self.values = np.concatenate([self.values, self.values * step])
+        return self.values[:n]
+
+
 class Shingler:
-    """Texts to sorted arrays of distinct shingle hashes."""
+    """UTF-8 texts to sorted arrays of distinct shingle hashes.
+
+    A word's hash is the difference of two prefix sums of byte values times powers of a base, times the inverse power
+    of its start: equal words have equal hashes wherever they stand, and all words of a chunk come from a few passes.
+    """
 
     def __init__(self, k: int):
-        self.k, self.hash_of = k, {}
+        self.k = k
         self.odd = [_ODD[i % len(_ODD)] * np.uint64(2 * (i // len(_ODD)) + 1) for i in range(k)]
-
-    def words(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        text = text.translate(_UPPER) if not text.isascii() else text.lower()
-        found = text.split() if text.isascii() and not any(c in text for c in _OTHER_SPACE[:4]) else None
-        if found is None:
-            for c in SPACES[1:]:
-                if c in text:
-                    text = text.replace(c, " ")
-            found = [w for w in text.split(" ") if w]
-        return found
-
-    def hashes(self, words: list[str]) -> np.ndarray:
-        known = self.hash_of
-        new = [w for w in words if w not in known]
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = words
-            for w in new:
-                known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-
-    def set_of(self, text: str | None) -> np.ndarray:
-        words = self.words(text)
+        self.powers, self.inverses = Powers(_BASE), Powers(_INVERSE)
+
+    def word_hashes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The starts and hashes of the words in some bytes."""
+        inside = _IN_WORD[data]
+        edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, ends = edge[::2], edge[1::2]
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_VALUE[data] * self.powers.first(len(data)), out=sums[1:])
+        raw = (sums[ends] - sums[starts]) * self.inverses.first(len(data) + 1)[starts]
+        return starts, mix(raw + (ends - starts).astype(np.uint64) * _ODD[0])
+
+    def _pieces(self, data: np.ndarray) -> Iterator[np.ndarray]:
+        """A long text cut at white space."""
+        at = 0
+        while len(data) - at > CHUNK:
+            spaces = np.flatnonzero(~_IN_WORD[data[at : at + CHUNK]])
+            if len(spaces):
+                cut = at + int(spaces[-1]) + 1
+            else:
+                later = np.flatnonzero(~_IN_WORD[data[at + CHUNK :]])
+                cut = at + CHUNK + int(later[0]) + 1 if len(later) else len(data)
+            yield data[at:cut]
+            at = cut
+        yield data[at:]
+
+    def _distinct(self, words: np.ndarray) -> np.ndarray:
         n = len(words)
         if not n:
             return np.zeros(0, dtype=np.uint64)
-        h = self.hashes(words)
-        with np.errstate(over="ignore"):
-            if n < self.k:
-                whole = np.uint64(n)
-                for i in range(n):
-                    whole = mix(whole * _ODD[0] + h[i : i + 1])[0]
-                return np.array([whole], dtype=np.uint64)
-            x = h[: n - self.k + 1] * self.odd[0]
-            for i in range(1, self.k):
-                x = x + h[i : n - self.k + 1 + i] * self.odd[i]
-            x = mix(x)
+        if n < self.k:
+            whole = np.array([n], dtype=np.uint64)
+            for i in range(n):
+                whole = mix(whole * _ODD[0] + words[i : i + 1])
+            return whole
+        x = words[: n - self.k + 1] * self.odd[0]
+        for i in range(1, self.k):
+            x = x + words[i : n - self.k + 1 + i] * self.odd[i]
+        x = mix(x)
         x.sort()
         return x if n == self.k else x[np.concatenate([[True], x[1:] != x[:-1]])]
 
+    def sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The set of each text of a string column; null: empty."""
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+        _, where, what = texts.buffers()
+        ends = np.frombuffer(where, dtype=kind)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, dtype=kind)
+        data = np.frombuffer(what, dtype=np.uint8) if what is not None else np.zeros(0, dtype=np.uint8)
+        at = 0
+        while at < len(texts):
+            until = max(at + 1, int(np.searchsorted(ends, ends[at] + CHUNK, side="right")) - 1)
+            if until == at + 1:
+                own = data[ends[at] : ends[at + 1]]
+                yield self._distinct(np.concatenate([self.word_hashes(x)[1] for x in self._pieces(own)]))
+            else:
+                # texts side by side, a space between them
+                bounds = ends[at : until + 1].astype(np.int64) - int(ends[at])
+                n = until - at
+                block = np.full(bounds[-1] + n, 32, dtype=np.uint8)
+                shift = np.repeat(np.arange(n), np.diff(bounds))
+                block[np.arange(bounds[-1]) + shift] = data[ends[at] : ends[until]]
+                starts, hashes = self.word_hashes(block)
+                edges = np.searchsorted(starts, bounds + np.arange(n + 1))
+                for i in range(n):
+                    yield self._distinct(hashes[edges[i] : edges[i + 1]])
+            at = until
+
 
 def set_hash(s: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) if len(s) else 0
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """The parity of the set's count in each of 64 SKETCH parts of all hashes. Sketches of two sets differ in no more bits than the sets in shingles."""
+    bits = np.bincount((s & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def prefix_length(n: int, percent: int) -> tuple[int, int]:
     """A set's l, and the length of its prefix."""
     p = n - -(-percent * n // 100) + 1
@@ -131,23 +192,24 @@ def _arrays(parts: list[np.ndarray]) -> pa.Array:
 
 
 def first_pass(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, mark, n, set and, once for each set of a task, the prefix by hash alone, for counting."""
+    """doc_id, mark, n, set and, once for each set of a task, its sketch and its prefix by hash alone, for counting."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen, none = Shingler(k), set(), np.zeros(0, dtype=np.uint64)
         for batch in batches:
-            n, ids, heads = [], [], []
-            for text in batch.column(1):
-                s = own.set_of(text.as_py())
+            n, ids, heads, sketches = [], [], [], []
+            for s in own.sets(batch.column(1)):
                 which = set_hash(s)
-                heads.append(none if which in seen or not len(s) else s[: prefix_length(len(s), percent)[1]])
+                new = len(s) > 0 and which not in seen
                 seen.add(which)
+                heads.append(s[: prefix_length(len(s), percent)[1]] if new else none)
+                sketches.append(sketch(s) if new else none.view(np.int64))
                 n.append(len(s))
                 ids.append(which)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int32()), pa.array(ids, pa.int64()), _arrays(heads)], names=["doc_id", "mark", "n", "set", "head"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int32()), pa.array(ids, pa.int64()), _arrays(heads), _arrays(sketches)], names=["doc_id", "mark", "n", "set", "head", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, n int, set long, head array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, n int, set long, head array<long>, sketch array<long>")
 
 
 def prefixes(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
@@ -159,8 +221,7 @@ def prefixes(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts
         often, how = shared.value
         for batch in batches:
             ids, n, least, heads = [], [], [], []
-            for text in batch.column(0):
-                s = own.set_of(text.as_py())
+            for s in own.sets(batch.column(0)):
                 if not len(s):
                     continue
                 which = set_hash(s)
@@ -203,8 +264,7 @@ def whole_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
         there = shared.value
         for batch in batches:
             ids, sets = [], []
-            for text in batch.column(0):
-                s = own.set_of(text.as_py())
+            for s in own.sets(batch.column(0)):
                 which = set_hash(s) if len(s) else None
                 if which is None or which in seen or not there[which % BITS // 32] >> (which % BITS % 32) & 1:
                     continue
@@ -248,13 +308,17 @@ def groups(links: DataFrame) -> DataFrame:
     return stage(labels, "groups")
 
 
-def size_class(n: Column, percent: int) -> Column:
-    """Sets that link are in the same class or in neighbouring ones."""
-    return F.floor(F.ln(n.cast("double")) / F.lit(float(np.log(100 / percent))) + F.lit(1e-9)).cast("int")
+def size_block(n: Column, percent: int) -> Column:
+    """Blocks of like sizes: sets that link are at most BLOCKS of them apart."""
+    return F.floor(F.ln(n.cast("double")) * F.lit(BLOCKS / float(np.log(100 / percent)))).cast("int")
 
 
 def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
-    """The index: token, set, n, least, pos, only of lists with several sets and of sets with enough such lists."""
+    """The index: token, set, n, least, length (of the prefix), pos, most (the largest overlap that is left possible).
+
+    Only lists with several sets, and sets with enough such lists. A set's prefix shingles that no other set's list has
+    can't be shared, so its overlap with any set is at most the rest.
+    """
     often = (
         first.select(F.explode("head").alias("token")).groupBy("token").count().where(F.col("count") >= FREQUENT_FROM)
         .orderBy(F.col("count").desc(), "token").limit(FREQUENT).toPandas()
@@ -262,57 +326,63 @@ def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int) -> Data
     tokens = often["token"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(tokens)
     rows = prefixes(docs, k, percent, tokens[order], often["count"].to_numpy(dtype=np.int64)[order])
-    entries = rows.select("set", "n", "least", F.posexplode("prefix").alias("pos", "token")).repartition("token").distinct()
-    everyone = Window.partitionBy("token")
-    several = stage(entries.withColumn("c", F.count(F.lit(1)).over(everyone)).where("c > 1").drop("c"), "several")
-    enough = several.groupBy("set").agg(F.count(F.lit(1)).alias("c"), F.first("least").alias("least")).where("c >= least").select("set")
-    return stage(several.join(enough, "set", "left_semi").withColumn("c", F.count(F.lit(1)).over(everyone)).where("c > 1").drop("c"), "lists")
+    by_token, by_set = Window.partitionBy("token"), Window.partitionBy("set")
+    everyone = F.count(F.lit(1))
+    entries = rows.select("set", "n", "least", F.size("prefix").alias("length"), F.posexplode("prefix").alias("pos", "token")).repartition("token").distinct()
+    several = stage(entries.withColumn("c", everyone.over(by_token)).where("c > 1").drop("c"), "several")
+    enough = several.withColumn("c", everyone.over(by_set)).where("c >= least").drop("c").withColumn("c", everyone.over(by_token)).where("c > 1").drop("c")
+    lists = enough.withColumn("c", everyone.over(by_set)).where("c >= least").withColumn("most", F.col("c") + F.col("n") - F.col("length"))
+    return stage(lists.drop("c"), "lists")
 
 
 def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
     """Links between different sets: enough of them that all linked sets are connected."""
     lists = index_lists(docs, first, k, percent)
-    sets = stage(whole_sets(docs, k, lists), "sets")
     n, m = F.col("n"), F.col("m")
-    labels = None
-    answers: list[DataFrame] = []
-
-    def labelled(rows: DataFrame) -> DataFrame:
-        if labels is None:
-            return rows.withColumn("group", F.col("set"))
-        return rows.join(labels, "set", "left").withColumn("group", F.coalesce("group", "set"))
-
-    for r in range(STAR_ROUNDS):
-        everyone = Window.partitionBy("token")
-        pivot = F.min(F.struct(F.xxhash64("set", F.lit(r)).alias("h"), F.col("set").alias("a"), F.col("n").alias("n"), F.col("group").alias("g"))).over(everyone)
-        stars = (
-            labelled(lists).withColumn("p", pivot).where("set <> p.a and group <> p.g")
-            .select("p.a", F.col("set").alias("b"), F.col("p.n").alias("n"), F.col("n").alias("m"))
-            .where(F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-            .groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-        )
-        answers.append(stage(verify(stars, sets), "answers"))
-        found = answers[0] if r == 0 else found.unionByName(answers[r])
-        labels = groups(found.where(F.col("overlap") >= needed(n, m, percent)))
-    best = found.groupBy("b").agg(F.max_by(F.struct(F.col("a").alias("x"), "overlap"), F.col("overlap") / (n + m)).alias("best")).select(F.col("b").alias("set"), "best.x", F.col("best.overlap").alias("o"))
-    entries = labelled(lists).join(best, "set", "left").withColumn("cls", size_class(F.col("n"), percent))
-    # a set is compared with those of its own size class (each pair once) and of the next one
-    left = entries.select("token", *(F.col(c).alias(f"l_{c}") for c in ("set", "n", "least", "pos", "group", "x", "o", "cls")), F.explode(F.array("cls", F.col("cls") + 1)).alias("cls"))
-    right = entries.select("token", "cls", *(F.col(c).alias(f"r_{c}") for c in ("set", "n", "least", "pos", "group", "x", "o")))
+    links = F.col("overlap") >= needed(n, m, percent)
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = stage(pairs, f"{name}-pairs")
+        wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b"))
+        return stage(verify(pairs, whole_sets(docs, k, wanted)), name)
+
+    pivot = F.max(F.struct((F.col("most") / F.col("n")).alias("r"), F.xxhash64("set").alias("h"), F.col("set").alias("a"), F.col("n").alias("n"), F.col("most").alias("most"))).over(Window.partitionBy("token"))
+    stars = (
+        lists.withColumn("p", pivot).where("set <> p.a")
+        .select("p.a", F.col("set").alias("b"), F.col("p.n").alias("n"), F.col("n").alias("m"), F.least("most", "p.most").alias("most"))
+        .where((F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (F.col("most") >= needed(n, m, percent)))
+        .groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    )
+    answers = verified(stars, "answers")
+    labels = groups(answers.where(links))
+    best = answers.groupBy("b").agg(F.max_by(F.struct(F.col("a").alias("x"), "overlap"), F.col("overlap") / (n + m)).alias("best")).select(F.col("b").alias("set"), "best.x", F.col("best.overlap").alias("o"))
+    sketches = first.where(F.size("sketch") > 0).groupBy("set").agg(F.first("sketch").alias("sketch"))
+    about = lists.select("set").distinct().join(sketches, "set").join(labels, "set", "left").join(best, "set", "left")
+    about = about.select("set", F.coalesce("group", "set").alias("group"), "x", "o", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)))
+    entries = lists.select("token", "set", "n", "pos", "most").join(about, "set")
+    # the larger set of a pair looks into the blocks of sizes from its lower bound up to the largest one that its own
+    # possible overlap allows, its own size at most
+    high = F.least(n, F.floor(F.col("most") * (100.0 + percent) / percent + 1e-6) - n)
+    low = F.ceil(n * (percent / 100.0) - 1e-9)
+    names = ("set", "n", "pos", "most", "group", "x", "o", *(f"s{i}" for i in range(SKETCH)))
+    probing = entries.withColumn("low", low).withColumn("high", high).where((F.col("low") <= F.col("high")) & (F.col("pos") <= n - needed(n, F.col("low"), percent)))
+    left = probing.select("token", *(F.col(c).alias(f"l_{c}") for c in names), F.explode(F.sequence(size_block(F.col("low"), percent), size_block(F.col("high"), percent))).alias("block"))
+    right = entries.select("token", size_block(n, percent).alias("block"), *(F.col(c).alias(f"r_{c}") for c in names))
     need = needed(F.col("l_n"), F.col("r_n"), percent)
     room = F.least("l_pos", "r_pos") + 1 + F.least(F.col("l_n") - 1 - F.col("l_pos"), F.col("r_n") - 1 - F.col("r_pos"))
     derived = F.least("l_o", "r_o") + F.least(F.col("l_n") - F.col("l_o"), F.col("r_n") - F.col("r_o"))
+    apart = reduce(operator.add, (F.bit_count(F.col(f"l_s{i}").bitwiseXOR(F.col(f"r_s{i}"))) for i in range(SKETCH)))
     pairs = (
-        left.join(right, ["token", "cls"])
-        .where((F.col("l_group") != F.col("r_group")) & ((F.col("l_cls") < F.col("cls")) | (F.col("l_set") < F.col("r_set"))))
-        .where((F.least("l_n", "r_n") * 100 >= F.greatest("l_n", "r_n") * percent) & (room >= need))
+        left.join(right, ["token", "block"])
+        .where((F.col("l_group") != F.col("r_group")) & ((F.col("l_n") > F.col("r_n")) | ((F.col("l_n") == F.col("r_n")) & (F.col("l_set") < F.col("r_set")))))
+        # among the first n - need + 1 shingles of both sets at least one is shared, or they don't link
+        .where((F.least("l_most", "r_most") >= need) & (F.col("l_pos") <= F.col("l_n") - need) & (F.col("r_pos") <= F.col("r_n") - need) & (room >= need))
         .where(F.coalesce(F.col("l_x") != F.col("r_x"), F.lit(True)) | (derived >= need))
-        .groupBy(F.least("l_set", "r_set").alias("a"), F.greatest("l_set", "r_set").alias("b"))
-        .agg(F.count(F.lit(1)).alias("c"), F.min(F.least("l_least", "r_least")).alias("least"), F.max(F.when(F.col("l_set") < F.col("r_set"), F.col("l_n")).otherwise(F.col("r_n"))).alias("n"), F.max(F.when(F.col("l_set") < F.col("r_set"), F.col("r_n")).otherwise(F.col("l_n"))).alias("m"))
-        .where("c >= least")
+        .where((F.col("r_n") * 100 >= F.col("l_n") * percent) & (apart <= F.col("l_n") + F.col("r_n") - 2 * need))
+        .select(F.col("l_set").alias("a"), F.col("r_set").alias("b"), F.col("l_n").alias("n"), F.col("r_n").alias("m"))
+        .distinct()
     )
-    last = verify(pairs, sets)
-    return found.unionByName(last).where(F.col("overlap") >= needed(n, m, percent)).select("a", "b")
+    return answers.unionByName(verified(pairs, "rest")).where(links).select("a", "b")
 
 
 def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
