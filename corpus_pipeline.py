@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 stage's docs. All but the last return the columns of documents.
 
 1. quality_rules: documents that a rule rejects go.
-2. quality_classifier: fitted on the labels of what is left; documents not likely to be of the best grade go.
+2. quality_classifier: fitted on labelled documents, whether the rules kept them or not; of what is left, documents not
+   likely to be of the best grade go.
 3. near_duplicates: documents on five-word shingles link from a Jaccard similarity of 0.8; of each group the one with
    the smallest doc_id stays.
 4. mixing: each document is there as many times as the mix of sources takes it, or not at all.
@@ -30,7 +31,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_model.select_documents(docs, table(spark, sf_dir, "labels"))
+    return quality_model.select_documents(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -189,7 +189,7 @@ def grade_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs.select("doc_id", "text"), fit(docs, labels)).drop("text")
 
 
-def select_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs whose text is selected, with their own columns."""
+def select_documents(docs: DataFrame, rated: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs whose text is selected, with their own columns. rated: the documents that the labels are about."""
     names = docs.columns
-    return score(docs, fit(docs, labels)).where("selected").select(*names)
+    return score(docs, fit(rated, labels)).where("selected").select(*names)
