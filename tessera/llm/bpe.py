@@ -232,7 +232,8 @@ def default_path() -> str:
 
 
 def encode(docs: DataFrame, description: bytes) -> DataFrame:
-    """docs with ids array<int> and decoded string."""
+    """docs with ids array<int> and decoded string, in place of columns of those names."""
+    docs = docs.drop("ids", "decoded")
     shared = docs.sparkSession.sparkContext.broadcast(description)
     names = docs.columns
 
@@ -244,9 +245,6 @@ def encode(docs: DataFrame, description: bytes) -> DataFrame:
             ids = pa.array([array("I", x).tolist() for x, _ in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array([x for _, x in found], pa.string())], names=[*names, "ids", "decoded"])
 
-    clash = {"ids", "decoded"} & set(names)
-    if clash:
-        raise ValueError(f"the table already has {', '.join(sorted(clash))}")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(run, f"{fields}, ids array<int>, decoded string")
 

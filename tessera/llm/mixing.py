@@ -65,7 +65,7 @@ def mix(rows: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
         .withColumn("bits", F.length(F.bin("size")))
         .withColumn("class", F.expr("if(size < 16, size, bits * 8 + (shiftright(size, bits - 4) - 8))").cast("int"))
         .drop("bits")
-        .withColumn("part", F.expr(f"cast(conv(substring(md5(cast(concat_ws(':', coalesce(doc_id, 'none'), piece) as binary)), 1, 4), 16, 10) as int) % {PARTS}")),
+        .withColumn("part", F.expr(f"cast(conv(substring(md5(cast(concat_ws(':', coalesce(cast(doc_id as string), 'none'), piece) as binary)), 1, 4), 16, 10) as int) % {PARTS}")),
         "mix",
     )
     keys = [F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("name")]
@@ -104,12 +104,11 @@ def take(docs: DataFrame, **how) -> DataFrame:
     Rows that share doc_id, source and size are interchangeable: each gets the whole part of their mean number of
     copies, and one more if a hash of the row and its place in the input says so, at the rate of the fraction.
     """
-    names = docs.columns
-    size = word_count(F.col("text"))
-    mixed = mix(docs.select("doc_id", "source", size.alias("size")), **how)
-    taken = mixed.groupBy("doc_id", "source", "size").agg((F.sum("copies") / F.count(F.lit(1))).alias("_mean"))
-    taken = taken.where("_mean > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_n"), "_mean")
-    keyed = docs.withColumn("_size", size).withColumn("_u", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(1 << 20)) / F.lit(float(1 << 20)))
-    same = keyed["doc_id"].eqNullSafe(taken["_id"]) & keyed["source"].eqNullSafe(taken["_source"]) & (keyed["_size"] == taken["_n"])
-    copies = F.floor("_mean") + (F.col("_u") < F.col("_mean") - F.floor("_mean")).cast("long")
-    return keyed.join(taken, same).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*names)
+    keyed = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text", F.monotonically_increasing_id()).alias("h"), F.struct(*docs.columns).alias("row"))
+    mixed = mix(keyed.select("doc_id", "source", "size"), **how)
+    taken = mixed.groupBy("doc_id", "source", "size").agg((F.sum("copies") / F.count(F.lit(1))).alias("mean")).where("mean > 0")
+    taken = taken.select(F.col("doc_id").alias("t_id"), F.col("source").alias("t_source"), F.col("size").alias("t_size"), "mean")
+    same = F.col("doc_id").eqNullSafe(F.col("t_id")) & F.col("source").eqNullSafe(F.col("t_source")) & (F.col("size") == F.col("t_size"))
+    lucky = F.pmod("h", F.lit(1 << 20)) / F.lit(float(1 << 20)) < F.col("mean") - F.floor("mean")
+    copies = (F.floor("mean") + lucky.cast("long")).cast("int")
+    return keyed.join(taken, same).select("row", F.explode(F.array_repeat(F.lit(1), copies))).select("row.*")

@@ -157,11 +157,9 @@ class Scorer:
 
 
 def score(docs: DataFrame, model: Model | None, target: int | None = None) -> DataFrame:
-    """docs with expected_grade, tail_probability (of the target grade or better; default: the highest) and selected."""
+    """docs with expected_grade, tail_probability (of the target grade or better; default: the highest) and selected, in place of columns of those names."""
     new = ("expected_grade", "tail_probability", "selected")
-    clash = set(new) & set(docs.columns)
-    if clash:
-        raise ValueError(f"the table already has {', '.join(sorted(clash))}")
+    docs = docs.drop(*new)
     if model is None or len(model.grades) < 2:
         only = F.lit(float(model.grades[0]) if model else None).cast("double")
         return docs.withColumns({new[0]: only, new[1]: F.lit(1.0), new[2]: F.lit(True)})
@@ -191,5 +189,5 @@ def grade_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def select_documents(docs: DataFrame, rated: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs whose text is selected, with their own columns. rated: the documents that the labels are about."""
-    names = docs.columns
-    return score(docs, fit(rated, labels)).where("selected").select(*names)
+    packed = docs.select("text", F.struct(*docs.columns).alias("row"))
+    return score(packed, fit(rated, labels)).where("selected").select("row.*")

@@ -125,8 +125,8 @@ def judge_documents(docs: DataFrame) -> DataFrame:
 
 def keep_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with their own columns."""
-    names = docs.columns
-    return judge(docs).where("kept").select(*names)
+    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    return judge(packed).where("kept").select("row.*")
 
 
 ORACLE_SQL = r"""

@@ -1,0 +1,49 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+from tessera.llm import sharding
+
+
+def test_ring_walk_fills_to_capacity_and_keeps_home_keys_first():
+    ranges = sharding.walk_ring([0, 1, 0, 2], {0: 5, 1: 1, 3: 3}, [3, 3, 3])
+    by_shard, ranks = Counter(), defaultdict(list)
+    for place, low, high, shard, first in ranges:
+        assert first == by_shard[shard]
+        by_shard[shard] += high - low
+        ranks[place] += range(low, high)
+    assert dict(by_shard) == {0: 3, 1: 3, 2: 3}
+    assert {p: sorted(r) for p, r in ranks.items()} == {0: list(range(5)), 1: [0], 3: [0, 1, 2]}
+    assert [0, 3, 5, 1, 1] in ranges  # what shard 0 can't hold goes on clockwise
+
+
+def test_counts_are_at_most_one_apart_and_slots_without_gaps(spark, odd):
+    rows = sharding.shard_documents(odd, 5).collect()
+    assert len(rows) == odd.count()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+        assert r.law == "rows" and r.grown_shard is None
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    texts = Counter((r.doc_id, len((r.text or "").encode()) + 16, None if r.text is None else zlib.crc32(r.text.encode())) for r in odd.collect())
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == texts
+
+
+def test_one_key_with_most_rows_is_spread(spark):
+    docs = spark.sql("SELECT 7L AS doc_id, 'same' AS text FROM range(9000) UNION ALL SELECT id, 'x' FROM range(1000)")
+    found = {r.shard: r["count"] for r in sharding.shard_documents(docs, 8).groupBy("shard").count().collect()}
+    assert set(found.values()) == {1250} and len(found) == 8
+
+
+def test_keys_mostly_stay_home_and_reruns_agree(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "cast(id AS string) AS text")
+    a = {(r.doc_id, r.shard, r.slot) for r in sharding.shard_documents(docs, 10).collect()}
+    b = sharding.shard_documents(docs.repartition(3), 10).collect()
+    assert a == {(r.doc_id, r.shard, r.slot) for r in b}
+    assert sum(r.home_shard == r.shard for r in b) > 3200
+
+
+def test_empty_table(empty):
+    assert sharding.shard_documents(empty).count() == 0
