@@ -410,23 +410,22 @@ def keep_one(docs: DataFrame, k: int, percent: int) -> DataFrame:
     A bitmap of the rows to remove, of fixed size, tells for most rows that they stay; only the others' texts are
     shuffled for the exact test.
     """
-    names = docs.columns
     rows = stage(components(docs, k, percent).where("n > 0").select("doc_id", "mark", "group"), "rows")
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     first = rows.groupBy("group").agg(F.min(key).alias("first"))
     again = rows.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id", "mark", F.lit(True).alias("again"))
     lost = rows.join(first, "group").where(key != F.col("first")).select("doc_id", "mark", F.lit(False).alias("again"))
-    touched = stage(lost.unionByName(again).groupBy("doc_id", "mark").agg(F.min("again").alias("again")), "touched").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "again")
-    spot = lambda c: F.pmod(c, F.lit(BITS))
-    words = touched.groupBy(F.expr(f"pmod(_mark, {BITS}) div 32").alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(_mark, {BITS}) % 32 as int)))").alias("bits"))
+    touched = lost.unionByName(again).groupBy("doc_id", "mark").agg(F.min("again").alias("again"))
+    touched = stage(touched.select(F.col("doc_id").alias("t_id"), F.col("mark").alias("t_mark"), "again"), "touched")
+    words = touched.groupBy(F.expr(f"pmod(t_mark, {BITS}) div 32").alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(t_mark, {BITS}) % 32 as int)))").alias("bits"))
     field = docs.sparkSession.range(BITS // 32).join(words, F.col("id") == F.col("at"), "left").agg(F.expr("transform(array_sort(collect_list(struct(id, coalesce(bits, 0L) as bits))), x -> x.bits)").alias("field"))
-    marked = docs.withColumn("_mark_", F.xxhash64("text"))
-    bit = F.call_function("shiftright", F.get(stage(field, "field").scalar(), F.floor(spot(F.col("_mark_")) / 32).cast("int")), (spot(F.col("_mark_")) % 32).cast("int")).bitwiseAND(F.lit(1))
-    marked = marked.withColumn("_maybe", bit == 1)
-    sure = marked.where(~F.col("_maybe")).select(*names)
-    unsure = marked.where("_maybe").join(touched, (F.col("_mark_") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    own = unsure.where("again is null").select(*names)
-    one = unsure.where("again").groupBy("doc_id", "_mark_").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")).select("row.*")
+    spot = F.pmod("mark", F.lit(BITS))
+    bit = F.call_function("shiftright", F.get(stage(field, "field").scalar(), F.floor(spot / 32).cast("int")), (spot % 32).cast("int")).bitwiseAND(F.lit(1))
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.struct(*docs.columns).alias("row")).withColumn("maybe", bit == 1)
+    sure = marked.where(~F.col("maybe")).select("row.*")
+    unsure = marked.where("maybe").join(touched, (F.col("mark") == F.col("t_mark")) & F.col("doc_id").eqNullSafe(F.col("t_id")), "left")
+    own = unsure.where("again is null").select("row.*")
+    one = unsure.where("again").groupBy("doc_id", "mark").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
     return sure.unionByName(own).unionByName(one)
 
 

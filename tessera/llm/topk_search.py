@@ -70,17 +70,24 @@ class Shelf:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, block: int = BLOCK):
         # like vectors side by side: by the dimension that varies most
         order = np.argsort(vectors[:, vectors.std(axis=0).argmax()], kind="stable") if len(ids) > block else np.arange(len(ids))
-        self.ids, self.vectors = ids[order], exact(vectors[order])
+        self.ids, self.vectors = ids[order], vectors[order]
         self.starts = np.arange(0, len(ids), block)
         self.high = np.maximum.reduceat(self.vectors, self.starts)
         self.low = np.minimum.reduceat(self.vectors, self.starts)
+        self.largest = largest(vectors)
+        self.doubles = tuple(x.astype(np.float64) for x in (self.vectors, self.high, self.low))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query at most k (ids, scores), best first; scores below floor may be missing."""
-        queries = exact(queries)
-        bounds = np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+        # in doubles, where all products and sums are exact in them; else in integers
+        if self.largest * largest(queries) * queries.shape[1] < 1 << 53:
+            queries = queries.astype(np.float64)
+            vectors, high, low = self.doubles
+        else:
+            vectors, high, low = self.vectors, self.high, self.low
+        bounds = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
         best = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)) for _ in queries]
-        kth = floor.astype(np.float64).copy()
+        kth = floor.astype(vectors.dtype)
         order = np.argsort(-bounds, axis=1, kind="stable")
         for step in range(bounds.shape[1]):
             # every query's next block; queries that meet the same block share one product
@@ -91,7 +98,7 @@ class Shelf:
             for b in np.unique(at[open_]):
                 who = np.flatnonzero(open_ & (at == b))
                 a, z = self.starts[b], min(self.starts[b] + BLOCK, len(self.ids))
-                scores = queries[who] @ self.vectors[a:z].T
+                scores = queries[who] @ vectors[a:z].T
                 for i, row in zip(who, scores, strict=True):
                     hit = np.flatnonzero((row >= kth[i]) & (self.ids[a:z] != query_ids[i]))
                     if len(hit):
@@ -104,10 +111,8 @@ class Shelf:
         return best
 
 
-def exact(vectors: np.ndarray) -> np.ndarray:
-    """As doubles, where all products and sums are exact in them; else as integers."""
-    most = int(np.abs(vectors).max(initial=0))
-    return vectors.astype(np.float64) if most * most * vectors.shape[1] < 1 << 53 else vectors.astype(np.int64)
+def largest(vectors: np.ndarray) -> int:
+    return int(np.abs(vectors).max(initial=0))
 
 
 def _score(pairs: DataFrame, k: int) -> DataFrame:
@@ -140,7 +145,7 @@ def search(table: DataFrame, k: int = K, query_step: int = QUERY_STEP, scale: in
     vectors = stage(integer_vectors(table, scale), "vectors")
     n = vectors.count()
     chosen = vectors.orderBy(F.xxhash64("vec_id", "v")).limit(SAMPLE).collect()
-    sample = np.array([r.v for r in chosen], dtype=np.float64).reshape(len(chosen), -1)
+    sample = np.array([r.v for r in chosen], dtype=np.float64)
     centres = fit_centres(sample, max(1, min(CENTRES, n // (4 * SHELF)))) if len(chosen) else np.zeros((1, 1))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
