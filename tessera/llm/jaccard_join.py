@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from .common import SPACES, stage
 
 SHINGLE, PERCENT = 3, 90
-FREQUENT, FREQUENT_FROM = 300_000, 12
+FREQUENT, FREQUENT_FROM = 200_000, 12
 BLOCKS = 2
 #: Numbers of 64 bits in a set's parity sketch.
 SKETCH = 4
@@ -321,11 +321,11 @@ def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int) -> Data
     """
     often = (
         first.select(F.explode("head").alias("token")).groupBy("token").count().where(F.col("count") >= FREQUENT_FROM)
-        .orderBy(F.col("count").desc(), "token").limit(FREQUENT).toPandas()
+        .orderBy(F.col("count").desc(), "token").limit(FREQUENT).toArrow()
     )
-    tokens = often["token"].to_numpy(dtype=np.int64).view(np.uint64)
+    tokens = often["token"].to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    rows = prefixes(docs, k, percent, tokens[order], often["count"].to_numpy(dtype=np.int64)[order])
+    rows = prefixes(docs, k, percent, tokens[order], often["count"].to_numpy()[order])
     by_token, by_set = Window.partitionBy("token"), Window.partitionBy("set")
     everyone = F.count(F.lit(1))
     entries = rows.select("set", "n", "least", F.size("prefix").alias("length"), F.posexplode("prefix").alias("pos", "token")).repartition("token").distinct()

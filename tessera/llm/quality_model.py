@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .labelled import bucket, core, labelled_sample
 
-TRAIN_PER_VALUE = 2500
+TRAIN_PER_VALUE = 1500
 BUCKETS, STEPS, BATCH, RATE, DECAY, SEED = 1 << 15, 1500, 64, 0.3, 1e-4, 5
 SCALE = 8.0
 CACHE = 300_000
@@ -81,7 +81,7 @@ def text_row(text: str, known: dict[str, list[int]]) -> tuple[np.ndarray, np.nda
     """A text's buckets with their values."""
     words = text.split()
     if not words:
-        return np.zeros(0, dtype=np.int64), np.zeros(0)
+        return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.float32)
     ids: list[int] = []
     for w in words:
         if w not in known:
@@ -89,8 +89,8 @@ def text_row(text: str, known: dict[str, list[int]]) -> tuple[np.ndarray, np.nda
         ids += known[w]
     repeated, lines = marks(words, text)
     ids += [bucket(REPEATED_WORD, BUCKETS)] * repeated + [bucket(REPEATED_LINE, BUCKETS)] * lines
-    which, n = np.unique(np.array(ids, dtype=np.int64), return_counts=True)
-    return which, SCALE * n / len(words)
+    which, n = np.unique(np.array(ids, dtype=np.int32), return_counts=True)
+    return which, (SCALE * n / len(words)).astype(np.float32)
 
 
 def train(sample: list[tuple[str, int]]) -> Model | None:
@@ -100,6 +100,7 @@ def train(sample: list[tuple[str, int]]) -> Model | None:
     rng = np.random.default_rng(SEED)
     known: dict[str, list[int]] = {}
     rows = [text_row(t, known) for t, _ in sample]
+    known.clear()
     level = np.array([grades.index(y) for _, y in sample])
     k = len(grades) - 1
     w, sums = np.zeros(BUCKETS), np.full(BUCKETS, 1e-2)
