@@ -121,7 +121,7 @@ def best_cut(scored: DataFrame, step: float = STEP) -> float:
     kinds = Window.partitionBy()
     up = Window.orderBy(F.col("bin").desc())
     counts = scored.groupBy(F.floor(F.col("score") / step).alias("bin")).agg(F.count_if(F.col("verdict") == "allow").alias("a"), F.count_if(F.col("verdict") == "block").alias("b"))
-    shares = counts.select("bin", (F.sum("a").over(up) / F.sum("a").over(kinds) - F.sum("b").over(up) / F.sum("b").over(kinds)).alias("gain"))
+    shares = counts.select("bin", (F.try_divide(F.sum("a").over(up), F.sum("a").over(kinds)) - F.try_divide(F.sum("b").over(up), F.sum("b").over(kinds))).alias("gain"))
     best = shares.where("gain is not null").orderBy(F.col("gain").desc(), "bin").limit(1).collect()
     return best[0].bin * step if best else float("-inf")
 
