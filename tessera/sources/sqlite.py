@@ -1,21 +1,21 @@
 """A Python data source for SQLite tables: spark.read.format("sqlite").option("path", ...).option("table", ...).load().
 
-Equality and comparison filters go into the WHERE clause (with spark.sql.python.filterPushdown.enabled). The file is
-read in `partitions` ranges of rowid. Meant for the workbench's own databases, on one machine or a shared mount; bulk
+The option `where` holds a condition in SQLite's own SQL that the database applies. (Filters aren't taken over from plans:
+Spark 4.1 keeps what one query has pushed for later queries of the same DataFrame, which then lack rows.) The file is read
+in `partitions` ranges of rowid. Meant for the workbench's own databases, on one machine or a shared mount; bulk
 data belongs into parquet.
 """
 
 from __future__ import annotations
 
 import sqlite3
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 _KINDS = (("INT", "BIGINT"), ("CHAR", "STRING"), ("CLOB", "STRING"), ("TEXT", "STRING"), ("REAL", "DOUBLE"), ("FLOA", "DOUBLE"), ("DOUB", "DOUBLE"), ("BLOB", "BINARY"))
-_SIGNS = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
 
 
 def connect(path: str) -> sqlite3.Connection:
@@ -35,17 +35,8 @@ class Rows(InputPartition):
 
 
 class SQLiteReader(DataSourceReader):
-    def __init__(self, path: str, table: str, names: list[str], ranges: int):
-        self.path, self.table, self.names, self.ranges = path, table, names, ranges
-        self.where: list[tuple[str, str, object]] = []
-
-    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:  # noqa: N802
-        for f in filters:
-            sign = _SIGNS.get(type(f))
-            if sign and len(f.attribute) == 1 and isinstance(f.value, str | int | float):
-                self.where.append((f.attribute[0], sign, f.value))
-            else:
-                yield f
+    def __init__(self, path: str, table: str, names: list[str], ranges: int, where: str):
+        self.path, self.table, self.names, self.ranges, self.where = path, table, names, ranges, where
 
     def partitions(self) -> list[InputPartition]:
         con = connect(self.path)
@@ -59,11 +50,10 @@ class SQLiteReader(DataSourceReader):
         return [Rows(a, min(a + step, high + 1)) for a in range(low, high + 1, step)]
 
     def read(self, partition: Rows) -> Iterator[tuple]:
-        tests = ["rowid >= ?", "rowid < ?", *(f"{_quoted(c)} {sign} ?" for c, sign, _ in self.where)]
         con = connect(self.path)
         try:
             columns = ", ".join(map(_quoted, self.names))
-            yield from con.execute(f"SELECT {columns} FROM {_quoted(self.table)} WHERE {' AND '.join(tests)}", [partition.low, partition.high, *(v for _, _, v in self.where)])
+            yield from con.execute(f"SELECT {columns} FROM {_quoted(self.table)} WHERE rowid >= ? AND rowid < ? AND ({self.where})", [partition.low, partition.high])
         finally:
             con.close()
 
@@ -87,9 +77,8 @@ class SQLiteSource(DataSource):
         return ", ".join(f"`{n}` {k}" for n, k in self._columns())
 
     def reader(self, schema) -> SQLiteReader:  # noqa: ANN001
-        return SQLiteReader(self.options["path"], self.options.get("table", "contents"), [f.name for f in schema.fields], int(self.options.get("partitions", "4")))
+        return SQLiteReader(self.options["path"], self.options.get("table", "contents"), [f.name for f in schema.fields], int(self.options.get("partitions", "4")), self.options.get("where", "1"))
 
 
 def register(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SQLiteSource)
