@@ -12,7 +12,7 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -125,37 +125,52 @@ class Cosine:
 class LexicalIndex:
     """Postings and statistics of a collection, as tables that many queries share.
 
-    postings: term, chunk_id, tf, dl; terms: term, df, idf. Statistics of the whole corpus are one row, joined by a
-    scalar subquery.
+    postings: term, chunk_id, tf, dl; terms: term, df, idf; stats: one row, joined by scalar subqueries. `write` keeps
+    them beside the collection, postings sorted by term, so that a query's scan skips row groups.
     """
 
-    def __init__(self, collection: DataFrame, id_column: str = "id", text_column: str = "document"):
-        self.ids = collection.select(F.col(id_column).alias("chunk_id"))
-        tokens = collection.select(F.col(id_column).alias("chunk_id"), X.tokens(F.coalesce(text_column, F.lit(""))).alias("t")).withColumn("dl", F.size("t"))
-        self.stats = tokens.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
-        self.postings = tokens.select("chunk_id", "dl", F.explode("t").alias("term")).groupBy("term", "chunk_id", "dl").agg(F.count(F.lit(1)).alias("tf"))
-        df = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        n = self.stats.select("n").scalar()
-        raw = df.withColumn("raw", F.ln(n - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
-        mean = raw.agg(F.avg("raw")).scalar()
-        self.terms = raw.select("term", "df", F.when(F.col("raw") < 0, F.lit(EPSILON) * mean).otherwise(F.col("raw")).alias("idf"))
+    def __init__(self, ids: DataFrame, postings: DataFrame, terms: DataFrame, stats: DataFrame):
+        self.ids, self.postings, self.terms, self.stats = ids, postings, terms, stats
 
-    def scores(self, queries: DataFrame) -> DataFrame:
-        """query_id, chunk_id, score of the chunks that share a token with a query. A repeated query token counts again."""
+    @classmethod
+    def build(cls, collection: DataFrame, id_column: str = "id", text_column: str = "document") -> LexicalIndex:
+        ids = collection.select(F.col(id_column).alias("chunk_id"))
+        tokens = collection.select(F.col(id_column).alias("chunk_id"), X.tokens(F.coalesce(text_column, F.lit(""))).alias("t")).withColumn("dl", F.size("t"))
+        stats = tokens.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
+        postings = tokens.select("chunk_id", "dl", F.explode("t").alias("term")).groupBy("term", "chunk_id", "dl").agg(F.count(F.lit(1)).alias("tf"))
+        raw = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("raw", F.ln(stats.select("n").scalar() - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
+        terms = raw.select("term", "df", F.when(F.col("raw") < 0, F.lit(EPSILON) * raw.agg(F.avg("raw")).scalar()).otherwise(F.col("raw")).alias("idf"))
+        return cls(ids, postings, terms, stats)
+
+    def write(self, path: str) -> None:
+        self.postings.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/postings")
+        for name in ("ids", "terms", "stats"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> LexicalIndex:
+        return cls(*(spark.read.parquet(f"{path}/{name}") for name in ("ids", "postings", "terms", "stats")))
+
+    def _parts(self, queries: DataFrame) -> DataFrame:
+        """What each term adds to a chunk's score. A repeated query token counts again."""
         wanted = queries.select("query_id", F.explode(X.tokens(F.col("query"))).alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qf"))
         avgdl = self.stats.select("avgdl").scalar()
         part = F.col("qf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / avgdl))
-        return wanted.join(self.terms, "term").join(self.postings, "term").groupBy("query_id", "chunk_id").agg(F.sum(part).alias("score"))
+        return wanted.join(self.terms, "term").join(self.postings, "term").select("query_id", "chunk_id", part.alias("part"))
+
+    def scores(self, queries: DataFrame) -> DataFrame:
+        """query_id, chunk_id, score of the chunks that share a token with a query."""
+        return self._parts(queries).groupBy("query_id", "chunk_id").agg(F.sum("part").alias("score"))
 
     def top(self, queries: DataFrame, n: int) -> DataFrame:
         """Always n chunks a query where the corpus has them: those without a shared token score 0 and come in corpus order.
 
-        Only the first n chunks of the corpus can fill a list up, so only they are added.
+        Only the first n chunks of the corpus can fill a list up, so only these get a part of 0, before the one sum.
         """
         first = [r.chunk_id for r in self.ids.orderBy("chunk_id").limit(n).collect()]
-        fill = queries.select("query_id", F.explode(F.array(*(F.lit(x) for x in first)) if first else F.array().cast("array<string>")).alias("chunk_id"), F.lit(0.0).alias("score"))
-        both = self.scores(queries).unionByName(fill.join(self.scores(queries), ["query_id", "chunk_id"], "left_anti"))
-        return ranked(both, n, F.col("score").desc(), F.col("chunk_id"))
+        fill = queries.select("query_id", F.explode(F.array(*(F.lit(x) for x in first)) if first else F.array().cast("array<string>")).alias("chunk_id"), F.lit(0.0).alias("part"))
+        scored = self._parts(queries).unionByName(fill).groupBy("query_id", "chunk_id").agg(F.round(F.sum("part"), 9).alias("score"))
+        return ranked(scored, n, F.col("score").desc(), F.col("chunk_id"))
 
 
 # --- fusion and reranking
@@ -174,9 +189,9 @@ def fuse(rankings: list[DataFrame], k: int, rrf_k: int = RRF_K) -> DataFrame:
 class Hybrid:
     name = "hybrid"
 
-    def __init__(self, collection: DataFrame, model: str = DEFAULT_MODEL, factor: int = FACTOR, rrf_k: int = RRF_K):
+    def __init__(self, collection: DataFrame, model: str = DEFAULT_MODEL, factor: int = FACTOR, rrf_k: int = RRF_K, lexical: LexicalIndex | None = None):
         self.collection, self.dense, self.factor, self.rrf_k = collection, Cosine(collection, model), factor, rrf_k
-        self.lexical = LexicalIndex(collection)
+        self.lexical = lexical or LexicalIndex.build(collection)
 
     def top(self, queries: DataFrame, k: int) -> DataFrame:
         n = self.factor * k

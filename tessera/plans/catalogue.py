@@ -288,12 +288,12 @@ def retrieve_cosine(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {CONTENTS_SQL}, q AS (SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark), {_BM25_SQL} SELECT term, df, round(idf, 6) AS idf FROM te")
 def bm25_idf(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.LexicalIndex(corpus(spark, d)).terms.select("term", "df", F.round("idf", 6).alias("idf"))
+    return retrieval.LexicalIndex.build(corpus(spark, d)).terms.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query(f"WITH {CONTENTS_SQL}, q AS (SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark), {_BM25_SQL} {_OUT} sparse WHERE rank <= 20")
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
-    return _out(retrieval.LexicalIndex(corpus(spark, d)).top(queries_of(spark, d), 20))
+    return _out(retrieval.LexicalIndex.build(corpus(spark, d)).top(queries_of(spark, d), 20))
 
 
 @query(f"WITH {_DENSE_SQL}, {_BM25_SQL}, {_FUSED_SQL.format(n=20)} {_OUT} fused WHERE rank <= 5")

@@ -1,0 +1,59 @@
+"""The plans themselves: what reaches the scan, and what is shuffled."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+
+import pytest
+
+from tessera.operators import contents, evaluation, retrieval
+from tessera.operators.chunking import chunk
+
+from .test_workbench import collection, queries, raw
+
+
+def plan(df) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    raw(spark).write.parquet(str(tmp_path / "contents"))
+    collection(spark).write.parquet(str(tmp_path / "rows"))
+    return spark.read.parquet(str(tmp_path / "contents")), spark.read.parquet(str(tmp_path / "rows"))
+
+
+def test_filters_and_columns_reach_the_scan(stored):
+    found = plan(contents.get_contents(stored[0], source_key="s1", vector_status="pending").select("content_id"))
+    assert re.search(r"PushedFilters: .*EqualTo\(source_key,s1\).*EqualTo\(vector_status,pending\)", found)
+    assert re.search(r"ReadSchema: struct<content_id:string,source_key:string,vector_status:string>", found)
+
+
+def test_a_limit_is_a_top_k_and_no_limit_sorts_nothing(stored):
+    assert "TakeOrderedAndProject" in plan(contents.work_items(stored[0], limit=3)) and "Sort" not in plan(contents.work_items(stored[0]))
+
+
+@pytest.mark.parametrize("strategy", ["fixed", "token", "recursive", "semantic"])
+def test_chunking_shuffles_nothing(stored, strategy):
+    assert "Exchange" not in plan(chunk(stored[0], strategy))
+
+
+def test_lexical_index_doesn_t_read_embeddings(spark, stored):
+    found = plan(retrieval.LexicalIndex.build(stored[1]).top(queries(spark, "cat"), 3))
+    assert "document:string" in found and "embedding" not in found
+
+
+def test_ranking_is_cut_before_its_shuffle(spark, stored):
+    found = plan(retrieval.Cosine(stored[1]).top(queries(spark, "cat"), 3))
+    assert "WindowGroupLimit" in found and found.count("MapInArrow") >= 1 and "CartesianProduct" not in found and "NestedLoop" not in found
+
+
+def test_one_pass_for_all_levels(spark):
+    rows = spark.createDataFrame([("c", "s", "x", 1.0, 1.0, 1.0)], "collection string, strategy string, category string, recall double, precision double, mrr double")
+    found = plan(evaluation.rollup(rows))
+    assert found.count("Expand\n") + len(re.findall(r"\) Expand", found)) >= 1 and "Union" not in found

@@ -117,9 +117,13 @@ def queries(spark, *texts):
     return spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(texts)], "query_id string, query string")
 
 
-def test_bm25_matches_plain_python(spark):
+def test_bm25_matches_plain_python(spark, tmp_path):
     texts = ["cat cat bird", "the sat", "nothing here", ""]
-    found = retrieval.LexicalIndex(collection(spark)).top(queries(spark, *texts), 5).collect()
+    index = retrieval.LexicalIndex.build(collection(spark))
+    found = index.top(queries(spark, *texts), 5).collect()
+    index.write(str(tmp_path / "lexical"))
+    again = retrieval.LexicalIndex.read(spark, str(tmp_path / "lexical"))
+    assert sorted(again.top(queries(spark, *texts), 5).collect()) == sorted(found)
     for i, t in enumerate(texts):
         want = sorted(plain_bm25(DOCS, t).items(), key=lambda x: (-x[1], x[0]))
         got = [(r.chunk_id, r.score) for r in sorted((r for r in found if r.query_id == f"q{i}"), key=lambda r: r["rank"])]
