@@ -50,7 +50,7 @@ SHINGLE, PERCENT = 3, 90
 FREQUENT, FREQUENT_FROM = 200_000, 12
 BLOCKS = 2
 #: Numbers of 64 bits in a set's parity sketch.
-SKETCH = 4
+SKETCH = 8
 BITS = 1 << 22
 #: Bytes of text hashed at once; only a longer word takes more.
 CHUNK = 1 << 20
