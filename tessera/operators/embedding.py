@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 
-_tokens = regex.compile(r"[\p{L}\p{N}_]+").findall
+_tokens = regex.compile(r"[\p{L}\p{N}_]+").finditer
 
 
 @lru_cache(maxsize=200_000)
@@ -29,7 +30,7 @@ def _place(token: str, dim: int) -> int:
 def hashed_vectors(texts: list[str], dim: int, max_tokens: int | None = None) -> np.ndarray:
     out = np.zeros((len(texts), dim))
     for i, t in enumerate(texts):
-        found = _tokens((t or "").lower())[:max_tokens]
+        found = [m[0] for m in islice(_tokens((t or "").lower()), max_tokens)]
         if found:
             counts = np.bincount([_place(x, dim) for x in found], minlength=dim)
             out[i] = counts / np.sqrt((counts * counts).sum())

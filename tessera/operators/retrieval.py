@@ -134,10 +134,12 @@ class LexicalIndex:
 
     @classmethod
     def build(cls, collection: DataFrame, id_column: str = "id", text_column: str = "document") -> LexicalIndex:
+        """Texts are read once: postings are kept (memory, else disk) for the statistics and for all queries that follow."""
         ids = collection.select(F.col(id_column).alias("chunk_id"))
         tokens = collection.select(F.col(id_column).alias("chunk_id"), X.tokens(F.coalesce(text_column, F.lit(""))).alias("t")).withColumn("dl", F.size("t"))
-        stats = tokens.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
-        postings = tokens.select("chunk_id", "dl", F.explode("t").alias("term")).groupBy("term", "chunk_id", "dl").agg(F.count(F.lit(1)).alias("tf"))
+        postings = tokens.select("chunk_id", "dl", F.explode("t").alias("term")).groupBy("term", "chunk_id", "dl").agg(F.count(F.lit(1)).alias("tf")).persist()
+        n = ids.agg(F.count(F.lit(1)).alias("n"))
+        stats = postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("tokens")).select(n.scalar().alias("n"), F.try_divide("tokens", n.scalar()).alias("avgdl"))
         raw = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("raw", F.ln(stats.select("n").scalar() - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
         terms = raw.select("term", "df", F.when(F.col("raw") < 0, F.lit(EPSILON) * raw.agg(F.avg("raw")).scalar()).otherwise(F.col("raw")).alias("idf"))
         return cls(ids, postings, terms, stats)
