@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: New words after which a worker drops the results that it hasn't used since.
-CACHE = 120_000
+CACHE = 160_000
 NONE = 1 << 62
 _LATER_SCRIPTS = regex.compile("[^\\x00-\u052f]").search
 
