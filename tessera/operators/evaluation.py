@@ -24,6 +24,11 @@ def preflight(queries: DataFrame, existing: Iterable[str], combos: Iterable[str]
     return missing
 
 
+def missing(wanted: DataFrame, existing: DataFrame, name: str = "collection") -> DataFrame:
+    """Names that are wanted and not there, each once."""
+    return wanted.select(name).distinct().join(existing.select(name).distinct(), name, "left_anti")
+
+
 def per_query(results: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """recall, precision and mrr of each query; one without results gets empty lists.
 

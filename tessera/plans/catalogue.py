@@ -382,6 +382,17 @@ def collection_upsert(spark: SparkSession, d: str) -> DataFrame:
     return upserted(old, rows.where("newsletter_id % 3 = 0").select("id", "content_id", F.lit("new").alias("document")))
 
 
+@query("SELECT 'src' || i AS collection FROM range(30) t(i) WHERE 'src' || i NOT IN (SELECT source FROM documents)")
+def missing_collections(spark: SparkSession, d: str) -> DataFrame:
+    wanted = spark.range(30).select(F.concat(F.lit("src"), F.col("id").cast("string")).alias("collection"))
+    return evaluation.missing(wanted, table(spark, d, "documents").select(F.col("source").alias("collection")))
+
+
+@query("SELECT source AS source_key, count(*) AS contents FROM documents GROUP BY source")
+def collection_counts(spark: SparkSession, d: str) -> DataFrame:
+    return contents_of(spark, d).groupBy("source_key").agg(F.count(F.lit(1)).alias("contents"))
+
+
 @query("SELECT DISTINCT o_orderdate::DATE::VARCHAR AS name FROM orders WHERE o_orderdate::DATE::VARCHAR NOT IN (SELECT DISTINCT o_orderdate::DATE::VARCHAR AS n FROM orders ORDER BY n DESC LIMIT 7)")
 def retention_victims(spark: SparkSession, d: str) -> DataFrame:
     return backup.victims(table(spark, d, "orders").select(F.to_date("o_orderdate").cast("string").alias("name")).distinct())
