@@ -112,3 +112,22 @@ def take(docs: DataFrame, **how) -> DataFrame:
     lucky = F.pmod("h", F.lit(1 << 20)) / F.lit(float(1 << 20)) < F.col("mean") - F.floor("mean")
     copies = (F.floor("mean") + lucky.cast("long")).cast("int")
     return keyed.join(taken, same).select("row", F.explode(F.array_repeat(F.lit(1), copies))).select("row.*")
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn FROM s),
+f AS (SELECT *, CASE turn % 3 WHEN 0 THEN 3e0 WHEN 1 THEN 1e0 ELSE 2e0 END AS weight, source_size * 2e0 AS cap, sum(source_size) OVER () * 1.5e0 AS total FROM w),
+l AS (SELECT *, cap / weight AS fill, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (ORDER BY cap / weight, turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM f),
+o AS (SELECT fill AS o_fill, turn AS o_turn, level AS o_level FROM l WHERE fill > level ORDER BY fill, turn LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN o_fill IS NOT NULL AND (fill > o_fill OR (fill = o_fill AND turn >= o_turn)) THEN weight * o_level ELSE cap END AS target,
+        CAST(('0x' || substr(md5('mix-1' || CASE WHEN source IS NULL THEN '/' ELSE ':' || source END), 1, 8)) AS BIGINT) / 4294967296e0 AS u FROM l LEFT JOIN o ON true),
+c AS (SELECT *, CASE WHEN size < 16 THEN size ELSE length(bin(size)) * 8 + (size >> (length(bin(size)) - 4)) - 8 END AS class,
+        CAST(('0x' || substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), 'none'), '0')), 1, 4)) AS BIGINT) % 64 AS part FROM d),
+p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY class, part, size, doc_id NULLS LAST) - 1 AS place FROM c),
+r AS (SELECT doc_id, p.source, size, source_size, target, u, place, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source),
+x AS (SELECT *, CAST(floor((place + 1) * rate + u) - floor(place * rate + u) AS BIGINT) AS copies FROM r)
+SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM x
+"""

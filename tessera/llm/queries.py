@@ -51,4 +51,4 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_toxicity, op3_bpe, op4_quality_classifier, op5_quality_rules, op6_mixing, op7_topk_search, op8_html_extraction, op9_url_filter, op10_jaccard_join)}
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality_rules.ORACLE_SQL, "op7_topk_search": topk_search.ORACLE_SQL, "op10_jaccard_join": jaccard_join.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.ORACLE_SQL, "op5_quality_rules": quality_rules.ORACLE_SQL, "op7_topk_search": topk_search.ORACLE_SQL, "op10_jaccard_join": jaccard_join.ORACLE_SQL}
