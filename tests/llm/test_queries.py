@@ -1,0 +1,46 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from tessera.llm.queries import ORACLE_SQL, QUERIES
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.exists(f"{SF}/documents.parquet"), reason="no tables")
+COLUMNS = {
+    "op1": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
+    "op2": {"doc_id", "held_out", "score", "predicted"},
+    "op3": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    "op4": {"doc_id", "expected_grade", "tail_probability", "selected"},
+    "op5": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
+    "op6": {"doc_id", "size", "source_size", "target", "taken"},
+    "op7": {"query_id", "rank", "vec_id", "score"},
+    "op8": {"page_id", "url", "text", "n_chars"},
+    "op9": {"page_id", "host", "path", "rule", "verdict"},
+    "op10": {"doc_id", "n_shingles", "component_id"},
+}
+
+
+def plain(rows) -> list[tuple]:
+    return sorted(tuple(str(v) for v in r) for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_same_rows_as_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    got = QUERIES[name](spark, SF)
+    columns = sorted(got.columns)
+    assert plain(got.select(*columns).collect()) == plain(con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL[name]})").fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_one_row_for_each_row_of_the_table(spark, name):
+    got = QUERIES[name](spark, SF)
+    assert set(got.columns) >= COLUMNS[name.split("_")[0]]
+    if name != "op7_topk_search":
+        table = "pages" if name.startswith(("op8", "op9")) else "documents"
+        assert got.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
