@@ -191,12 +191,19 @@ def _arrays(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.int64)))
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, so that what a worker makes of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def first_pass(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, mark, n, set and, once for each set of a task, its sketch and its prefix by hash alone, for counting."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen, none = Shingler(k), set(), np.zeros(0, dtype=np.uint64)
-        for batch in batches:
+        for batch in parts(batches):
             n, ids, heads, sketches = [], [], [], []
             for s in own.sets(batch.column(1)):
                 which = set_hash(s)
@@ -219,7 +226,7 @@ def prefixes(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = Shingler(k), set()
         often, how = shared.value
-        for batch in batches:
+        for batch in parts(batches):
             ids, n, least, heads = [], [], [], []
             for s in own.sets(batch.column(0)):
                 if not len(s):
@@ -262,7 +269,7 @@ def whole_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = Shingler(k), set()
         there = shared.value
-        for batch in batches:
+        for batch in parts(batches):
             ids, sets = [], []
             for s in own.sets(batch.column(0)):
                 which = set_hash(s) if len(s) else None
