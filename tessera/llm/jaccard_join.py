@@ -7,10 +7,11 @@ Index. Shingles have one global order: rare ones first, by hash; the frequent on
 over all documents' prefixes) last, by frequency. Of n shingles, a set's prefix holds the first n - ceil(t n) + l. Sets
 that link share at least l shingles of their prefixes (the smaller l of both), so index lists hold prefixes only: for
 each shingle the sets that have it, with size and position. Sets in fewer than l lists with anyone else leave the index
-before anything is compared, and for the others the number of such lists bounds the overlap with any set. Lists are cut
-into blocks of like sizes. The larger set of a pair probes, and skips the blocks whose sizes its own largest overlap
-can't serve; within a block an entry is skipped if its position, or both positions together, leave no room for the
-overlap that linking takes, or if the sets' parity sketches differ in more bits than the sets may in shingles.
+before anything is compared, and of a pair's two sets the one whose prefix ends first bounds the overlap by the number of
+its lists; as a row doesn't tell which one that is, the larger of both bounds holds. Lists are cut into blocks of like
+sizes. The larger set of a pair probes the blocks of sizes that can link; within a block an entry is skipped if its
+position, or both positions together, leave no room for the overlap that linking takes, or if the sets' parity sketches
+differ in more bits than the sets may in shingles.
 
 Answers from answers. A list isn't expanded into its pairs. First each list's pivot, the set with the largest possible
 overlap, is compared with the list's other sets, and overlaps are kept: o with pivot x says of sets y and z that
@@ -321,10 +322,11 @@ def size_block(n: Column, percent: int) -> Column:
 
 
 def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
-    """The index: token, set, n, least, length (of the prefix), pos, most (the largest overlap that is left possible).
+    """The index: token, set, n, least, length (of the prefix), pos, most (the largest overlap with sets whose prefix ends later).
 
     Only lists with several sets, and sets with enough such lists. A set's prefix shingles that no other set's list has
-    can't be shared, so its overlap with any set is at most the rest.
+    can't be shared with a set whose prefix ends later in the global order, so the overlap with it is at most the rest. A
+    set whose prefix ends earlier may have them in its suffix.
     """
     often = (
         first.select(F.explode("head").alias("token")).groupBy("token").count().where(F.col("count") >= FREQUENT_FROM)
@@ -356,7 +358,7 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFr
     pivot = F.max(F.struct((F.col("most") / F.col("n")).alias("r"), F.xxhash64("set").alias("h"), F.col("set").alias("a"), F.col("n").alias("n"), F.col("most").alias("most"))).over(Window.partitionBy("token"))
     stars = (
         lists.withColumn("p", pivot).where("set <> p.a")
-        .select("p.a", F.col("set").alias("b"), F.col("p.n").alias("n"), F.col("n").alias("m"), F.least("most", "p.most").alias("most"))
+        .select("p.a", F.col("set").alias("b"), F.col("p.n").alias("n"), F.col("n").alias("m"), F.greatest("most", "p.most").alias("most"))
         .where((F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (F.col("most") >= needed(n, m, percent)))
         .groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     )
@@ -367,13 +369,11 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFr
     about = lists.select("set").distinct().join(sketches, "set").join(labels, "set", "left").join(best, "set", "left")
     about = about.select("set", F.coalesce("group", "set").alias("group"), "x", "o", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)))
     entries = lists.select("token", "set", "n", "pos", "most").join(about, "set")
-    # the larger set of a pair looks into the blocks of sizes from its lower bound up to the largest one that its own
-    # possible overlap allows, its own size at most
-    high = F.least(n, F.floor(F.col("most") * (100.0 + percent) / percent + 1e-6) - n)
+    # the larger set of a pair looks into the blocks of sizes from its lower bound up to its own size
     low = F.ceil(n * (percent / 100.0) - 1e-9)
     names = ("set", "n", "pos", "most", "group", "x", "o", *(f"s{i}" for i in range(SKETCH)))
-    probing = entries.withColumn("low", low).withColumn("high", high).where((F.col("low") <= F.col("high")) & (F.col("pos") <= n - needed(n, F.col("low"), percent)))
-    left = probing.select("token", *(F.col(c).alias(f"l_{c}") for c in names), F.explode(F.sequence(size_block(F.col("low"), percent), size_block(F.col("high"), percent))).alias("block"))
+    probing = entries.withColumn("low", low).where(F.col("pos") <= n - needed(n, F.col("low"), percent))
+    left = probing.select("token", *(F.col(c).alias(f"l_{c}") for c in names), F.explode(F.sequence(size_block(F.col("low"), percent), size_block(n, percent))).alias("block"))
     right = entries.select("token", size_block(n, percent).alias("block"), *(F.col(c).alias(f"r_{c}") for c in names))
     need = needed(F.col("l_n"), F.col("r_n"), percent)
     room = F.least("l_pos", "r_pos") + 1 + F.least(F.col("l_n") - 1 - F.col("l_pos"), F.col("r_n") - 1 - F.col("r_pos"))
@@ -383,7 +383,7 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFr
         left.join(right, ["token", "block"])
         .where((F.col("l_group") != F.col("r_group")) & ((F.col("l_n") > F.col("r_n")) | ((F.col("l_n") == F.col("r_n")) & (F.col("l_set") < F.col("r_set")))))
         # among the first n - need + 1 shingles of both sets at least one is shared, or they don't link
-        .where((F.least("l_most", "r_most") >= need) & (F.col("l_pos") <= F.col("l_n") - need) & (F.col("r_pos") <= F.col("r_n") - need) & (room >= need))
+        .where((F.greatest("l_most", "r_most") >= need) & (F.col("l_pos") <= F.col("l_n") - need) & (F.col("r_pos") <= F.col("r_n") - need) & (room >= need))
         .where(F.coalesce(F.col("l_x") != F.col("r_x"), F.lit(True)) | (derived >= need))
         .where((F.col("r_n") * 100 >= F.col("l_n") * percent) & (apart <= F.col("l_n") + F.col("r_n") - 2 * need))
         .select(F.col("l_set").alias("a"), F.col("r_set").alias("b"), F.col("l_n").alias("n"), F.col("r_n").alias("m"))

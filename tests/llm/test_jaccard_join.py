@@ -70,6 +70,24 @@ def test_components_match_brute_force(spark, k, percent):
     assert sorted(tuple(r) for r in J.connect(docs, k, percent).collect()) == sorted(brute(rows, k, percent))
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_isolated_pairs_near_the_threshold(spark, percent):
+    rng = random.Random(percent)
+    rows: list[tuple] = []
+    for i in range(120):
+        n = rng.randrange(30, 160)
+        words = [f"w{i}x{j}" for j in range(n)]
+        # up to the last number of words whose loss still links, and one more
+        gone = max(1, (n - 2) * (100 - percent) // 100 - rng.randrange(3) + 1)
+        cut = words[gone:] if i % 3 == 0 else words[:-gone] if i % 3 == 1 else words[: n // 2] + words[n // 2 + max(1, gone - 2) :]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(cut))]
+    got = J.connect(spark.createDataFrame(rows, "doc_id long, text string"), 3, percent)
+    expected = brute(rows, 3, percent)
+    linked = sum(c != d for d, _, c in expected)
+    assert 30 < linked < 120
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
 def test_odd_rows(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = sorted((tuple(r) for r in J.connect(odd).collect()), key=str)
