@@ -6,7 +6,8 @@ and elements whose class, id or role names such a part. Over the other leaves, e
 text length and punctuation. The length ratio (characters a leaf) and the punctuation ratio (marks a leaf) are smoothed
 over neighbouring paths in page order, fused by multiplication, and compared with half the page's mean, weighted by
 characters. Paths above it are content; so is what else stands in their container (the path without its inner text
-tags): headings, short paragraphs and list items of an article belong to it however short they are.
+tags): headings, short paragraphs and list items of an article belong to it however short they are. Where a chosen path
+stands in an article or main element, all that has this same element as its nearest one is content, too.
 
 It runs as Python over Arrow batches, a page at a time, so memory is bounded by a batch and nothing is shuffled.
 
@@ -58,9 +59,9 @@ def name_words(*names: str) -> set[str]:
 
 
 class Element:
-    __slots__ = ("tag", "label", "never", "content")
+    __slots__ = ("tag", "label", "never", "content", "article")
 
-    def __init__(self, tag: str, rest: str, inside_content: bool, above: Element | None):
+    def __init__(self, tag: str, rest: str, inside_content: bool, above: Element | None, number: int):
         found: dict[str, str] = {}
         if rest and not rest.isspace() and rest != "/":
             for m in ATTRIBUTE.finditer(rest):
@@ -75,10 +76,11 @@ class Element:
             never = bool(named & BOILER_WORDS) and not (is_content and "comment" not in named and "comments" not in named) or (tag == "header" or "header" in named) and not inside_content
         self.never = never or (above is not None and above.never)
         self.content = inside_content or is_content or bool(named & CONTENT_WORDS) and tag != "body"
+        self.article = number if is_content else above.article if above else 0
 
 
-def leaves(page: str) -> list[tuple[tuple[str, ...], tuple[str, ...], bool, bool, int, str]]:
-    """The page's texts in order: labels, tags, never content, inside an element that says it is content, block, text."""
+def leaves(page: str) -> list[tuple[tuple[str, ...], tuple[str, ...], bool, bool, int, str, int]]:
+    """The page's texts in order: labels, tags, never content, inside an element that says it is content, block, text, nearest article or main (0: none)."""
     out, stack, block, at = [], [], 0, 0
     depth: Counter[str] = Counter()  # how many elements of a tag are open
 
@@ -93,7 +95,7 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], tuple[str, ...], bool, bool
             found = page[at:upto]
             if found:
                 e = stack[-1] if stack else None
-                out.append((tuple(x.label for x in stack), tuple(x.tag for x in stack), bool(e and e.never), bool(e and e.content), block, html.unescape(found) if "&" in found else found))
+                out.append((tuple(x.label for x in stack), tuple(x.tag for x in stack), bool(e and e.never), bool(e and e.content), block, html.unescape(found) if "&" in found else found, e.article if e else 0))
 
     end = len(page)
     position = 0
@@ -117,7 +119,7 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], tuple[str, ...], bool, bool
         rest = m["rest"] or m["rest2"] or ""
         if tag == "br":
             e = stack[-1] if stack else None
-            out.append((tuple(x.label for x in stack), tuple(x.tag for x in stack), bool(e and e.never), bool(e and e.content), block, " "))
+            out.append((tuple(x.label for x in stack), tuple(x.tag for x in stack), bool(e and e.never), bool(e and e.content), block, " ", e.article if e else 0))
             continue
         if tag in VOID:
             continue
@@ -139,7 +141,7 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], tuple[str, ...], bool, bool
                     break
         above = stack[-1] if stack else None
         depth[tag] += 1
-        stack.append(Element(tag, rest, bool(above and above.content and not above.never), above))
+        stack.append(Element(tag, rest, bool(above and above.content and not above.never), above, position))
     text(end)
     return out
 
@@ -147,7 +149,7 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], tuple[str, ...], bool, bool
 def content_paths(found: list, width: int = 1) -> set[tuple[str, ...]]:
     """The paths whose fused, smoothed ratio reaches half the mean, weighted by characters."""
     stats: dict[tuple[str, ...], list[int]] = {}
-    for labels, _, _, _, _, text in found:
+    for labels, _, _, _, _, text, _ in found:
         n = len(" ".join(text.split()))
         if n:
             s = stats.setdefault(labels, [0, 0, 0])
@@ -188,14 +190,15 @@ def extract(page: str | None) -> str:
     if any(x[5].strip() for x in stated):
         found = stated
     chosen = content_paths(found)
-    held = {labels[: container(labels, tags)] for labels, tags, _, _, _, _ in found if labels in chosen}
-    own = {labels[: container(labels, tags)] for labels, tags, _, said, _, _ in found if said}
+    held = {labels[: container(labels, tags)] for labels, tags, _, _, _, _, _ in found if labels in chosen}
+    articles = {article for labels, _, _, _, _, text, article in found if article and labels in chosen and text.strip()}
+    own = {labels[: container(labels, tags)] for labels, tags, _, said, _, _, _ in found if said}
     blocks: list[str] = []
     parts: list[str] = []
     last = None
-    for labels, tags, _, said, block, text in found:
+    for labels, tags, _, said, block, text, article in found:
         home = labels[: container(labels, tags)]
-        if home not in held and not (said and home in own and any(home[:k] in held for k in range(len(home) + 1))):
+        if home not in held and article not in articles and not (said and home in own and any(home[:k] in held for k in range(len(home) + 1))):
             continue
         if block != last and parts:
             blocks.append(" ".join("".join(parts).split()))

@@ -49,6 +49,13 @@ def test_paths_with_little_text_fall_below_the_threshold():
     assert "x" not in extract(page).split()
 
 
+def test_all_containers_of_a_stated_article():
+    body = "".join(f"<p>Long paragraph {i}, with commas, and so on; it goes on for a while, and then it ends.</p>" for i in range(8))
+    article = f"<article><header><h1>Title</h1></header><div class='lead'><p>Short lead</p></div><div class='text-part'>{body}</div><section class='end'><p>The end</p></section></article>"
+    got = extract(f"<html><body><main>{article}<article><div class='teaser'>Other</div></article></main></body></html>").split("\n")
+    assert got[:2] == ["Title", "Short lead"] and got[-1] == "The end" and len(got) == 11
+
+
 def test_query_rows(spark):
     rows = [(1, "u", f"<body>{ARTICLE}</body>", 0), (1, "u", f"<body>{ARTICLE}</body>", 0), (2, None, None, 1), (None, "v", "", 2)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")
