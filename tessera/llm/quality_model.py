@@ -43,7 +43,7 @@ def shape(word: str) -> str:
     if word[:-1].isalpha() and not word[-1].isdigit():
         return "a" + word[-1]
     out = []
-    for c in word[:40]:
+    for c in word:
         kind = "a" if c.isalpha() else "0" if c.isdigit() else c
         if not out or out[-1] != kind:
             out.append(kind)

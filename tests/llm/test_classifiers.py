@@ -90,6 +90,10 @@ def graded(n: int, seed: int) -> list[tuple[str, int]]:
     return out
 
 
+def test_shape_reads_the_whole_word():
+    assert quality_model.shape("1" * 60 + "-x") == "0-a"
+
+
 def test_ordinal_regression_on_five_grades():
     model = quality_model.train(graded(600, 1))
     assert (np.diff(model.thresholds) > 0).all() and model.grades == [0, 1, 2, 3, 4]
