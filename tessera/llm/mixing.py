@@ -101,17 +101,31 @@ def mix_documents(docs: DataFrame, **how) -> DataFrame:
 def take(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: each row of docs as many times as it is taken, with its own columns.
 
-    Rows that share doc_id, source and size are interchangeable: each gets the whole part of their mean number of
-    copies, and one more if a hash of the row and its place in the input says so, at the rate of the fraction.
+    Rows that share doc_id, source and size share their copies: each gets the whole part of the mean number, and the
+    first in the order of a hash of the whole row get one more, so that the sum is what mix decided and reruns agree.
+    Equal rows are one counted row there; what doesn't divide among them is emitted from one of them.
     """
-    keyed = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text", F.monotonically_increasing_id()).alias("h"), F.struct(*docs.columns).alias("row"))
+    key = ["doc_id", "source", "text"]
+    others = [c for c in docs.columns if c not in key]
+    whole = [*key, *(F.col(c).isNull() for c in key), *([F.to_json(F.struct(*others))] if others else [])]
+    keyed = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64(*whole).alias("h"), F.struct(*docs.columns).alias("row"))
     mixed = mix(keyed.select("doc_id", "source", "size"), **how)
-    taken = mixed.groupBy("doc_id", "source", "size").agg((F.sum("copies") / F.count(F.lit(1))).alias("mean")).where("mean > 0")
-    taken = taken.select(F.col("doc_id").alias("t_id"), F.col("source").alias("t_source"), F.col("size").alias("t_size"), "mean")
+    taken = mixed.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
+    taken = taken.select(F.col("doc_id").alias("t_id"), F.col("source").alias("t_source"), F.col("size").alias("t_size"), "copies", "rows")
     same = F.col("doc_id").eqNullSafe(F.col("t_id")) & F.col("source").eqNullSafe(F.col("t_source")) & (F.col("size") == F.col("t_size"))
-    lucky = F.pmod("h", F.lit(1 << 20)) / F.lit(float(1 << 20)) < F.col("mean") - F.floor("mean")
-    copies = (F.floor("mean") + lucky.cast("long")).cast("int")
-    return keyed.join(taken, same).select("row", F.explode(F.array_repeat(F.lit(1), copies))).select("row.*")
+    before = Window.partitionBy("doc_id", "source", "size").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    more = F.greatest(F.lit(0), F.least(F.col("n"), F.expr("copies % rows") - F.coalesce(F.sum("n").over(before), F.lit(0))))
+    handed = stage(
+        keyed.groupBy("doc_id", "source", "size", "h").agg(F.count(F.lit(1)).alias("n")).join(taken, same)
+        .withColumn("own", F.expr("n * (copies div rows)") + more)
+        .select("h", F.expr("cast(own div n as int)").alias("times"), F.expr("cast(own % n as int)").alias("left")),
+        "handed",
+    )
+    # a small table of its own, as a rule empty, so that no text is shuffled for it
+    left = stage(handed.where("left > 0").select("h", F.col("left").alias("times")), "left")
+    each = keyed.join(handed.where("times > 0").select("h", "times"), "h").select("row", "times")
+    rest = keyed.join(left, "h").groupBy("h", "times").agg(F.first("row").alias("row")).select("row", "times")
+    return each.unionByName(rest).select("row", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select("row.*")
 
 
 ORACLE_SQL = r"""

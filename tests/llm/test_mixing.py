@@ -60,6 +60,21 @@ def test_take_gives_each_row_its_copies(odd):
         assert found[key] == mixed[key] if n == 1 else abs(found[key] - mixed[key]) < n
 
 
+def test_take_meets_the_number_among_rows_of_one_key(spark):
+    texts = [f"a{i} b c d e" for i in range(999)] + ["same in three rows"] * 3
+    # a fourth word makes the repeated ones a group of their own
+    rows = [(None, "s", t) for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    decided = defaultdict(int)
+    for r in mixing.mix_documents(docs, share=0.55).collect():
+        decided[r.size] += r.copies
+    got = [Counter(r.text for r in mixing.take(docs.repartition(n), share=0.55).collect()) for n in (1, 5)]
+    assert got[0] == got[1]
+    for size in (4, 5):
+        assert sum(n for t, n in got[0].items() if len(t.split()) == size) == decided[size]
+    assert max(n for t, n in got[0].items() if t != "same in three rows") == 1
+
+
 def test_empty_table(empty):
     assert mixing.mix_documents(empty).count() == 0
     assert mixing.take(empty).count() == 0
