@@ -1,7 +1,8 @@
 """Embedding functions, by name, and the records that hold embedded chunks.
 
 Without model weights at hand the default is feature hashing: a token's place is the first 8 hex digits of its MD5
-modulo the dimension, counts are brought to length 1. The two registered models differ in how many tokens they read.
+modulo the dimension, counts are brought to length 1. The registered models differ in how many tokens they read; the
+whole model reads all.
 """
 
 from __future__ import annotations
@@ -42,8 +43,9 @@ Embedder = Callable[[list[str]], np.ndarray]
 MODELS: dict[str, Callable[[], Embedder]] = {
     "all-MiniLM-L6-v2": lambda: lambda texts: hashed_vectors(texts, 384, 256),
     "BAAI/bge-small-en-v1.5": lambda: lambda texts: hashed_vectors(texts, 384, 512),
+    "hashing": lambda: lambda texts: hashed_vectors(texts, 384),
 }
-DEFAULT_MODEL = "all-MiniLM-L6-v2"
+DEFAULT_MODEL, WHOLE_MODEL = "all-MiniLM-L6-v2", "hashing"
 
 
 def register(name: str, make: Callable[[], Embedder]) -> None:

@@ -69,8 +69,8 @@ def corpus(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("content_id").alias("id"), "content_id", F.coalesce("content_md", F.lit("")).alias("document"), embedding.metadata(chunk).alias("metadata"))
 
 
-def vectors(spark: SparkSession, d: str) -> DataFrame:
-    return embedding.embed(corpus(spark, d), "document", kind="double")
+def vectors(spark: SparkSession, d: str, model: str = embedding.DEFAULT_MODEL) -> DataFrame:
+    return embedding.embed(corpus(spark, d), "document", model, kind="double")
 
 
 # --- scans, filters, updates
@@ -319,7 +319,7 @@ def retrieve_rerank_hybrid(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def search(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.search(vectors(spark, d), "the of and that in", 5).withColumn("distance", F.round("distance", 6))
+    return retrieval.search(vectors(spark, d, embedding.WHOLE_MODEL), "the of and that in", 5, embedding.WHOLE_MODEL).withColumn("distance", F.round("distance", 6))
 
 
 # --- after retrieval
@@ -332,7 +332,7 @@ def lost_in_middle(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def deduplicated_results(spark: SparkSession, d: str) -> DataFrame:
-    found = retrieval.Cosine(vectors(spark, d)).retrieve(queries_of(spark, d), 10)
+    found = retrieval.Cosine(vectors(spark, d, embedding.WHOLE_MODEL), embedding.WHOLE_MODEL).retrieve(queries_of(spark, d), 10)
     return _out(postprocess.deduplicate(found))
 
 
@@ -426,7 +426,7 @@ def llm_generate_structured(spark: SparkSession, d: str) -> DataFrame:
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Contents to fixed chunks, embedded and searched for every benchmark passage, with recall and MRR by category."""
     items = contents.work_items(contents_of(spark, d))
-    rows = embedding.embed_records(chunking.chunk_records(items, "fixed"))
+    rows = embedding.embed_records(chunking.chunk_records(items, "fixed"), embedding.WHOLE_MODEL)
     q = eval_queries(spark, d)
-    by_query = evaluation.per_query(retrieval.Cosine(rows).retrieve(q), q).withColumn("collection", F.lit("fixed")).withColumn("strategy", F.lit("cosine"))
+    by_query = evaluation.per_query(retrieval.Cosine(rows, embedding.WHOLE_MODEL).retrieve(q), q).withColumn("collection", F.lit("fixed")).withColumn("strategy", F.lit("cosine"))
     return evaluation.rollup(by_query)

@@ -43,6 +43,14 @@ def test_queries_without_sql_have_rows(spark, name):
     assert catalogue.QUERIES[name](spark, SF).count() > 0
 
 
+def test_search_reads_texts_to_their_end(spark, tmp_path):
+    rows = [(1, "s", "en", "filler " * 400 + "the of and that in " * 400), (2, "s", "en", "filler " * 400)]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "the of and that in")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r.distance < 0.5 for r in catalogue.QUERIES["search"](spark, str(tmp_path)).collect()] == [True, False]
+    assert [r.score > 0.5 for r in catalogue.QUERIES["deduplicated_results"](spark, str(tmp_path)).orderBy("rank").collect()] == [True, False]
+
+
 @needs_tables
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
