@@ -218,13 +218,22 @@ def chunk_semantic(spark: SparkSession, d: str) -> DataFrame:
     return _chunks(spark, d, "semantic")
 
 
-@query(f"WITH {ITEMS_SQL} SELECT content_id || '::chunk0' AS id, content_id, md5('Title: ' || title || ' | Author: ' || author || chr(10) || regexp_replace(content_md, '^{WHITE_SQL}+|{WHITE_SQL}+$', '', 'g')) AS document_md5, nullif(url, '') AS url FROM i WHERE length(content_md) <= {4 * CHUNK}")
-def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
-    items = contents.work_items(contents_of(spark, d)).where(F.length("content_md") <= 4 * CHUNK)
+def _chunk_documents(items: DataFrame) -> DataFrame:
     rows = embedding.chunk_rows(chunking.chunk_records(items, "fixed", CHUNK, STEP))
     return rows.select("id", "content_id", F.md5(F.col("document").cast("binary")).alias("document_md5"), "metadata.url")
 
 
+@query(f"WITH {ITEMS_SQL} SELECT content_id || '::chunk0' AS id, content_id, md5('Title: ' || title || ' | Author: ' || author || chr(10) || regexp_replace(content_md, '^{WHITE_SQL}+|{WHITE_SQL}+$', '', 'g')) AS document_md5, nullif(url, '') AS url FROM i WHERE length(content_md) <= {4 * CHUNK}")
+def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Only contents of one chunk, as its SQL has them; chunk_documents_whole has all."""
+    return _chunk_documents(contents.work_items(contents_of(spark, d)).where(F.length("content_md") <= 4 * CHUNK))
+
+
+@query()
+def chunk_documents_whole(spark: SparkSession, d: str) -> DataFrame:
+    return _chunk_documents(contents.work_items(contents_of(spark, d)))
+
+
 @query(f"WITH {ITEMS_SQL} SELECT count(*) AS indexed, CAST(0 AS BIGINT) AS errors, CAST(sum(CASE WHEN length(content_md) <= {4 * CHUNK} THEN 1 ELSE ceil((length(content_md) - {4 * STEP}) / {4 * (CHUNK - STEP)}.0) END) AS BIGINT) AS chunks FROM i")
 def index_counts(spark: SparkSession, d: str) -> DataFrame:
     return indexing_counts(chunking.chunk(contents.work_items(contents_of(spark, d)), "fixed", CHUNK, STEP))

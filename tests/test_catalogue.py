@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import os
 
@@ -51,6 +52,18 @@ def test_search_reads_texts_to_their_end(spark, tmp_path):
     assert [r.score > 0.5 for r in catalogue.QUERIES["deduplicated_results"](spark, str(tmp_path)).orderBy("rank").collect()] == [True, False]
 
 
+def test_documents_of_all_chunks(spark, tmp_path):
+    texts = {i: " ".join(f"word{i}x{j}" for j in range(n)) for i, n in ((1, 20), (2, 300), (3, 900), (4, 2000))}
+    spark.createDataFrame([(i, "s", "en", t) for i, t in texts.items()], "doc_id long, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    expected = set()
+    for i, t in texts.items():
+        for k in range(1 if len(t) <= 3200 else math.ceil((len(t) - 400) / 2800)):
+            document = f"Title: Document {i} | Author: en\n{t[2800 * k : 2800 * k + 3200].strip()}"
+            expected.add((f"s::{i}::chunk{k}", f"s::{i}", hashlib.md5(document.encode()).hexdigest(), f"https://example.org/d/{i}" if i % 3 else None))
+    got = [tuple(r) for r in catalogue.QUERIES["chunk_documents_whole"](spark, str(tmp_path)).collect()]
+    assert len(got) == len(expected) > 10 and set(got) == expected
+
+
 @needs_tables
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
