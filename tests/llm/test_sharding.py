@@ -45,5 +45,56 @@ def test_keys_mostly_stay_home_and_reruns_agree(spark):
     assert sum(r.home_shard == r.shard for r in b) > 3200
 
 
+def moved(before: dict, after: dict) -> tuple[float, float]:
+    """Shares of keys that move, and that move between shards that were there before."""
+    gone = [k for k in before if before[k] != after[k]]
+    old = set(before.values())
+    return len(gone) / len(before), sum(after[k] in old for k in gone) / len(before)
+
+
+def test_growth_moves_little_and_shrinking_undoes_it(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "cast(id AS string) AS text")
+    at = {n: {r.doc_id: r for r in sharding.shard_documents(docs, n).collect()} for n in (40, 41)}
+    homes = {n: {k: r.home_shard for k, r in rows.items()} for n, rows in at.items()}
+    every, old = moved(homes[40], homes[41])
+    assert old == 0 and every < 2 / 41  # homes change for the new shard only
+    shards = {n: {k: r.shard for k, r in rows.items()} for n, rows in at.items()}
+    every, old = moved(shards[40], shards[41])
+    print(f"40 to 41 shards: {every:.4f} of rows move, {old:.4f} between old shards, at least {1 / 41:.4f} must")
+    assert every < 1 / 41 + 0.025 and old < 0.02
+    assert {r.doc_id: r.shard for r in sharding.shard_documents(docs, 40).collect()} == shards[40]
+
+
+def test_assignment_matches_a_plain_ring(spark):
+    docs = spark.sql("SELECT id % 1500 AS doc_id, cast(id AS string) AS text FROM range(2000) UNION ALL SELECT null, 'x' FROM range(300)")
+    shards, vnodes = 7, 16
+    ring = sorted((r.h, r.shard) for r in spark.sql(f"SELECT xxhash64(s, v, 'place') AS h, s AS shard FROM (SELECT cast(id AS int) AS s FROM range({shards})), (SELECT cast(id AS int) AS v FROM range({vnodes}))").collect())
+    keys = [r.h for r in docs.selectExpr("xxhash64(doc_id, 'key') AS h").collect()]
+    home = Counter(next((i for i, (h, _) in enumerate(ring) if h >= k), 0) for k in keys)
+    room = [len(keys) // shards + (s < len(keys) % shards) for s in range(shards)]
+    expected: Counter = Counter()
+    over = {}
+    for i, (_, s) in enumerate(ring):
+        n = min(home[i], room[s])
+        room[s] -= n
+        expected[i, s] += n
+        over[i] = home[i] - n
+    waiting: list = []
+    for turn in range(2 * len(ring)):
+        i, s = turn % len(ring), ring[turn % len(ring)][1]
+        still = []
+        for j, n in waiting:
+            took = min(n, room[s])
+            room[s] -= took
+            expected[j, s] += took
+            if n > took:
+                still.append((j, n - took))
+        waiting = still + ([(i, over.pop(i))] if over.get(i) else [])
+    rows = docs.selectExpr("doc_id", "1L AS size", "crc32(text) AS text_crc32")
+    got = sharding.shard_rows(rows, "doc_id", shards, vnodes).collect()
+    assert Counter((r.place, r.shard) for r in got) == +expected and not waiting
+    assert all(r.home_shard == ring[r.place][1] for r in got)
+
+
 def test_empty_table(empty):
     assert sharding.shard_documents(empty).count() == 0
