@@ -33,6 +33,7 @@ STEPS, BATCH, RATE, SEED = 600, 32, 0.08, 11
 CACHE = 150_000
 #: Words handled at once while scoring.
 CHUNK = 1 << 16
+OVERLAP = max(WIDTHS) - 1
 #: Function words by which a text's language is told.
 LANGUAGES = {
     "en": "the of and to in is that for it was with as be on are by this or an at".split(),
@@ -63,7 +64,8 @@ class Model:
     def word_parts(self, words: list[str]) -> np.ndarray:
         """For each word its share in every filter's response at every place of the filter."""
         e = self.embedding[np.array([features(w) for w in words], dtype=np.int64).reshape(-1, 4)].mean(axis=1)
-        return np.concatenate([e @ f[j] for f in self.filters for j in range(len(f))], axis=1).astype(np.float32)
+        # sums by row, so that a word's numbers don't depend on the words beside it
+        return np.concatenate([(e[:, :, None] * f[j]).sum(axis=1) for f in self.filters for j in range(len(f))], axis=1).astype(np.float32)
 
 
 def languages_of(text_of: np.ndarray, language: np.ndarray, n: int) -> np.ndarray:
@@ -212,11 +214,11 @@ class Scorer:
         for i, w in enumerate(new):
             self.id_of[w] = n + i
             self.language[n + i] = _LANGUAGE_OF.get(core(w), 0)
-        for a in range(0, len(new), 4096):
-            self.parts[n + a : n + a + len(new[a : a + 4096])] = self.model.word_parts(new[a : a + 4096])
+        for a in range(0, len(new), 1024):
+            self.parts[n + a : n + a + len(new[a : a + 1024])] = self.model.word_parts(new[a : a + 1024])
 
-    def _chunk(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """The largest responses of each text, and its counts of function words by language."""
+    def _chunk(self, texts: list[list[str]], last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The largest responses of each piece of a text, and its counts of function words by language. last: whether the text ends with it."""
         flat = [w for t in texts for w in t]
         self._learn(flat)
         pad = max(WIDTHS)
@@ -233,10 +235,16 @@ class Scorer:
             for j in range(1, k):
                 c = column + j * FILTERS
                 response[:-j] += self.parts[:, c : c + FILTERS][ids[j:]]
-            response[starts[1:] - 1] = 0  # what a window over the end would mix in; padding gives 0 as well
+            for j in range(1, k):
+                response[starts[1:] - j] = 0  # windows over the end would read the next text; padding gives 0 as well
+            # windows that start in the last words of an unfinished piece are whole in the next one
+            for end, length in zip(starts[1:][~last], lengths[~last], strict=True):
+                response[end - min(length, pad + k - 1) : end] = -np.inf
             column += k * FILTERS
             out.append(np.maximum.reduceat(response, starts[:-1], axis=0))
         text_of = np.repeat(np.arange(len(texts)), lengths)
+        for end in starts[1:][~last]:
+            ids[end - pad - OVERLAP : end] = 0  # the next piece counts these words
         counts = np.bincount(text_of * (len(LANGUAGES) + 1) + self.language[ids], minlength=len(texts) * (len(LANGUAGES) + 1)).reshape(len(texts), -1)
         return np.concatenate(out, axis=1), counts
 
@@ -245,14 +253,14 @@ class Scorer:
         n = len(texts)
         most = np.full((n, FILTERS * len(WIDTHS)), -np.inf)
         told = np.zeros((n, len(LANGUAGES) + 1), dtype=np.int64)
-        waiting: list[tuple[int, list[str]]] = []
+        waiting: list[tuple[int, list[str], bool]] = []
         held = 0
 
         def flush() -> None:
             nonlocal held
             if waiting:
-                found, counts = self._chunk([w for _, w in waiting])
-                for (i, _), f, c in zip(waiting, found, counts, strict=True):
+                found, counts = self._chunk([w for _, w, _ in waiting], np.array([x for _, _, x in waiting]))
+                for (i, _, _), f, c in zip(waiting, found, counts, strict=True):
                     most[i] = np.maximum(most[i], f)
                     told[i] += c
                 waiting.clear()
@@ -260,17 +268,16 @@ class Scorer:
 
         for i, t in enumerate(texts):
             words = (t or "").lower().split()
-            overlap = max(WIDTHS) - 1
-            for a in range(0, max(1, len(words) - overlap), CHUNK - overlap):
+            for a in range(0, max(1, len(words) - OVERLAP), CHUNK - OVERLAP):
                 piece = words[a : a + CHUNK]
-                waiting.append((i, piece))
+                waiting.append((i, piece, a + CHUNK >= len(words)))
                 held += len(piece)
                 if held >= CHUNK:
                     flush()
         flush()
         told[:, 0] = 0
         m = self.model
-        z = np.maximum(most + m.bias, 0) @ m.out + m.base - m.shift[told.argmax(axis=1)]
+        z = (np.maximum(most + m.bias, 0) * m.out).sum(axis=1) + m.base - m.shift[told.argmax(axis=1)]
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 

@@ -45,14 +45,30 @@ def test_toxicity_scores_whole_texts_alike_however_they_come(model, monkeypatch)
     assert toxicity.Scorer(model).scores(texts) == pytest.approx(whole, abs=1e-5)
 
 
-def test_convolution_matches_a_plain_one(model):
-    text = "snork alpha vexobeta and grimbles of gamma"
-    e = [model.embedding[toxicity.features(w)].mean(axis=0) for w in text.split()] + [np.zeros(toxicity.DIM)] * max(toxicity.WIDTHS)
+def test_a_score_is_the_text_s_own(model):
+    texts = [t for _, t, _ in corpus(80, 5)] + ["grimble", "", "alpha", "a grimble", "grimble a"] * 3
+    together = toxicity.Scorer(model).scores(texts)
+    assert np.array_equal(together[::-1], toxicity.Scorer(model).scores(texts[::-1]))
+    assert together.tolist() == [toxicity.Scorer(model).scores([t])[0] for t in texts]
+    order = np.random.default_rng(0).permutation(len(texts))
+    assert np.array_equal(together[order], toxicity.Scorer(model).scores([texts[i] for i in order]))
+
+
+@pytest.mark.parametrize("chunk", [toxicity.CHUNK, 7])
+def test_convolution_matches_a_plain_one(model, monkeypatch, chunk):
+    monkeypatch.setattr(toxicity, "CHUNK", chunk)
+    texts = ["snork alpha vexobeta and grimbles of gamma", "one", "", "the of and snork", "le la les des", *(t for _, t, _ in corpus(20, 6))]
+    for text, got in zip(texts, toxicity.Scorer(model).scores(texts), strict=True):
+        assert got == pytest.approx(plain_score(model, text), abs=1e-5)
+
+
+def plain_score(model, text: str) -> float:
+    words = text.lower().split()
+    e = [model.embedding[toxicity.features(w)].mean(axis=0) for w in words] + [np.zeros(toxicity.DIM)] * max(toxicity.WIDTHS)
     h = np.concatenate([np.max([sum(e[i + j] @ f[j] for j in range(len(f))) for i in range(len(e) - len(f) + 1)], axis=0) for f in model.filters])
-    z = np.maximum(h + model.bias, 0) @ model.out + model.base
-    shifts = {1 / (1 + np.exp(-(z - s))) for s in model.shift}
-    got = toxicity.Scorer(model).scores([text])[0]
-    assert min(abs(got - s) for s in shifts) < 1e-5
+    said = [sum(w in own and sum(w in x for x in toxicity.LANGUAGES.values()) == 1 for w in words) for own in toxicity.LANGUAGES.values()]
+    k = said.index(max(said)) + 1 if max(said) else 0
+    return 1 / (1 + np.exp(-(np.maximum(h + model.bias, 0) @ model.out + model.base - model.shift[k])))
 
 
 def test_toxicity_query(spark, odd, empty):
@@ -80,6 +96,13 @@ def test_sample_is_bounded_and_leaves_the_fold_out(spark):
     assert sample == labelled.labelled_sample(docs.repartition(7), labels.repartition(3), "quality", 20, held_out_fold=True)
 
 
+def test_sample_s_bytes_are_bounded(spark):
+    docs = spark.sql("SELECT id AS doc_id, repeat('x', if(id = 7, 5000, 100)) AS text FROM range(500)")
+    labels = spark.sql("SELECT id AS doc_id, cast(id % 2 AS int) AS quality FROM range(500)")
+    sample = labelled.labelled_sample(docs, labels, "quality", 100, held_out_fold=False, most_bytes=6000)
+    assert len(sample) == 60 and {len(t) for t, _ in sample} == {100} and sum(y for _, y in sample) == 30
+
+
 def graded(n: int, seed: int) -> list[tuple[str, int]]:
     """Grades 0 to 4 by the share of good words."""
     rng = random.Random(seed)
