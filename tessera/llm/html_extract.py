@@ -1,26 +1,32 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read once into text leaves, each with its root-to-leaf path of labels (tag and first class or id), the block
-it stands in, and whether it is under something that is never content: navigation, footers, forms, scripts, hidden parts
-and elements whose class, id or role names such a part. Over the other leaves, each path gathers its leaves' number,
-text length and punctuation. The length ratio (characters a leaf) and the punctuation ratio (marks a leaf) are smoothed
-over neighbouring paths in page order, fused by multiplication, and compared with half the page's mean, weighted by
-characters. Paths above it are content; so is what else stands in their container (the path without its inner text
-tags): headings, short paragraphs and list items of an article belong to it however short they are. Where a chosen path
-stands in an article or main element, all that has this same element as its nearest one is content, too.
+A page is read once into text leaves. Each leaf stands at the end of a tag path, the labels (tag and first class or id)
+from the root down; paths are numbered as they come, each with its parent's number, so a page takes time and memory in
+proportion to its length however deep it is nested. Each path gathers its leaves' number, text length and punctuation.
+The length ratio (characters a leaf) and the punctuation ratio (marks a leaf) are smoothed over neighbouring paths of a
+container in page order and fused by multiplication, together with 2 to the power of the path's evidence: labels that name content
+add to it, labels that name navigation, notices, adverts, forms or comments take from it. Paths are content that reach
+half of the page's mean, weighted by characters; evidence alone neither selects a path nor rules one out.
+
+Content paths then fix what belongs to them. What stands in the same container (the path without its inner text tags)
+is content, so are headings, short paragraphs and list items however short. Where a chosen path stands in an article or
+main element, all that has this same element as its nearest one is content; elsewhere, a container inside a chosen one
+is content if it reaches a quarter of the threshold. In both cases labels that name other parts in between rule it out.
 
 It runs as Python over Arrow batches, a page at a time, so memory is bounded by a batch and nothing is shuffled.
 
-A null page is an empty one; a page without content gives an empty text. Broken markup never fails: unknown and unclosed
-tags, stray end tags and a cut end are read as browsers would roughly read them. The whole page is read, however long.
-Equal rows give equal results; the columns page_id, url and html are read, others don't matter.
+A null page is an empty one; a page without content gives an empty text, so does one of nothing but navigation and the
+like. Broken markup never fails: unknown and unclosed tags, stray end tags and a cut end are read as browsers would
+roughly read them. Elements whose content is no page text (scripts, styles, controls, hidden parts) have no leaves. The
+whole page is read, however long. Equal rows give equal results; the columns page_id, url and html are read, others
+don't matter.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,64 +44,98 @@ RAW = frozenset("script style textarea title noscript template iframe noframes n
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
 #: Tags of running text: they don't make a container.
 TEXT_TAGS = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table caption thead tbody tfoot tr td th figure figcaption address hgroup center details summary".split())
-NEVER = frozenset("nav footer aside form button select option datalist fieldset menu dialog head input label".split()) | RAW
-#: An open element of these ends when another of the same group starts in the same place.
+#: Elements, beside RAW, whose content is no text of the page.
+CONTROLS = frozenset("head button select option datalist".split())
+#: An open p ends where one of these starts.
 ENDS_P = frozenset("address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
+#: An open element of the first set ends where this one starts, unless one of the second set stands in between.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-#: Words in a class, an id or a role that name parts which are no content.
-BOILER_WORDS = frozenset(
+#: Tags, and words in a class, an id or a role, that name parts which are no content; and those that name content.
+OTHER_TAGS = frozenset("nav footer aside form fieldset menu dialog label".split())
+OTHER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promos promotion sidebar sidebars widget widgets nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead topbar"
     " cookie cookies consent gdpr notice notices alert alerts notification popup modal overlay subscribe subscription newsletter signup signin login search share sharing social related recommended recommendations"
     " comment comments reply replies respond disqus discussion pagination pager toolbar skip copyright legal disclaimer outbrain taboola paywall contentinfo complementary hidden toc".split()
 )
 CONTENT_WORDS = frozenset("article content main post entry story body text".split())
+#: What a label adds to the evidence (a power of two), and the most that a path may have.
+STATED, TOLD, OTHER, MOST = 3, 1, -8, 4
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？¿¡]")
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: Paths to each side that smoothing reads; the shares of the mean from which paths, and containers inside chosen ones, are content.
+WIDTH, THRESHOLD, INNER = 1, 0.5, 0.125
 
 
 def name_words(*names: str) -> set[str]:
     return {w.lower() for n in names for w in NAME_WORD.findall(n)}
 
 
-class Element:
-    __slots__ = ("tag", "label", "never", "content", "article")
+class Paths:
+    """The tag paths of a page, numbered in page order; 0 is the root."""
+
+    def __init__(self) -> None:
+        self.number: dict[tuple, int] = {}
+        self.parent, self.container, self.scope = [0], [0], [0]
+        self.points = [0]  # evidence
+        self.others = [0]  # labels that name other parts, since the nearest article or main
+        self.hidden = [False]
 
-    def __init__(self, tag: str, rest: str, inside_content: bool, above: Element | None, number: int):
+    def below(self, parent: int, tag: str, rest: str) -> int:
+        """The number of the path that an element with these attributes makes below parent."""
+        key = parent, tag, rest
+        known = self.number.get(key)
+        if known is None:
+            known = self._add(parent, tag, rest)
+            self.number[key] = known
+        return known
+
+    def _add(self, parent: int, tag: str, rest: str) -> int:
         found: dict[str, str] = {}
         if rest and not rest.isspace() and rest != "/":
             for m in ATTRIBUTE.finditer(rest):
                 found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
         kind, own, role = found.get("class", ""), found.get("id", ""), found.get("role", "")
-        named = name_words(kind, own, role) if kind or own or role else set()
         first = (kind.split() or [own])[0]
-        self.tag, self.label = tag, f"{tag}.{first}" if first else tag
-        is_content = tag in ("article", "main") or role == "main"
-        never = tag in NEVER or "hidden" in found or found.get("aria-hidden") == "true" or bool(HIDDEN_STYLE.search(found.get("style", "")))
-        if not never and tag not in ("html", "body"):
-            never = bool(named & BOILER_WORDS) and not (is_content and "comment" not in named and "comments" not in named) or (tag == "header" or "header" in named) and not inside_content
-        self.never = never or (above is not None and above.never)
-        self.content = inside_content or is_content or bool(named & CONTENT_WORDS) and tag != "body"
-        self.article = number if is_content else above.article if above else 0
-
-
-def leaves(page: str) -> list[tuple[tuple[str, ...], tuple[str, ...], bool, bool, int, str, int]]:
-    """The page's texts in order: labels, tags, never content, inside an element that says it is content, block, text, nearest article or main (0: none)."""
-    out, stack, block, at = [], [], 0, 0
-    depth: Counter[str] = Counter()  # how many elements of a tag are open
-
-    def close_to(tag: str) -> None:
-        while (gone := stack.pop().tag) != tag:
-            depth[gone] -= 1
-        depth[tag] -= 1
+        named = name_words(kind, own, role) if kind or own or role else set()
+        stated = tag in ("article", "main") or role == "main"
+        hidden = self.hidden[parent] or tag in CONTROLS or "hidden" in found or found.get("aria-hidden") == "true" or bool(HIDDEN_STYLE.search(found.get("style", "")))
+        other = tag in OTHER_TAGS or (tag == "header" and not self.scope[parent])
+        if tag not in ("html", "body"):
+            other = other or bool(named & OTHER_WORDS) and not (stated and not named & {"comment", "comments", "reply", "replies"}) or ("header" in named and not self.scope[parent])
+        step = OTHER if other else STATED if stated else TOLD if named & CONTENT_WORDS and tag not in ("html", "body") else 0
+        label = parent, tag, first, step, hidden, stated
+        known = self.number.get(label)
+        if known is not None:
+            return known
+        new = self.number[label] = len(self.parent)
+        self.parent.append(parent)
+        self.container.append(self.container[parent] if tag in TEXT_TAGS and not other else new)
+        self.scope.append(new if stated else self.scope[parent])
+        self.points.append(min(MOST, self.points[parent] + step))
+        self.others.append(int(other) if stated else self.others[parent] + int(other))
+        self.hidden.append(hidden)
+        return new
+
+
+#: A leaf: the number of its path, its block, its text, and which article or main element is its nearest one (0: none).
+Leaf = tuple[int, int, str, int]
+
+
+def leaves(page: str) -> tuple[Paths, list[Leaf]]:
+    """The page's paths, and its texts in order."""
+    paths, out, block, at = Paths(), [], 0, 0
+    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # open elements: tag, path, nearest article or main
+    open_at: dict[str, list[int]] = defaultdict(list)  # where in the stack a tag is open
+
+    def cut(size: int) -> None:
+        while len(stack) > size:
+            open_at[stack.pop()[0]].pop()
 
     def text(upto: int) -> None:
-        nonlocal at
-        if upto > at:
+        if upto > at and not paths.hidden[stack[-1][1]]:
             found = page[at:upto]
-            if found:
-                e = stack[-1] if stack else None
-                out.append((tuple(x.label for x in stack), tuple(x.tag for x in stack), bool(e and e.never), bool(e and e.content), block, html.unescape(found) if "&" in found else found, e.article if e else 0))
+            out.append((stack[-1][1], block, html.unescape(found) if "&" in found else found, stack[-1][2]))
 
     end = len(page)
     position = 0
@@ -113,92 +153,102 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], tuple[str, ...], bool, bool
         if tag not in INLINE and tag != "br":
             block += 1
         if m["end"] or m["end2"]:
-            if depth[tag]:
-                close_to(tag)
+            if open_at[tag]:
+                cut(open_at[tag][-1])
             continue
         rest = m["rest"] or m["rest2"] or ""
         if tag == "br":
-            e = stack[-1] if stack else None
-            out.append((tuple(x.label for x in stack), tuple(x.tag for x in stack), bool(e and e.never), bool(e and e.content), block, " ", e.article if e else 0))
+            if not paths.hidden[stack[-1][1]]:
+                out.append((stack[-1][1], block, " ", stack[-1][2]))
             continue
         if tag in VOID:
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, position)
-            if not rest.rstrip().endswith("/") or tag not in ("svg", "math"):
+            if not (tag in ("svg", "math") and rest.rstrip().endswith("/")):
+                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, position)
                 at = position = close.end() if close else end
             continue
-        if tag in ENDS_P and depth["p"]:
-            close_to("p")
+        if tag in ENDS_P and open_at["p"]:
+            cut(open_at["p"][-1])
         elif tag in SIBLINGS:
-            same, bounds = SIBLINGS[tag]
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag in bounds:
-                    break
-                if stack[k].tag in same:
-                    depth.subtract(x.tag for x in stack[k:])
-                    del stack[k:]
-                    break
-        above = stack[-1] if stack else None
-        depth[tag] += 1
-        stack.append(Element(tag, rest, bool(above and above.content and not above.never), above, position))
+            same, bounds = ([open_at[t][-1] for t in tags if open_at[t]] for tags in SIBLINGS[tag])
+            if tag == "tr":
+                same = [open_at["tr"][-1]] if open_at["tr"] else same
+            if same and max(same) > max(bounds, default=-1):
+                cut(max(same))
+        open_at[tag].append(len(stack))
+        path = paths.below(stack[-1][1], tag, rest)
+        stack.append((tag, path, position if paths.scope[path] == path else stack[-1][2]))
     text(end)
-    return out
+    return paths, out
+
 
+def fused_ratios(paths: Paths, found: list[Leaf]) -> tuple[dict[int, float], float]:
+    """By path the smoothed length ratio times the smoothed punctuation ratio times the evidence; and their mean, weighted by characters.
 
-def content_paths(found: list, width: int = 1) -> set[tuple[str, ...]]:
-    """The paths whose fused, smoothed ratio reaches half the mean, weighted by characters."""
-    stats: dict[tuple[str, ...], list[int]] = {}
-    for labels, _, _, _, _, text, _ in found:
+    The mean is over paths without evidence against them, or where there are none, over those with the least; a page of
+    nothing but other parts has the mean infinity.
+    """
+    stats: dict[int, list[int]] = {}
+    for path, _, text, _ in found:
         n = len(" ".join(text.split()))
         if n:
-            s = stats.setdefault(labels, [0, 0, 0])
+            s = stats.setdefault(path, [0, 0, 0])
             s[0] += 1
             s[1] += n
             s[2] += len(PUNCTUATION.findall(text))
-    if not stats:
-        return set()
-    paths = list(stats)
-    length = [stats[p][1] / stats[p][0] for p in paths]
-    marks = [stats[p][2] / stats[p][0] for p in paths]
+    order = list(stats)
+    home = [paths.container[p] for p in order]
 
     def smooth(values: list[float]) -> list[float]:
         out = []
         for i in range(len(values)):
-            near = [(values[k], 0.5 ** abs(i - k)) for k in range(max(0, i - width), min(len(values), i + width + 1))]
+            near = [(values[k], 0.5 ** abs(i - k)) for k in range(max(0, i - WIDTH), min(len(values), i + WIDTH + 1)) if home[k] == home[i]]
             out.append(sum(v * w for v, w in near) / sum(w for _, w in near))
         return out
 
-    fused = [a * (b + 0.1) for a, b in zip(smooth(length), smooth(marks), strict=True)]
-    chars = [stats[p][1] for p in paths]
-    mean = sum(f * c for f, c in zip(fused, chars, strict=True)) / sum(chars)
-    return {p for p, f in zip(paths, fused, strict=True) if f >= 0.5 * mean}
+    length = smooth([stats[p][1] / stats[p][0] for p in order])
+    marks = smooth([stats[p][2] / stats[p][0] for p in order])
+    fused = {p: a * (b + 0.1) * 2.0 ** paths.points[p] for p, a, b in zip(order, length, marks, strict=True)}
+    basis = [p for p in order if paths.points[p] >= 0]
+    chars = sum(stats[p][1] for p in basis)
+    return fused, sum(fused[p] * stats[p][1] for p in basis) / chars if chars else float("inf")
 
 
-def container(labels: tuple[str, ...], tags: tuple[str, ...]) -> int:
-    """How many of a path's labels name its container."""
-    n = len(tags)
-    while n and tags[n - 1] in TEXT_TAGS:
-        n -= 1
-    return n
+def content_paths(paths: Paths, found: list[Leaf]) -> tuple[set[int], set[int]]:
+    """The paths that reach the threshold, and those that reach what a container inside a chosen one needs."""
+    fused, mean = fused_ratios(paths, found)
+    return {p for p, f in fused.items() if f >= THRESHOLD * mean}, {p for p, f in fused.items() if f >= INNER * mean}
+
+
+def accepted(paths: Paths, chosen: set[int], inner: set[int]) -> list[bool]:
+    """For each path whether its leaves are content, wherever they stand."""
+    n = len(paths.parent)
+    held = {paths.container[p] for p in chosen}
+    inner_held = {paths.container[p] for p in inner}
+    inside = [0 in held] + [False] * (n - 1)  # below a chosen container, no label of another part in between
+    out = []
+    for p in range(n):
+        up = paths.parent[p]
+        clean = paths.points[p] >= paths.points[up] or paths.others[p] == 0
+        if p:
+            inside[p] = p in held or inside[up] and clean
+        home = paths.container[p]
+        out.append(p in chosen or home in held or (not paths.scope[p] and inside[p] and home in inner_held))
+    return out
 
 
 def extract(page: str | None) -> str:
     """The page's main text: blocks in page order, joined by line feeds."""
-    found = [x for x in leaves(page or "") if not x[2]]
-    stated = [x for x in found if x[3]]
-    if any(x[5].strip() for x in stated):
-        found = stated
-    chosen = content_paths(found)
-    held = {labels[: container(labels, tags)] for labels, tags, _, _, _, _, _ in found if labels in chosen}
-    articles = {article for labels, _, _, _, _, text, article in found if article and labels in chosen and text.strip()}
-    own = {labels[: container(labels, tags)] for labels, tags, _, said, _, _, _ in found if said}
+    paths, found = leaves(page or "")
+    chosen, inner = content_paths(paths, found)
+    keep = accepted(paths, chosen, inner)
+    articles = {article for path, _, text, article in found if path in chosen and text.strip()} - {0}
     blocks: list[str] = []
     parts: list[str] = []
     last = None
-    for labels, tags, _, said, block, text, article in found:
-        home = labels[: container(labels, tags)]
-        if home not in held and article not in articles and not (said and home in own and any(home[:k] in held for k in range(len(home) + 1))):
+    for path, block, text, article in found:
+        if not (keep[path] or article in articles and not paths.others[path]):
             continue
         if block != last and parts:
             blocks.append(" ".join("".join(parts).split()))

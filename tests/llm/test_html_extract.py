@@ -1,9 +1,19 @@
 from __future__ import annotations
 
+import os
+import random
+import re
+import time
+import tracemalloc
+from html.parser import HTMLParser
+
 import pytest
 
+from tessera.llm import html_extract
 from tessera.llm.html_extract import content_paths, extract, extract_pages, leaves
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 ARTICLE = "<article><h1>Title</h1><p>First &amp; second, with a  long\n sentence.</p><p>Short.</p><ul><li>One<li>Two</ul></article>"
 TEXT = "Title\nFirst & second, with a long sentence.\nShort.\nOne\nTwo"
 PARTS = {
@@ -45,10 +55,188 @@ def test_very_long_and_deep_pages():
 
 def test_paths_with_little_text_fall_below_the_threshold():
     page = "<div class='a'>" + "<p>Much text, with marks, and more of it; indeed, much more.</p>" * 5 + "</div><div class='b'>" + "<span>x</span>" * 30 + "</div>"
-    assert {p[0] for p in content_paths(leaves(page))} == {"div.a"}
+    paths, found = leaves(page)
+    chosen, _ = content_paths(paths, found)
+    assert {text for path, _, text, _ in found if path in chosen} == {"Much text, with marks, and more of it; indeed, much more."}
     assert "x" not in extract(page).split()
 
 
+def sentence(rng: random.Random, n: int) -> str:
+    return " ".join(rng.choice("alpha beta gamma, delta epsilon; zeta eta theta iota".split()) for _ in range(n)).capitalize() + "."
+
+
+def unnamed_page(rng: random.Random) -> tuple[str, str]:
+    """A page of divs whose classes say nothing, and its article's text."""
+    links = "".join(f"<li><a href='/{i}'>Item {i}</a></li>" for i in range(rng.randrange(3, 12)))
+    body = [sentence(rng, rng.randrange(25, 70)) for _ in range(rng.randrange(3, 8))]
+    body.insert(rng.randrange(1, len(body)), sentence(rng, 2))
+    rest = "".join(f"<span>{w}</span> " for w in ("Share it", "Print", "Mail"))
+    page = f"<div class='k1'><ul>{links}</ul></div><div class='k2'>{rest}</div><div class='k3'><h1>A title</h1>{''.join(f'<p>{x}</p>' for x in body)}</div><div class='k4'>Since 2001</div>"
+    return f"<html><body>{page}</body></html>", "\n".join(["A title", *body])
+
+
+def test_ratios_alone_find_the_article_of_unnamed_parts(monkeypatch):
+    rng = random.Random(4)
+    pages = [unnamed_page(rng) for _ in range(40)]
+    assert [extract(p) for p, _ in pages] == [t for _, t in pages]
+    monkeypatch.setattr(html_extract, "content_paths", lambda paths, found: ({x[0] for x in found},) * 2)
+    assert not any(extract(p) == t for p, t in pages)
+
+
+def test_evidence_alone_decides_nothing():
+    long = "".join(f"<p>{sentence(random.Random(i), 60)}</p>" for i in range(6))
+    # strong ratios overrule a label, and a content label doesn't lift a path without text ratios
+    assert extract(f"<body><div class='box'><p>Hi</p></div><div class='share-story'>{long}</div></body>").count("\n") >= 5
+    assert "Next" not in extract(f"<body><div class='x'>{long}</div><div class='text'><span>Next</span></div></body>")
+
+
+@pytest.mark.parametrize("page", ["<div>x " * 8_000, "<div>x " * 140_000, "<ul>" + "<div>" * 60_000 + "<li></li>" * 60_000, "<div class=a>x, y. <p>" * 50_000, "<a '" * 200_000])
+def test_nested_and_broken_pages_take_time_and_memory_in_proportion(page):
+    tracemalloc.start()
+    began = time.perf_counter()
+    extract(page)
+    took, (_, peak) = time.perf_counter() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert took < 60 and peak < 2e6 + 600 * len(page)
+
+
+class Plain(HTMLParser):
+    """Leaves of well-formed pages as (labels, block, text, article), labels as (tag, first class or id, evidence), by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.block, self.out, self.count = [], 0, [], 0
+
+    def handle_starttag(self, tag, attrs):
+        own = dict(attrs)
+        if tag not in html_extract.INLINE and tag != "br":
+            self.block += 1
+        if tag == "br":
+            self.out.append((self.labels(), self.block, " ", self.article()))
+        if tag in html_extract.VOID:
+            return
+        name = own.get("class") or own.get("id") or ""
+        said = {w.lower() for w in re.findall(r"[A-Za-z][a-z]*|[0-9]+", " ".join((own.get("class") or "", own.get("id") or "")))}
+        stated = tag in ("article", "main")
+        scoped = any(x[3] for x in self.stack)
+        other = tag in html_extract.OTHER_TAGS or (tag == "header" and not scoped) or (bool(said & html_extract.OTHER_WORDS) and not (stated and not said & {"comment", "comments"}))
+        points = -8 if other else 3 if stated else 1 if said & html_extract.CONTENT_WORDS else 0
+        self.count += 1
+        self.stack.append((tag, (name.split() or [""])[0], points, stated, self.count))
+
+    def handle_endtag(self, tag):
+        if tag not in html_extract.INLINE:
+            self.block += 1
+        self.stack.pop()
+
+    def labels(self):
+        return tuple(x[:3] for x in self.stack)
+
+    def article(self):
+        return next((x[4] for x in reversed(self.stack) if x[3]), 0)
+
+    def handle_data(self, data):
+        self.out.append((self.labels(), self.block, data, self.article()))
+
+
+def plain_extract(page: str) -> str:
+    """The method once more, over tuples of labels."""
+    reader = Plain()
+    reader.feed(page)
+    reader.close()
+    rows = [r for r in reader.out if not any(t in ("script", "style", "title", "button") for t, _, _ in r[0])]
+
+    def home(labels):
+        while labels and labels[-1][0] in html_extract.TEXT_TAGS and labels[-1][2] > -8:
+            labels = labels[:-1]
+        return labels
+
+    def evidence(labels):
+        points = 0
+        for x in labels:
+            points = min(4, points + x[2])
+        return points
+
+    def since_article(labels):
+        at = max((i for i, x in enumerate(labels) if x[2] == 3 or x[0] in ("article", "main")), default=0)
+        return sum(x[2] == -8 for x in labels[at:])
+
+    texts = {}
+    for labels, _, text, _ in rows:
+        if text.split():
+            texts.setdefault(labels, []).append(" ".join(text.split()) if text.split() else "")
+    marks = {}
+    for labels, _, text, _ in rows:
+        if text.split():
+            marks[labels] = marks.get(labels, 0) + len(re.findall(r"[.,;:!?…]", text))
+    order = list(texts)
+    ratio = {p: (sum(map(len, texts[p])) / len(texts[p]), marks[p] / len(texts[p])) for p in order}
+    fused = {}
+    for i, p in enumerate(order):
+        near = [(q, 1 if q == p else 0.5) for q in order[max(0, i - 1) : i + 2] if home(q) == home(p)]
+        a, b = (sum(ratio[q][k] * w for q, w in near) / sum(w for _, w in near) for k in (0, 1))
+        fused[p] = a * (b + 0.1) * 2.0 ** evidence(p)
+    size = {p: sum(map(len, texts[p])) for p in order}
+    good = [p for p in order if evidence(p) >= 0]
+    mean = sum(fused[p] * size[p] for p in good) / sum(size[p] for p in good) if good else float("inf")
+    chosen = {p for p in order if fused[p] >= mean / 2}
+    inner = {home(p) for p in order if fused[p] >= mean / 8}
+    held = {home(p) for p in chosen}
+    articles = {a for labels, _, text, a in rows if labels in chosen and text.strip()} - {0}
+
+    def inside(labels):
+        for n in range(len(labels), -1, -1):
+            if labels[:n] in held:
+                return True
+            if n and labels[n - 1][2] < 0 and since_article(labels[:n]):
+                return False
+        return False
+
+    blocks = {}
+    for labels, block, text, article in rows:
+        scoped = any(x[0] in ("article", "main") for x in labels)
+        if labels in chosen or home(labels) in held or (not scoped and inside(labels) and home(labels) in inner) or (article in articles and not since_article(labels)):
+            blocks.setdefault(block, []).append(text)
+    return "\n".join(x for x in (" ".join("".join(b).split()) for b in blocks.values()) if x)
+
+
+def some_page(rng: random.Random) -> str:
+    """A well-formed page of random parts."""
+
+    def part(depth: int) -> str:
+        kind = rng.randrange(9)
+        if depth > 3 or kind < 4:
+            return f"<p>{sentence(rng, rng.randrange(1, 50))}</p>"
+        if kind == 4:
+            return "<ul>" + "".join(f"<li><a href='#'>{sentence(rng, 1)}</a></li>" for _ in range(rng.randrange(1, 6))) + "</ul>"
+        tag = rng.choice(("div", "div", "div", "section", "article", "main", "nav", "aside", "footer", "header", "form"))
+        name = rng.choice(("", " class='a b'", " class='post'", " id='comments'", " class='share'", " class='k'"))
+        return f"<{tag}{name}>" + "".join(part(depth + 1) for _ in range(rng.randrange(1, 5))) + f"</{tag}>"
+
+    return "<html><head><title>T</title></head><body>" + "".join(part(0) for _ in range(rng.randrange(1, 6))) + "</body></html>"
+
+
+def test_matches_a_plain_second_implementation():
+    rng = random.Random(9)
+    pages = [some_page(rng) for _ in range(300)] + [unnamed_page(rng)[0] for _ in range(20)]
+    got = [extract(p) for p in pages]
+    assert got == [plain_extract(p) for p in pages]
+    assert sum(t == "" for t in got) < 60 and len(set(got)) > 250
+
+
+@pytest.mark.skipif(not os.path.exists(f"{SF}/pages.parquet"), reason="no tables")
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_every_page_of_the_table_gives_its_article(tag):
+    import html
+
+    import pyarrow.parquet as pq
+
+    for page in pq.read_table(f"{SF}/pages.parquet")["html"].to_pylist():
+        inner = page[page.index("<article>") + 9 : page.index("</article>")]
+        lines = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x.replace("<br>", " "))).split()) for x in re.split(r"</?(?:h1|p)>", inner)]
+        assert extract(page.replace("article>", f"{tag}>")) == "\n".join(x for x in lines if x)
+
+
 def test_all_containers_of_a_stated_article():
     body = "".join(f"<p>Long paragraph {i}, with commas, and so on; it goes on for a while, and then it ends.</p>" for i in range(8))
     article = f"<article><header><h1>Title</h1></header><div class='lead'><p>Short lead</p></div><div class='text-part'>{body}</div><section class='end'><p>The end</p></section></article>"
