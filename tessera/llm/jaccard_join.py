@@ -8,34 +8,43 @@ over all documents' prefixes) last, by frequency. Of n shingles, a set's prefix
 that link share at least l shingles of their prefixes (the smaller l of both), so index lists hold prefixes only: for
 each shingle the sets that have it, with size and position. Sets in fewer than l lists with anyone else leave the index
 before anything is compared, and of a pair's two sets the one whose prefix ends first bounds the overlap by the number of
-its lists; as a row doesn't tell which one that is, the larger of both bounds holds. Lists are cut into blocks of like
-sizes. The larger set of a pair probes the blocks of sizes that can link; within a block an entry is skipped if its
-position, or both positions together, leave no room for the overlap that linking takes, or if the sets' parity sketches
-differ in more bits than the sets may in shingles.
+its lists; as a row doesn't tell which one that is, the larger of both bounds holds. Lists are cut into blocks by position
+and size. The larger set of a pair probes the blocks that can link, and skips all of a list behind the last position that
+leaves room for the overlap that linking takes. In a block an entry is skipped if both positions together leave no such
+room, or if the sets' parity sketches differ in more bits than the sets may in shingles.
 
 Answers from answers. A list isn't expanded into its pairs. First each list's pivot, the set with the largest possible
-overlap, is compared with the list's other sets, and overlaps are kept: o with pivot x says of sets y and z that
-|y & z| <= min(o(x,y), o(x,z)) + min(|y| - o(x,y), |z| - o(x,z)). Sets that link with a pivot are one group, known to be
-connected, and are not compared with each other again. What is left, pairs of sets of different groups that share a
-list, is enumerated in full, less what the bounds above rule out, and verified on the whole sets. So no link between
-sets of different groups is lost, while thousands of near copies cost a few comparisons each.
-
-How it runs. Texts are read four times, as numpy over Arrow batches, and never shuffled: for set hashes and prefix
-counts, for prefixes, and twice for the whole sets of those few that are compared. Equal sets are one: a worker emits a set
-once, and aggregation unites the rest, so a group of exact copies that holds a third of all rows adds one entry a task.
-Joins, counts and verification are DataFrame operations. Groups come from contraction: each set joins its smallest
-neighbour by hash, links become links between groups, until none is left; every round is a table in the shared folder.
-Only bounded things reach the driver: the FREQUENT most frequent shingles, and a bitmap of BITS bits of the sets that
-are compared, which lets most texts be skipped when sets are read.
-
-Sets are told apart by 64-bit hashes, as shingles are. A null, empty or blank text has an empty set and links with
-nothing; fewer than k words make one shingle of the whole. A row without doc_id takes its group's smallest id. Repeated
-rows, ties, empty tables and other columns need no care; texts are read whole.
+overlap, is compared with the list's other sets. Its answers keep the overlap and, for sets much like it, the difference
+both ways. Sets that link with a pivot are one group, known to be connected, and are not compared with each other again.
+Of what is left, pairs of sets of different groups that share a list, two sets y and z near the same pivot x have their
+overlap from x's answers alone: o(x,y) + o(x,z) - |x| + |x-y & x-z| + |y-x & z-x|, which reads the small differences and no
+whole set. Other pairs are verified on the whole sets. Every pair that the bounds leave is decided, so no link between
+sets of different groups is lost, while thousands of near copies cost a few comparisons each. Lists of one group only
+are left out, and in a list of over PLAIN entries pairs are made by the first bit in which hashes of their groups differ,
+so that members of one large group never meet each other.
+
+How it runs. Texts are read four times, as Arrow batches, and never shuffled: for set hashes and prefix counts, for
+prefixes, and twice for the whole sets of those few that are compared. Equal sets are one: a worker emits a set once, and
+aggregation unites the rest, so a group of exact copies that holds a third of all rows adds one entry a task. Counts are
+partial sums before they are shuffled. Where rows meet what is known of their key, keys of more than a MOST_LONG-th of all
+rows, of which there can't be more than MOST_LONG, are joined by broadcast (`join_by`), and whole sets that many pairs ask
+for are dealt out in copies (`attach`): no key's rows come together in one task. Groups come from contraction: each set
+joins its smallest neighbour by hash, links become links between groups, until none is left; every round is a table in
+the shared folder. Only bounded things reach the driver: the FREQUENT most frequent shingles, sets whose short hashes
+clash (none are expected below billions of sets), and a bitmap of at most MOST_BITS bits of the sets that are compared,
+which lets most texts be skipped when sets are read.
+
+A word's hash is 64 bits of BLAKE2b over its bytes. Sets are told apart by 128 bits: the key is one half, and of sets that
+agree in it but not in the other half all but one get a new key. A null, empty or blank text has an empty set and links
+with nothing; fewer than k words make one shingle of the whole. A row without doc_id takes its group's smallest id.
+Repeated rows, ties, empty tables and other columns need no care; texts are read whole.
 """
 
 from __future__ import annotations
 
+import hashlib
 import operator
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -45,18 +54,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, stage
+from .common import SPACE_CLASS, literal_table, stage
 
 SHINGLE, PERCENT = 3, 90
 FREQUENT, FREQUENT_FROM = 200_000, 12
-BLOCKS = 2
-#: Numbers of 64 bits in a set's parity sketch.
-SKETCH = 8
-BITS = 1 << 22
-#: Bytes of text hashed at once; only a longer word takes more.
-CHUNK = 1 << 20
+#: Size blocks from a set's lowest partner to itself; numbers of 64 bits in a set's parity sketch.
+BLOCKS, SKETCH = 1, 8
+#: Bits of the map of wanted sets: at least so many, so many a set, at most so many.
+BITS, BITS_A_SET, MOST_BITS = 1 << 22, 16, 1 << 28
+#: A key of more rows than LONG and than a MOST_LONG-th of all is a long one.
+LONG, MOST_LONG = 512, 20_000
+#: Pairs that one copy of a whole set answers; entries of a list that are paired without regard to groups; levels of bits beyond.
+COPY, PLAIN, LEVELS = 64, 64, 20
+#: Bytes of text split at once; only a longer word takes more. Bytes of words whose hashes a worker keeps.
+CHUNK, KEPT = 1 << 20, 48 << 20
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
-_BASE, _INVERSE = 0x2545F4914F6CDD1D, pow(0x2545F4914F6CDD1D, -1, 1 << 64)
+_SPACE = re.compile(SPACE_CLASS.encode())
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -65,58 +78,41 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: A number for each byte, the same for a letter of either case.
-_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_VALUE[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]
-_IN_WORD = np.ones(256, dtype=bool)
-_IN_WORD[[ord(c) for c in SPACES]] = False
+class Words(dict):
+    """Hashes by word, of as many words as KEPT allows."""
 
+    held = 0
 
-class Powers:
-    """Powers of an odd number modulo 2 ** 64, as many as were asked for."""
-
-    def __init__(self, base: int):
-        self.base, self.values = base, np.ones(1, dtype=np.uint64)
-
-    def first(self, n: int) -> np.ndarray:
-        while len(self.values) < n:
-            step = np.uint64(pow(self.base, len(self.values), 1 << 64))
-            self.values = np.concatenate([self.values, self.values * step])
-        return self.values[:n]
+    def __missing__(self, word: bytes) -> int:
+        found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= 256:
+            self.held += len(word) + 150
+            if self.held > KEPT:
+                self.clear()
+                self.held = len(word) + 150
+            self[word] = found
+        return found
 
 
 class Shingler:
-    """UTF-8 texts to sorted arrays of distinct shingle hashes.
-
-    A word's hash is the difference of two prefix sums of byte values times powers of a base, times the inverse power
-    of its start: equal words have equal hashes wherever they stand, and all words of a chunk come from a few passes.
-    """
+    """UTF-8 texts to sorted arrays of distinct shingle hashes."""
 
     def __init__(self, k: int):
         self.k = k
         self.odd = [_ODD[i % len(_ODD)] * np.uint64(2 * (i // len(_ODD)) + 1) for i in range(k)]
-        self.powers, self.inverses = Powers(_BASE), Powers(_INVERSE)
-
-    def word_hashes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The starts and hashes of the words in some bytes."""
-        inside = _IN_WORD[data]
-        edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-        starts, ends = edge[::2], edge[1::2]
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_VALUE[data] * self.powers.first(len(data)), out=sums[1:])
-        raw = (sums[ends] - sums[starts]) * self.inverses.first(len(data) + 1)[starts]
-        return starts, mix(raw + (ends - starts).astype(np.uint64) * _ODD[0])
-
-    def _pieces(self, data: np.ndarray) -> Iterator[np.ndarray]:
+        self.hash_of = Words()
+
+    def word_hashes(self, data: bytes) -> np.ndarray:
+        """The hashes of the words; bytes split and lower-case as the contract's words do, by ASCII alone."""
+        words = data.lower().split()
+        return np.fromiter(map(self.hash_of.__getitem__, words), dtype=np.uint64, count=len(words))
+
+    def _pieces(self, data: bytes) -> Iterator[bytes]:
         """A long text cut at white space."""
         at = 0
         while len(data) - at > CHUNK:
-            spaces = np.flatnonzero(~_IN_WORD[data[at : at + CHUNK]])
-            if len(spaces):
-                cut = at + int(spaces[-1]) + 1
-            else:
-                later = np.flatnonzero(~_IN_WORD[data[at + CHUNK :]])
-                cut = at + CHUNK + int(later[0]) + 1 if len(later) else len(data)
+            space = _SPACE.search(data, at + CHUNK)
+            cut = space.end() if space else len(data)
             yield data[at:cut]
             at = cut
         yield data[at:]
@@ -139,34 +135,27 @@ class Shingler:
 
     def sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The set of each text of a string column; null: empty."""
-        if isinstance(texts, pa.ChunkedArray):
-            texts = texts.combine_chunks()
-        kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
-        _, where, what = texts.buffers()
-        ends = np.frombuffer(where, dtype=kind)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, dtype=kind)
-        data = np.frombuffer(what, dtype=np.uint8) if what is not None else np.zeros(0, dtype=np.uint8)
-        at = 0
-        while at < len(texts):
-            until = max(at + 1, int(np.searchsorted(ends, ends[at] + CHUNK, side="right")) - 1)
-            if until == at + 1:
-                own = data[ends[at] : ends[at + 1]]
-                yield self._distinct(np.concatenate([self.word_hashes(x)[1] for x in self._pieces(own)]))
+        for text in texts.cast(pa.large_binary()):
+            data = text.as_py() or b""
+            if len(data) <= CHUNK:
+                yield self._distinct(self.word_hashes(data))
             else:
-                # texts side by side, a space between them
-                bounds = ends[at : until + 1].astype(np.int64) - int(ends[at])
-                n = until - at
-                block = np.full(bounds[-1] + n, 32, dtype=np.uint8)
-                shift = np.repeat(np.arange(n), np.diff(bounds))
-                block[np.arange(bounds[-1]) + shift] = data[ends[at] : ends[until]]
-                starts, hashes = self.word_hashes(block)
-                edges = np.searchsorted(starts, bounds + np.arange(n + 1))
-                for i in range(n):
-                    yield self._distinct(hashes[edges[i] : edges[i + 1]])
-            at = until
+                yield self._distinct(np.concatenate([self.word_hashes(x) for x in self._pieces(data)]))
 
 
-def set_hash(s: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) if len(s) else 0
+def set_hash(s: np.ndarray) -> tuple[int, int]:
+    """Two numbers of 64 bits that stand for a set."""
+    both = xxhash.xxh3_128_intdigest(s.tobytes()) if len(s) else 0
+    return (both & (1 << 64) - 1) - (1 << 63), (both >> 64) - (1 << 63)
+
+
+#: New keys of sets, by both numbers.
+Moved = dict[tuple[int, int], int]
+
+
+def key_of(s: np.ndarray, moved: Moved) -> int:
+    both = set_hash(s)
+    return moved.get(both, both[0]) if moved else both[0]
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -200,43 +189,59 @@ def parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.Re
 
 
 def first_pass(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, mark, n, set and, once for each set of a task, its sketch and its prefix by hash alone, for counting."""
+    """doc_id, mark, n, set, check and, once for each set of a task, its sketch and its prefix by hash alone, for counting."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen, none = Shingler(k), set(), np.zeros(0, dtype=np.uint64)
         for batch in parts(batches):
-            n, ids, heads, sketches = [], [], [], []
+            n, ids, checks, heads, sketches = [], [], [], [], []
             for s in own.sets(batch.column(1)):
-                which = set_hash(s)
-                new = len(s) > 0 and which not in seen
-                seen.add(which)
+                both = set_hash(s)
+                new = len(s) > 0 and both not in seen
+                seen.add(both)
                 heads.append(s[: prefix_length(len(s), percent)[1]] if new else none)
                 sketches.append(sketch(s) if new else none.view(np.int64))
                 n.append(len(s))
-                ids.append(which)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int32()), pa.array(ids, pa.int64()), _arrays(heads), _arrays(sketches)], names=["doc_id", "mark", "n", "set", "head", "sketch"])
+                ids.append(both[0])
+                checks.append(both[1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(n, pa.int32()), pa.array(ids, pa.int64()), pa.array(checks, pa.int64()), _arrays(heads), _arrays(sketches)],
+                names=["doc_id", "mark", "n", "set", "check", "head", "sketch"],
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, n int, set long, head array<long>, sketch array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, n int, set long, check long, head array<long>, sketch array<long>")
+
+
+def told_apart(first: DataFrame) -> tuple[DataFrame, Moved]:
+    """first with a key of its own for each set, and the keys that had to change. Of m sets about m * m / 2 ** 65 clash."""
+    clash = first.where("n > 0").groupBy("set").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high").collect()
+    if not clash:
+        return first, {}
+    two = literal_table(first.sparkSession, [[r.set, r.low] for r in clash], "set long, low long")
+    others = first.join(F.broadcast(two), "set").where("check <> low").select("set", "check").distinct().collect()
+    moved = {(r.set, r.check): xxhash.xxh64_intdigest(f"{r.set}:{r.check}") - (1 << 63) for r in others}
+    new = literal_table(first.sparkSession, [[*both, key] for both, key in moved.items()], "set long, check long, new long")
+    return first.join(F.broadcast(new), ["set", "check"], "left").withColumn("set", F.coalesce("new", "set")).drop("new"), moved
 
 
-def prefixes(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """set, n, least (its l) and prefix (shingles in the global order), once for each set of a task. frequent: sorted."""
+def prefixes(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts: np.ndarray, moved: Moved) -> DataFrame:
+    """set, n and prefix (shingles in the global order), once for each set of a task. frequent: sorted."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = Shingler(k), set()
         often, how = shared.value
         for batch in parts(batches):
-            ids, n, least, heads = [], [], [], []
+            ids, n, heads = [], [], []
             for s in own.sets(batch.column(0)):
                 if not len(s):
                     continue
-                which = set_hash(s)
+                which = key_of(s, moved)
                 if which in seen:
                     continue
                 seen.add(which)
-                share, length = prefix_length(len(s), percent)
+                length = prefix_length(len(s), percent)[1]
                 if len(often):
                     at = np.searchsorted(often, s)
                     at[at == len(often)] = 0
@@ -251,20 +256,28 @@ def prefixes(docs: DataFrame, k: int, percent: int, frequent: np.ndarray, counts
                     s_ordered = s
                 ids.append(which)
                 n.append(len(s))
-                least.append(share)
                 heads.append(s_ordered[:length])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int32()), pa.array(least, pa.int32()), _arrays(heads)], names=["set", "n", "least", "prefix"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int32()), _arrays(heads)], names=["set", "n", "prefix"])
 
-    return docs.select("text").mapInArrow(run, "set long, n int, least int, prefix array<long>")
+    return docs.select("text").mapInArrow(run, "set long, n int, prefix array<long>")
 
 
-def whole_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
-    """set and shingles of the wanted sets (column set), and perhaps of a few others; once for each set of a task."""
-    spot = F.pmod(F.col("set"), F.lit(BITS))
-    bits = wanted.select(spot.alias("b")).groupBy(F.expr("b div 32").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 32 as int)))").alias("bits")).collect()
-    field = np.zeros(BITS // 32, dtype=np.int64)
-    for r in bits:
-        field[r.at] = r.bits
+def prefix_columns(n: Column, percent: int) -> tuple[Column, Column]:
+    """prefix_length as expressions."""
+    p = n - F.ceil(n * percent / F.lit(100.0) - 1e-9) + 1
+    share = F.when(n > 1, F.least(F.greatest(F.lit(1), n - p + 1), F.lit(2) + F.floor(p / 4))).otherwise(1)
+    return share.cast("int"), F.least(n, p - 1 + share).cast("int")
+
+
+def whole_sets(docs: DataFrame, k: int, wanted: DataFrame, most: int, moved: Moved) -> DataFrame:
+    """set and shingles of the wanted sets (column set, perhaps repeated), which are at most so many."""
+    size = BITS
+    while size < MOST_BITS and size < BITS_A_SET * most:
+        size *= 2
+    spot = F.pmod(F.col("set"), F.lit(size))
+    bits = wanted.select(spot.alias("b")).groupBy(F.expr("b div 32").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 32 as int)))").alias("bits")).toArrow()
+    field = np.zeros(size // 32, dtype=np.uint32)
+    field[bits["at"].to_numpy()] = bits["bits"].to_numpy().astype(np.uint32)
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,8 +286,8 @@ def whole_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
         for batch in parts(batches):
             ids, sets = [], []
             for s in own.sets(batch.column(0)):
-                which = set_hash(s) if len(s) else None
-                if which is None or which in seen or not there[which % BITS // 32] >> (which % BITS % 32) & 1:
+                which = key_of(s, moved) if len(s) else None
+                if which is None or which in seen or not int(there[which % size // 32]) >> (which % size % 32) & 1:
                     continue
                 seen.add(which)
                 ids.append(which)
@@ -283,7 +296,7 @@ def whole_sets(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _arrays(sets)], names=["set", "shingles"])
 
     found = docs.select("text").mapInArrow(run, "set long, shingles array<long>")
-    return found.join(wanted.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.first("shingles").alias("shingles"))
+    return found.join(wanted, "set", "left_semi").groupBy("set").agg(F.first("shingles").alias("shingles"))
 
 
 def needed(n: Column, m: Column, percent: int) -> Column:
@@ -291,11 +304,42 @@ def needed(n: Column, m: Column, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (n + m) / F.lit(100.0 + percent) - F.lit(1e-9))
 
 
+def join_by(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """rows with table's columns by key, which is unique there; its column c counts the rows of a key, or more.
+
+    Long keys are joined by broadcast: c adds up to the rows, so that there are at most MOST_LONG of them.
+    """
+    limit = table.agg(F.greatest(F.lit(LONG), F.sum("c") / MOST_LONG).alias("limit")).scalar()
+    long, short = table.where(F.col("c") > limit).drop("c"), table.where(F.col("c") <= limit).drop("c")
+    return rows.join(F.broadcast(long), key).unionByName(rows.join(F.broadcast(long.select(key)), key, "left_anti").join(short, key))
+
+
+def attach(rows: DataFrame, key: str, other: str, table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """rows (pairs, perhaps with more columns) with table's columns by key, inner. What many pairs ask for is there in copies, one for COPY pairs."""
+    counts = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+    limit = pairs.agg(F.greatest(F.lit(2 * COPY), F.count(F.lit(1)) / MOST_LONG).alias("limit")).scalar()
+    # at most MOST_LONG keys
+    hot = counts.where(F.col("c") > limit).select(key, F.ceil(F.col("c") / COPY).cast("int").alias("copies"))
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("copy", F.coalesce(F.pmod(F.xxhash64(other), F.col("copies")), F.lit(0)).cast("int")).drop("copies")
+    copies = table.join(F.broadcast(hot), key, "left").withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))).drop("copies")
+    return dealt.join(copies, [key, "copy"]).drop("copy")
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b, n, m) with their overlap."""
+    """pairs (a, b, n, m) with their overlap, and the differences less and more (b's from a's set) where they are small."""
     left = sets.select(F.col("set").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "n", "m", F.size(F.array_intersect("x", "y")).alias("overlap"))
+    both = attach(attach(pairs, "b", "a", right, pairs), "a", "b", left, pairs).withColumn("overlap", F.size(F.array_intersect("x", "y")))
+    alike = 2 * (F.col("n") + F.col("m") - 2 * F.col("overlap")) <= F.least("n", "m")
+    return both.select("a", "b", "n", "m", "overlap", F.when(alike, F.array_except("x", "y")).alias("less"), F.when(alike, F.array_except("y", "x")).alias("more"))
+
+
+def derive(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """pairs (a, b, n, m) of sets near the same pivot, with their overlap. near: set, x (the pivot), o, x_n, less, more."""
+    sides = [near.select(F.col("set").alias(c), F.col("o").alias(f"{c}_o"), F.col("less").alias(f"{c}_less"), F.col("more").alias(f"{c}_more"), *(["x_n"] if c == "a" else [])) for c in ("a", "b")]
+    both = attach(attach(pairs, "b", "a", sides[1], pairs), "a", "b", sides[0], pairs)
+    shared = F.size(F.array_intersect("a_less", "b_less")) + F.size(F.array_intersect("a_more", "b_more"))
+    return both.select("a", "b", "n", "m", (F.col("a_o") + F.col("b_o") - F.col("x_n") + shared).alias("overlap"))
 
 
 def groups(links: DataFrame) -> DataFrame:
@@ -304,13 +348,18 @@ def groups(links: DataFrame) -> DataFrame:
     labels: DataFrame | None = None
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
-        step = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")), "step")
-        ends = [step.select(F.col("a").alias(c), F.col("to").alias(f"{c}_to")) for c in ("a", "b")]
-        links = stage(links.join(ends[0], "a").join(ends[1], "b").where("a_to <> b_to").select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct(), "links")
+        step = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to"), F.count(F.lit(1)).alias("c")), "step")
+        ends = [step.select(F.col("a").alias(c), F.col("to").alias(f"{c}_to"), "c") for c in ("a", "b")]
+        links = join_by(join_by(links, ends[0], "a"), ends[1], "b")
+        links = stage(links.where("a_to <> b_to").select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct(), "links")
         if labels is None:
             labels = step.select(F.col("a").alias("set"), F.col("to").alias("group"))
         else:
-            labels = labels.join(step.select(F.col("a").alias("group"), "to"), "group", "left").select("set", F.coalesce("to", "group").alias("group"))
+            labels = stage(labels, "labels")
+            new = step.select(F.col("a").alias("group"), "to").join(labels.groupBy("group").agg(F.count(F.lit(1)).alias("c")), "group")
+            changed = join_by(labels, new, "group").select("set", F.col("to").alias("group"))
+            same = labels.join(step.select(F.col("a").alias("group")), "group", "left_anti")
+            labels = changed.unionByName(same.select("set", "group"))
     if labels is None:
         return links.select(F.col("a").alias("set"), F.col("b").alias("group"))
     return stage(labels, "groups")
@@ -321,8 +370,13 @@ def size_block(n: Column, percent: int) -> Column:
     return F.floor(F.ln(n.cast("double")) * F.lit(BLOCKS / float(np.log(100 / percent)))).cast("int")
 
 
-def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
-    """The index: token, set, n, least, length (of the prefix), pos, most (the largest overlap with sets whose prefix ends later).
+def position_block(pos: Column) -> Column:
+    """Blocks of positions, each four times the one before: 0 to 2, 3 to 14, 15 to 62 and so on."""
+    return F.floor((F.length(F.bin(pos + 1)) - 1) / 2).cast("int")
+
+
+def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Moved) -> DataFrame:
+    """The index: token, set, n, pos, most (the largest overlap with sets whose prefix ends later) and p, the list's pivot.
 
     Only lists with several sets, and sets with enough such lists. A set's prefix shingles that no other set's list has
     can't be shared with a set whose prefix ends later in the global order, so the overlap with it is at most the rest. A
@@ -334,75 +388,109 @@ def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int) -> Data
     )
     tokens = often["token"].to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    rows = prefixes(docs, k, percent, tokens[order], often["count"].to_numpy()[order])
-    by_token, by_set = Window.partitionBy("token"), Window.partitionBy("set")
-    everyone = F.count(F.lit(1))
-    entries = rows.select("set", "n", "least", F.size("prefix").alias("length"), F.posexplode("prefix").alias("pos", "token")).repartition("token").distinct()
-    several = stage(entries.withColumn("c", everyone.over(by_token)).where("c > 1").drop("c"), "several")
-    enough = several.withColumn("c", everyone.over(by_set)).where("c >= least").drop("c").withColumn("c", everyone.over(by_token)).where("c > 1").drop("c")
-    lists = enough.withColumn("c", everyone.over(by_set)).where("c >= least").withColumn("most", F.col("c") + F.col("n") - F.col("length"))
-    return stage(lists.drop("c"), "lists")
-
-
-def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
+    rows = prefixes(docs, k, percent, tokens[order], often["count"].to_numpy()[order], moved)
+    rows = stage(rows.groupBy("set").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "prefixes")
+    counts = stage(rows.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
+    entries = rows.select("set", "n", F.posexplode("prefix").alias("pos", "token"))
+    least, length = prefix_columns(F.col("n"), percent)
+    own = F.count(F.lit(1)).over(Window.partitionBy("set"))  # a set has no more entries than its prefix
+    most = F.col("c") + F.col("n") - length
+    enough = stage(join_by(entries, counts, "token").withColumn("c", own).where(F.col("c") >= least).withColumn("most", most).drop("c"), "enough")
+    pivot = F.max(F.struct((F.col("most") / F.col("n")).alias("r"), F.xxhash64("set").alias("h"), F.col("set").alias("a"), F.col("n").alias("n"), F.col("most").alias("most")))
+    lists = stage(enough.groupBy("token").agg(F.count(F.lit(1)).alias("c"), pivot.alias("p")).where("c > 1"), "pivots")
+    kept = join_by(enough.drop("most"), lists, "token").withColumn("c", own).where(F.col("c") >= least)
+    return stage(kept.withColumn("most", most).drop("c"), "lists")
+
+
+def by_first_bit(entries: DataFrame, lists: DataFrame) -> DataFrame:
+    """entries with level, cell and bit: pairs of different groups of a list meet once, on level and cell with other bits.
+
+    lists: token, c, for lists of several groups. In a list of at most PLAIN entries, all meet on level -1 (their bit is
+    null). In longer ones, an entry stands on every level with the bits of its group's hash before it (the cell), and meets
+    entries of the other bit there; on the last level all of a cell meet (their bit is null), if they aren't one group.
+    """
+    h = F.call_function("shiftrightunsigned", F.xxhash64("group", F.lit("bit")), F.lit(1))  # 63 bits
+    upto = F.greatest("level", F.lit(0))
+    levels = F.when(F.col("size") > PLAIN, F.sequence(F.lit(0), F.lit(LEVELS))).otherwise(F.array(F.lit(-1)))
+    out = join_by(entries, lists.withColumn("size", F.col("c")), "token").withColumn("level", F.explode(levels)).drop("size")
+    out = out.withColumn("cell", F.when(F.col("level") > 0, F.call_function("shiftrightunsigned", h, 63 - upto)).otherwise(0))
+    bit = F.call_function("shiftrightunsigned", h, 62 - upto).bitwiseAND(F.lit(1))
+    out = stage(out.withColumn("bit", F.when(F.col("level").between(0, LEVELS - 1), bit)), "spread")
+    last = out.where(F.col("level") == LEVELS)
+    crowded = last.groupBy("token", "cell").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
+    return out.where(F.col("level") < LEVELS).unionByName(last.join(crowded, ["token", "cell"], "left_semi"))
+
+
+def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Moved) -> DataFrame:
     """Links between different sets: enough of them that all linked sets are connected."""
-    lists = index_lists(docs, first, k, percent)
+    lists = index_lists(docs, first, k, percent, moved)
     n, m = F.col("n"), F.col("m")
     links = F.col("overlap") >= needed(n, m, percent)
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = stage(pairs, f"{name}-pairs")
+        n = pairs.count()
+        if not n:  # no text is read for it
+            return docs.sparkSession.createDataFrame([], "a long, b long, n int, m int, overlap int, less array<long>, more array<long>")
         wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b"))
-        return stage(verify(pairs, whole_sets(docs, k, wanted)), name)
+        return stage(verify(pairs, stage(whole_sets(docs, k, wanted, 2 * n, moved), f"{name}-sets")), name)
 
-    pivot = F.max(F.struct((F.col("most") / F.col("n")).alias("r"), F.xxhash64("set").alias("h"), F.col("set").alias("a"), F.col("n").alias("n"), F.col("most").alias("most"))).over(Window.partitionBy("token"))
     stars = (
-        lists.withColumn("p", pivot).where("set <> p.a")
-        .select("p.a", F.col("set").alias("b"), F.col("p.n").alias("n"), F.col("n").alias("m"), F.greatest("most", "p.most").alias("most"))
+        lists.where("set <> p.a").select("p.a", F.col("set").alias("b"), F.col("p.n").alias("n"), F.col("n").alias("m"), F.greatest("most", "p.most").alias("most"))
         .where((F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (F.col("most") >= needed(n, m, percent)))
         .groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     )
-    answers = verified(stars, "answers")
+    answers = verified(stage(stars, "stars"), "answers")
     labels = groups(answers.where(links))
-    best = answers.groupBy("b").agg(F.max_by(F.struct(F.col("a").alias("x"), "overlap"), F.col("overlap") / (n + m)).alias("best")).select(F.col("b").alias("set"), "best.x", F.col("best.overlap").alias("o"))
+    best = F.max_by(F.struct(F.col("a").alias("x"), F.col("overlap").alias("o"), F.col("n").alias("x_n"), "less", "more"), F.struct(F.col("overlap") / (n + m), "a"))
+    near = stage(answers.where("less is not null").groupBy(F.col("b").alias("set")).agg(best.alias("best")).select("set", "best.*"), "near")
     sketches = first.where(F.size("sketch") > 0).groupBy("set").agg(F.first("sketch").alias("sketch"))
-    about = lists.select("set").distinct().join(sketches, "set").join(labels, "set", "left").join(best, "set", "left")
+    about = lists.select("set").distinct().join(sketches, "set").join(labels, "set", "left").join(near.select("set", "x", "o"), "set", "left")
     about = about.select("set", F.coalesce("group", "set").alias("group"), "x", "o", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)))
-    entries = lists.select("token", "set", "n", "pos", "most").join(about, "set")
-    # the larger set of a pair looks into the blocks of sizes from its lower bound up to its own size
+    entries = stage(lists.select("token", "set", "n", "pos", "most").join(about, "set"), "entries")
+    mixed = stage(entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token", "c"), "mixed")
+    # the larger set of a pair looks into the blocks of sizes from its lower bound up to its own size, as far as positions leave room
     low = F.ceil(n * (percent / 100.0) - 1e-9)
     names = ("set", "n", "pos", "most", "group", "x", "o", *(f"s{i}" for i in range(SKETCH)))
-    probing = entries.withColumn("low", low).where(F.col("pos") <= n - needed(n, F.col("low"), percent))
-    left = probing.select("token", *(F.col(c).alias(f"l_{c}") for c in names), F.explode(F.sequence(size_block(F.col("low"), percent), size_block(n, percent))).alias("block"))
-    right = entries.select("token", size_block(n, percent).alias("block"), *(F.col(c).alias(f"r_{c}") for c in names))
+    where = ("token", "level", "cell", "bit", "block", "place")
+    spread = by_first_bit(entries, mixed)
+    probing = spread.withColumn("low", low).where(F.col("pos") <= n - needed(n, F.col("low"), percent)).withColumn("bit", F.coalesce(1 - F.col("bit"), F.lit(0)))
+    probing = probing.withColumn("block", F.explode(F.sequence(size_block(F.col("low"), percent), size_block(n, percent))))
+    probing = probing.withColumn("place", F.explode(F.sequence(F.lit(0), position_block(F.greatest(n - needed(n, n, percent), F.lit(0))))))
+    left = probing.select(*where, *(F.col(c).alias(f"l_{c}") for c in names))
+    right = spread.withColumn("bit", F.coalesce("bit", F.lit(0))).withColumn("block", size_block(n, percent)).withColumn("place", position_block(F.col("pos")))
+    right = right.select(*where, *(F.col(c).alias(f"r_{c}") for c in names))
     need = needed(F.col("l_n"), F.col("r_n"), percent)
     room = F.least("l_pos", "r_pos") + 1 + F.least(F.col("l_n") - 1 - F.col("l_pos"), F.col("r_n") - 1 - F.col("r_pos"))
     derived = F.least("l_o", "r_o") + F.least(F.col("l_n") - F.col("l_o"), F.col("r_n") - F.col("r_o"))
     apart = reduce(operator.add, (F.bit_count(F.col(f"l_s{i}").bitwiseXOR(F.col(f"r_s{i}"))) for i in range(SKETCH)))
     pairs = (
-        left.join(right, ["token", "block"])
+        left.join(right, list(where))
         .where((F.col("l_group") != F.col("r_group")) & ((F.col("l_n") > F.col("r_n")) | ((F.col("l_n") == F.col("r_n")) & (F.col("l_set") < F.col("r_set")))))
         # among the first n - need + 1 shingles of both sets at least one is shared, or they don't link
         .where((F.greatest("l_most", "r_most") >= need) & (F.col("l_pos") <= F.col("l_n") - need) & (F.col("r_pos") <= F.col("r_n") - need) & (room >= need))
         .where(F.coalesce(F.col("l_x") != F.col("r_x"), F.lit(True)) | (derived >= need))
         .where((F.col("r_n") * 100 >= F.col("l_n") * percent) & (apart <= F.col("l_n") + F.col("r_n") - 2 * need))
-        .select(F.col("l_set").alias("a"), F.col("r_set").alias("b"), F.col("l_n").alias("n"), F.col("r_n").alias("m"))
+        .select(F.col("l_set").alias("a"), F.col("r_set").alias("b"), F.col("l_n").alias("n"), F.col("r_n").alias("m"), F.coalesce(F.col("l_x") == F.col("r_x"), F.lit(False)).alias("told"))
         .distinct()
     )
-    return answers.unionByName(verified(pairs, "rest")).where(links).select("a", "b")
+    pairs = stage(pairs, "pairs")
+    told = derive(pairs.where("told").drop("told"), near)
+    rest = verified(pairs.where("not told").drop("told"), "rest")
+    columns = ("a", "b", "n", "m", "overlap")
+    return answers.select(*columns).unionByName(told.select(*columns)).unionByName(rest.select(*columns)).where(links).select("a", "b")
 
 
 def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, mark (a hash of the text), n, set and component, for every row."""
-    first = stage(first_pass(docs, k, percent), "first")
-    own = groups(link_sets(docs, first, k, percent))
-    sets = first.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("low"))
-    known = stage(sets.join(own, "set", "left").withColumn("group", F.coalesce("group", "set")), "known")
-    lowest = known.groupBy("group").agg(F.min("low").alias("component"))
-    by_set = known.join(lowest, "group").select("set", "component", "group")
+    first, moved = told_apart(stage(first_pass(docs, k, percent), "first"))
+    own = groups(link_sets(docs, first, k, percent, moved))
+    sets = first.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("c"))
+    known = sets.join(own, "set", "left").withColumn("group", F.coalesce("group", "set"))
+    lowest = known.groupBy("group").agg(F.min("low").alias("component"), F.count(F.lit(1)).alias("c"))
+    by_set = stage(join_by(known.withColumnRenamed("c", "copies"), lowest, "group").select("set", "component", "group", F.col("copies").alias("c")), "components")
     lone = first.where("n = 0").withColumn("component", F.col("doc_id")).withColumn("group", F.lit(None).cast("long"))
     names = ("doc_id", "mark", "n", "set", "component", "group")
-    return first.where("n > 0").join(by_set, "set").select(*names).unionByName(lone.select(*names))
+    return join_by(first.where("n > 0"), by_set, "set").select(*names).unionByName(lone.select(*names))
 
 
 def connect(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -417,11 +505,12 @@ def keep_one(docs: DataFrame, k: int, percent: int) -> DataFrame:
     A bitmap of the rows to remove, of fixed size, tells for most rows that they stay; only the others' texts are
     shuffled for the exact test.
     """
-    rows = stage(components(docs, k, percent).where("n > 0").select("doc_id", "mark", "group"), "rows")
-    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    first = rows.groupBy("group").agg(F.min(key).alias("first"))
+    rows = stage(components(docs, k, percent).where("n > 0").select("doc_id", "mark", "group", F.col("doc_id").eqNullSafe(F.col("component")).alias("lowest")), "rows")
+    # texts with their group's smallest id; only where there are several, their hashes decide
+    several = rows.where("lowest").groupBy("group").agg(F.min("mark").alias("least"), F.max("mark").alias("most")).where("least <> most").select("group", "least")
+    tied = rows.where("lowest").join(several, "group").where("mark <> least")
     again = rows.groupBy("doc_id", "mark").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id", "mark", F.lit(True).alias("again"))
-    lost = rows.join(first, "group").where(key != F.col("first")).select("doc_id", "mark", F.lit(False).alias("again"))
+    lost = rows.where("not lowest").select("doc_id", "mark").unionByName(tied.select("doc_id", "mark")).withColumn("again", F.lit(False))
     touched = lost.unionByName(again).groupBy("doc_id", "mark").agg(F.min("again").alias("again"))
     touched = stage(touched.select(F.col("doc_id").alias("t_id"), F.col("mark").alias("t_mark"), "again"), "touched")
     words = touched.groupBy(F.expr(f"pmod(t_mark, {BITS}) div 32").alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(t_mark, {BITS}) % 32 as int)))").alias("bits"))

@@ -88,6 +88,77 @@ def test_isolated_pairs_near_the_threshold(spark, percent):
     assert sorted(map(tuple, got.collect())) == sorted(expected)
 
 
+def thue_morse(n: int) -> str:
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_fool_polynomial_hashes_are_told_apart(spark):
+    rows: list[tuple] = []
+    for n in (1024, 2048, 4096, 65_536):
+        word = thue_morse(n)
+        rows += [(len(rows), f"one {word} two three"), (len(rows) + 1, f"one {word.translate(str.maketrans('ab', 'ba'))} two three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, J.connect(docs).collect())) == [(i, 2, i) for i, _ in rows]
+    assert J.keep_one(docs, 3, 90).count() == len(rows)
+
+
+def test_sets_of_clashing_keys_are_told_apart(spark, monkeypatch):
+    rows = [(i, prose(30 + i % 20, 5 + i % 2, i % 40)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plain = J.set_hash
+    monkeypatch.setattr(J, "set_hash", lambda s: (plain(s)[0] % 7, plain(s)[1]))
+    # workers have to be given the weak hash, too
+    monkeypatch.setattr(J, "Shingler", weak_shingler(J.Shingler))
+    first = J.stage(J.first_pass(docs, 3, 90), "first")
+    apart, moved = J.told_apart(first)
+    assert first.select("set").distinct().count() <= 8 < len(moved)
+    assert apart.select("set").distinct().count() == first.select("set", "check").distinct().count()
+    assert sorted(map(tuple, J.connect(docs).collect())) == sorted(brute(rows, 3, 90))
+
+
+def weak_shingler(plain: type) -> type:
+    class Weak(plain):
+        def __init__(self, k):
+            super().__init__(k)
+            from tessera.llm import jaccard_join
+
+            if not hasattr(jaccard_join, "strong"):
+                jaccard_join.strong = jaccard_join.set_hash
+                jaccard_join.set_hash = lambda s: (jaccard_join.strong(s)[0] % 7, jaccard_join.strong(s)[1])
+
+    return Weak
+
+
+@pytest.mark.parametrize(("small", "k", "percent"), [({"LONG": 3, "PLAIN": 2, "COPY": 2}, 3, 90), ({"LONG": 3, "PLAIN": 2, "LEVELS": 1, "MOST_LONG": 5}, 2, 70)])
+def test_long_lists_and_hot_keys_lose_no_link(spark, monkeypatch, small, k, percent):
+    """Two large groups of near copies and others near them share passages, with every limit small."""
+    for name, value in small.items():
+        monkeypatch.setattr(J, name, value)
+    rng = random.Random(3)
+    passage, rows = prose(25, 13).split(), []
+    for group in range(6):
+        base = passage + [rng.choice(WORDS) + str(rng.randrange(50)) for _ in range(60)]
+        rows += [(len(rows) + i, " ".join(edited(rng, base, rng.randrange(4)))) for i in range(50 if group < 2 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, J.connect(docs, k, percent).collect())) == sorted(brute(rows, k, percent))
+
+
+def test_overlaps_derived_from_a_pivot_s_answers(spark):
+    rng = random.Random(8)
+    x = set(range(60))
+    sets = {i: (x - set(rng.sample(range(60), 4))) | set(rng.sample(range(100, 110), 3)) for i in range(1, 9)}
+    near = spark.createDataFrame([(i, 0, len(x & y), len(x), sorted(x - y), sorted(y - x)) for i, y in sets.items()], "set long, x long, o int, x_n int, less array<long>, more array<long>")
+    pairs = spark.createDataFrame([(a, b, len(sets[a]), len(sets[b])) for a in sets for b in sets if a < b], "a long, b long, n int, m int")
+    assert {(r.a, r.b): r.overlap for r in J.derive(pairs, near).collect()} == {(a, b): len(sets[a] & sets[b]) for a in sets for b in sets if a < b}
+
+
+def test_prefix_lengths_as_expressions(spark):
+    for percent in (50, 80, 90):
+        least, length = J.prefix_columns(J.F.col("n"), percent)
+        got = spark.range(1, 3000).selectExpr("cast(id AS int) AS n").select("n", least.alias("l"), length.alias("p")).collect()
+        assert all((r.l, r.p) == J.prefix_length(r.n, percent) for r in got)
+
+
 def test_odd_rows(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = sorted((tuple(r) for r in J.connect(odd).collect()), key=str)
