@@ -40,10 +40,27 @@ def test_order_of_rules_changes_no_verdict(odd):
     assert a == {(r.doc_id, r.kept) for r in Q.judge(odd.select("doc_id", "text"), rules).collect()}
 
 
-def test_rules_stand_by_rejections_per_cost(odd):
-    ranked = Q.ranked_rules(odd)
-    worth = [rate / cost for _, rate, cost in ranked]
-    assert worth == sorted(worth, reverse=True) and len(ranked) == len(Q.RULES)
+def test_order_of_rules_is_the_same_in_reruns(odd):
+    order = [r.name for r, _, _ in Q.ranked_rules(odd)]
+    assert sorted(order) == sorted(r.name for r in Q.RULES)
+    assert all(order == [r.name for r, _, _ in Q.ranked_rules(odd.repartition(n), tuple(rules))] for n, rules in ((1, Q.RULES), (5, Q.RULES)))
+
+
+def test_cheap_selective_rules_stand_before_costly_useless_ones(spark):
+    good = " ".join(f"word{i}" for i in range(30))
+    texts = [good] * 40 + [good + " ##########"] * 30 + [good + " | | | |"] * 20 + ["# " * 9] * 100  # the last fail the base rule
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rules = (
+        Q.Rule("costly and useless", "length(regexp_replace(text, 'x+', '')) = 0", "20 * word_chars"),
+        Q.Rule("costly", "n_symbols >= 4", "5 * word_chars"),
+        Q.Rule("cheap, most of it", "n_symbols > 9"),
+        Q.Rule("cheap and useless", "n_words < 18"),  # true for texts that fail the base rule only
+        Q.Rule("cheap, the rest", "n_symbols = 4", "2"),
+    )
+    ranked = Q.ranked_rules(docs, rules)
+    assert [r.name for r, _, _ in ranked] == ["cheap, most of it", "cheap, the rest", "cheap and useless", "costly", "costly and useless"]
+    assert [round(rate, 3) for _, rate, _ in ranked] == [round(30 / 90, 3), round(20 / 60, 3), 0, 0, 0]
+    assert sum(r.kept for r in Q.judge(docs, rules).collect()) == 40
 
 
 def test_keeping_keeps_columns(odd, empty):
