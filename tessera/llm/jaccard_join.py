@@ -8,8 +8,8 @@ over all documents' prefixes) last, by frequency. Of n shingles, a set's prefix
 that link share at least l shingles of their prefixes (the smaller l of both), so index lists hold prefixes only: for
 each shingle the sets that have it, with size and position. Sets in fewer than l lists with anyone else leave the index
 before anything is compared, and of a pair's two sets the one whose prefix ends first bounds the overlap by the number of
-its lists; as a row doesn't tell which one that is, the larger of both bounds holds. Lists are cut into blocks by position
-and size. The larger set of a pair probes the blocks that can link, and skips all of a list behind the last position that
+its lists; as a row doesn't tell which one that is, the larger of both bounds holds. Lists of over PLAIN entries are cut
+into blocks by position and size. The larger set of a pair probes the blocks that can link, and skips all of a list behind the last position that
 leaves room for the overlap that linking takes. In a block an entry is skipped if both positions together leave no such
 room, or if the sets' parity sketches differ in more bits than the sets may in shingles.
 
@@ -26,15 +26,15 @@ so that members of one large group never meet each other.
 How it runs. Texts are read four times, as Arrow batches, and never shuffled: for set hashes and prefix counts, for
 prefixes, and twice for the whole sets of those few that are compared. Equal sets are one: a worker emits a set once, and
 aggregation unites the rest, so a group of exact copies that holds a third of all rows adds one entry a task. Counts are
-partial sums before they are shuffled. Where rows meet what is known of their key, keys of more than a MOST_LONG-th of all
-rows, of which there can't be more than MOST_LONG, are joined by broadcast (`join_by`), and whole sets that many pairs ask
+partial sums before they are shuffled. Entries of long lists
+don't go to a task by shingle. Where rows meet what is known of their key, keys of more than a MOST_LONG-th of all rows, of which there can't be more than MOST_LONG, are joined by broadcast (`join_by`), and whole sets that many pairs ask
 for are dealt out in copies (`attach`): no key's rows come together in one task. Groups come from contraction: each set
 joins its smallest neighbour by hash, links become links between groups, until none is left; every round is a table in
 the shared folder. Only bounded things reach the driver: the FREQUENT most frequent shingles, sets whose short hashes
 clash (none are expected below billions of sets), and a bitmap of at most MOST_BITS bits of the sets that are compared,
 which lets most texts be skipped when sets are read.
 
-A word's hash is 64 bits of BLAKE2b over its bytes. Sets are told apart by 128 bits: the key is one half, and of sets that
+Words have hashes of 64 bits, mixed from eight bytes at a time, so no family of words is known to collide. Sets are told apart by 128 bits: the key is one half, and of sets that
 agree in it but not in the other half all but one get a new key. A null, empty or blank text has an empty set and links
 with nothing; fewer than k words make one shingle of the whole. A row without doc_id takes its group's smallest id.
 Repeated rows, ties, empty tables and other columns need no care; texts are read whole.
@@ -42,9 +42,7 @@ Repeated rows, ties, empty tables and other columns need no care; texts are read
 
 from __future__ import annotations
 
-import hashlib
 import operator
-import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -54,7 +52,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, literal_table, stage
+from .common import SPACES, literal_table, stage, unstage
 
 SHINGLE, PERCENT = 3, 90
 FREQUENT, FREQUENT_FROM = 200_000, 12
@@ -63,13 +61,12 @@ BLOCKS, SKETCH = 1, 8
 #: Bits of the map of wanted sets: at least so many, so many a set, at most so many.
 BITS, BITS_A_SET, MOST_BITS = 1 << 22, 16, 1 << 28
 #: A key of more rows than LONG and than a MOST_LONG-th of all is a long one.
-LONG, MOST_LONG = 512, 20_000
+LONG, MOST_LONG, SHARE = 512, 20_000, 64
 #: Pairs that one copy of a whole set answers; entries of a list that are paired without regard to groups; levels of bits beyond.
 COPY, PLAIN, LEVELS = 64, 64, 20
-#: Bytes of text split at once; only a longer word takes more. Bytes of words whose hashes a worker keeps.
-CHUNK, KEPT = 1 << 20, 48 << 20
+#: Bytes of text hashed at once; only a longer word takes more. Bytes from which on a word is hashed by itself.
+CHUNK, LONG_WORD = 1 << 20, 256
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
-_SPACE = re.compile(SPACE_CLASS.encode())
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -78,41 +75,54 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Words(dict):
-    """Hashes by word, of as many words as KEPT allows."""
-
-    held = 0
-
-    def __missing__(self, word: bytes) -> int:
-        found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(word) <= 256:
-            self.held += len(word) + 150
-            if self.held > KEPT:
-                self.clear()
-                self.held = len(word) + 150
-            self[word] = found
-        return found
+#: Lower case of A to Z; which bytes stand in words; the lowest 0 to 8 bytes of a number.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += ord("a") - ord("A")
+_IN_WORD = np.ones(256, dtype=bool)
+_IN_WORD[[ord(c) for c in SPACES]] = False
+_LOWEST = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
 
 
 class Shingler:
-    """UTF-8 texts to sorted arrays of distinct shingle hashes."""
+    """UTF-8 texts to sorted arrays of distinct shingle hashes.
+
+    Words are hashed side by side: eight bytes of every word at a time are mixed into its hash, which starts as its length.
+    """
 
     def __init__(self, k: int):
         self.k = k
         self.odd = [_ODD[i % len(_ODD)] * np.uint64(2 * (i // len(_ODD)) + 1) for i in range(k)]
-        self.hash_of = Words()
-
-    def word_hashes(self, data: bytes) -> np.ndarray:
-        """The hashes of the words; bytes split and lower-case as the contract's words do, by ASCII alone."""
-        words = data.lower().split()
-        return np.fromiter(map(self.hash_of.__getitem__, words), dtype=np.uint64, count=len(words))
 
-    def _pieces(self, data: bytes) -> Iterator[bytes]:
+    def word_hashes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The starts and hashes of the words in some bytes."""
+        inside = _IN_WORD[data]
+        edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, lengths = edge[::2], edge[1::2] - edge[::2]
+        low = np.zeros(len(data) + 8, dtype=np.uint8)
+        low[: len(data)] = _LOWER[data]
+        eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=low, strides=(1,))  # the eight bytes from each on
+        hashes = mix(lengths.astype(np.uint64) * _ODD[0])
+        left = np.flatnonzero(lengths <= LONG_WORD)
+        done = 0
+        while len(left):
+            block = eight[starts[left] + done] & _LOWEST[np.minimum(lengths[left] - done, 8)]
+            hashes[left] = mix((hashes[left] ^ block) * _ODD[1])
+            done += 8
+            left = left[lengths[left] > done]
+        for i in np.flatnonzero(lengths > LONG_WORD):
+            hashes[i] = xxhash.xxh64_intdigest(low[starts[i] : starts[i] + lengths[i]].tobytes())
+        return starts, hashes
+
+    def _pieces(self, data: np.ndarray) -> Iterator[np.ndarray]:
         """A long text cut at white space."""
         at = 0
         while len(data) - at > CHUNK:
-            space = _SPACE.search(data, at + CHUNK)
-            cut = space.end() if space else len(data)
+            spaces = np.flatnonzero(~_IN_WORD[data[at : at + CHUNK]])
+            end = at + CHUNK
+            while not len(spaces) and end < len(data):  # a word longer than a chunk
+                spaces = np.flatnonzero(~_IN_WORD[data[end : end + CHUNK]])[:1] + (end - at)
+                end += CHUNK
+            cut = at + int(spaces[-1]) + 1 if len(spaces) else len(data)
             yield data[at:cut]
             at = cut
         yield data[at:]
@@ -135,12 +145,30 @@ class Shingler:
 
     def sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The set of each text of a string column; null: empty."""
-        for text in texts.cast(pa.large_binary()):
-            data = text.as_py() or b""
-            if len(data) <= CHUNK:
-                yield self._distinct(self.word_hashes(data))
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+        _, where, what = texts.buffers()
+        ends = np.frombuffer(where, dtype=kind)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, dtype=kind)
+        data = np.frombuffer(what, dtype=np.uint8) if what is not None else np.zeros(0, dtype=np.uint8)
+        at = 0
+        while at < len(texts):
+            until = max(at + 1, int(np.searchsorted(ends, ends[at] + CHUNK, side="right")) - 1)
+            if until == at + 1:
+                own = data[ends[at] : ends[at + 1]]
+                yield self._distinct(np.concatenate([self.word_hashes(x)[1] for x in self._pieces(own)]))
             else:
-                yield self._distinct(np.concatenate([self.word_hashes(x) for x in self._pieces(data)]))
+                # texts side by side, a space between them
+                bounds = ends[at : until + 1].astype(np.int64) - int(ends[at])
+                n = until - at
+                block = np.full(bounds[-1] + n, 32, dtype=np.uint8)
+                shift = np.repeat(np.arange(n), np.diff(bounds))
+                block[np.arange(bounds[-1]) + shift] = data[ends[at] : ends[until]]
+                starts, hashes = self.word_hashes(block)
+                edges = np.searchsorted(starts, bounds + np.arange(n + 1))
+                for i in range(n):
+                    yield self._distinct(hashes[edges[i] : edges[i + 1]])
+            at = until
 
 
 def set_hash(s: np.ndarray) -> tuple[int, int]:
@@ -375,8 +403,17 @@ def position_block(pos: Column) -> Column:
     return F.floor((F.length(F.bin(pos + 1)) - 1) / 2).cast("int")
 
 
+def hot_tokens(rows: DataFrame) -> DataFrame:
+    """The tokens of long lists, at most MOST_LONG, told from the prefixes of a SHARE-th of all sets, by hash.
+
+    They are the ones that don't go to a task by token. Which ones are told changes where rows go, and no result.
+    """
+    some = rows.where(F.pmod(F.xxhash64("set", F.lit("hot")), F.lit(SHARE)) == 0).select(F.explode("prefix").alias("token"))
+    return some.groupBy("token").count().where(F.col("count") * SHARE > LONG).orderBy(F.col("count").desc(), "token").limit(MOST_LONG).select("token")
+
+
 def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Moved) -> DataFrame:
-    """The index: token, set, n, pos, most (the largest overlap with sets whose prefix ends later) and p, the list's pivot.
+    """The index: token, set, n, pos, most (the largest overlap with sets whose prefix ends later) and the list's pivot p with its p_n and p_most.
 
     Only lists with several sets, and sets with enough such lists. A set's prefix shingles that no other set's list has
     can't be shared with a set whose prefix ends later in the global order, so the overlap with it is at most the rest. A
@@ -389,17 +426,25 @@ def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int, moved:
     tokens = often["token"].to_numpy().view(np.uint64)
     order = np.argsort(tokens)
     rows = prefixes(docs, k, percent, tokens[order], often["count"].to_numpy()[order], moved)
-    rows = stage(rows.groupBy("set").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "prefixes")
-    counts = stage(rows.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "counts")
+    rows = stage(rows, "prefixes")
+    hot = stage(hot_tokens(rows), "hot")
     entries = rows.select("set", "n", F.posexplode("prefix").alias("pos", "token"))
+    c = F.count(F.lit(1))
+    plain = entries.join(F.broadcast(hot), "token", "left_anti").repartition("token").distinct().withColumn("c", c.over(Window.partitionBy("token")))
+    long = stage(entries.join(F.broadcast(hot), "token").distinct(), "long")
+    long = long.join(F.broadcast(long.groupBy("token").agg(c.alias("c"))), "token")  # at most MOST_LONG tokens
+    several = plain.unionByName(long).where("c > 1")
     least, length = prefix_columns(F.col("n"), percent)
-    own = F.count(F.lit(1)).over(Window.partitionBy("set"))  # a set has no more entries than its prefix
+    own = c.over(Window.partitionBy("set"))  # a set has no more entries than its prefix
     most = F.col("c") + F.col("n") - length
-    enough = stage(join_by(entries, counts, "token").withColumn("c", own).where(F.col("c") >= least).withColumn("most", most).drop("c"), "enough")
+    enough = stage(several.withColumn("c", own).where(F.col("c") >= least).withColumn("most", most).drop("c"), "enough")
     pivot = F.max(F.struct((F.col("most") / F.col("n")).alias("r"), F.xxhash64("set").alias("h"), F.col("set").alias("a"), F.col("n").alias("n"), F.col("most").alias("most")))
-    lists = stage(enough.groupBy("token").agg(F.count(F.lit(1)).alias("c"), pivot.alias("p")).where("c > 1"), "pivots")
-    kept = join_by(enough.drop("most"), lists, "token").withColumn("c", own).where(F.col("c") >= least)
-    return stage(kept.withColumn("most", most).drop("c"), "lists")
+    pivots = enough.groupBy("token").agg(c.alias("c"), pivot.alias("p")).where("c > 1")
+    pivots = stage(pivots.select("token", "c", F.col("p.a").alias("p"), F.col("p.n").alias("p_n"), F.col("p.most").alias("p_most")), "pivots")
+    kept = join_by(enough.drop("most"), pivots, "token").withColumn("c", own).where(F.col("c") >= least)
+    lists = stage(kept.withColumn("most", most).drop("c"), "lists")
+    unstage(rows, hot, long, enough, pivots)
+    return lists
 
 
 def by_first_bit(entries: DataFrame, lists: DataFrame) -> DataFrame:
@@ -432,10 +477,13 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Mo
         if not n:  # no text is read for it
             return docs.sparkSession.createDataFrame([], "a long, b long, n int, m int, overlap int, less array<long>, more array<long>")
         wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b"))
-        return stage(verify(pairs, stage(whole_sets(docs, k, wanted, 2 * n, moved), f"{name}-sets")), name)
+        sets = stage(whole_sets(docs, k, wanted, 2 * n, moved), f"{name}-sets")
+        found = stage(verify(pairs, sets), name)
+        unstage(sets)
+        return found
 
     stars = (
-        lists.where("set <> p.a").select("p.a", F.col("set").alias("b"), F.col("p.n").alias("n"), F.col("n").alias("m"), F.greatest("most", "p.most").alias("most"))
+        lists.where("set <> p").select(F.col("p").alias("a"), F.col("set").alias("b"), F.col("p_n").alias("n"), F.col("n").alias("m"), F.greatest("most", "p_most").alias("most"))
         .where((F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (F.col("most") >= needed(n, m, percent)))
         .groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     )
@@ -454,10 +502,12 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Mo
     where = ("token", "level", "cell", "bit", "block", "place")
     spread = by_first_bit(entries, mixed)
     probing = spread.withColumn("low", low).where(F.col("pos") <= n - needed(n, F.col("low"), percent)).withColumn("bit", F.coalesce(1 - F.col("bit"), F.lit(0)))
-    probing = probing.withColumn("block", F.explode(F.sequence(size_block(F.col("low"), percent), size_block(n, percent))))
-    probing = probing.withColumn("place", F.explode(F.sequence(F.lit(0), position_block(F.greatest(n - needed(n, n, percent), F.lit(0))))))
+    long, one = F.col("level") >= 0, F.array(F.lit(-1))  # a list of at most PLAIN entries is one block
+    probing = probing.withColumn("block", F.explode(F.when(long, F.sequence(size_block(F.col("low"), percent), size_block(n, percent))).otherwise(one)))
+    probing = probing.withColumn("place", F.explode(F.when(long, F.sequence(F.lit(0), position_block(F.greatest(n - needed(n, n, percent), F.lit(0))))).otherwise(one)))
     left = probing.select(*where, *(F.col(c).alias(f"l_{c}") for c in names))
-    right = spread.withColumn("bit", F.coalesce("bit", F.lit(0))).withColumn("block", size_block(n, percent)).withColumn("place", position_block(F.col("pos")))
+    right = spread.withColumn("bit", F.coalesce("bit", F.lit(0))).where(F.col("pos") <= n - needed(n, n, percent))
+    right = right.withColumn("block", F.when(long, size_block(n, percent)).otherwise(-1)).withColumn("place", F.when(long, position_block(F.col("pos"))).otherwise(-1))
     right = right.select(*where, *(F.col(c).alias(f"r_{c}") for c in names))
     need = needed(F.col("l_n"), F.col("r_n"), percent)
     room = F.least("l_pos", "r_pos") + 1 + F.least(F.col("l_n") - 1 - F.col("l_pos"), F.col("r_n") - 1 - F.col("r_pos"))
@@ -474,6 +524,7 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Mo
         .distinct()
     )
     pairs = stage(pairs, "pairs")
+    unstage(lists, entries, mixed)
     told = derive(pairs.where("told").drop("told"), near)
     rest = verified(pairs.where("not told").drop("told"), "rest")
     columns = ("a", "b", "n", "m", "overlap")
