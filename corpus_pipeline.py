@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, jaccard_join, mixing, quality_model, quality_rules
-from tessera.llm.common import stage, table
+from tessera.llm.common import stage, table, unstage
 
 SHINGLE, PERCENT = 5, 80
 
@@ -53,7 +53,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for at, (name, function) in enumerate(STAGES):
-        docs = function(spark, docs, sf_dir)
+        out = function(spark, docs, sf_dir)
         if at < len(STAGES) - 1:
-            docs = stage(docs, name)
+            out = stage(out, name)
+            unstage(docs)  # the stage before has been read for the last time
+        docs = out
     return docs
