@@ -447,23 +447,28 @@ def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int, moved:
     return lists
 
 
+def _on_levels(rows: DataFrame) -> DataFrame:
+    """rows (group, level) with cell, the bits of the group's hash before the level, and bit, the one there; null on the last level and on -1."""
+    h = F.call_function("shiftrightunsigned", F.xxhash64("group", F.lit("bit")), F.lit(1))  # 63 bits
+    upto = F.greatest("level", F.lit(0))
+    bit = F.call_function("shiftrightunsigned", h, 62 - upto).bitwiseAND(F.lit(1))
+    cell = F.when(F.col("level") > 0, F.call_function("shiftrightunsigned", h, 63 - upto)).otherwise(0)
+    return rows.withColumn("cell", cell).withColumn("bit", F.when(F.col("level").between(0, LEVELS - 1), bit))
+
+
 def by_first_bit(entries: DataFrame, lists: DataFrame) -> DataFrame:
     """entries with level, cell and bit: pairs of different groups of a list meet once, on level and cell with other bits.
 
-    lists: token, c, for lists of several groups. In a list of at most PLAIN entries, all meet on level -1 (their bit is
-    null). In longer ones, an entry stands on every level with the bits of its group's hash before it (the cell), and meets
-    entries of the other bit there; on the last level all of a cell meet (their bit is null), if they aren't one group.
+    lists: token, c, for lists of several groups. In a list of at most PLAIN entries, all meet on level -1. In longer
+    ones, an entry stands on every level where groups of its list part; on the last level all of a cell meet. Where groups
+    part is told from a list's groups, a row each, so that nothing is dealt out for levels on which no pair can meet.
     """
-    h = F.call_function("shiftrightunsigned", F.xxhash64("group", F.lit("bit")), F.lit(1))  # 63 bits
-    upto = F.greatest("level", F.lit(0))
-    levels = F.when(F.col("size") > PLAIN, F.sequence(F.lit(0), F.lit(LEVELS))).otherwise(F.array(F.lit(-1)))
-    out = join_by(entries, lists.withColumn("size", F.col("c")), "token").withColumn("level", F.explode(levels)).drop("size")
-    out = out.withColumn("cell", F.when(F.col("level") > 0, F.call_function("shiftrightunsigned", h, 63 - upto)).otherwise(0))
-    bit = F.call_function("shiftrightunsigned", h, 62 - upto).bitwiseAND(F.lit(1))
-    out = stage(out.withColumn("bit", F.when(F.col("level").between(0, LEVELS - 1), bit)), "spread")
-    last = out.where(F.col("level") == LEVELS)
-    crowded = last.groupBy("token", "cell").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
-    return out.where(F.col("level") < LEVELS).unionByName(last.join(crowded, ["token", "cell"], "left_semi"))
+    several = entries.select("token", "group").distinct().join(lists.where(F.col("c") > PLAIN).select("token"), "token")
+    cells = _on_levels(several.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))).groupBy("token", "level", "cell")
+    parting = cells.agg(F.coalesce(F.min("bit") != F.max("bit"), F.min("group") != F.max("group")).alias("part")).where("part")
+    levels = parting.groupBy("token").agg(F.collect_set("level").alias("levels"))
+    known = lists.join(levels, "token", "left").withColumn("levels", F.coalesce("levels", F.array(F.lit(-1))))
+    return stage(_on_levels(join_by(entries, stage(known, "levels"), "token").withColumn("level", F.explode("levels")).drop("levels")), "spread")
 
 
 def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Moved) -> DataFrame:
