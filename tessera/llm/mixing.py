@@ -123,7 +123,8 @@ def take(docs: DataFrame, **how) -> DataFrame:
     )
     # a small table of its own, as a rule empty, so that no text is shuffled for it
     left = stage(handed.where("left > 0").select("h", F.col("left").alias("times")), "left")
-    each = keyed.join(handed.where("times > 0").select("h", "times"), "h").select("row", "times")
+    # a row for each document that is taken has no bound: merged at every size, never broadcast
+    each = keyed.join(handed.where("times > 0").select("h", "times").hint("merge"), "h").select("row", "times")
     rest = keyed.join(left, "h").groupBy("h", "times").agg(F.first("row").alias("row")).select("row", "times")
     return each.unionByName(rest).select("row", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select("row.*")
 
