@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 #: All characters that count as white space at a text's ends (fixed values).
 WHITE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+WHITE_CHARACTERS = "".join(chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 #: A word of the lexical index: letters and numbers of any script, and the low line.
 TOKEN = r"[\p{L}\p{N}_]+"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{WHITE}+|{WHITE}+$", "")
+    """text without outer white space, in one pass from either end."""
+    return F.btrim(text, F.lit(WHITE_CHARACTERS))
 
 
 def tokens(text: Column) -> Column:

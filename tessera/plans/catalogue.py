@@ -146,10 +146,10 @@ def safe_filename(spark: SparkSession, d: str) -> DataFrame:
     return ids.select("content_id", X.safe_filename(F.col("content_id")).alias("file_name"))
 
 
-@query("SELECT doc_id, substr(sha256(text), 1, 16) AS hash, CASE WHEN n_chars * 97 < 1024 THEN n_chars * 97 || ' B' ELSE 'larger' END AS size, concat_ws(' > ', source, nullif(lang, 'en')) AS path FROM documents")
+@query("SELECT doc_id, substr(sha256(text), 1, 16) AS hash, CASE WHEN n_chars * 97 < 1024 THEN n_chars * 97 || ' B' WHEN n_chars * 97 < 1048576 THEN printf('%.1f', round(n_chars * 97 / 1024e0, 1)) || ' KB' ELSE printf('%.1f', round(n_chars * 97 / 1048576e0, 1)) || ' MB' END AS size, concat_ws(' > ', source, nullif(lang, 'en')) AS path FROM documents")
 def text_functions(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("n_chars") * 97
-    return table(spark, d, "documents").select("doc_id", X.hash_prefix(F.col("text")).alias("hash"), F.when(n < 1024, X.human_size(n)).otherwise("larger").alias("size"), X.heading_path(F.col("source"), F.nullif("lang", F.lit("en"))).alias("path"))
+    return table(spark, d, "documents").select("doc_id", X.hash_prefix(F.col("text")).alias("hash"), X.human_size(n).alias("size"), X.heading_path(F.col("source"), F.nullif("lang", F.lit("en"))).alias("path"))
 
 
 @query("SELECT doc_id, len(t)::INTEGER AS tokens, md5(array_to_string(t, ' ')) AS tokens_md5 FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS t FROM documents)")
@@ -223,15 +223,21 @@ def _chunk_documents(items: DataFrame) -> DataFrame:
     return rows.select("id", "content_id", F.md5(F.col("document").cast("binary")).alias("document_md5"), "metadata.url")
 
 
-@query(f"WITH {ITEMS_SQL} SELECT content_id || '::chunk0' AS id, content_id, md5('Title: ' || title || ' | Author: ' || author || chr(10) || regexp_replace(content_md, '^{WHITE_SQL}+|{WHITE_SQL}+$', '', 'g')) AS document_md5, nullif(url, '') AS url FROM i WHERE length(content_md) <= {4 * CHUNK}")
+_CHUNK_DOCUMENTS_SQL = f"""WITH {ITEMS_SQL}, w AS (SELECT content_id, title, author, url, content_md AS t, unnest(range(CASE WHEN length(content_md) <= {4 * CHUNK} THEN 1 ELSE CAST(ceil((length(content_md) - {4 * STEP}) / {4 * (CHUNK - STEP)}.0) AS BIGINT) END)) AS k FROM i),
+ s AS (SELECT *, regexp_replace(substr(t, CAST(k * {4 * (CHUNK - STEP)} + 1 AS BIGINT), {4 * CHUNK}), '^{WHITE_SQL}+|{WHITE_SQL}+$', '', 'g') AS x FROM w),
+ n AS (SELECT *, row_number() OVER (PARTITION BY content_id ORDER BY k) - 1 AS place FROM s WHERE x <> '')
+ SELECT content_id || '::chunk' || place AS id, content_id, md5('Title: ' || title || ' | Author: ' || author || chr(10) || x) AS document_md5, nullif(url, '') AS url FROM n"""
+
+
+@query(_CHUNK_DOCUMENTS_SQL)
 def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Only contents of one chunk, as its SQL has them; chunk_documents_whole has all."""
-    return _chunk_documents(contents.work_items(contents_of(spark, d)).where(F.length("content_md") <= 4 * CHUNK))
+    return _chunk_documents(contents.work_items(contents_of(spark, d)))
 
 
-@query()
+@query(_CHUNK_DOCUMENTS_SQL)
 def chunk_documents_whole(spark: SparkSession, d: str) -> DataFrame:
-    return _chunk_documents(contents.work_items(contents_of(spark, d)))
+    """The same rows as chunk_documents, which once left out contents of several chunks."""
+    return chunk_documents(spark, d)
 
 
 @query(f"WITH {ITEMS_SQL} SELECT count(*) AS indexed, CAST(0 AS BIGINT) AS errors, CAST(sum(CASE WHEN length(content_md) <= {4 * CHUNK} THEN 1 ELSE ceil((length(content_md) - {4 * STEP}) / {4 * (CHUNK - STEP)}.0) END) AS BIGINT) AS chunks FROM i")
