@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import math
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,53 @@ def missing(wanted: DataFrame, existing: DataFrame, name: str = "collection") ->
     return wanted.select(name).distinct().join(existing.select(name).distinct(), name, "left_anti")
 
 
+#: Bytes of queries' texts that one pass over contents looks for; more take more passes.
+NEEDLES = 1 << 24
+
+
+def holding(contents: DataFrame, queries: DataFrame, text: str = "content_md") -> DataFrame:
+    """query_id and content_id wherever a content's text holds the whole text of a query, each pair once.
+
+    A pass reads each text once, whatever the number of queries: an automaton of at most NEEDLES bytes of queries, made
+    in each task, finds all of them in linear time. Null texts hold nothing and are held by nothing; an empty query is
+    held by every text.
+    """
+    q = queries.select(F.col("query_id").cast("string").alias("query_id"), "query").where("query_id is not null and query is not null")
+    packs = max(1, math.ceil((q.agg(F.sum(F.octet_length("query")).alias("bytes")).first().bytes or 0) / NEEDLES))
+    rows = contents.select("content_id", text).where(F.col(text).isNotNull())
+    parts = []
+    for p in range(packs):
+        wanted: dict[str, list[str]] = {}
+        for r in q.where(F.pmod(F.xxhash64("query_id"), F.lit(packs)) == p).collect():
+            wanted.setdefault(r.query, []).append(r.query_id)
+        parts.append(rows.mapInArrow(_found(contents.sparkSession.sparkContext.broadcast(wanted)), "query_id string, content_id string"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _found(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        wanted = shared.value
+        automaton = ahocorasick.Automaton()
+        for t in wanted:
+            if t:
+                automaton.add_word(t, t)
+        automaton.make_automaton()
+        for batch in batches:
+            ids, held = [], []
+            for content, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                hits = {t for _, t in automaton.iter(text)} if len(automaton) else set()
+                if "" in wanted:
+                    hits.add("")
+                own = {i for t in hits for i in wanted[t]}
+                ids += own
+                held += [content] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(held, pa.string())], names=["query_id", "content_id"])
+
+    return run
+
+
 def per_query(results: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """recall, precision and mrr of each query; one without results gets empty lists.
 

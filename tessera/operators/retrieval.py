@@ -41,20 +41,24 @@ def vector_topk(rows: DataFrame, queries: DataFrame, k: int, id_column: str = "i
     """The k rows nearest to each query by cosine, exactly: query_id, id, score, rank.
 
     A pass over the rows holds at most PACK query vectors in each worker, multiplies batch by batch and keeps k rows a
-    query and task; only those meet in the ranking. Rows or queries without length score 0.
+    query and task; only those meet in the ranking. Rows or queries of length zero score 0. A query meets the rows whose
+    vectors have as many components; vectors that are null or hold a null take no part.
     """
     spark = rows.sparkSession
-    packs = max(1, math.ceil(queries.count() / PACK))
+    whole = lambda c: F.coalesce(~F.exists(c, lambda x: x.isNull()), F.lit(False))
+    queries = queries.select("query_id", F.col(query_vector).alias("v")).where(whole("v"))
     kind = rows.schema[id_column].dataType.simpleString()
     found = None
+    first = queries.limit(PACK + 1).collect()
+    packs = 1 if len(first) <= PACK else math.ceil(queries.count() / PACK)
     for p in range(packs):
-        own = queries if packs == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(packs)) == p)
-        got = own.select("query_id", query_vector).collect()
-        if not got:
-            continue
-        shared = spark.sparkContext.broadcast((np.array([r.query_id for r in got], dtype=object), unit_rows(np.array([r[1] for r in got], dtype=np.float64))))
-        part = rows.select(id_column, vector).mapInArrow(_scan(shared, k), f"query_id string, {id_column} {kind}, score double")
-        found = part if found is None else found.unionByName(part)
+        got = first if packs == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(packs)) == p).collect()
+        for size in sorted({len(r.v) for r in got}):
+            own = [r for r in got if len(r.v) == size]
+            shared = spark.sparkContext.broadcast((np.array([r.query_id for r in own], dtype=object), unit_rows(np.array([r.v for r in own], dtype=np.float64))))
+            alike = rows.select(id_column, vector).where(whole(vector) & (F.size(vector) == size))
+            part = alike.mapInArrow(_scan(shared, k), f"query_id string, {id_column} {kind}, score double")
+            found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], f"query_id string, {id_column} {kind}, score double, rank int")
     return ranked(found, k, F.col("score").desc(), F.col(id_column))
@@ -97,26 +101,37 @@ def _first(scores: np.ndarray, ids: np.ndarray, k: int) -> list[int]:
     return sorted(at, key=lambda j: (-scores[j], ids[j]))[:k]
 
 
-def result_columns(top: DataFrame, collection: DataFrame) -> DataFrame:
-    """query_id, rank, chunk_id, score with the document and metadata of the chunk; the collection's embeddings aren't read."""
+def result_columns(top: DataFrame, collection: DataFrame, few: bool = False) -> DataFrame:
+    """query_id, rank, chunk_id, score with the document and metadata of the chunk; the collection's embeddings aren't read.
+
+    few: top answers at most PACK queries and all its chunks are in the collection. Then it's broadcast to the scan of the
+    collection, and no text is shuffled.
+    """
     docs = collection.select(F.col("id").alias("chunk_id"), "content_id", "document", "metadata")
-    return top.join(docs, "chunk_id", "left").select(
+    joined = docs.join(F.broadcast(top), "chunk_id") if few else top.join(docs, "chunk_id", "left")
+    return joined.select(
         "query_id", F.col("rank").cast("int").alias("rank"), "chunk_id", F.coalesce("content_id", F.lit("")).alias("content_id"), F.coalesce("document", F.lit("")).alias("document"), "score", "metadata"
     )
 
 
+def are_few(queries: DataFrame) -> bool:
+    return queries.limit(PACK + 1).count() <= PACK
+
+
 class Cosine:
+    """texts: the collection's rows without embeddings, where reading them from the collection would compute these again."""
+
     name = "cosine"
 
-    def __init__(self, collection: DataFrame, model: str = DEFAULT_MODEL):
-        self.collection, self.model = collection, model
+    def __init__(self, collection: DataFrame, model: str = DEFAULT_MODEL, texts: DataFrame | None = None):
+        self.collection, self.model, self.texts = collection, model, collection if texts is None else texts
 
     def top(self, queries: DataFrame, k: int) -> DataFrame:
         q = embed(queries.select("query_id", "query"), "query", self.model, kind="double")
         return vector_topk(self.collection, q, k).select("query_id", F.col("id").alias("chunk_id"), "score", "rank")
 
     def retrieve(self, queries: DataFrame, k: int = K) -> DataFrame:
-        return result_columns(self.top(queries, k), self.collection)
+        return result_columns(self.top(queries, k), self.texts, are_few(queries))
 
 
 # --- lexical
@@ -191,16 +206,17 @@ def fuse(rankings: list[DataFrame], k: int, rrf_k: int = RRF_K) -> DataFrame:
 class Hybrid:
     name = "hybrid"
 
-    def __init__(self, collection: DataFrame, model: str = DEFAULT_MODEL, factor: int = FACTOR, rrf_k: int = RRF_K, lexical: LexicalIndex | None = None):
-        self.collection, self.dense, self.factor, self.rrf_k = collection, Cosine(collection, model), factor, rrf_k
-        self.lexical = lexical or LexicalIndex.build(collection)
+    def __init__(self, collection: DataFrame, model: str = DEFAULT_MODEL, factor: int = FACTOR, rrf_k: int = RRF_K, lexical: LexicalIndex | None = None, texts: DataFrame | None = None):
+        self.collection, self.dense, self.factor, self.rrf_k = collection, Cosine(collection, model, texts), factor, rrf_k
+        # an index that is handed in may name chunks that the collection no longer has
+        self.own, self.lexical = lexical is None, lexical or LexicalIndex.build(self.dense.texts)
 
     def top(self, queries: DataFrame, k: int) -> DataFrame:
         n = self.factor * k
         return fuse([self.dense.top(queries, n), self.lexical.top(queries, n)], k, self.rrf_k)
 
     def retrieve(self, queries: DataFrame, k: int = K) -> DataFrame:
-        return result_columns(self.top(queries, k), self.collection)
+        return result_columns(self.top(queries, k), self.dense.texts, self.own and are_few(queries))
 
 
 def lexical_overlap(query: Column, document: Column) -> Column:
@@ -252,15 +268,15 @@ class MultiQuery:
 STRATEGIES: dict[str, Callable[..., Retriever]] = {
     "cosine": Cosine,
     "hybrid": Hybrid,
-    "rerank": lambda collection, model=DEFAULT_MODEL: Rerank(Cosine(collection, model)),
-    "rerank_hybrid": lambda collection, model=DEFAULT_MODEL: Rerank(Hybrid(collection, model)),
+    "rerank": lambda collection, model=DEFAULT_MODEL, **how: Rerank(Cosine(collection, model, **how)),
+    "rerank_hybrid": lambda collection, model=DEFAULT_MODEL, **how: Rerank(Hybrid(collection, model, **how)),
 }
 
 
-def build_strategy(collection: DataFrame, spec: str = "cosine", model: str = DEFAULT_MODEL) -> Retriever:
+def build_strategy(collection: DataFrame, spec: str = "cosine", model: str = DEFAULT_MODEL, **how) -> Retriever:  # noqa: ANN003
     if spec not in STRATEGIES:
         raise ValueError(f"Unknown retrieval strategy {spec!r}; there are {', '.join(sorted(STRATEGIES))}")
-    return STRATEGIES[spec](collection, model)
+    return STRATEGIES[spec](collection, model, **how)
 
 
 def search(collection: DataFrame, query: str, k: int = K, model: str = DEFAULT_MODEL) -> DataFrame:

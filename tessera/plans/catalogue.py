@@ -73,6 +73,10 @@ def vectors(spark: SparkSession, d: str, model: str = embedding.DEFAULT_MODEL) -
     return embedding.embed(corpus(spark, d), "document", model, kind="double")
 
 
+def _strategy(spark: SparkSession, d: str, spec: str, model: str = embedding.DEFAULT_MODEL) -> retrieval.Retriever:
+    return retrieval.build_strategy(vectors(spark, d, model), spec, model, texts=corpus(spark, d))
+
+
 # --- scans, filters, updates
 
 _COLUMNS = "content_id, source_key, title, author, url, vector_status, stored_at"
@@ -298,7 +302,7 @@ def _out(found: DataFrame) -> DataFrame:
 
 @query(f"WITH {_DENSE_SQL} {_OUT} dense WHERE rank <= 5")
 def retrieve_cosine(spark: SparkSession, d: str) -> DataFrame:
-    return _out(retrieval.Cosine(vectors(spark, d)).retrieve(queries_of(spark, d)))
+    return _out(_strategy(spark, d, "cosine").retrieve(queries_of(spark, d)))
 
 
 @query(f"WITH {CONTENTS_SQL}, q AS (SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark), {_BM25_SQL} SELECT term, df, round(idf, 6) AS idf FROM te")
@@ -313,7 +317,7 @@ def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_DENSE_SQL}, {_BM25_SQL}, {_FUSED_SQL.format(n=20)} {_OUT} fused WHERE rank <= 5")
 def retrieve_hybrid(spark: SparkSession, d: str) -> DataFrame:
-    return _out(retrieval.Hybrid(vectors(spark, d)).retrieve(queries_of(spark, d)))
+    return _out(_strategy(spark, d, "hybrid").retrieve(queries_of(spark, d)))
 
 
 _RERANK_SQL = f"""rr AS (SELECT w.query_id, w.chunk_id, w.rank AS inner_rank, list_distinct(regexp_extract_all(lower(q.query), '{_TOKENS_SQL}')) AS qt, regexp_extract_all(lower(c.content_md), '{_TOKENS_SQL}') AS dt
@@ -324,12 +328,12 @@ _RERANK_SQL = f"""rr AS (SELECT w.query_id, w.chunk_id, w.rank AS inner_rank, li
 
 @query(f"WITH {_DENSE_SQL}, {_RERANK_SQL.replace('{inner}', 'dense')} {_OUT} re WHERE rank <= 5")
 def retrieve_rerank(spark: SparkSession, d: str) -> DataFrame:
-    return _out(retrieval.build_strategy(vectors(spark, d), "rerank").retrieve(queries_of(spark, d)))
+    return _out(_strategy(spark, d, "rerank").retrieve(queries_of(spark, d)))
 
 
 @query(f"WITH {_DENSE_SQL}, {_BM25_SQL}, {_FUSED_SQL.format(n=80)}, {_RERANK_SQL.replace('{inner}', 'fused')} {_OUT} re WHERE rank <= 5")
 def retrieve_rerank_hybrid(spark: SparkSession, d: str) -> DataFrame:
-    return _out(retrieval.build_strategy(vectors(spark, d), "rerank_hybrid").retrieve(queries_of(spark, d)))
+    return _out(_strategy(spark, d, "rerank_hybrid").retrieve(queries_of(spark, d)))
 
 
 @query()
@@ -347,7 +351,7 @@ def lost_in_middle(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def deduplicated_results(spark: SparkSession, d: str) -> DataFrame:
-    found = retrieval.Cosine(vectors(spark, d, embedding.WHOLE_MODEL), embedding.WHOLE_MODEL).retrieve(queries_of(spark, d), 10)
+    found = _strategy(spark, d, "cosine", embedding.WHOLE_MODEL).retrieve(queries_of(spark, d), 10)
     return _out(postprocess.deduplicate(found))
 
 
@@ -359,9 +363,9 @@ _METRICS_SQL = f"""{_DENSE_SQL}, {_EXPECTED_SQL}, got AS (SELECT query_id, list(
 
 
 def eval_queries(spark: SparkSession, d: str) -> DataFrame:
-    """Benchmark passages with the contents that hold them. The passages are few and fixed in number, the driver's query set."""
+    """Benchmark passages with the contents that hold them."""
     q = queries_of(spark, d)
-    hits = contents_of(spark, d).select("content_id", "content_md").join(F.broadcast(q), F.expr("contains(content_md, query)")).groupBy("query_id").agg(F.array_sort(F.collect_list("content_id")).alias("expected"))
+    hits = evaluation.holding(contents_of(spark, d), q).groupBy("query_id").agg(F.array_sort(F.collect_list("content_id")).alias("expected"))
     rows = q.join(hits, "query_id", "left").withColumn("expected", F.coalesce("expected", F.array().cast("array<string>")))
     return rows.withColumn("category", F.when(F.size("expected") == 0, "negative").when(F.size("expected") == 1, "easy").otherwise("cross"))
 
@@ -369,14 +373,14 @@ def eval_queries(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_METRICS_SQL} SELECT query_id, category, round(recall, 6) AS recall, round(precision, 6) AS precision, round(mrr, 6) AS mrr FROM m")
 def metrics_per_query(spark: SparkSession, d: str) -> DataFrame:
     q = eval_queries(spark, d)
-    found = evaluation.per_query(retrieval.Cosine(vectors(spark, d)).retrieve(q), q)
+    found = evaluation.per_query(_strategy(spark, d, "cosine").retrieve(queries_of(spark, d)), q)
     return found.select("query_id", "category", *(F.round(c, 6).alias(c) for c in ("recall", "precision", "mrr")))
 
 
 @query(f"WITH {_METRICS_SQL} SELECT category, count(*) AS queries, round(avg(recall), 6) AS recall, round(avg(precision), 6) AS precision, round(avg(mrr), 6) AS mrr, CAST(grouping(category) AS INTEGER) AS is_overall FROM m GROUP BY GROUPING SETS ((), (category))")
 def eval_rollup(spark: SparkSession, d: str) -> DataFrame:
     q = eval_queries(spark, d)
-    by_query = evaluation.per_query(retrieval.Cosine(vectors(spark, d)).retrieve(q), q).withColumn("collection", F.lit("c")).withColumn("strategy", F.lit("cosine"))
+    by_query = evaluation.per_query(_strategy(spark, d, "cosine").retrieve(queries_of(spark, d)), q).withColumn("collection", F.lit("c")).withColumn("strategy", F.lit("cosine"))
     total = evaluation.rollup(by_query)
     return total.select("category", "queries", *(F.round(c, 6).alias(c) for c in ("recall", "precision", "mrr")), F.col("is_overall").cast("int").alias("is_overall"))
 
@@ -443,5 +447,5 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     items = contents.work_items(contents_of(spark, d))
     rows = embedding.embed_records(chunking.chunk_records(items, "fixed"), embedding.WHOLE_MODEL)
     q = eval_queries(spark, d)
-    by_query = evaluation.per_query(retrieval.Cosine(rows, embedding.WHOLE_MODEL).retrieve(q), q).withColumn("collection", F.lit("fixed")).withColumn("strategy", F.lit("cosine"))
+    by_query = evaluation.per_query(retrieval.Cosine(rows, embedding.WHOLE_MODEL).retrieve(queries_of(spark, d)), q).withColumn("collection", F.lit("fixed")).withColumn("strategy", F.lit("cosine"))
     return evaluation.rollup(by_query)

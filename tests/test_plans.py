@@ -57,3 +57,16 @@ def test_one_pass_for_all_levels(spark):
     rows = spark.createDataFrame([("c", "s", "x", 1.0, 1.0, 1.0)], "collection string, strategy string, category string, recall double, precision double, mrr double")
     found = plan(evaluation.rollup(rows))
     assert found.count("Expand\n") + len(re.findall(r"\) Expand", found)) >= 1 and "Union" not in found
+
+
+@pytest.mark.parametrize("strategy", ["cosine", "hybrid"])
+def test_texts_of_few_results_are_not_shuffled(spark, stored, strategy):
+    found = plan(retrieval.build_strategy(stored[1], strategy).retrieve(queries(spark, "cat"), 3))
+    tree = found[: found.index("\n\n")]
+    assert "BroadcastHashJoin Inner BuildRight" in tree and "LeftOuter" not in tree
+
+
+def test_expected_contents_need_no_join_of_all(spark, stored):
+    q = queries(spark, "cat")
+    found = plan(evaluation.holding(stored[0], q))
+    assert "NestedLoop" not in found and "Cartesian" not in found and "Exchange" not in found

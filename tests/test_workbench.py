@@ -261,3 +261,28 @@ def test_batches_are_slices_in_key_order(spark):
     rows = spark.range(95).selectExpr("printf('k%03d', id) AS content_id").repartition(4)
     got = {r.content_id: r.batch for r in contents.batches(rows).collect()}
     assert all(got[f"k{i:03}"] == i // 10 for i in range(95))
+
+
+@pytest.mark.parametrize("bytes_a_pass", [1 << 24, 8])
+def test_contents_that_hold_a_query(spark, monkeypatch, bytes_a_pass):
+    monkeypatch.setattr(evaluation, "NEEDLES", bytes_a_pass)
+    texts = {"a": "one two three", "b": "xtwo thr", "c": "", "d": None, "e": "drei zwölf 🙂 two"}
+    wanted = {"1": "two", "2": "two th", "3": "", "4": None, "5": "two", "6": "zwölf 🙂", "7": "not there"}
+    contents_df = spark.createDataFrame(list(texts.items()), "content_id string, content_md string")
+    found = evaluation.holding(contents_df, spark.createDataFrame(list(wanted.items()), "query_id string, query string"))
+    assert sorted(map(tuple, found.collect())) == sorted((q, c) for q, w in wanted.items() for c, t in texts.items() if w is not None and t is not None and w in t)
+    assert evaluation.holding(contents_df, spark.createDataFrame([], "query_id string, query string")).count() == 0
+
+
+def test_vectors_of_other_lengths_and_nulls_take_no_part(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [1.0, None]), (4, [1.0, 0.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0])], "id long, embedding array<double>")
+    q = spark.createDataFrame([("x", [1.0, 0.0]), ("y", [0.0, 1.0, 0.0]), ("z", None), ("w", [None, 1.0])], "query_id string, embedding array<double>")
+    found = retrieval.vector_topk(rows, q, 5).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.id, r.score) for r in found] == [("x", 1, 1.0), ("x", 5, 0.0), ("y", 4, 0.0)]
+    assert retrieval.vector_topk(rows, q.where("query_id = 'z'"), 5).count() == 0
+
+
+def test_an_index_of_chunks_that_went_keeps_its_places(spark):
+    index = retrieval.LexicalIndex.build(spark.createDataFrame([("gone", "cat")], "id string, document string"))
+    found = retrieval.Hybrid(collection(spark), lexical=index).retrieve(queries(spark, "cat"), 9)
+    assert found.where("chunk_id = 'gone' and document = '' and content_id = ''").count() == 1
