@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import json
+import time
+from collections.abc import Iterable
 from datetime import UTC, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 
+from ..config import EVAL_COMBOS, model_of_collection, parse_combo
 from ..operators.backup import STAMP
+from ..operators.evaluation import evaluate, preflight, rollup
+from ..operators.retrieval import K, build_strategy
 
 METRICS = ("recall", "precision", "mrr")
 
@@ -51,3 +56,24 @@ def write_report(found: dict, folder: str | Path) -> tuple[Path, Path]:
     stem.with_suffix(".json").write_text(json.dumps(found, indent=2, ensure_ascii=False), encoding="utf-8")
     stem.with_suffix(".md").write_text(markdown(found), encoding="utf-8")
     return stem.with_suffix(".json"), stem.with_suffix(".md")
+
+
+def latencies(store, queries: DataFrame, combos: Iterable[str] = EVAL_COMBOS, k: int = K) -> dict[str, float]:  # noqa: ANN001
+    """Milliseconds a query by combination, for those whose collection has rows: a run of all queries at once, index building included, over their number."""
+    n, found = queries.count(), {}
+    for combo in combos:
+        collection, strategy = parse_combo(combo)
+        if not n or not store.exists(collection) or store.read(collection).isEmpty():
+            continue
+        began = time.perf_counter()
+        build_strategy(store.read(collection), strategy, model_of_collection(collection)).retrieve(queries, k).write.format("noop").mode("overwrite").save()
+        found[combo] = (time.perf_counter() - began) * 1000 / n
+    return found
+
+
+def run(store, queries: DataFrame, folder: str | Path, version: str, combos: Iterable[str] = EVAL_COMBOS, k: int = K) -> tuple[Path, Path]:  # noqa: ANN001
+    """The whole evaluation: preflight, all combinations, roll-ups, measured latencies, and the report's two files."""
+    combos = tuple(combos)
+    preflight(queries, store.names(), combos)
+    by_query, status = evaluate(store, queries, combos, k)
+    return write_report(report(status, rollup(by_query), version, queries.count(), latencies(store, queries, combos, k)), folder)

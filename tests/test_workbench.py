@@ -201,6 +201,14 @@ def test_evaluation_and_report(spark, tmp_path):
     a, b = report.write_report(found, tmp_path / "out")
     assert json.loads(a.read_text())["combos"]["markdown_minilm__cosine"]["overall"]["recall"] == pytest.approx(2 / 3) and b.read_text() == text
     assert f"{0.0625:.3f}" == "0.062"
+    c, d = report.run(store, q, tmp_path / "whole", "v1", combos, 3)
+    whole = json.loads(c.read_text())
+    assert {n: x["status"] for n, x in whole["combos"].items()} == {n: x["status"] for n, x in found["combos"].items()} and "| v" not in d.read_text()
+    for name, x in whole["combos"].items():
+        if x["status"] == "ok":
+            assert x["overall"]["latency_ms"] > 0 and x["overall"]["recall"] == found["combos"][name]["overall"]["recall"]
+    with pytest.raises(ValueError):
+        report.run(store, q, tmp_path / "none", "v1", ["recursive_minilm__cosine"])
 
 
 def test_evaluation_keeps_fewer_contents_than_chunks(spark):
