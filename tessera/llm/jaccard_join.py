@@ -447,28 +447,55 @@ def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int, moved:
     return lists
 
 
+def _bits_of(group: Column) -> Column:
+    """A hash of 63 bits by which the groups of long lists are told apart."""
+    return F.call_function("shiftrightunsigned", F.xxhash64(group, F.lit("bit")), F.lit(1))
+
+
 def _on_levels(rows: DataFrame) -> DataFrame:
     """rows (group, level) with cell, the bits of the group's hash before the level, and bit, the one there; null on the last level and on -1."""
-    h = F.call_function("shiftrightunsigned", F.xxhash64("group", F.lit("bit")), F.lit(1))  # 63 bits
+    h = _bits_of(F.col("group"))
     upto = F.greatest("level", F.lit(0))
     bit = F.call_function("shiftrightunsigned", h, 62 - upto).bitwiseAND(F.lit(1))
     cell = F.when(F.col("level") > 0, F.call_function("shiftrightunsigned", h, 63 - upto)).otherwise(0)
     return rows.withColumn("cell", cell).withColumn("bit", F.when(F.col("level").between(0, LEVELS - 1), bit))
 
 
-def by_first_bit(entries: DataFrame, lists: DataFrame) -> DataFrame:
+def _mask_bit(of: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(of, F.lit(64)).cast("int"))
+
+
+def _in_mask(mask: Column, of: Column) -> Column:
+    return mask.bitwiseAND(_mask_bit(of)) != 0
+
+
+def by_first_bit(entries: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     """entries with level, cell and bit: pairs of different groups of a list meet once, on level and cell with other bits.
 
     lists: token, c, for lists of several groups. In a list of at most PLAIN entries, all meet on level -1. In longer
-    ones, an entry stands on every level where groups of its list part; on the last level all of a cell meet. Where groups
-    part is told from a list's groups, a row each, so that nothing is dealt out for levels on which no pair can meet.
+    ones, an entry stands on the levels on which its group parts from another one of the list (where a list has over
+    PLAIN groups, on those on which any of its groups part), and on the last level all of a cell meet. Long lists have two
+    masks of 64 bits, blocks and places: which blocks of sizes and of positions hold entries that can be found. A bit
+    may stand for several blocks, so a mask never hides one.
     """
-    several = entries.select("token", "group").distinct().join(lists.where(F.col("c") > PLAIN).select("token"), "token")
-    cells = _on_levels(several.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))).groupBy("token", "level", "cell")
+    n, found = F.col("n"), F.col("pos") <= F.col("n") - needed(F.col("n"), F.col("n"), percent)
+    masks = [F.bit_or(c).alias(c) for c in ("blocks", "places")]
+    bits = [F.when(found, _mask_bit(x)).otherwise(0).alias(c) for c, x in (("blocks", size_block(n, percent)), ("places", position_block(F.col("pos"))))]
+    several = join_by(entries.select("token", "group", *bits), lists.where(F.col("c") > PLAIN), "token").groupBy("token", "group").agg(*masks)
+    several = stage(several, "several")
+    numbers = stage(several.groupBy("token").agg(F.count(F.lit(1)).alias("c"), *masks), "numbers")
+    told = join_by(several.select("token", "group"), numbers.select("token", "c", (F.col("c") <= PLAIN).alias("few")), "token")
+    few = told.where("few").groupBy("token").agg(F.collect_list("group").alias("others"))
+    cells = _on_levels(told.where("not few").withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))).groupBy("token", "level", "cell")
     parting = cells.agg(F.coalesce(F.min("bit") != F.max("bit"), F.min("group") != F.max("group")).alias("part")).where("part")
     levels = parting.groupBy("token").agg(F.collect_set("level").alias("levels"))
-    known = lists.join(levels, "token", "left").withColumn("levels", F.coalesce("levels", F.array(F.lit(-1))))
-    return stage(_on_levels(join_by(entries, stage(known, "levels"), "token").withColumn("level", F.explode("levels")).drop("levels")), "spread")
+    known = lists.join(numbers.drop("c"), "token", "left").join(levels, "token", "left").join(few, "token", "left")
+    known = stage(known.withColumn("levels", F.when(F.col("others").isNull(), F.coalesce("levels", F.array(F.lit(-1))))), "levels")
+    unstage(several, numbers)
+    # the first bit in which two hashes differ
+    apart = F.transform(F.filter("others", lambda x: x != F.col("group")), lambda x: _bits_of(x).bitwiseXOR(_bits_of(F.col("group"))))
+    first = F.array_distinct(F.transform(apart, lambda x: F.when(x == 0, LEVELS).otherwise(F.least(F.lit(LEVELS), 63 - F.length(F.bin(x))))))
+    return stage(_on_levels(join_by(entries, known, "token").withColumn("level", F.explode(F.coalesce("levels", first))).drop("levels", "others")), "spread")
 
 
 def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Moved) -> DataFrame:
@@ -505,11 +532,13 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Mo
     low = F.ceil(n * (percent / 100.0) - 1e-9)
     names = ("set", "n", "pos", "most", "group", "x", "o", *(f"s{i}" for i in range(SKETCH)))
     where = ("token", "level", "cell", "bit", "block", "place")
-    spread = by_first_bit(entries, mixed)
+    spread = by_first_bit(entries, mixed, percent)
     probing = spread.withColumn("low", low).where(F.col("pos") <= n - needed(n, F.col("low"), percent)).withColumn("bit", F.coalesce(1 - F.col("bit"), F.lit(0)))
     long, one = F.col("level") >= 0, F.array(F.lit(-1))  # a list of at most PLAIN entries is one block
-    probing = probing.withColumn("block", F.explode(F.when(long, F.sequence(size_block(F.col("low"), percent), size_block(n, percent))).otherwise(one)))
-    probing = probing.withColumn("place", F.explode(F.when(long, F.sequence(F.lit(0), position_block(F.greatest(n - needed(n, n, percent), F.lit(0))))).otherwise(one)))
+    blocks = F.filter(F.sequence(size_block(F.col("low"), percent), size_block(n, percent)), lambda b: _in_mask(F.col("blocks"), b))
+    probing = probing.withColumn("block", F.explode(F.when(long, blocks).otherwise(one)))
+    places = F.filter(F.sequence(F.lit(0), position_block(F.greatest(n - needed(n, n, percent), F.lit(0)))), lambda p: _in_mask(F.col("places"), p))
+    probing = probing.withColumn("place", F.explode(F.when(long, places).otherwise(one)))
     left = probing.select(*where, *(F.col(c).alias(f"l_{c}") for c in names))
     right = spread.withColumn("bit", F.coalesce("bit", F.lit(0))).where(F.col("pos") <= n - needed(n, n, percent))
     right = right.withColumn("block", F.when(long, size_block(n, percent)).otherwise(-1)).withColumn("place", F.when(long, position_block(F.col("pos"))).otherwise(-1))
