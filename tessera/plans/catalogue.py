@@ -336,9 +336,33 @@ def retrieve_rerank_hybrid(spark: SparkSession, d: str) -> DataFrame:
     return _out(_strategy(spark, d, "rerank_hybrid").retrieve(queries_of(spark, d)))
 
 
-@query()
+_BENCHMARK_Q = "SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark"
+#: The same with all tokens of every text.
+_WHOLE_SQL = _DENSE_SQL.replace("[1:256]", "")
+_WORDS, _ANSWER, _OTHER = "the of and that in", "an answer to: ", "more about "
+
+
+@query(f"WITH {_WHOLE_SQL.replace(_BENCHMARK_Q, f"SELECT 'q' AS query_id, '{_WORDS}' AS query")} SELECT coalesce(url, '') AS url, coalesce(title, '') AS title, coalesce(author, '') AS author, coalesce(content_md, '') AS chunk, round(1 - score, 6) AS distance FROM dense JOIN c ON content_id = chunk_id WHERE rank <= 5")
 def search(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.search(vectors(spark, d, embedding.WHOLE_MODEL), "the of and that in", 5, embedding.WHOLE_MODEL).withColumn("distance", F.round("distance", 6))
+    return retrieval.search(vectors(spark, d, embedding.WHOLE_MODEL), _WORDS, 5, embedding.WHOLE_MODEL).withColumn("distance", F.round("distance", 6))
+
+
+@query(f"WITH {_DENSE_SQL.replace(_BENCHMARK_Q, f"SELECT CAST(item_id AS VARCHAR) AS query_id, '{_ANSWER}' || text AS query FROM benchmark")} {_OUT} dense WHERE rank <= 5")
+def retrieve_hyde(spark: SparkSession, d: str) -> DataFrame:
+    written = retrieval.HyDE(_strategy(spark, d, "cosine"), lambda q: q.withColumn("query", F.concat(F.lit(_ANSWER), "query")))
+    return _out(written.retrieve(queries_of(spark, d)))
+
+
+_VARIED_Q = f"SELECT '0/' || item_id AS query_id, text AS query FROM benchmark UNION ALL SELECT '1/' || item_id, '{_OTHER}' || text FROM benchmark"
+
+
+@query(f"""WITH {_DENSE_SQL.replace(_BENCHMARK_Q, _VARIED_Q)}, fu AS (SELECT substr(query_id, 3) AS query_id, chunk_id, sum(1e0 / (60 + rank)) AS score FROM dense WHERE rank <= 20 GROUP BY ALL),
+ fr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM fu) {_OUT} fr WHERE rank <= 5""")
+def retrieve_fusion(spark: SparkSession, d: str) -> DataFrame:
+    def vary(q: DataFrame) -> DataFrame:
+        return q.select("query_id", F.posexplode(F.array("query", F.concat(F.lit(_OTHER), "query"))).alias("variant", "query"))
+
+    return _out(retrieval.MultiQuery(_strategy(spark, d, "cosine"), vary).retrieve(queries_of(spark, d)))
 
 
 # --- after retrieval
@@ -349,7 +373,12 @@ def lost_in_middle(spark: SparkSession, d: str) -> DataFrame:
     return postprocess.lost_in_middle(retrieve_cosine(spark, d)).select("query_id", "chunk_id", "rank")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_WHOLE_SQL}, dt AS MATERIALIZED (SELECT query_id, chunk_id, score, CAST(rank AS INTEGER) AS rank, list_distinct(regexp_extract_all(lower(coalesce(content_md, '')), '{_TOKENS_SQL}')) AS t FROM dense JOIN c ON content_id = chunk_id WHERE rank <= 10),
+ dp AS (SELECT a.query_id, a.rank AS ra, b.rank AS rb, len(list_intersect(a.t, b.t)) AS o, len(a.t) + len(b.t) AS n FROM dt a JOIN dt b ON a.query_id = b.query_id AND a.rank < b.rank),
+ da2 AS MATERIALIZED (SELECT dt.query_id, dt.rank, coalesce(list(ra) FILTER (ra IS NOT NULL), []) AS alike FROM dt LEFT JOIN dp ON dp.query_id = dt.query_id AND rb = dt.rank AND CASE WHEN n = 0 THEN 1e0 ELSE o / (n - o) END >= 0.85e0 GROUP BY ALL),
+ dk AS (SELECT query_id, 0 AS step, []::INTEGER[] AS kept FROM q UNION ALL SELECT dk.query_id, step + 1, CASE WHEN list_has_any(kept, alike) THEN kept ELSE list_append(kept, rank) END FROM dk JOIN da2 ON da2.query_id = dk.query_id AND da2.rank = dk.step + 1),
+ de AS (SELECT query_id, unnest(max_by(kept, step)) AS old, unnest(range(1, len(max_by(kept, step)) + 1)) AS rank FROM dk GROUP BY query_id)
+ SELECT de.query_id, dt.chunk_id, CAST(de.rank AS INTEGER) AS rank, round(dt.score, 6) AS score FROM de JOIN dt ON dt.query_id = de.query_id AND dt.rank = de.old""")
 def deduplicated_results(spark: SparkSession, d: str) -> DataFrame:
     found = _strategy(spark, d, "cosine", embedding.WHOLE_MODEL).retrieve(queries_of(spark, d), 10)
     return _out(postprocess.deduplicate(found))
@@ -385,6 +414,14 @@ def eval_rollup(spark: SparkSession, d: str) -> DataFrame:
     return total.select("category", "queries", *(F.round(c, 6).alias(c) for c in ("recall", "precision", "mrr")), F.col("is_overall").cast("int").alias("is_overall"))
 
 
+@query(f"WITH {_METRICS_SQL} SELECT 'c' AS collection, s.strategy, s.status, n AS chunk_count, queries, recall, precision, mrr FROM (SELECT 'cosine' AS strategy, 'ok' AS status, (SELECT count(*) FROM c) AS n UNION ALL SELECT 'hybrid', 'not_found', 0) s LEFT JOIN (SELECT 'cosine' AS strategy, count(*) AS queries, round(avg(recall), 6) AS recall, round(avg(precision), 6) AS precision, round(avg(mrr), 6) AS mrr FROM m) t USING (strategy)")
+def eval_status(spark: SparkSession, d: str) -> DataFrame:
+    totals = eval_rollup(spark, d).select(F.lit("c").alias("collection"), F.lit("cosine").alias("strategy"), "category", "queries", "recall", "precision", "mrr", "is_overall")
+    one = contents_of(spark, d).agg(F.count(F.lit(1)).alias("chunk_count")).select(F.lit("cosine").alias("strategy"), F.lit("ok").alias("status"), "chunk_count")
+    combos = one.unionByName(spark.range(1).select(F.lit("hybrid").alias("strategy"), F.lit("not_found").alias("status"), F.lit(0).cast("long").alias("chunk_count")))
+    return evaluation.with_status(combos.withColumn("collection", F.lit("c")), totals)
+
+
 @query("SELECT conv_id, array_to_string(list(role ORDER BY first), ',') AS roles FROM (SELECT conv_id, role, min(turn) AS first FROM conversations WHERE role <> '' GROUP BY ALL) GROUP BY conv_id")
 def unique_ids(spark: SparkSession, d: str) -> DataFrame:
     turns = table(spark, d, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x.role).alias("roles"))
