@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_extract, jaccard_join, mixing, quality_model, quality_rules, sharding, topk_search, toxicity, url_filter
+from . import bpe, html_extract, importance, jaccard_join, mixing, quality_model, quality_rules, sharding, topk_search, toxicity, url_filter
 from .common import table
 
 
@@ -50,5 +50,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.connect(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_toxicity, op3_bpe, op4_quality_classifier, op5_quality_rules, op6_mixing, op7_topk_search, op8_html_extraction, op9_url_filter, op10_jaccard_join)}
-ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.ORACLE_SQL, "op5_quality_rules": quality_rules.ORACLE_SQL, "op7_topk_search": topk_search.ORACLE_SQL, "op10_jaccard_join": jaccard_join.ORACLE_SQL}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_toxicity, op3_bpe, op4_quality_classifier, op5_quality_rules, op6_mixing, op7_topk_search, op8_html_extraction, op9_url_filter, op10_jaccard_join, op11_importance_resampling)}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.ORACLE_SQL, "op5_quality_rules": quality_rules.ORACLE_SQL, "op7_topk_search": topk_search.ORACLE_SQL, "op10_jaccard_join": jaccard_join.ORACLE_SQL, "op11_importance_resampling": importance.ORACLE_SQL}

@@ -19,6 +19,7 @@ COLUMNS = {
     "op8": {"page_id", "url", "text", "n_chars"},
     "op9": {"page_id", "host", "path", "rule", "verdict"},
     "op10": {"doc_id", "n_shingles", "component_id"},
+    "op11": {"doc_id", "n_features", "weight", "score", "rank"},
 }
 
 
@@ -30,7 +31,7 @@ def plain(rows) -> list[tuple]:
 def test_same_rows_as_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     columns = sorted(got.columns)
