@@ -34,14 +34,16 @@ the shared folder. Only bounded things reach the driver: the FREQUENT most frequ
 clash (none are expected below billions of sets), and a bitmap of at most MOST_BITS bits of the sets that are compared,
 which lets most texts be skipped when sets are read.
 
-Words have hashes of 64 bits, mixed from eight bytes at a time, so no family of words is known to collide. Sets are told apart by 128 bits: the key is one half, and of sets that
-agree in it but not in the other half all but one get a new key. A null, empty or blank text has an empty set and links
+Words have two hashes of 64 bits, which take the same eight bytes at a time in different ways, so two words would have to
+agree in 128 bits; shingles have 64. Sets are told apart by 128 bits: the key is one half, and of sets that agree in it but
+not in the other half all but one get a new key. A null, empty or blank text has an empty set and links
 with nothing; fewer than k words make one shingle of the whole. A row without doc_id takes its group's smallest id.
 Repeated rows, ties, empty tables and other columns need no care; texts are read whole.
 """
 
 from __future__ import annotations
 
+import hashlib
 import operator
 from collections.abc import Iterator
 from functools import reduce
@@ -86,31 +88,36 @@ _LOWEST = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)
 class Shingler:
     """UTF-8 texts to sorted arrays of distinct shingle hashes.
 
-    Words are hashed side by side: eight bytes of every word at a time are mixed into its hash, which starts as its length.
+    Words are hashed side by side, eight bytes of every word at a time, into two numbers of 64 bits each. One takes the
+    bytes as they are, the other takes them mixed, so that bytes which make up for a difference in one of them don't in
+    the other. A shingle's hash is mixed from the sums over its words of both.
     """
 
     def __init__(self, k: int):
         self.k = k
-        self.odd = [_ODD[i % len(_ODD)] * np.uint64(2 * (i // len(_ODD)) + 1) for i in range(k)]
+        self.odd = [[np.uint64(int(_ODD[(i + j) % len(_ODD)]) * (4 * (i // len(_ODD)) + 2 * j + 1) % (1 << 64)) for i in range(k)] for j in (0, 3)]
 
     def word_hashes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The starts and hashes of the words in some bytes."""
+        """The starts and hashes (two rows) of the words in some bytes."""
         inside = _IN_WORD[data]
         edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
         starts, lengths = edge[::2], edge[1::2] - edge[::2]
         low = np.zeros(len(data) + 8, dtype=np.uint8)
         low[: len(data)] = _LOWER[data]
         eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=low, strides=(1,))  # the eight bytes from each on
-        hashes = mix(lengths.astype(np.uint64) * _ODD[0])
+        n = lengths.astype(np.uint64)
+        hashes = np.stack([mix(n * _ODD[0]), n * _ODD[2]])
         left = np.flatnonzero(lengths <= LONG_WORD)
         done = 0
         while len(left):
             block = eight[starts[left] + done] & _LOWEST[np.minimum(lengths[left] - done, 8)]
-            hashes[left] = mix((hashes[left] ^ block) * _ODD[1])
+            plain, mixed = hashes[:, left]
+            hashes[0, left] = mix((plain ^ block) * _ODD[1])
+            hashes[1, left] = ((mixed << np.uint64(29) | mixed >> np.uint64(35)) ^ mix(block + _ODD[3])) * _ODD[4]
             done += 8
             left = left[lengths[left] > done]
         for i in np.flatnonzero(lengths > LONG_WORD):
-            hashes[i] = xxhash.xxh64_intdigest(low[starts[i] : starts[i] + lengths[i]].tobytes())
+            hashes[:, i] = np.frombuffer(hashlib.blake2b(low[starts[i] : starts[i] + lengths[i]].tobytes(), digest_size=16).digest(), dtype="<u8")
         return starts, hashes
 
     def _pieces(self, data: np.ndarray) -> Iterator[np.ndarray]:
@@ -128,20 +135,14 @@ class Shingler:
         yield data[at:]
 
     def _distinct(self, words: np.ndarray) -> np.ndarray:
-        n = len(words)
+        n = words.shape[1]
         if not n:
             return np.zeros(0, dtype=np.uint64)
-        if n < self.k:
-            whole = np.array([n], dtype=np.uint64)
-            for i in range(n):
-                whole = mix(whole * _ODD[0] + words[i : i + 1])
-            return whole
-        x = words[: n - self.k + 1] * self.odd[0]
-        for i in range(1, self.k):
-            x = x + words[i : n - self.k + 1 + i] * self.odd[i]
-        x = mix(x)
+        size = min(n, self.k)
+        x, y = (sum((own[i : n - size + 1 + i] * odd[i] for i in range(1, size)), own[: n - size + 1] * odd[0]) for own, odd in zip(words, self.odd, strict=True))
+        x = mix(mix(x + np.uint64(size)) + y)
         x.sort()
-        return x if n == self.k else x[np.concatenate([[True], x[1:] != x[:-1]])]
+        return x if len(x) == 1 else x[np.concatenate([[True], x[1:] != x[:-1]])]
 
     def sets(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The set of each text of a string column; null: empty."""
@@ -156,7 +157,7 @@ class Shingler:
             until = max(at + 1, int(np.searchsorted(ends, ends[at] + CHUNK, side="right")) - 1)
             if until == at + 1:
                 own = data[ends[at] : ends[at + 1]]
-                yield self._distinct(np.concatenate([self.word_hashes(x)[1] for x in self._pieces(own)]))
+                yield self._distinct(np.concatenate([self.word_hashes(x)[1] for x in self._pieces(own)], axis=1))
             else:
                 # texts side by side, a space between them
                 bounds = ends[at : until + 1].astype(np.int64) - int(ends[at])
@@ -167,7 +168,7 @@ class Shingler:
                 starts, hashes = self.word_hashes(block)
                 edges = np.searchsorted(starts, bounds + np.arange(n + 1))
                 for i in range(n):
-                    yield self._distinct(hashes[edges[i] : edges[i + 1]])
+                    yield self._distinct(hashes[:, edges[i] : edges[i + 1]])
             at = until
 
 
@@ -297,11 +298,17 @@ def prefix_columns(n: Column, percent: int) -> tuple[Column, Column]:
     return share.cast("int"), F.least(n, p - 1 + share).cast("int")
 
 
-def whole_sets(docs: DataFrame, k: int, wanted: DataFrame, most: int, moved: Moved) -> DataFrame:
-    """set and shingles of the wanted sets (column set, perhaps repeated), which are at most so many."""
+def bits_for(most: int) -> int:
+    """Bits of a map of at most so many rows or sets."""
     size = BITS
     while size < MOST_BITS and size < BITS_A_SET * most:
         size *= 2
+    return size
+
+
+def whole_sets(docs: DataFrame, k: int, wanted: DataFrame, most: int, moved: Moved) -> DataFrame:
+    """set and shingles of the wanted sets (column set, perhaps repeated), which are at most so many."""
+    size = bits_for(most)
     spot = F.pmod(F.col("set"), F.lit(size))
     bits = wanted.select(spot.alias("b")).groupBy(F.expr("b div 32").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 32 as int)))").alias("bits")).toArrow()
     field = np.zeros(size // 32, dtype=np.uint32)
@@ -565,10 +572,9 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Mo
     return answers.select(*columns).unionByName(told.select(*columns)).unionByName(rest.select(*columns)).where(links).select("a", "b")
 
 
-def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, mark (a hash of the text), n, set and component, for every row."""
-    first, moved = told_apart(stage(first_pass(docs, k, percent), "first"))
-    own = groups(link_sets(docs, first, k, percent, moved))
+def by_links(first: DataFrame, links: DataFrame) -> DataFrame:
+    """doc_id, mark (a hash of the text), n, set, component and group of every row of first, by links (a, b) between sets."""
+    own = groups(links)
     sets = first.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("c"))
     known = sets.join(own, "set", "left").withColumn("group", F.coalesce("group", "set"))
     lowest = known.groupBy("group").agg(F.min("low").alias("component"), F.count(F.lit(1)).alias("c"))
@@ -578,6 +584,12 @@ def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return join_by(first.where("n > 0"), by_set, "set").select(*names).unionByName(lone.select(*names))
 
 
+def components(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """What by_links returns, for all links of the join."""
+    first, moved = told_apart(stage(first_pass(docs, k, percent), "first"))
+    return by_links(first, link_sets(docs, first, k, percent, moved))
+
+
 def connect(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row; component_id is the smallest doc_id of the row's group."""
     return components(docs, k, percent).select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
@@ -587,7 +599,7 @@ def keep_one(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """One row of each group, with its own columns: the smallest doc_id's (null last), of equal ids the smallest hash of the text.
 
     Rows without words link with nothing and stay, each of them. Rows that agree in doc_id and text are one row.
-    A bitmap of the rows to remove, of fixed size, tells for most rows that they stay; only the others' texts are
+    A bitmap of the rows to remove, sized by their number, tells for most rows that they stay; only the others' texts are
     shuffled for the exact test.
     """
     rows = stage(components(docs, k, percent).where("n > 0").select("doc_id", "mark", "group", F.col("doc_id").eqNullSafe(F.col("component")).alias("lowest")), "rows")
@@ -598,9 +610,10 @@ def keep_one(docs: DataFrame, k: int, percent: int) -> DataFrame:
     lost = rows.where("not lowest").select("doc_id", "mark").unionByName(tied.select("doc_id", "mark")).withColumn("again", F.lit(False))
     touched = lost.unionByName(again).groupBy("doc_id", "mark").agg(F.min("again").alias("again"))
     touched = stage(touched.select(F.col("doc_id").alias("t_id"), F.col("mark").alias("t_mark"), "again"), "touched")
-    words = touched.groupBy(F.expr(f"pmod(t_mark, {BITS}) div 32").alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(t_mark, {BITS}) % 32 as int)))").alias("bits"))
-    field = docs.sparkSession.range(BITS // 32).join(words, F.col("id") == F.col("at"), "left").agg(F.expr("transform(array_sort(collect_list(struct(id, coalesce(bits, 0L) as bits))), x -> x.bits)").alias("field"))
-    spot = F.pmod("mark", F.lit(BITS))
+    size = bits_for(touched.count())
+    words = touched.groupBy(F.expr(f"pmod(t_mark, {size}) div 32").alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(t_mark, {size}) % 32 as int)))").alias("bits"))
+    field = docs.sparkSession.range(size // 32).join(words, F.col("id") == F.col("at"), "left").agg(F.expr("transform(array_sort(collect_list(struct(id, coalesce(bits, 0L) as bits))), x -> x.bits)").alias("field"))
+    spot = F.pmod("mark", F.lit(size))
     bit = F.call_function("shiftright", F.get(stage(field, "field").scalar(), F.floor(spot / 32).cast("int")), (spot % 32).cast("int")).bitwiseAND(F.lit(1))
     marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.struct(*docs.columns).alias("row")).withColumn("maybe", bit == 1)
     sure = marked.where(~F.col("maybe")).select("row.*")

@@ -102,6 +102,45 @@ def test_words_that_fool_polynomial_hashes_are_told_apart(spark):
     assert J.keep_one(docs, 3, 90).count() == len(rows)
 
 
+def cancelling_pairs(count: int) -> list[tuple[bytes, bytes]]:
+    """Words of 16 bytes that agree in the hash which takes bytes as they are: the second half makes up for the first."""
+    rng, out = np.random.default_rng(7), []
+    letters = np.frombuffer(bytes(range(33, 65)) + bytes(range(91, 127)), dtype=np.uint8)
+    own = J.Shingler(3)
+    while len(out) < count:
+        halves = letters[rng.integers(0, len(letters), (4000, 8))]
+        numbers = np.ascontiguousarray(halves).view("<u8").ravel()
+        start = J.mix(np.full(len(numbers), 16, dtype=np.uint64) * J._ODD[0])
+        states = J.mix((start ^ numbers) * J._ODD[1])
+        for x, y in zip(range(0, 4000, 2), range(1, 4000, 2), strict=True):
+            apart = np.array([states[x] ^ states[y]]).view(np.uint8)
+            seconds = letters[None] ^ apart[:, None]
+            fits = np.isin(seconds, letters)
+            if fits.any(axis=1).all():
+                a = letters[fits.argmax(axis=1)]
+                out.append((halves[x].tobytes() + a.tobytes(), halves[y].tobytes() + (a ^ apart).tobytes()))
+    words = [own.word_hashes(np.frombuffer(w, dtype=np.uint8))[1] for p in out[:5] for w in p]
+    assert all(a[0] == b[0] and a[1] != b[1] for a, b in zip(words[::2], words[1::2], strict=True))
+    return out[:count]
+
+
+def test_words_that_cancel_in_blocks_of_eight_bytes_are_told_apart(spark):
+    pairs = [("w42hife6@!(@!@!!", "lqih63z8u~^r\\x!n"), *((a.decode(), b.decode()) for a, b in cancelling_pairs(1000))]
+    rows = [(2 * i + j, f"one {w} two three") for i, p in enumerate(pairs) for j, w in enumerate(p)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r.doc_id == r.component_id for r in J.connect(docs).collect())
+    assert J.keep_one(docs, 3, 90).count() == len(rows)
+
+
+def test_keep_one_sizes_its_bitmap(spark, monkeypatch):
+    monkeypatch.setattr(J, "BITS", 64)
+    assert J.bits_for(3) == 64 and J.bits_for(1000) == 16384 and J.bits_for(1 << 40) == J.MOST_BITS
+    rows = [(i, prose(30, 7, i // 2)) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in J.keep_one(docs, 3, 90).collect()}
+    assert kept == {c for _, _, c in brute(rows, 3, 90)}
+
+
 def test_sets_of_clashing_keys_are_told_apart(spark, monkeypatch):
     rows = [(i, prose(30 + i % 20, 5 + i % 2, i % 40)) for i in range(120)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)

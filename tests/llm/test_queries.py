@@ -20,6 +20,7 @@ COLUMNS = {
     "op9": {"page_id", "host", "path", "rule", "verdict"},
     "op10": {"doc_id", "n_shingles", "component_id"},
     "op11": {"doc_id", "n_features", "weight", "score", "rank"},
+    "op12": {"doc_id", "n_shingles", "component_id", "kept"},
 }
 
 
