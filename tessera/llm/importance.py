@@ -59,8 +59,9 @@ def feature_rows(texts: DataFrame, keys: list[str], orders: int = ORDERS, bucket
     n = F.size("words")
     blocks = texts.select(*keys, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORDS), F.lit(0)).alias("words"))
     starts = F.sequence(F.lit(0), F.greatest(F.floor((n - 1) / BLOCK), F.lit(0)).cast("int"))
-    blocks = blocks.select(*keys, F.posexplode(F.transform(starts, lambda b: F.slice("words", b * BLOCK + 1, F.lit(BLOCK + orders - 1)))).alias("block", "words"))
-    rows = blocks.repartition(*keys, "block").select(*keys, "block", F.posexplode_outer("words").alias("pos", "word")).withColumn("word", lowered(F.col("word")))
+    blocks = blocks.select(*keys, F.posexplode(F.transform(starts, lambda b: F.array_join(F.slice("words", b * BLOCK + 1, F.lit(BLOCK + orders - 1)), " "))).alias("block", "words"))
+    # words hold no spaces; as one string they take half of what an array of them takes
+    rows = blocks.repartition(*keys, "block").select(*keys, "block", F.posexplode_outer(F.split(F.nullif("words", F.lit("")), " ")).alias("pos", "word")).withColumn("word", lowered(F.col("word")))
     following = Window.partitionBy(*keys, "block").orderBy("pos")
     runs = [F.col("word")]
     for step in range(1, orders):
