@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_extract, importance, jaccard_join, mixing, near_dedup, quality_model, quality_rules, sharding, topk_search, toxicity, url_filter
+from . import bpe, hard_negatives, html_extract, importance, jaccard_join, mixing, near_dedup, quality_model, quality_rules, sharding, topk_search, toxicity, url_filter
 from .common import table
 
 
@@ -58,5 +58,9 @@ def op12_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.deduplicate(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_toxicity, op3_bpe, op4_quality_classifier, op5_quality_rules, op6_mixing, op7_topk_search, op8_html_extraction, op9_url_filter, op10_jaccard_join, op11_importance_resampling, op12_near_dedup)}
-ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.ORACLE_SQL, "op5_quality_rules": quality_rules.ORACLE_SQL, "op7_topk_search": topk_search.ORACLE_SQL, "op10_jaccard_join": jaccard_join.ORACLE_SQL, "op11_importance_resampling": importance.ORACLE_SQL, "op12_near_dedup": near_dedup.ORACLE_SQL}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_sharding, op2_toxicity, op3_bpe, op4_quality_classifier, op5_quality_rules, op6_mixing, op7_topk_search, op8_html_extraction, op9_url_filter, op10_jaccard_join, op11_importance_resampling, op12_near_dedup, op13_hard_negatives)}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": mixing.ORACLE_SQL, "op5_quality_rules": quality_rules.ORACLE_SQL, "op7_topk_search": topk_search.ORACLE_SQL, "op10_jaccard_join": jaccard_join.ORACLE_SQL, "op11_importance_resampling": importance.ORACLE_SQL, "op12_near_dedup": near_dedup.ORACLE_SQL, "op13_hard_negatives": hard_negatives.ORACLE_SQL}
