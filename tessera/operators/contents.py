@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..sources.shared import stage
 
 MIN_CHARS = 50
 
@@ -72,16 +73,14 @@ def work_items(contents: DataFrame, least: int = MIN_CHARS, limit: int = 0) -> D
 
 
 def batches(items: DataFrame, key: str = "content_id", size: int = 10) -> DataFrame:
-    """items with batch, slices of `size` rows in key order.
+    """items with batch, slices of `size` rows in key order; every row is there once.
 
-    Spark's partitions do this work; the column is for reports. Places come from counts by range partition, so no task
-    sees all rows.
+    The rows are written once, by ranges of the key, each with the number of its range. Ranges are counted and numbered
+    on that table, so both sides of the join agree however the shuffle was cut, and no task sees all rows.
     """
-    from pyspark.sql import Window
-
-    parts = items.repartitionByRange(F.col(key)).withColumn("_part", F.spark_partition_id())
+    parts = stage(items.repartitionByRange(F.col(key)).withColumn("_part", F.spark_partition_id()), "batches")
     counts = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))  # a row for each range
     place = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
     return parts.withColumn("_place", place).join(F.broadcast(offsets), "_part").withColumn("batch", F.floor((F.col("_offset") + F.col("_place")) / size)).drop("_part", "_place", "_offset")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import EVAL_COMBOS
+from ..config import RETRIEVALS
 from ..functions import metrics as M
 from ..functions import text as X
 from ..operators import backup, chunking, contents, embedding, evaluation, generation, postprocess, retrieval
@@ -69,11 +69,11 @@ def corpus(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("content_id").alias("id"), "content_id", F.coalesce("content_md", F.lit("")).alias("document"), embedding.metadata(chunk).alias("metadata"))
 
 
-def vectors(spark: SparkSession, d: str, model: str = embedding.DEFAULT_MODEL) -> DataFrame:
+def vectors(spark: SparkSession, d: str, model: str = embedding.WHOLE_MODEL) -> DataFrame:
     return embedding.embed(corpus(spark, d), "document", model, kind="double")
 
 
-def _strategy(spark: SparkSession, d: str, spec: str, model: str = embedding.DEFAULT_MODEL) -> retrieval.Retriever:
+def _strategy(spark: SparkSession, d: str, spec: str, model: str = embedding.WHOLE_MODEL) -> retrieval.Retriever:
     return retrieval.build_strategy(vectors(spark, d, model), spec, model, texts=corpus(spark, d))
 
 
@@ -136,9 +136,10 @@ def set_status(spark: SparkSession, d: str) -> DataFrame:
     return contents.set_vector_status(c, updates).select("content_id", "vector_status")
 
 
-@query(f"WITH {CONTENTS_SQL} SELECT content_id, CAST(floor((row_number() OVER (ORDER BY content_id) - 1) / 10) AS BIGINT) AS batch FROM c")
+@query(f"WITH {CONTENTS_SQL} SELECT content_id, CAST(floor((row_number() OVER (ORDER BY content_id) - 1) / 10) AS BIGINT) AS batch, md5(content_md) AS text_md5 FROM c")
 def item_batches(spark: SparkSession, d: str) -> DataFrame:
-    return contents.batches(contents_of(spark, d)).select("content_id", F.col("batch").cast("bigint").alias("batch"))
+    made = contents.batches(contents_of(spark, d).select("content_id", "content_md"))
+    return made.select("content_id", F.col("batch").cast("bigint").alias("batch"), F.md5(F.col("content_md").cast("binary")).alias("text_md5"))
 
 
 # --- scalar functions
@@ -162,9 +163,14 @@ def lexical_tokens(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.size(t).alias("tokens"), F.md5(F.array_join(t, " ").cast("binary")).alias("tokens_md5"))
 
 
-@query("SELECT combo, split_part(combo, '__', 1) AS collection, substr(combo, length(split_part(combo, '__', 1)) + 3) AS strategy FROM (VALUES " + ", ".join(f"('{c}')" for c in EVAL_COMBOS) + ") t(combo)")
+_STRATEGIES_SQL = ", ".join(f"('{r}')" for r in RETRIEVALS)
+
+
+@query(f"SELECT source || '__' || r AS combo, source AS collection, r AS strategy FROM (SELECT DISTINCT source FROM documents WHERE source <> '') CROSS JOIN (VALUES {_STRATEGIES_SQL}) t(r)")
 def eval_combos(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame([(c,) for c in EVAL_COMBOS], "combo string")
+    """A collection for each source, under each strategy, and what parsing gives back of their names."""
+    names = contents_of(spark, d).where("source_key <> ''").select("source_key").distinct()
+    rows = names.select(F.explode(F.array(*(F.concat("source_key", F.lit(f"__{r}")) for r in RETRIEVALS))).alias("combo"))
     return rows.withColumn("p", X.split_combo(F.col("combo"))).select("combo", "p.collection", "p.strategy")
 
 
@@ -274,7 +280,7 @@ _TOKENS_SQL = "[\\p{L}\\p{N}_]+"
 def _hash_sql(rows: str, key: str, text: str) -> str:
     """key, b (place), n (count), len (length of the vector)."""
     return f"""(SELECT *, sqrt(sum(n * n) OVER (PARTITION BY {key})) AS len FROM (SELECT {key}, CAST(('0x' || substr(md5(t), 1, 8)) AS BIGINT) % 384 AS b, CAST(count(*) AS DOUBLE) AS n
- FROM (SELECT {key}, unnest(regexp_extract_all(lower({text}), '{_TOKENS_SQL}')[1:256]) AS t FROM {rows}) GROUP BY ALL))"""
+ FROM (SELECT {key}, unnest(regexp_extract_all(lower({text}), '{_TOKENS_SQL}')) AS t FROM {rows}) GROUP BY ALL))"""
 
 
 _DENSE_SQL = f"""{CONTENTS_SQL}, q AS (SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark),
@@ -337,14 +343,12 @@ def retrieve_rerank_hybrid(spark: SparkSession, d: str) -> DataFrame:
 
 
 _BENCHMARK_Q = "SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark"
-#: The same with all tokens of every text.
-_WHOLE_SQL = _DENSE_SQL.replace("[1:256]", "")
 _WORDS, _ANSWER, _OTHER = "the of and that in", "an answer to: ", "more about "
 
 
-@query(f"WITH {_WHOLE_SQL.replace(_BENCHMARK_Q, f"SELECT 'q' AS query_id, '{_WORDS}' AS query")} SELECT coalesce(url, '') AS url, coalesce(title, '') AS title, coalesce(author, '') AS author, coalesce(content_md, '') AS chunk, round(1 - score, 6) AS distance FROM dense JOIN c ON content_id = chunk_id WHERE rank <= 5")
+@query(f"WITH {_DENSE_SQL.replace(_BENCHMARK_Q, f"SELECT 'q' AS query_id, '{_WORDS}' AS query")} SELECT coalesce(url, '') AS url, coalesce(title, '') AS title, coalesce(author, '') AS author, coalesce(content_md, '') AS chunk, round(1 - score, 6) AS distance FROM dense JOIN c ON content_id = chunk_id WHERE rank <= 5")
 def search(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.search(vectors(spark, d, embedding.WHOLE_MODEL), _WORDS, 5, embedding.WHOLE_MODEL).withColumn("distance", F.round("distance", 6))
+    return retrieval.search(vectors(spark, d), _WORDS, 5, embedding.WHOLE_MODEL).withColumn("distance", F.round("distance", 6))
 
 
 @query(f"WITH {_DENSE_SQL.replace(_BENCHMARK_Q, f"SELECT CAST(item_id AS VARCHAR) AS query_id, '{_ANSWER}' || text AS query FROM benchmark")} {_OUT} dense WHERE rank <= 5")
@@ -373,14 +377,14 @@ def lost_in_middle(spark: SparkSession, d: str) -> DataFrame:
     return postprocess.lost_in_middle(retrieve_cosine(spark, d)).select("query_id", "chunk_id", "rank")
 
 
-@query(f"""WITH RECURSIVE {_WHOLE_SQL}, dt AS MATERIALIZED (SELECT query_id, chunk_id, score, CAST(rank AS INTEGER) AS rank, list_distinct(regexp_extract_all(lower(coalesce(content_md, '')), '{_TOKENS_SQL}')) AS t FROM dense JOIN c ON content_id = chunk_id WHERE rank <= 10),
+@query(f"""WITH RECURSIVE {_DENSE_SQL}, dt AS MATERIALIZED (SELECT query_id, chunk_id, score, CAST(rank AS INTEGER) AS rank, list_distinct(regexp_extract_all(lower(coalesce(content_md, '')), '{_TOKENS_SQL}')) AS t FROM dense JOIN c ON content_id = chunk_id WHERE rank <= 10),
  dp AS (SELECT a.query_id, a.rank AS ra, b.rank AS rb, len(list_intersect(a.t, b.t)) AS o, len(a.t) + len(b.t) AS n FROM dt a JOIN dt b ON a.query_id = b.query_id AND a.rank < b.rank),
  da2 AS MATERIALIZED (SELECT dt.query_id, dt.rank, coalesce(list(ra) FILTER (ra IS NOT NULL), []) AS alike FROM dt LEFT JOIN dp ON dp.query_id = dt.query_id AND rb = dt.rank AND CASE WHEN n = 0 THEN 1e0 ELSE o / (n - o) END >= 0.85e0 GROUP BY ALL),
  dk AS (SELECT query_id, 0 AS step, []::INTEGER[] AS kept FROM q UNION ALL SELECT dk.query_id, step + 1, CASE WHEN list_has_any(kept, alike) THEN kept ELSE list_append(kept, rank) END FROM dk JOIN da2 ON da2.query_id = dk.query_id AND da2.rank = dk.step + 1),
  de AS (SELECT query_id, unnest(max_by(kept, step)) AS old, unnest(range(1, len(max_by(kept, step)) + 1)) AS rank FROM dk GROUP BY query_id)
  SELECT de.query_id, dt.chunk_id, CAST(de.rank AS INTEGER) AS rank, round(dt.score, 6) AS score FROM de JOIN dt ON dt.query_id = de.query_id AND dt.rank = de.old""")
 def deduplicated_results(spark: SparkSession, d: str) -> DataFrame:
-    found = _strategy(spark, d, "cosine", embedding.WHOLE_MODEL).retrieve(queries_of(spark, d), 10)
+    found = _strategy(spark, d, "cosine").retrieve(queries_of(spark, d), 10)
     return _out(postprocess.deduplicate(found))
 
 

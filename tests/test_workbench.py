@@ -294,3 +294,15 @@ def test_an_index_of_chunks_that_went_keeps_its_places(spark):
     index = retrieval.LexicalIndex.build(spark.createDataFrame([("gone", "cat")], "id string, document string"))
     found = retrieval.Hybrid(collection(spark), lexical=index).retrieve(queries(spark, "cat"), 9)
     assert found.where("chunk_id = 'gone' and document = '' and content_id = ''").count() == 1
+
+
+def test_batches_lose_no_rows_whatever_the_shuffle_is_cut_to(spark):
+    rows = spark.range(4000).select(F.format_string("c%05d", F.col("id")).alias("content_id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), (F.col("id") % 40).cast("int")).alias("content_md"))
+    for size in ("16k", "1m", "64m"):
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+        try:
+            got = contents.batches(rows).collect()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        assert sorted((r.content_id, r.batch) for r in got) == [(f"c{i:05d}", i // 10) for i in range(4000)]
+        assert all(len(r.content_md) == 64 * (int(r.content_id[1:]) % 40) for r in got)
