@@ -1,64 +1,270 @@
-"""Vector collections as versioned tables: <root>/<name>/v<number>/, the current number in <root>/<name>/CURRENT.
+"""Vector collections as bucketed tables with a manifest for each version.
 
-A writer makes a whole new version beside the current one and then replaces CURRENT, so readers see the old state or the
-new one. Files are reached through Hadoop's file system, so root may be in any store that Spark writes.
+    <root>/<name>/manifests/<version>.json   what a version consists of
+    <root>/<name>/data/<write>/bucket=<b>/   rows of one write, by the hash of their content
+
+A manifest names, for each bucket, the folders with its rows and how many there are. A writer reads the newest manifest,
+writes whole new buckets beside the old ones, and publishes the next manifest under a name that must not exist yet. If
+another writer was faster, it takes over what that one did to other buckets, or does its own work again where both
+touched the same. Readers hold a manifest and so see one version, whatever is written meanwhile. A write that belongs to a
+stream carries its batch number into the manifest, so a batch that comes again writes nothing.
+
+Manifests are small: one entry a bucket. Files are reached through Hadoop's file system, so root may be in any store that
+Spark writes and in which a rename fails where the target exists.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import os
+import time
+import uuid
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field, replace
+from urllib.parse import urlparse
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..model import COLLECTION
+from ..sources.shared import stage, unstage
+
+#: Buckets of a new collection, and how often a writer tries to publish.
+BUCKETS, TRIES = 32, 20
+#: Folders of writes that never got into a manifest are left alone for so many seconds.
+ABANDONED = 24 * 3600
+
+
+class Conflict(Exception):  # noqa: N818
+    """Another writer has published this version."""
+
+
+@dataclass(frozen=True)
+class Manifest:
+    version: int
+    buckets: int
+    schema: str
+    #: For each bucket that has rows: its folder, below the collection's, and its number of rows.
+    parts: dict[int, tuple[str, int]] = field(default_factory=dict)
+    #: The last batch of each stream that is in.
+    streams: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def rows(self) -> int:
+        return sum(n for _, n in self.parts.values())
+
+    def to_json(self) -> str:
+        return json.dumps({"version": self.version, "buckets": self.buckets, "schema": self.schema, "parts": {str(b): list(p) for b, p in self.parts.items()}, "streams": self.streams})
+
+    @classmethod
+    def of(cls, text: str) -> Manifest:
+        found = json.loads(text)
+        return cls(found["version"], found["buckets"], found["schema"], {int(b): (p[0], p[1]) for b, p in found["parts"].items()}, found["streams"])
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self._jvm = spark._jvm
         self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _current(self, name: str) -> str | None:
-        path = self._path(f"{self.root}/{name}/CURRENT")
-        if not self._fs.exists(path):
-            return None
-        stream = self._fs.open(path)
+    # --- files
+
+    def _list(self, path: str) -> list[str]:
+        where = self._path(path)
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(where)) if self._fs.exists(where) else []
+
+    def _read(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
         try:
             return bytes(stream.readAllBytes()).decode()
         finally:
             stream.close()
 
+    def _publish(self, text: str, path: str) -> None:
+        """Makes a file that must not exist yet, in one step: nobody sees a part of it, and of two writers one gets a Conflict."""
+        draft = self._path(f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+        out = self._fs.create(draft, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        try:
+            if self._fs.getScheme() == "file":  # where a rename would replace the target
+                os.link(urlparse(draft.toString()).path, urlparse(path).path)
+            else:
+                options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+                options[0] = self._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+                self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(draft, self._path(path), options)
+        except Exception as e:
+            if self._fs.exists(self._path(path)):
+                raise Conflict(path) from e
+            raise
+        finally:
+            self._fs.delete(draft, False)
+
+    # --- reading
+
+    def versions(self, name: str) -> list[int]:
+        return [int(f.removesuffix(".json")) for f in self._list(f"{self.root}/{name}/manifests") if f.endswith(".json") and not f.startswith(".")]
+
+    def manifest(self, name: str, version: int | None = None) -> Manifest | None:
+        """A version of the collection, the newest one unless it's stated; None where there's none."""
+        known = self.versions(name)
+        if version is None:
+            version = max(known, default=None)
+        return None if version not in known else Manifest.of(self._read(f"{self.root}/{name}/manifests/{version:012d}.json"))
+
     def names(self) -> list[str]:
-        top = self._path(self.root)
-        if not self._fs.exists(top):
-            return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(top) if self._current(s.getPath().getName()))
+        return [name for name in self._list(self.root) if self.versions(name)]
 
     def exists(self, name: str) -> bool:
-        return self._current(name) is not None
+        return bool(self.versions(name))
 
-    def read(self, name: str) -> DataFrame:
-        """The collection's rows; none where it doesn't exist yet."""
-        version = self._current(name)
-        if version is None:
+    def count(self, name: str) -> int:
+        """Rows of the newest version, from its manifest."""
+        found = self.manifest(name)
+        return found.rows if found else 0
+
+    def listing(self) -> DataFrame:
+        """collection, version, chunk_count and buckets of all collections; one row each."""
+        rows = [(n, m.version, m.rows, m.buckets) for n in self.names() if (m := self.manifest(n))]
+        return self.spark.createDataFrame(rows, "collection string, version long, chunk_count long, buckets int")
+
+    def read(self, name: str, content_ids: Iterable[str] | None = None, version: int | None = None) -> DataFrame:
+        """The collection's rows; none where it doesn't exist yet. content_ids: only these contents' rows, from their buckets."""
+        found = self.manifest(name, version)
+        if found is None:
             return self.spark.createDataFrame([], COLLECTION)
-        return self.spark.read.parquet(f"{self.root}/{name}/{version}")
+        if content_ids is None:
+            return self._rows(name, found, found.parts)
+        ids = list(content_ids)
+        wanted = self.spark.createDataFrame([(i,) for i in ids], "content_id string")
+        buckets = {r.bucket for r in wanted.select(bucket_of(found.buckets)).distinct().collect()}
+        return self._rows(name, found, buckets).where(F.col("content_id").isin(ids) if ids else F.lit(False))
+
+    def _rows(self, name: str, found: Manifest, buckets: Iterable[int]) -> DataFrame:
+        folders = [f"{self.root}/{name}/{found.parts[b][0]}" for b in sorted(buckets) if b in found.parts]
+        schema = StructType.fromJson(json.loads(found.schema))
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    # --- writing
+
+    def upsert(self, name: str, rows: DataFrame, batch: tuple[str, int] | None = None) -> bool:
+        """All rows of the contents in `rows` are replaced by theirs; other contents stay, their buckets aren't even read.
+
+        Of rows with equal ids one stays (`one_of_each_id`). batch: a stream's name and the number of its batch; if the
+        collection has that batch already nothing is written. Returns whether anything was.
+        """
+        return self._change(name, rows, rows.select("content_id"), batch)
+
+    def delete(self, name: str, contents: DataFrame) -> bool:
+        """Removes all rows of the contents given."""
+        found = self.manifest(name)
+        if found is None:
+            return False
+        return self._change(name, self._rows(name, found, ()), contents.select("content_id"), None)
 
     def replace(self, name: str, rows: DataFrame) -> None:
-        version = f"v{int((self._current(name) or 'v0')[1:]) + 1}"
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/{version}")
-        out = self._fs.create(self._path(f"{self.root}/{name}/CURRENT"), True)
-        out.write(bytearray(version.encode()))
-        out.close()
+        """The collection has these rows only."""
+        kept = stage(one_of_each_id(rows).withColumn("bucket", bucket_of(self.buckets)), "replace")
+        written = self._write(name, kept)
+        self._commit(name, lambda old: Manifest((old.version if old else 0) + 1, self.buckets, rows.schema.json(), written, old.streams if old else {}))
+        unstage(kept)
+
+    def _change(self, name: str, rows: DataFrame, gone: DataFrame, batch: tuple[str, int] | None) -> bool:
+        old = self.manifest(name)
+        number = old.buckets if old else self.buckets
+        if batch and old and old.streams.get(batch[0], -1) >= batch[1]:
+            return False
+        # read once, as what is behind them may take long to make
+        new = stage(one_of_each_id(rows).withColumn("bucket", bucket_of(number)), "upsert")
+        ids = stage(gone.where("content_id is not null").distinct().withColumn("bucket", bucket_of(number)), "upsert-ids")
+        touched = {r.bucket for r in ids.select("bucket").union(new.select("bucket")).distinct().collect()}  # at most one a bucket
+        written: dict[int, tuple[str, int]] = {}
+        seen: Manifest | None = None
+
+        def next_one(now: Manifest | None) -> Manifest | None:
+            nonlocal written, seen
+            if now and batch and now.streams.get(batch[0], -1) >= batch[1]:
+                return None
+            if now and now.buckets != number:
+                raise RuntimeError(f"{name} was made anew with other buckets")
+            first = seen is None and not written
+            if first or {b: now.parts.get(b) for b in touched if now} != {b: seen.parts.get(b) for b in touched if seen}:
+                before = self._rows(name, now, touched) if now else self.spark.createDataFrame([], rows.schema)
+                kept = before.join(ids.select("content_id"), "content_id", "left_anti").withColumn("bucket", bucket_of(number))
+                written = self._write(name, kept.unionByName(new, allowMissingColumns=True)) if touched else {}
+                seen = now
+            parts = {b: p for b, p in (now.parts if now else {}).items() if b not in touched} | written
+            streams = (now.streams if now else {}) | (dict([batch]) if batch else {})
+            schema = now.schema if now else rows.schema.json()
+            return Manifest((now.version if now else 0) + 1, number, schema, parts, streams)
+
+        done = self._commit(name, next_one)
+        unstage(new, ids)
+        return done
+
+    def _write(self, name: str, rows: DataFrame) -> dict[int, tuple[str, int]]:
+        """Writes rows (with bucket) as a folder of their own; returns each bucket's folder and number of rows."""
+        folder = f"data/{uuid.uuid4().hex}"
+        path = f"{self.root}/{name}/{folder}"
+        # large buckets are split over tasks and small ones share one
+        rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        if not any(f.startswith("bucket=") for f in self._list(path)):
+            return {}
+        counts = self.spark.read.parquet(path).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()
+        return {r.bucket: (f"{folder}/bucket={r.bucket}", r.n) for r in counts}
+
+    def _commit(self, name: str, next_one: Callable[[Manifest | None], Manifest | None]) -> bool:
+        for _ in range(TRIES):
+            made = next_one(self.manifest(name))
+            if made is None:
+                return False
+            self._fs.mkdirs(self._path(f"{self.root}/{name}/manifests"))
+            try:
+                self._publish(made.to_json(), f"{self.root}/{name}/manifests/{made.version:012d}.json")
+            except Conflict:
+                continue
+            return True
+        raise Conflict(f"{name} was changed {TRIES} times meanwhile")
+
+    def clean(self, name: str, keep: int = 2, abandoned: float = ABANDONED) -> int:
+        """Deletes all versions but the newest `keep`, with the files that none of these has. Returns how many writes' files went.
+
+        Readers of older versions must be done. Files that no manifest names are a running writer's or a failed one's:
+        they go when they are older than `abandoned` seconds.
+        """
+        known = sorted(self.versions(name))
+        old, kept = known[:-keep] if keep else known, known[-keep:] if keep else []
+        folders = lambda v: {p.split("/")[1] for p, _ in m.parts.values()} if (m := self.manifest(name, v)) else set()
+        needed = set().union(*(folders(v) for v in kept))
+        named = set().union(*(folders(v) for v in known))
+        going = []
+        for write in self._list(f"{self.root}/{name}/data"):
+            status = self._fs.getFileStatus(self._path(f"{self.root}/{name}/data/{write}"))
+            if write not in needed and (write in named or time.time() - status.getModificationTime() / 1000 > abandoned):
+                going.append(write)
+        for v in old:
+            self._fs.delete(self._path(f"{self.root}/{name}/manifests/{v:012d}.json"), False)
+        for write in going:
+            self._fs.delete(self._path(f"{self.root}/{name}/data/{write}"), True)
+        return len(going)
+
+
+def bucket_of(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("content_id"), F.lit(buckets)).cast("int").alias("bucket")
+
 
-    def upsert(self, name: str, rows: DataFrame) -> None:
-        """All rows of the contents in `rows` are replaced by theirs; other contents stay. Of equal ids one row stays."""
-        self.replace(name, upserted(self.read(name), rows))
+def one_of_each_id(rows: DataFrame) -> DataFrame:
+    """Of rows with equal ids the one whose other columns come last, compared one after the other as text, null first; reruns agree."""
+    others = [o for c in rows.columns if c != "id" for o in (F.col(c).isNull(), F.to_json(F.struct(c)).desc())]
+    return rows.withColumn("_at", F.row_number().over(Window.partitionBy("id").orderBy(*others))).where("_at = 1").drop("_at")
 
 
 def upserted(existing: DataFrame, rows: DataFrame) -> DataFrame:
-    new = rows.dropDuplicates(["id"])
+    """existing with all rows of the contents in `rows` replaced by theirs, as Store.upsert does it, as one plan."""
+    new = one_of_each_id(rows)
     return existing.join(new.select("content_id").distinct(), "content_id", "left_anti").unionByName(new, allowMissingColumns=True)
 
 

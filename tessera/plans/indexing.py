@@ -16,5 +16,6 @@ def collection_rows(raw: DataFrame, strategy: Strategy, limit: int = 0) -> DataF
     return embedding.embed_records(records, strategy.model).drop("source_key")
 
 
-def build_index(store: Store, raw: DataFrame, strategy: Strategy, limit: int = 0) -> None:
-    store.upsert(strategy.collection, collection_rows(raw, strategy, limit))
+def build_index(store: Store, raw: DataFrame, strategy: Strategy, limit: int = 0, batch: tuple[str, int] | None = None) -> bool:
+    """batch: a stream's name and its batch's number; False if the collection has that batch already."""
+    return store.upsert(strategy.collection, collection_rows(raw, strategy, limit), batch)
