@@ -16,19 +16,17 @@ Spark writes and in which a rename fails where the target exists.
 from __future__ import annotations
 
 import json
-import os
 import time
 import uuid
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field, replace
-from urllib.parse import urlparse
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..model import COLLECTION
-from ..sources.shared import stage, unstage
+from ..sources.shared import Conflict, Files, stage, unstage
 
 #: Buckets of a new collection, and how often a writer tries to publish.
 BUCKETS, TRIES = 32, 20
@@ -36,10 +34,6 @@ BUCKETS, TRIES = 32, 20
 ABANDONED = 24 * 3600
 
 
-class Conflict(Exception):  # noqa: N818
-    """Another writer has published this version."""
-
-
 @dataclass(frozen=True)
 class Manifest:
     version: int
@@ -63,50 +57,15 @@ class Manifest:
         return cls(found["version"], found["buckets"], found["schema"], {int(b): (p[0], p[1]) for b, p in found["parts"].items()}, found["streams"])
 
 
-class Store:
+class Store(Files):
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self._jvm = spark._jvm
-        self._path = self._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    # --- files
-
-    def _list(self, path: str) -> list[str]:
-        where = self._path(path)
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(where)) if self._fs.exists(where) else []
-
-    def _read(self, path: str) -> str:
-        stream = self._fs.open(self._path(path))
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def _publish(self, text: str, path: str) -> None:
-        """Makes a file that must not exist yet, in one step: nobody sees a part of it, and of two writers one gets a Conflict."""
-        draft = self._path(f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
-        out = self._fs.create(draft, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        try:
-            if self._fs.getScheme() == "file":  # where a rename would replace the target
-                os.link(urlparse(draft.toString()).path, urlparse(path).path)
-            else:
-                options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-                options[0] = self._jvm.org.apache.hadoop.fs.Options.Rename.NONE
-                self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(draft, self._path(path), options)
-        except Exception as e:
-            if self._fs.exists(self._path(path)):
-                raise Conflict(path) from e
-            raise
-        finally:
-            self._fs.delete(draft, False)
+        super().__init__(spark, root)
+        self.buckets = buckets
 
     # --- reading
 
     def versions(self, name: str) -> list[int]:
-        return [int(f.removesuffix(".json")) for f in self._list(f"{self.root}/{name}/manifests") if f.endswith(".json") and not f.startswith(".")]
+        return self._versions(f"{self.root}/{name}/manifests")
 
     def manifest(self, name: str, version: int | None = None) -> Manifest | None:
         """A version of the collection, the newest one unless it's stated; None where there's none."""
@@ -221,7 +180,6 @@ class Store:
             made = next_one(self.manifest(name))
             if made is None:
                 return False
-            self._fs.mkdirs(self._path(f"{self.root}/{name}/manifests"))
             try:
                 self._publish(made.to_json(), f"{self.root}/{name}/manifests/{made.version:012d}.json")
             except Conflict:

@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import retrieval, vector_index
+from tessera.operators.lexical_index import BlockIndex
 from tessera.operators.vector_index import VectorIndex
+from tessera.sources.shared import Conflict
 
 ROWS = "id string, content_id string, embedding array<float>"
 
@@ -64,3 +66,71 @@ def test_queries_of_one_id_have_a_list_each(spark, tmp_path):
     queries = spark.createDataFrame([("q", [float(x) for x in middle[i]]) for i in (0, 1)], "query_id string, embedding array<double>")
     found = VectorIndex.build(rows, str(tmp_path / "index")).top(queries, 2).collect()
     assert len(found) == 4 and {r.content_id for r in found} == {"c0", "c1"}
+
+
+def texts(spark, rows):
+    return spark.createDataFrame(rows, "id string, content_id string, document string")
+
+
+def asked(spark, *words):
+    return spark.createDataFrame([(f"q{i}", w) for i, w in enumerate(words)], "query_id string, query string")
+
+
+def corpus(n: int = 300, seed: int = 1) -> list[tuple]:
+    rng = np.random.default_rng(seed)
+    words = [f"w{i}" for i in range(400)]
+    weights = 1 / np.arange(1, 401)
+    rows = []
+    for i in range(n):
+        t = [words[j] for j in rng.choice(400, int(rng.integers(0, 60)), p=weights / weights.sum())] + [f"own{i % 50}"] * (i % 4)
+        rows.append((f"c{i // 2}::chunk{i % 2}", f"c{i // 2}", " ".join(t)))
+    return rows
+
+
+QUESTIONS = ("w1 w7 own3", "own3 own3 own4 w200", "w0", "W350 w399 w2", "nothing here", "", "own49 w0 w1 w2 w3")
+
+
+def test_block_index_ranks_as_a_whole_scan(spark, tmp_path):
+    rows = texts(spark, corpus())
+    index = BlockIndex.build(rows, str(tmp_path / "i"))
+    plain = retrieval.LexicalIndex.build(rows)
+    opened = BlockIndex(spark, str(tmp_path / "i"))
+    for n in (1, 5, 400):
+        key = lambda df: sorted((r.query_id, r["rank"], r.chunk_id, round(r.score, 7)) for r in df.collect())
+        assert key(opened.top(asked(spark, *QUESTIONS), n)) == key(plain.top(asked(spark, *QUESTIONS), n))
+    terms = lambda df: sorted((r.term, r.df, round(r.idf, 9)) for r in df.collect())
+    assert terms(index.terms()) == terms(plain.terms)
+    # a third of the ranges at most is scored for a rare term's best chunks
+    queries = asked(spark, "own3 w200", "own7 w1").withColumn("q", F.col("query_id").substr(2, 9).cast("long"))
+    _, counts = opened.search(queries.select("q", "query"), 2)
+    assert all(0 < r.visited < r.ranges for r in counts.collect())
+
+
+def test_changes_leave_the_statistics_of_an_index_built_anew(spark, tmp_path):
+    rows = corpus(120)
+    index = BlockIndex.build(texts(spark, rows), str(tmp_path / "i"))
+    new = [("c3::chunk0", "c3", "w1 fresh words"), ("c900::chunk0", "c900", "w1 w2 fresh"), ("c901::chunk0", "c901", "")]
+    index.upsert(texts(spark, new))
+    index.delete(spark.createDataFrame([("c5",), ("c6",), ("unknown",)], "content_id string"))
+    index.upsert(texts(spark, [("c5::chunk7", "c5", "back again w1")]))
+    living = [r for r in rows if r[1] not in ("c3", "c5", "c6")] + new + [("c5::chunk7", "c5", "back again w1")]
+    plain = retrieval.LexicalIndex.build(texts(spark, living))
+    terms = lambda df: sorted((r.term, r.df, round(r.idf, 9)) for r in df.collect())
+    key = lambda df: sorted((r.query_id, r["rank"], r.chunk_id, round(r.score, 7)) for r in df.collect())
+    questions = asked(spark, *QUESTIONS, "fresh", "again")
+    for compacted in (False, True):
+        if compacted:
+            BlockIndex(spark, str(tmp_path / "i")).compact()
+        opened = BlockIndex(spark, str(tmp_path / "i"))
+        assert len(opened.state.segments) == (1 if compacted else 4)
+        assert terms(opened.terms()) == terms(plain.terms)
+        assert key(opened.top(questions, 6)) == key(plain.top(questions, 6))
+    with pytest.raises(Conflict):  # the index was compacted since this one was opened
+        index.delete(spark.createDataFrame([("c1",)], "content_id string"))
+
+
+def test_an_index_without_chunks(spark, tmp_path):
+    index = BlockIndex.build(texts(spark, []), str(tmp_path / "i"))
+    assert index.top(asked(spark, "a b"), 3).count() == 0 and index.terms().count() == 0
+    index.upsert(texts(spark, [("a", "a", "one two")]))
+    assert [tuple(r)[:2] for r in index.top(asked(spark, "two"), 3).collect()] == [("q0", "a")]
