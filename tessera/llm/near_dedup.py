@@ -14,9 +14,10 @@ similarity 0.8 miss each other in all 40 bands once in eight million times; ever
 
 Links. A bucket isn't expanded into its pairs. In each of ROUNDS rounds every bucket has a pivot (the least set by the
 round's hash), and every set is compared with that one of its buckets' pivots which it shares most buckets with, so a
-round compares each set once. Sets that link are one group, known to be connected. Of buckets that hold several groups
-after that, pairs of different groups are made by the first bit in which hashes of their groups differ, as members of one
-group needn't meet; pairs that sizes or parity sketches rule out are dropped, all others are verified.
+round compares each set once. Sets that link are one group, known to be connected. Buckets that hold several groups
+after that are packed by group, and packs of a bucket meet unless both are of one and the same group, so a group of
+thousands meets the few other sets of its buckets and not itself. Two packs give those pairs of different groups, each from the
+first of its bands only, that sizes and parity sketches don't rule out; all these are verified.
 
 How it runs. Texts are read as Arrow batches and never shuffled: once for the sets' hashes and signatures, and once for
 the whole sets of those that are compared in a round. Equal sets are one from the first task on, so a group of exact copies that
@@ -32,9 +33,7 @@ doc_id share its fate. Empty tables give empty results, other columns don't matt
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +46,9 @@ from .common import stage, unstage
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS, ROUNDS = 40, 5, 2
 EMPTY = np.uint64((1 << 64) - 1)
-#: Shingles that go through the levels together.
-CHUNK = 1 << 17
+#: Sets of a pack, about; shingles that go through the levels together.
+PACK = 256
+CHUNK = 1 << 15
 _LOW, _HALF = np.uint64((1 << 32) - 1), np.uint64(32)
 _STEP = 0x9E3779B97F4A7C15
 
@@ -170,21 +170,73 @@ def stars(lists: DataFrame, labels: DataFrame, percent: int, turn: int) -> DataF
     return best.select("best.a", "b", "best.n", "m")
 
 
-def rest_pairs(lists: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """a, b, n, m of all pairs of different groups that share a bucket, but for those that sizes or sketches rule out."""
-    known = lists.join(labels, "set", "left").select(F.col("band").alias("token"), "set", "n", F.lit(0).alias("pos"), F.coalesce("group", "set").alias("group"))
-    mixed = known.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
-    mixed = stage(mixed.select("token", "c"), "mixed")
-    spread = J.by_first_bit(known, mixed, percent)
-    where = ["token", "level", "cell", "bit"]
-    left = spread.withColumn("bit", F.coalesce(1 - F.col("bit"), F.lit(0))).select(*where, F.col("set").alias("a"), F.col("n"), F.col("group").alias("a_group"))
-    right = spread.withColumn("bit", F.coalesce("bit", F.lit(0))).select(*where, F.col("set").alias("b"), F.col("n").alias("m"), F.col("group").alias("b_group"))
-    met = left.join(right, where).where((F.col("a_group") != F.col("b_group")) & (F.col("a") < F.col("b")) & alike("n", "m", percent))
-    pairs = stage(met.select("a", "b", "n", "m").distinct(), "met")
-    sides = [sketches.select(F.col("set").alias(c), F.col("sketch").alias(f"{c}_sketch")) for c in ("a", "b")]
-    both = J.attach(J.attach(pairs, "b", "a", sides[1], pairs), "a", "b", sides[0], pairs)
-    apart = reduce(operator.add, (F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(J.SKETCH)))
-    return both.where(apart <= F.col("n") + F.col("m") - 2 * J.needed(F.col("n"), F.col("m"), percent)).select("a", "b", "n", "m")
+def packed(lists: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame:
+    """Of buckets with several groups: pack, band, own (the group that a pack of one group has) and sets.
+
+    A group that fills half a pack or more in a bucket has packs of its own; smaller ones share packs, each of them whole.
+    """
+    known = lists.join(labels, "set", "left").withColumn("group", F.coalesce("group", "set"))
+    mixed = known.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
+    entries = J.join_by(known, stage(mixed.select("band", "c"), "mixed"), "band").withColumn("bg", F.concat_ws("/", "band", "group"))
+    entries = stage(entries, "entries")
+    sizes = stage(entries.groupBy("bg", "band", "group").agg(F.count(F.lit(1)).alias("c")), "sizes")
+    large = F.col("c") * 2 >= PACK
+    shared = stage(sizes.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.ceil(F.coalesce(F.sum(F.when(~large, F.col("c"))), F.lit(0)) / PACK).alias("parts")), "shared")
+    at = F.when(large, F.concat_ws("/", "bg", F.lit("own"), F.ceil(F.col("c") / PACK))).otherwise(F.concat_ws("/", "band", F.lit("of"), F.pmod(F.xxhash64("group"), F.col("parts"))))
+    named = J.join_by(sizes.withColumnRenamed("c", "here"), shared, "band").withColumnRenamed("here", "c").select("bg", "c", at.alias("at"), F.when(large, F.col("group")).alias("own"), F.ceil(F.col("c") / PACK).alias("copies"))
+    dealt = J.join_by(entries, named, "bg").withColumn("pack", F.when(F.col("own").isNull(), F.col("at")).otherwise(F.concat_ws("/", "at", F.pmod(F.xxhash64("set"), F.col("copies")))))
+    rows = dealt.select("pack", "band", "own", "set", "group").join(signed.select("set", "n", "sketch", "bands"), "set")
+    packs = rows.groupBy("pack", "band", "own").agg(F.collect_list(F.struct("set", "n", "group", "sketch", "bands")).alias("sets"))
+    packs = stage(packs, "packs")
+    unstage(entries, sizes, shared)
+    return packs
+
+
+def rest_pairs(lists: DataFrame, labels: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """a, b, n, m of all pairs of different groups that share a bucket, each once, but for those that sizes or sketches rule out."""
+    packs = packed(lists, labels, signed)
+    left, right = (packs.select("band", F.col("pack").alias(p), F.col("own").alias(o)) for p, o in (("p", "p_own"), ("q", "q_own")))
+    apart = F.col("p_own").isNull() | F.col("q_own").isNull() | (F.col("p_own") != F.col("q_own"))
+    met = left.join(right, "band").where(((F.col("p") < F.col("q")) & apart) | ((F.col("p") == F.col("q")) & F.col("p_own").isNull())).select("band", "p", "q")
+    met = stage(met, "met")
+    sides = [packs.select(F.col("pack").alias(c), F.col("sets").alias(f"{c}_sets")) for c in ("p", "q")]
+    visits = J.attach(J.attach(met, "p", "q", sides[0], met), "q", "p", sides[1], met)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for band, same, x, y in zip(*batch.columns, strict=True):
+                a, b = _Sets(x.values), _Sets(y.values)
+                i, j = _near(a, b, same.as_py(), percent)
+                # a pair comes from the first of its bands
+                first = (a.bands[i] == b.bands[j]).argmax(axis=1)
+                new = a.bands[i, first] == band.as_py()
+                i, j = i[new], j[new]
+                swap = a.sets[i] > b.sets[j]
+                pick = lambda p, q: pa.array(np.where(swap, q, p))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([pick(a.sets[i], b.sets[j]), pick(b.sets[j], a.sets[i]), pick(a.n[i], b.n[j]), pick(b.n[j], a.n[i])], names=["a", "b", "n", "m"])
+
+    return visits.select("band", (F.col("p") == F.col("q")).alias("same"), "p_sets", "q_sets").mapInArrow(run, "a long, b long, n int, m int")
+
+
+class _Sets:
+    """A pack's sets as arrays."""
+
+    def __init__(self, rows: pa.StructArray):
+        self.sets, self.n, self.groups = (rows.field(c).to_numpy() for c in ("set", "n", "group"))
+        self.sketch, self.bands = (rows.field(c).flatten().to_numpy().reshape(len(self.sets), -1) for c in ("sketch", "bands"))
+
+
+def _near(a: _Sets, b: _Sets, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of different groups that their sizes and sketches let link; of one pack, each pair once."""
+    n, m = a.n.astype(np.int64)[:, None], b.n.astype(np.int64)[None]
+    fits = (a.groups[:, None] != b.groups[None]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+    if same:
+        fits &= np.arange(len(n))[:, None] < np.arange(m.shape[1])[None]
+    i, j = np.nonzero(fits)
+    n, m = a.n.astype(np.int64)[i], b.n.astype(np.int64)[j]
+    apart = np.bitwise_count(a.sketch[i].view(np.uint64) ^ b.sketch[j].view(np.uint64)).sum(axis=1, dtype=np.int64)
+    near = apart <= n + m - 2 * -(-percent * (n + m) // (100 + percent))
+    return i[near], j[near]
 
 
 def links(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: J.Moved) -> DataFrame:
@@ -200,8 +252,7 @@ def links(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: J.Move
         new = verified(docs, k, percent, stars(lists, labels, percent, turn), moved, f"star{turn}")
         found = stage(found.unionByName(new), "links")
         labels = J.groups(found)
-    sketches = signed.select("set", "sketch")
-    last = verified(docs, k, percent, rest_pairs(lists, labels, sketches, percent), moved, "rest")
+    last = verified(docs, k, percent, rest_pairs(lists, labels, signed, percent), moved, "rest")
     unstage(signed, several, lists)
     return found.unionByName(last)
 
