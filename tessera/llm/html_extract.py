@@ -4,9 +4,13 @@ A page is read once into text leaves. Each leaf stands at the end of a tag path,
 from the root down; paths are numbered as they come, each with its parent's number, so a page takes time and memory in
 proportion to its length however deep it is nested. Each path gathers its leaves' number, text length and punctuation.
 The length ratio (characters a leaf) and the punctuation ratio (marks a leaf) are smoothed over neighbouring paths of a
-container in page order and fused by multiplication, together with 2 to the power of the path's evidence: labels that name content
-add to it, labels that name navigation, notices, adverts, forms or comments take from it. Paths are content that reach
-half of the page's mean, weighted by characters; evidence alone neither selects a path nor rules one out.
+container in page order and fused by multiplication. Paths are content that reach half of the page's mean, weighted by characters.
+
+Labels are evidence: they shift a path's ratio by a power of two, at most 16 times for it and 256 times against it.
+Labels that name content add to it, labels that name navigation, notices, adverts, forms or comments take from it. Whether
+such a name is believed is up to the ratios, too: where an element holds all but a tenth of what the ratios alone
+select (half of it, if the name is only a part of a longer one, as in "no-sidebar", or a form) and no article or main
+element stands outside of it, it's a frame around the content and its name means something else.
 
 Content paths then fix what belongs to them. What stands in the same container (the path without its inner text tags)
 is content, so are headings, short paragraphs and list items however short. Where a chosen path stands in an article or
@@ -15,8 +19,8 @@ is content if it reaches a quarter of the threshold. In both cases labels that n
 
 It runs as Python over Arrow batches, a page at a time, so memory is bounded by a batch and nothing is shuffled.
 
-A null page is an empty one; a page without content gives an empty text, so does one of nothing but navigation and the
-like. Broken markup never fails: unknown and unclosed tags, stray end tags and a cut end are read as browsers would
+A null page is an empty one; a page without content gives an empty text, so does one of nothing but links, notices and the
+like without running text. Broken markup never fails: unknown and unclosed tags, stray end tags and a cut end are read as browsers would
 roughly read them. Elements whose content is no page text (scripts, styles, controls, hidden parts) have no leaves. The
 whole page is read, however long. Equal rows give equal results; the columns page_id, url and html are read, others
 don't matter.
@@ -52,14 +56,18 @@ ENDS_P = frozenset("address article aside blockquote center details dialog div d
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 #: Tags, and words in a class, an id or a role, that name parts which are no content; and those that name content.
 OTHER_TAGS = frozenset("nav footer aside form fieldset menu dialog label".split())
+FORMS = frozenset(("form", "fieldset"))
 OTHER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promos promotion sidebar sidebars widget widgets nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead topbar"
     " cookie cookies consent gdpr notice notices alert alerts notification popup modal overlay subscribe subscription newsletter signup signin login search share sharing social related recommended recommendations"
     " comment comments reply replies respond disqus discussion pagination pager toolbar skip copyright legal disclaimer outbrain taboola paywall contentinfo complementary hidden toc".split()
 )
 CONTENT_WORDS = frozenset("article content main post entry story body text".split())
-#: What a label adds to the evidence (a power of two), and the most that a path may have.
-STATED, TOLD, OTHER, MOST = 3, 1, -8, 4
+#: What a label adds to the evidence (a power of two), and the most and least that a path may have.
+STATED, TOLD, OTHER, MOST, LEAST = 3, 1, -8, 4, -8
+#: A frame leaves less than this share of what ratios select outside: of a whole word's, and of a part of a name's; and less of all text. Characters and marks a leaf of running text.
+WORD_FRAME, PART_FRAME, FRAME = 0.1, 0.5, 0.4
+RUNNING, RUNNING_MARKS = 40, 1
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？¿¡]")
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -77,9 +85,14 @@ class Paths:
     def __init__(self) -> None:
         self.number: dict[tuple, int] = {}
         self.parent, self.container, self.scope = [0], [0], [0]
+        self.frame = [0.0]  # for labels that name other parts: the share outside from which they're believed; else 0
+        self.adds = [0]  # evidence of labels that name content
+        self.hidden = [False]
+        self.stated = [False]
+        # once the page is read (`settle`)
+        self.other = [False]  # whether the label names another part and is believed
         self.points = [0]  # evidence
         self.others = [0]  # labels that name other parts, since the nearest article or main
-        self.hidden = [False]
 
     def below(self, parent: int, tag: str, rest: str) -> int:
         """The number of the path that an element with these attributes makes below parent."""
@@ -98,25 +111,51 @@ class Paths:
         kind, own, role = found.get("class", ""), found.get("id", ""), found.get("role", "")
         first = (kind.split() or [own])[0]
         named = name_words(kind, own, role) if kind or own or role else set()
+        whole = {w.lower() for w in f"{kind} {own} {role}".split()}
         stated = tag in ("article", "main") or role == "main"
         hidden = self.hidden[parent] or tag in CONTROLS or "hidden" in found or found.get("aria-hidden") == "true" or bool(HIDDEN_STYLE.search(found.get("style", "")))
-        other = tag in OTHER_TAGS or (tag == "header" and not self.scope[parent])
+        outside = not self.scope[parent]
+        words = OTHER_WORDS | {"header"} if outside else OTHER_WORDS
+        if stated:
+            words = {"comment", "comments", "reply", "replies"}
+        frame = WORD_FRAME if tag in OTHER_TAGS - FORMS or (tag == "header" and outside) else PART_FRAME if tag in FORMS else 0.0
         if tag not in ("html", "body"):
-            other = other or bool(named & OTHER_WORDS) and not (stated and not named & {"comment", "comments", "reply", "replies"}) or ("header" in named and not self.scope[parent])
-        step = OTHER if other else STATED if stated else TOLD if named & CONTENT_WORDS and tag not in ("html", "body") else 0
-        label = parent, tag, first, step, hidden, stated
+            if whole & words:
+                frame = WORD_FRAME
+            elif named & words and not frame:
+                frame = PART_FRAME
+        adds = 0 if frame else STATED if stated else TOLD if named & CONTENT_WORDS and tag not in ("html", "body") else 0
+        label = parent, tag, first, frame, adds, hidden, stated
         known = self.number.get(label)
         if known is not None:
             return known
         new = self.number[label] = len(self.parent)
         self.parent.append(parent)
-        self.container.append(self.container[parent] if tag in TEXT_TAGS and not other else new)
+        self.container.append(self.container[parent] if tag in TEXT_TAGS and not frame else new)
         self.scope.append(new if stated else self.scope[parent])
-        self.points.append(min(MOST, self.points[parent] + step))
-        self.others.append(int(other) if stated else self.others[parent] + int(other))
+        self.frame.append(frame)
+        self.adds.append(adds)
         self.hidden.append(hidden)
+        self.stated.append(stated)
         return new
 
+    def settle(self, selected: dict[int, int], running: set[int], held: dict[int, int]) -> None:
+        """Decides which labels are believed. By path: selected, the characters that ratios alone select; running: those of running text; held: all characters."""
+        n = len(self.parent)
+        mass, runs, said, every = [0] * n, [0] * n, [0] * n, [0] * n
+        for p, chars in held.items():
+            mass[p], runs[p], said[p], every[p] = selected.get(p, 0), int(p in running), chars if self.scope[p] else 0, chars
+        for p in range(n - 1, 0, -1):  # children have higher numbers
+            for sums in (mass, runs, said, every):
+                sums[self.parent[p]] += sums[p]
+        for p in range(1, n):
+            up = self.parent[p]
+            around = runs[p] > 0 and said[p] == said[0] and mass[0] - mass[p] < self.frame[p] * mass[0] and every[0] - every[p] < FRAME * every[0]
+            other = self.frame[p] > 0 and not around
+            self.other.append(other)
+            self.points.append(max(LEAST, min(MOST, self.points[up] + (OTHER if other else self.adds[p]))))
+            self.others.append(int(other) if self.stated[p] else self.others[up] + int(other))
+
 
 #: A leaf: the number of its path, its block, its text, and which article or main element is its nearest one (0: none).
 Leaf = tuple[int, int, str, int]
@@ -183,12 +222,8 @@ def leaves(page: str) -> tuple[Paths, list[Leaf]]:
     return paths, out
 
 
-def fused_ratios(paths: Paths, found: list[Leaf]) -> tuple[dict[int, float], float]:
-    """By path the smoothed length ratio times the smoothed punctuation ratio times the evidence; and their mean, weighted by characters.
-
-    The mean is over paths without evidence against them, or where there are none, over those with the least; a page of
-    nothing but other parts has the mean infinity.
-    """
+def ratios(paths: Paths, found: list[Leaf]) -> tuple[dict[int, list[int]], dict[int, float]]:
+    """By path its leaves' number, length and punctuation, and the smoothed length ratio times the smoothed punctuation ratio."""
     stats: dict[int, list[int]] = {}
     for path, _, text, _ in found:
         n = len(" ".join(text.split()))
@@ -209,10 +244,24 @@ def fused_ratios(paths: Paths, found: list[Leaf]) -> tuple[dict[int, float], flo
 
     length = smooth([stats[p][1] / stats[p][0] for p in order])
     marks = smooth([stats[p][2] / stats[p][0] for p in order])
-    fused = {p: a * (b + 0.1) * 2.0 ** paths.points[p] for p, a, b in zip(order, length, marks, strict=True)}
-    basis = [p for p in order if paths.points[p] >= 0]
+    return stats, {p: a * (b + 0.1) for p, a, b in zip(order, length, marks, strict=True)}
+
+
+def mean_of(values: dict[int, float], stats: dict[int, list[int]], basis: list[int]) -> float:
+    """Weighted by characters; infinity of nothing."""
     chars = sum(stats[p][1] for p in basis)
-    return fused, sum(fused[p] * stats[p][1] for p in basis) / chars if chars else float("inf")
+    return sum(values[p] * stats[p][1] for p in basis) / chars if chars else float("inf")
+
+
+def fused_ratios(paths: Paths, found: list[Leaf]) -> tuple[dict[int, float], float]:
+    """By path the ratio with its evidence, and the mean of those without evidence against them. The paths' labels are settled by the ratios before."""
+    stats, plain = ratios(paths, found)
+    least = THRESHOLD * mean_of(plain, stats, list(plain))
+    selected = {p: stats[p][1] for p, v in plain.items() if v >= least}
+    running = {p for p in selected if stats[p][1] >= RUNNING * stats[p][0] and stats[p][2] >= RUNNING_MARKS * stats[p][0]}
+    paths.settle(selected, running, {p: s[1] for p, s in stats.items()})
+    fused = {p: v * 2.0 ** paths.points[p] for p, v in plain.items()}
+    return fused, mean_of(fused, stats, [p for p in fused if not paths.others[p] and paths.points[p] >= 0])
 
 
 def content_paths(paths: Paths, found: list[Leaf]) -> tuple[set[int], set[int]]:
@@ -230,7 +279,7 @@ def accepted(paths: Paths, chosen: set[int], inner: set[int]) -> list[bool]:
     out = []
     for p in range(n):
         up = paths.parent[p]
-        clean = paths.points[p] >= paths.points[up] or paths.others[p] == 0
+        clean = not paths.other[p] or paths.others[p] == 0
         if p:
             inside[p] = p in held or inside[up] and clean
         home = paths.container[p]

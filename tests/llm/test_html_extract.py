@@ -79,10 +79,48 @@ def test_ratios_alone_find_the_article_of_unnamed_parts(monkeypatch):
     rng = random.Random(4)
     pages = [unnamed_page(rng) for _ in range(40)]
     assert [extract(p) for p, _ in pages] == [t for _, t in pages]
-    monkeypatch.setattr(html_extract, "content_paths", lambda paths, found: ({x[0] for x in found},) * 2)
+    constant_ratios(monkeypatch)
     assert not any(extract(p) == t for p, t in pages)
 
 
+def constant_ratios(monkeypatch):
+    plain = html_extract.ratios
+    monkeypatch.setattr(html_extract, "ratios", lambda paths, found: (plain(paths, found)[0], dict.fromkeys(plain(paths, found)[0], 1.0)))
+
+
+@pytest.mark.skipif(not os.path.exists(f"{SF}/pages.parquet"), reason="no tables")
+def test_without_evidence_ratios_decide_most_pages(monkeypatch):
+    import pyarrow.parquet as pq
+
+    for name in ("OTHER_TAGS", "OTHER_WORDS", "CONTENT_WORDS", "FORMS"):
+        monkeypatch.setattr(html_extract, name, frozenset())
+    pages = [p.replace("article>", "div>").replace("header>", "div>") for p in pq.read_table(f"{SF}/pages.parquet")["html"].to_pylist()]
+    got = [extract(p) for p in pages]
+    constant_ratios(monkeypatch)
+    assert sum(extract(p) != g for p, g in zip(pages, got, strict=True)) > len(pages) / 2
+
+
+LONG = "".join(f"<p>Long paragraph {i}, with commas, and so on; it goes on for a while, and then it ends.</p>" for i in range(10))
+
+
+@pytest.mark.parametrize("start", [
+    "<div class='site right-sidebar'>", "<div id='page' class='no-sidebar'><main>", "<form id='aspnetForm'>", "<div class='post comments-open'>", "<div class='post-body share-enabled'>", "<div class='content toc-enabled'>",
+    "<div class='promo-free'>", "<div class='legal-news'>", "<div id='social-policy'>", "<div class='widget'>", "<fieldset>", "<div class='menu'><div class='related'>",
+])
+def test_a_frame_around_the_article_doesnt_wipe_it(start):
+    end = "".join(f"</{t}>" for t in reversed(re.findall(r"<(\w+)", start)))
+    rest = "<nav><ul><li><a href='/'>Home</a></li><li><a>News</a></li></ul></nav>", "<footer>Copyright someone, 2020. All rights reserved.</footer>"
+    expected = "\n".join(["Title", *(f"Long paragraph {i}, with commas, and so on; it goes on for a while, and then it ends." for i in range(10))])
+    assert extract(f"<body>{rest[0]}{start}<h1>Title</h1>{LONG}{end}{rest[1]}</body>") == expected
+    assert extract(f"<body>{start}{rest[0]}<h1>Title</h1>{LONG}{rest[1]}{end}</body>") == expected
+
+
+def test_many_comments_beside_an_article_go():
+    comments = "".join(f"<article class='comment'><p>{sentence(random.Random(i), 40)}</p></article>" for i in range(30))
+    assert extract(f"<body><article><h1>Title</h1><p>One sentence, which is short.</p></article><section id='comments'>{comments}</section></body>") == "Title\nOne sentence, which is short."
+    assert extract("<body><nav><a>Home</a><a>News</a></nav><footer>Us, 2001</footer></body>") == ""
+
+
 def test_evidence_alone_decides_nothing():
     long = "".join(f"<p>{sentence(random.Random(i), 60)}</p>" for i in range(6))
     # strong ratios overrule a label, and a content label doesn't lift a path without text ratios
@@ -116,11 +154,14 @@ class Plain(HTMLParser):
         if tag in html_extract.VOID:
             return
         name = own.get("class") or own.get("id") or ""
-        said = {w.lower() for w in re.findall(r"[A-Za-z][a-z]*|[0-9]+", " ".join((own.get("class") or "", own.get("id") or "")))}
+        said = set(" ".join((own.get("class") or "", own.get("id") or "")).lower().split())
         stated = tag in ("article", "main")
         scoped = any(x[3] for x in self.stack)
-        other = tag in html_extract.OTHER_TAGS or (tag == "header" and not scoped) or (bool(said & html_extract.OTHER_WORDS) and not (stated and not said & {"comment", "comments"}))
-        points = -8 if other else 3 if stated else 1 if said & html_extract.CONTENT_WORDS else 0
+        named = {w for x in said for w in x.split("-")}
+        bad = {"comment", "comments"} if stated else html_extract.OTHER_WORDS
+        share = 0.5 if tag == "form" else 0.1 if tag in html_extract.OTHER_TAGS or (tag == "header" and not scoped) else 0
+        share = 0.1 if said & bad else share or (0.5 if named & bad else 0)
+        points = -share if share else 3 if stated else 1 if named & html_extract.CONTENT_WORDS else 0  # below zero: the share that has to be outside
         self.count += 1
         self.stack.append((tag, (name.split() or [""])[0], points, stated, self.count))
 
@@ -147,19 +188,23 @@ def plain_extract(page: str) -> str:
     rows = [r for r in reader.out if not any(t in ("script", "style", "title", "button") for t, _, _ in r[0])]
 
     def home(labels):
-        while labels and labels[-1][0] in html_extract.TEXT_TAGS and labels[-1][2] > -8:
+        while labels and labels[-1][0] in html_extract.TEXT_TAGS and labels[-1][2] >= 0:
             labels = labels[:-1]
         return labels
 
+    def is_other(labels):
+        """Whether the last label names another part and isn't a frame around the content."""
+        return labels[-1][2] < 0 and labels not in frames
+
     def evidence(labels):
         points = 0
-        for x in labels:
-            points = min(4, points + x[2])
+        for i, x in enumerate(labels):
+            points = max(-8, min(4, points + (-8 if is_other(labels[: i + 1]) else max(0, x[2]))))
         return points
 
     def since_article(labels):
-        at = max((i for i, x in enumerate(labels) if x[2] == 3 or x[0] in ("article", "main")), default=0)
-        return sum(x[2] == -8 for x in labels[at:])
+        at = max((i for i, x in enumerate(labels) if x[0] in ("article", "main")), default=0)
+        return sum(is_other(labels[: i + 1]) for i in range(at, len(labels)))
 
     texts = {}
     for labels, _, text, _ in rows:
@@ -171,13 +216,23 @@ def plain_extract(page: str) -> str:
             marks[labels] = marks.get(labels, 0) + len(re.findall(r"[.,;:!?…]", text))
     order = list(texts)
     ratio = {p: (sum(map(len, texts[p])) / len(texts[p]), marks[p] / len(texts[p])) for p in order}
-    fused = {}
+    plain = {}
     for i, p in enumerate(order):
         near = [(q, 1 if q == p else 0.5) for q in order[max(0, i - 1) : i + 2] if home(q) == home(p)]
         a, b = (sum(ratio[q][k] * w for q, w in near) / sum(w for _, w in near) for k in (0, 1))
-        fused[p] = a * (b + 0.1) * 2.0 ** evidence(p)
+        plain[p] = a * (b + 0.1)
     size = {p: sum(map(len, texts[p])) for p in order}
-    good = [p for p in order if evidence(p) >= 0]
+    level = sum(plain[p] * size[p] for p in order) / sum(size.values()) if order else 0
+    selected = [p for p in order if plain[p] >= level / 2]
+    frames = set()
+    for labels in {p[:n] for p in order for n in range(1, len(p) + 1) if p[n - 1][2] < 0}:
+        within = [p for p in order if p[: len(labels)] == labels]
+        beyond = [p for p in order if p[: len(labels)] != labels]
+        few = sum(size[p] for p in beyond if p in selected) < -labels[-1][2] * sum(size[p] for p in selected) and sum(size[p] for p in beyond) < 0.4 * sum(size.values())
+        if few and not any(x[0] in ("article", "main") for p in beyond for x in p) and any(p in selected and ratio[p][0] >= 40 and ratio[p][1] >= 1 for p in within):
+            frames.add(labels)
+    fused = {p: plain[p] * 2.0 ** evidence(p) for p in order}
+    good = [p for p in order if evidence(p) >= 0 and not since_article(p)]
     mean = sum(fused[p] * size[p] for p in good) / sum(size[p] for p in good) if good else float("inf")
     chosen = {p for p in order if fused[p] >= mean / 2}
     inner = {home(p) for p in order if fused[p] >= mean / 8}
@@ -188,7 +243,7 @@ def plain_extract(page: str) -> str:
         for n in range(len(labels), -1, -1):
             if labels[:n] in held:
                 return True
-            if n and labels[n - 1][2] < 0 and since_article(labels[:n]):
+            if n and is_other(labels[:n]) and since_article(labels[:n]):
                 return False
         return False
 
@@ -210,7 +265,7 @@ def some_page(rng: random.Random) -> str:
         if kind == 4:
             return "<ul>" + "".join(f"<li><a href='#'>{sentence(rng, 1)}</a></li>" for _ in range(rng.randrange(1, 6))) + "</ul>"
         tag = rng.choice(("div", "div", "div", "section", "article", "main", "nav", "aside", "footer", "header", "form"))
-        name = rng.choice(("", " class='a b'", " class='post'", " id='comments'", " class='share'", " class='k'"))
+        name = rng.choice(("", " class='a b'", " class='post'", " id='comments'", " class='share'", " class='k'", " class='no-sidebar x'"))
         return f"<{tag}{name}>" + "".join(part(depth + 1) for _ in range(rng.randrange(1, 5))) + f"</{tag}>"
 
     return "<html><head><title>T</title></head><body>" + "".join(part(0) for _ in range(rng.randrange(1, 6))) + "</body></html>"
