@@ -8,6 +8,8 @@ whole model reads all.
 from __future__ import annotations
 
 import hashlib
+import uuid
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import islice
@@ -15,6 +17,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,30 +49,81 @@ MODELS: dict[str, Callable[[], Embedder]] = {
     "hashing": lambda: lambda texts: hashed_vectors(texts, 384),
 }
 DEFAULT_MODEL, WHOLE_MODEL = "all-MiniLM-L6-v2", "hashing"
+#: Texts that a model gets at once, and models that a worker keeps.
+BATCH, KEPT_MODELS = 2000, 2
+#: A worker's models by name and version, the one used last at the end. Spark's workers live on from task to task.
+_kept: OrderedDict[tuple[str, str], Embedder] = OrderedDict()
+_versions: dict[str, str] = {}
 
 
 def register(name: str, make: Callable[[], Embedder]) -> None:
-    """make must be importable where executors run; it's called once a worker and batch stream."""
+    """make must be importable where executors run; it's called once in a worker, which keeps what it makes for later tasks."""
     MODELS[name] = make
+    _versions[name] = uuid.uuid4().hex
 
 
-def embed(df: DataFrame, column: str, model: str = DEFAULT_MODEL, to: str = "embedding", kind: str = "float") -> DataFrame:
-    """df with the embedding of a text column, as floats for storing or as doubles."""
+def _model(name: str, version: str, make: Callable[[], Embedder], loads: Accumulator | None) -> Embedder:
+    own = _kept.pop((name, version), None)
+    if own is None:
+        while len(_kept) >= KEPT_MODELS:
+            _kept.popitem(last=False)
+        own = make()
+        if loads is not None:
+            loads.add(1)
+    _kept[name, version] = own
+    return own
+
+
+def _vectors(own: Embedder, texts: list[str], kind: type) -> list[np.ndarray]:
+    made = np.asarray(own(texts), dtype=kind)
+    if made.ndim != 2 or len(made) != len(texts):
+        raise ValueError(f"the model gave {made.shape} for {len(texts)} texts")
+    return list(made)
+
+
+def isolated(own: Embedder, texts: list[str], kind: type) -> tuple[list[np.ndarray | None], list[str | None]]:
+    """The vectors of texts, and why one has none. A batch that fails is halved until the texts that fail stand alone."""
+    try:
+        return list(_vectors(own, texts, kind)), [None] * len(texts)
+    except Exception as e:  # noqa: BLE001  what a text does to a model mustn't end the job
+        if len(texts) == 1:
+            return [None], [f"{type(e).__name__}: {e}"]
+        half = len(texts) // 2
+        left, right = isolated(own, texts[:half], kind), isolated(own, texts[half:], kind)
+        return left[0] + right[0], left[1] + right[1]
+
+
+def embed(df: DataFrame, column: str, model: str = DEFAULT_MODEL, to: str = "embedding", kind: str = "float", error: str | None = None, loads: Accumulator | None = None) -> DataFrame:
+    """df with the embedding of a text column, as floats for storing or as doubles.
+
+    error: the name of a column that says why a text has no embedding; without it a text that fails ends the job. loads:
+    an accumulator that counts how often a worker made the model.
+    """
     if model not in MODELS:
         raise ValueError(f"Unknown embedding model {model!r}; there are {', '.join(sorted(MODELS))}")
-    make, names = MODELS[model], df.columns
+    make, version, names = MODELS[model], _versions.get(model, ""), df.columns
+    number = np.float32 if kind == "float" else np.float64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = make()
+        from tessera.operators.embedding import _model as kept_model  # the worker's own module, not a copy in this function
+
+        own = kept_model(model, version, make, loads)
         for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                part = batch.slice(a, 2000)
-                v = np.asarray(own([t or "" for t in part.column(names.index(column)).to_pylist()]), dtype=np.float32 if kind == "float" else np.float64)
-                ends = pa.array(np.arange(len(v) + 1, dtype=np.int32) * (v.shape[1] if v.ndim == 2 else 0))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(ends, pa.array(v.ravel()))], names=[*names, to])
+            for a in range(0, batch.num_rows, BATCH):
+                part = batch.slice(a, BATCH)
+                texts = [t or "" for t in part.column(names.index(column)).to_pylist()]
+                if error is None:
+                    vectors, errors = _vectors(own, texts, number), []
+                else:
+                    vectors, errors = isolated(own, texts, number)
+                made = [v for v in vectors if v is not None]
+                ends = pa.array(np.cumsum([0, *(0 if v is None else len(v) for v in vectors)], dtype=np.int32), mask=np.array([*(v is None for v in vectors), False]))
+                out = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(made) if made else np.zeros(0, dtype=number)))
+                columns, more = ([pa.array(errors, pa.string())], [error]) if error else ([], [])
+                yield pa.RecordBatch.from_arrays([*part.columns, out, *columns], names=[*names, to, *more])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(run, f"{fields}, `{to}` array<{kind}>")
+    return df.mapInArrow(run, f"{fields}, `{to}` array<{kind}>" + (f", `{error}` string" if error else ""))
 
 
 def metadata(chunk: Column) -> Column:
@@ -89,6 +143,7 @@ def chunk_rows(records: DataFrame) -> DataFrame:
     )
 
 
-def embed_records(records: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
-    """Collection rows of chunk records: the embedding is a column of the chunk's own row."""
-    return embed(chunk_rows(records), "document", model).select("id", "content_id", "source_key", "document", "embedding", "metadata")
+def embed_records(records: DataFrame, model: str = DEFAULT_MODEL, error: str | None = None) -> DataFrame:
+    """Collection rows of chunk records: the embedding is a column of the chunk's own row. error: as in `embed`."""
+    columns = ["id", "content_id", "source_key", "document", "embedding", "metadata", *([error] if error else [])]
+    return embed(chunk_rows(records), "document", model, error=error).select(*columns)
