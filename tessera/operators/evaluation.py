@@ -89,10 +89,10 @@ def per_query(results: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     return rows.select("query_id", "query", "category", M.recall_at(got, want, k).alias("recall"), M.precision_at(got, want, k).alias("precision"), M.reciprocal_rank(got, want).alias("mrr"), "retrieved", "expected")
 
 
-def evaluate(store, queries: DataFrame, combos: Iterable[str] = EVAL_COMBOS, k: int = K) -> tuple[DataFrame, DataFrame]:  # noqa: ANN001
+def evaluate(store, queries: DataFrame, combos: Iterable[str] = EVAL_COMBOS, k: int = K, model: Callable[[str], str] = model_of_collection) -> tuple[DataFrame, DataFrame]:  # noqa: ANN001
     """All combos: metrics by query (collection, strategy, ...), and status by combo: ok, not_found or empty.
 
-    Each combo answers all queries in one plan; the plans run as one union.
+    Each combo answers all queries in one plan; the plans run as one union. model: the embedder of a collection, by name.
     """
     spark = queries.sparkSession
     status, parts = [], []
@@ -104,12 +104,12 @@ def evaluate(store, queries: DataFrame, combos: Iterable[str] = EVAL_COMBOS, k:
             continue
         rows = store.read(collection)
         if collection not in sizes:
-            sizes[collection] = rows.count()
+            sizes[collection] = store.count(collection)
         if not sizes[collection]:
             status.append((collection, strategy, "empty", 0))
             continue
         status.append((collection, strategy, "ok", sizes[collection]))
-        found = build_strategy(rows, strategy, model_of_collection(collection)).retrieve(queries, k)
+        found = build_strategy(rows, strategy, model(collection)).retrieve(queries, k)
         parts.append(per_query(found, queries, k).withColumn("collection", F.lit(collection)).withColumn("strategy", F.lit(strategy)))
     combos_df = spark.createDataFrame(status, "collection string, strategy string, status string, chunk_count long")
     if not parts:

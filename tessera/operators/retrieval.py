@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..sources.shared import stage
 from .embedding import DEFAULT_MODEL, embed
+from .lexical_index import BlockIndex
+from .vector_index import VectorIndex
 
 K, FACTOR, RRF_K = 5, 4, 60
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -134,6 +137,26 @@ class Cosine:
         return result_columns(self.top(queries, k), self.texts, are_few(queries))
 
 
+class Indexed:
+    """Cosine by a vector index, for few queries: only the lists and the collection's buckets that they need are read.
+
+    read: content ids to the collection's rows, as Store.read takes them.
+    """
+
+    name = "indexed"
+
+    def __init__(self, index: VectorIndex, read: Callable[[list[str]], DataFrame], model: str = DEFAULT_MODEL):
+        self.index, self.read, self.model = index, read, model
+
+    def retrieve(self, queries: DataFrame, k: int = K) -> DataFrame:
+        q = embed(queries.select("query_id", "query"), "query", self.model, kind="double")
+        top = stage(self.index.top(q, k).withColumnRenamed("id", "chunk_id"), "top")
+        if not are_few(queries):
+            raise ValueError(f"more than {PACK} queries; a scan of the collection answers them faster")
+        contents = [r.content_id for r in top.select("content_id").distinct().collect()]  # at most k a query
+        return result_columns(top.drop("content_id"), self.read(contents), True)
+
+
 # --- lexical
 
 
@@ -206,10 +229,10 @@ def fuse(rankings: list[DataFrame], k: int, rrf_k: int = RRF_K) -> DataFrame:
 class Hybrid:
     name = "hybrid"
 
-    def __init__(self, collection: DataFrame, model: str = DEFAULT_MODEL, factor: int = FACTOR, rrf_k: int = RRF_K, lexical: LexicalIndex | None = None, texts: DataFrame | None = None):
+    def __init__(self, collection: DataFrame, model: str = DEFAULT_MODEL, factor: int = FACTOR, rrf_k: int = RRF_K, lexical: LexicalIndex | BlockIndex | None = None, texts: DataFrame | None = None, in_step: bool = False):
+        """in_step: the index that is handed in names no chunk that the collection lacks."""
         self.collection, self.dense, self.factor, self.rrf_k = collection, Cosine(collection, model, texts), factor, rrf_k
-        # an index that is handed in may name chunks that the collection no longer has
-        self.own, self.lexical = lexical is None, lexical or LexicalIndex.build(self.dense.texts)
+        self.own, self.lexical = lexical is None or in_step, lexical or LexicalIndex.build(self.dense.texts)
 
     def top(self, queries: DataFrame, k: int) -> DataFrame:
         n = self.factor * k

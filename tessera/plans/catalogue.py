@@ -6,6 +6,7 @@ statuses) is derived from doc_id. All queries read their whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,11 @@ from ..config import RETRIEVALS
 from ..functions import metrics as M
 from ..functions import text as X
 from ..operators import backup, chunking, contents, embedding, evaluation, generation, postprocess, retrieval
-from ..operators.collections import indexing_counts, summary, upserted
+from ..operators.collections import Store, by_content, indexing_counts, summary, upserted
+from ..operators.lexical_index import BlockIndex
+from ..operators.vector_index import VectorIndex
+from ..sources.shared import shared_dir
+from .prepared import COLLECTION, Prepared, prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,12 +74,15 @@ def corpus(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("content_id").alias("id"), "content_id", F.coalesce("content_md", F.lit("")).alias("document"), embedding.metadata(chunk).alias("metadata"))
 
 
-def vectors(spark: SparkSession, d: str, model: str = embedding.WHOLE_MODEL) -> DataFrame:
-    return embedding.embed(corpus(spark, d), "document", model, kind="double")
+def ready(spark: SparkSession, d: str) -> Prepared:
+    return prepared(spark, d, corpus(spark, d))
 
 
-def _strategy(spark: SparkSession, d: str, spec: str, model: str = embedding.WHOLE_MODEL) -> retrieval.Retriever:
-    return retrieval.build_strategy(vectors(spark, d, model), spec, model, texts=corpus(spark, d))
+def _strategy(spark: SparkSession, d: str, spec: str) -> retrieval.Retriever:
+    """A strategy over the stored collection, with the lexical index that was written for it."""
+    own = ready(spark, d)
+    how = {"lexical": own.lexical, "in_step": True} if "hybrid" in spec else {}
+    return retrieval.build_strategy(own.collection, spec, embedding.WHOLE_MODEL, **how)
 
 
 # --- scans, filters, updates
@@ -274,6 +282,15 @@ def vector_topk(spark: SparkSession, d: str) -> DataFrame:
     return found.select("query_id", "id", F.col("rank").cast("int").alias("rank"), F.round("score", 6).alias("score"))
 
 
+@query(ORACLE_SQL["vector_topk"])
+def vector_index_topk(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows, from an index in files that is written for them."""
+    e = table(spark, d, "embeddings")
+    index = VectorIndex.build(e.withColumnRenamed("vec_id", "id"), f"{shared_dir(spark)}/vector-index-{uuid.uuid4().hex}")
+    found = index.top(e.where("vec_id % 20 = 0").select(F.col("vec_id").cast("string").alias("query_id"), "embedding"), 5)
+    return found.select("query_id", "id", "rank", F.round("score", 6).alias("score"))
+
+
 _TOKENS_SQL = "[\\p{L}\\p{N}_]+"
 
 
@@ -313,12 +330,26 @@ def retrieve_cosine(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {CONTENTS_SQL}, q AS (SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark), {_BM25_SQL} SELECT term, df, round(idf, 6) AS idf FROM te")
 def bm25_idf(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.LexicalIndex.build(corpus(spark, d)).terms.select("term", "df", F.round("idf", 6).alias("idf"))
+    return ready(spark, d).lexical.terms().select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query(f"WITH {CONTENTS_SQL}, q AS (SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark), {_BM25_SQL} {_OUT} sparse WHERE rank <= 20")
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
-    return _out(retrieval.LexicalIndex.build(corpus(spark, d)).top(queries_of(spark, d), 20))
+    return _out(ready(spark, d).lexical.top(queries_of(spark, d), 20))
+
+
+_CHANGED_SQL = CONTENTS_SQL.replace("text AS content_md", "CASE WHEN doc_id % 3 = 0 THEN text || ' changed ' || doc_id ELSE text END AS content_md").replace("FROM documents)", "FROM documents WHERE doc_id % 5 <> 0 AND (doc_id % 2 = 0 OR doc_id % 3 = 0))")
+
+
+@query(f"WITH {_CHANGED_SQL}, q AS (SELECT '' AS query_id, '' AS query), {_BM25_SQL} SELECT term, df, round(idf, 6) AS idf FROM te")
+def bm25_idf_after_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The statistics of an index of every other content, after some changed or came and some were removed."""
+    n = F.substring_index("content_id", "::", -1).cast("long")
+    whole = corpus(spark, d).withColumn("n", n).select("id", "content_id", "document", "n")
+    index = BlockIndex.build(whole.where("n % 2 = 0"), f"{shared_dir(spark)}/lexical-{uuid.uuid4().hex}")
+    index.upsert(whole.where("n % 3 = 0").withColumn("document", F.concat("document", F.lit(" changed "), F.col("n").cast("string"))))
+    index.delete(whole.where("n % 5 = 0"))
+    return index.terms().select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query(f"WITH {_DENSE_SQL}, {_BM25_SQL}, {_FUSED_SQL.format(n=20)} {_OUT} fused WHERE rank <= 5")
@@ -348,7 +379,7 @@ _WORDS, _ANSWER, _OTHER = "the of and that in", "an answer to: ", "more about "
 
 @query(f"WITH {_DENSE_SQL.replace(_BENCHMARK_Q, f"SELECT 'q' AS query_id, '{_WORDS}' AS query")} SELECT coalesce(url, '') AS url, coalesce(title, '') AS title, coalesce(author, '') AS author, coalesce(content_md, '') AS chunk, round(1 - score, 6) AS distance FROM dense JOIN c ON content_id = chunk_id WHERE rank <= 5")
 def search(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.search(vectors(spark, d), _WORDS, 5, embedding.WHOLE_MODEL).withColumn("distance", F.round("distance", 6))
+    return retrieval.search(ready(spark, d).collection, _WORDS, 5, embedding.WHOLE_MODEL).withColumn("distance", F.round("distance", 6))
 
 
 @query(f"WITH {_DENSE_SQL.replace(_BENCHMARK_Q, f"SELECT CAST(item_id AS VARCHAR) AS query_id, '{_ANSWER}' || text AS query FROM benchmark")} {_OUT} dense WHERE rank <= 5")
@@ -418,12 +449,16 @@ def eval_rollup(spark: SparkSession, d: str) -> DataFrame:
     return total.select("category", "queries", *(F.round(c, 6).alias(c) for c in ("recall", "precision", "mrr")), F.col("is_overall").cast("int").alias("is_overall"))
 
 
-@query(f"WITH {_METRICS_SQL} SELECT 'c' AS collection, s.strategy, s.status, n AS chunk_count, queries, recall, precision, mrr FROM (SELECT 'cosine' AS strategy, 'ok' AS status, (SELECT count(*) FROM c) AS n UNION ALL SELECT 'hybrid', 'not_found', 0) s LEFT JOIN (SELECT 'cosine' AS strategy, count(*) AS queries, round(avg(recall), 6) AS recall, round(avg(precision), 6) AS precision, round(avg(mrr), 6) AS mrr FROM m) t USING (strategy)")
+@query(f"WITH {_METRICS_SQL} SELECT s.collection, 'cosine' AS strategy, s.status, n AS chunk_count, queries, recall, precision, mrr FROM (SELECT 'contents' AS collection, 'ok' AS status, (SELECT count(*) FROM c) AS n UNION ALL SELECT 'empty', 'empty', 0 UNION ALL SELECT 'unknown', 'not_found', 0) s LEFT JOIN (SELECT 'contents' AS collection, count(*) AS queries, round(avg(recall), 6) AS recall, round(avg(precision), 6) AS precision, round(avg(mrr), 6) AS mrr FROM m) t USING (collection)")
 def eval_status(spark: SparkSession, d: str) -> DataFrame:
-    totals = eval_rollup(spark, d).select(F.lit("c").alias("collection"), F.lit("cosine").alias("strategy"), "category", "queries", "recall", "precision", "mrr", "is_overall")
-    one = contents_of(spark, d).agg(F.count(F.lit(1)).alias("chunk_count")).select(F.lit("cosine").alias("strategy"), F.lit("ok").alias("status"), "chunk_count")
-    combos = one.unionByName(spark.range(1).select(F.lit("hybrid").alias("strategy"), F.lit("not_found").alias("status"), F.lit(0).cast("long").alias("chunk_count")))
-    return evaluation.with_status(combos.withColumn("collection", F.lit("c")), totals)
+    """An evaluation over collections in a store, one of them empty and one that isn't there."""
+    store = ready(spark, d).store
+    if not store.exists("empty"):
+        store.replace("empty", store.read(COLLECTION).limit(0))
+    combos = [f"{name}__cosine" for name in (COLLECTION, "empty", "unknown")]
+    by_query, combined = evaluation.evaluate(store, eval_queries(spark, d), combos, model=lambda _: embedding.WHOLE_MODEL)
+    found = evaluation.with_status(combined, evaluation.rollup(by_query))
+    return found.select("collection", "strategy", "status", "chunk_count", "queries", *(F.round(c, 6).alias(c) for c in ("recall", "precision", "mrr")))
 
 
 @query("SELECT conv_id, array_to_string(list(role ORDER BY first), ',') AS roles FROM (SELECT conv_id, role, min(turn) AS first FROM conversations WHERE role <> '' GROUP BY ALL) GROUP BY conv_id")
@@ -442,6 +477,45 @@ def collection_upsert(spark: SparkSession, d: str) -> DataFrame:
     return upserted(old, rows.where("newsletter_id % 3 = 0").select("id", "content_id", F.lit("new").alias("document")))
 
 
+def _own_store(spark: SparkSession) -> Store:
+    return Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+
+
+def _stamped(rows: DataFrame, text: str) -> DataFrame:
+    return rows.select("id", "content_id", F.concat(F.lit(f"{text}:"), F.md5(F.col("document").cast("binary"))).alias("document"))
+
+
+_STORED_SQL = f"WITH {CONTENTS_SQL}, o AS (SELECT content_id, newsletter_id AS n, md5(coalesce(content_md, '')) AS m FROM c) SELECT content_id AS id, content_id, CASE WHEN n % 3 = 0 THEN 'new:' ELSE 'old:' END || m AS document FROM o WHERE (n % 2 = 0 OR n % 3 = 0) AND n % 5 <> 0"
+
+
+def _changed_store(spark: SparkSession, d: str) -> Store:
+    """A collection that was written, changed and thinned out; a batch that came again left no trace."""
+    store, rows = _own_store(spark), corpus(spark, d).withColumn("n", F.substring_index("content_id", "::", -1).cast("long"))
+    store.upsert("a", _stamped(rows.where("n % 2 = 0"), "old"), ("stream", 0))
+    store.upsert("a", _stamped(rows.where("n % 2 = 0"), "again"), ("stream", 0))
+    store.upsert("a", _stamped(rows.where("n % 3 = 0"), "new"), ("stream", 1))
+    store.delete("a", rows.where("n % 5 = 0"))
+    return store
+
+
+@query(_STORED_SQL)
+def stored_collection(spark: SparkSession, d: str) -> DataFrame:
+    return _changed_store(spark, d).read("a")
+
+
+@query(f"{_STORED_SQL} AND n % 7 = 0")
+def stored_contents(spark: SparkSession, d: str) -> DataFrame:
+    """The keyed scan: rows of some contents, by id."""
+    wanted = corpus(spark, d).select("content_id").where(F.substring_index("content_id", "::", -1).cast("long") % 7 == 0)
+    return by_content(_changed_store(spark, d).read("a"), wanted)
+
+
+@query(f"SELECT 'a' AS collection, 3 AS version, count(*) AS chunk_count FROM ({_STORED_SQL})")
+def stored_listing(spark: SparkSession, d: str) -> DataFrame:
+    """What the manifests say: name, version (the batch that came again made none) and number of rows."""
+    return _changed_store(spark, d).listing().select("collection", F.col("version").cast("int").alias("version"), "chunk_count")
+
+
 @query("SELECT 'src' || i AS collection FROM range(30) t(i) WHERE 'src' || i NOT IN (SELECT source FROM documents)")
 def missing_collections(spark: SparkSession, d: str) -> DataFrame:
     wanted = spark.range(30).select(F.concat(F.lit("src"), F.col("id").cast("string")).alias("collection"))
