@@ -195,8 +195,32 @@ KERNELS: dict[str, Callable[[str, Sizes], list[tuple[str, str]]]] = {
     "recursive": lambda t, s: [(c, "") for c in recursive(t, s)],
     "semantic": lambda t, s: [(c, "") for c in semantic(t, s)],
 }
+#: Chunkers that users add: by name, (text column, size and overlap in tokens) to an array of chunk texts.
+ADDED: dict[str, Callable[[Column, Sizes], Column]] = {}
+
+
+def register(name: str, chunker: Callable[[str, Sizes], list[str]] | None = None, column: Callable[[Column, Sizes], Column] | None = None) -> None:
+    """Adds a strategy: a function of a text, or an expression over the text column, which needs no Python worker.
+
+    chunker: (text, sizes in characters) to chunks, each a text or a pair of text and heading; it must be importable where
+    executors run, and an error of it is the row's. column: (text column, sizes in tokens) to an array of texts.
+    """
+    if (chunker is None) == (column is None):
+        raise ValueError("a chunker is either a function of texts or an expression")
+    KERNELS.pop(name, None)
+    ADDED.pop(name, None)
+    if column is not None:
+        ADDED[name] = column
+    else:
+        KERNELS[name] = lambda t, s: [c if isinstance(c, tuple) else (c, "") for c in chunker(t, s)]
+
+
+def strategies() -> tuple[str, ...]:
+    """The names that `chunk` takes."""
+    return (*KERNELS, "fixed", *TOKENIZED, *ADDED)
+
+
 TOKENIZED = {"token": WORD_TOKEN, "sentence_transformer_token": PIECE_TOKEN}
-STRATEGIES = (*KERNELS, "fixed", *TOKENIZED)
 
 
 def _kernel_chunks(df: DataFrame, column: str, kernel: Callable, sizes: Sizes) -> DataFrame:
@@ -221,9 +245,11 @@ def _kernel_chunks(df: DataFrame, column: str, kernel: Callable, sizes: Sizes) -
 
 def chunk(df: DataFrame, strategy: str, chunk_size: int = SIZE, chunk_overlap: int = OVERLAP, column: str = "content_md") -> DataFrame:
     """df with chunks and error (null where chunking went well)."""
-    if strategy not in STRATEGIES:
-        raise ValueError(f"Unknown chunking strategy {strategy!r}; there are {', '.join(sorted(STRATEGIES))}")
-    if strategy in TOKENIZED:
+    if strategy not in strategies():
+        raise ValueError(f"Unknown chunking strategy {strategy!r}; there are {', '.join(sorted(strategies()))}")
+    if strategy in ADDED:
+        made = _listed(ADDED[strategy](F.coalesce(column, F.lit("")), Sizes(chunk_size, chunk_overlap)))
+    elif strategy in TOKENIZED:
         made = by_tokens(F.col(column), Sizes(chunk_size, chunk_overlap), TOKENIZED[strategy])
     else:
         sizes = Sizes(chunk_size * CHARS_PER_TOKEN, chunk_overlap * CHARS_PER_TOKEN)

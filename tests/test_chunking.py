@@ -32,7 +32,7 @@ def chunks(spark, text, strategy, size=800, overlap=100):
     return C.chunk(rows, strategy, size, overlap).select("chunks").first().chunks
 
 
-@pytest.mark.parametrize("strategy", C.STRATEGIES)
+@pytest.mark.parametrize("strategy", C.strategies())
 def test_what_all_chunkers_agree_on(spark, strategy):
     found = chunks(spark, MARKDOWN, strategy, 200, 20)
     assert found and all(c.text.strip() == c.text != "" for c in found)

@@ -179,27 +179,27 @@ def test_postprocessing(spark):
 
 def test_evaluation_and_report(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
-    store.upsert("markdown_minilm", collection(spark))
-    store.replace("markdown_bge", collection(spark).limit(0))
+    store.upsert("baseline", collection(spark))
+    store.replace("bge", collection(spark).limit(0))
     q = spark.createDataFrame([("q0", "cat", ["a"], "easy"), ("q1", "bird plane", ["c", "b"], "cross"), ("q2", "nothing", [], "negative")], "query_id string, query string, expected array<string>, category string")
     assert evaluation.preflight(q, store.names()) == ["recursive_minilm", "semantic_minilm"]
     with pytest.raises(ValueError):
         evaluation.preflight(q, [])
     with pytest.raises(ValueError):
         evaluation.preflight(q.limit(0), store.names())
-    combos = ("markdown_minilm__cosine", "markdown_minilm__hybrid", "markdown_bge__cosine", "recursive_minilm__rerank")
+    combos = ("baseline__cosine", "baseline__hybrid", "bge__cosine", "recursive_minilm__rerank")
     by_query, status = evaluation.evaluate(store, q, combos, 3)
-    assert {(r.collection, r.strategy): r.status for r in status.collect()} == {("markdown_minilm", "cosine"): "ok", ("markdown_minilm", "hybrid"): "ok", ("markdown_bge", "cosine"): "empty", ("recursive_minilm", "rerank"): "not_found"}
+    assert {(r.collection, r.strategy): r.status for r in status.collect()} == {("baseline", "cosine"): "ok", ("baseline", "hybrid"): "ok", ("bge", "cosine"): "empty", ("recursive_minilm", "rerank"): "not_found"}
     rows = {(r.strategy, r.query_id): r for r in by_query.collect()}
     assert rows["cosine", "q0"].recall == 1 and rows["cosine", "q2"].recall == 0 and rows["cosine", "q1"].mrr == 1
     totals = evaluation.rollup(by_query)
     assert totals.count() == 2 * 4
     assert evaluation.with_status(status, totals).count() == 4
-    found = report.report(status, totals, "v1", 3, {"markdown_minilm__cosine": 2.5}, datetime(2026, 1, 1, tzinfo=UTC))
+    found = report.report(status, totals, "v1", 3, {"baseline__cosine": 2.5}, datetime(2026, 1, 1, tzinfo=UTC))
     text = report.markdown(found)
-    assert "| markdown_bge__cosine | empty | — |" in text and "| 2ms |" in text and "## markdown_minilm__hybrid" in text
+    assert "| bge__cosine | empty | — |" in text and "| 2ms |" in text and "## baseline__hybrid" in text
     a, b = report.write_report(found, tmp_path / "out")
-    assert json.loads(a.read_text())["combos"]["markdown_minilm__cosine"]["overall"]["recall"] == pytest.approx(2 / 3) and b.read_text() == text
+    assert json.loads(a.read_text())["combos"]["baseline__cosine"]["overall"]["recall"] == pytest.approx(2 / 3) and b.read_text() == text
     assert f"{0.0625:.3f}" == "0.062"
     c, d = report.run(store, q, tmp_path / "whole", "v1", combos, 3)
     whole = json.loads(c.read_text())
