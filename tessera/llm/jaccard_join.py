@@ -8,10 +8,10 @@ over all documents' prefixes) last, by frequency. Of n shingles, a set's prefix
 that link share at least l shingles of their prefixes (the smaller l of both), so index lists hold prefixes only: for
 each shingle the sets that have it, with size and position. Sets in fewer than l lists with anyone else leave the index
 before anything is compared, and of a pair's two sets the one whose prefix ends first bounds the overlap by the number of
-its lists; as a row doesn't tell which one that is, the larger of both bounds holds. Lists of over PLAIN entries are cut
-into blocks by position and size. The larger set of a pair probes the blocks that can link, and skips all of a list behind the last position that
-leaves room for the overlap that linking takes. In a block an entry is skipped if both positions together leave no such
-room, or if the sets' parity sketches differ in more bits than the sets may in shingles.
+its lists; as a row doesn't tell which one that is, the larger of both bounds holds. A list ends where no
+position leaves room for the overlap that linking takes; the rest is cut into blocks by group and position, and two
+blocks are skipped if their sizes and positions leave no room. Of two blocks that meet a pair is skipped if both positions
+together leave no room, or if the sets' parity sketches differ in more bits than the sets may in shingles.
 
 Answers from answers. A list isn't expanded into its pairs. First each list's pivot, the set with the largest possible
 overlap, is compared with the list's other sets. Its answers keep the overlap and, for sets much like it, the difference
@@ -20,8 +20,7 @@ Of what is left, pairs of sets of different groups that share a list, two sets y
 overlap from x's answers alone: o(x,y) + o(x,z) - |x| + |x-y & x-z| + |y-x & z-x|, which reads the small differences and no
 whole set. Other pairs are verified on the whole sets. Every pair that the bounds leave is decided, so no link between
 sets of different groups is lost, while thousands of near copies cost a few comparisons each. Lists of one group only
-are left out, and in a list of over PLAIN entries pairs are made by the first bit in which hashes of their groups differ,
-so that members of one large group never meet each other.
+are left out, a group that is large in a list has blocks of its own, and blocks of one and the same group never meet.
 
 How it runs. Texts are read four times, as Arrow batches, and never shuffled: for set hashes and prefix counts, for
 prefixes, and twice for the whole sets of those few that are compared. Equal sets are one: a worker emits a set once, and
@@ -44,9 +43,7 @@ Repeated rows, ties, empty tables and other columns need no care; texts are read
 from __future__ import annotations
 
 import hashlib
-import operator
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -58,14 +55,14 @@ from .common import SPACES, literal_table, stage, unstage
 
 SHINGLE, PERCENT = 3, 90
 FREQUENT, FREQUENT_FROM = 200_000, 12
-#: Size blocks from a set's lowest partner to itself; numbers of 64 bits in a set's parity sketch.
-BLOCKS, SKETCH = 1, 8
+#: Numbers of 64 bits in a set's parity sketch; sets of a block, about.
+SKETCH, PACK = 8, 256
 #: Bits of the map of wanted sets: at least so many, so many a set, at most so many.
 BITS, BITS_A_SET, MOST_BITS = 1 << 22, 16, 1 << 28
 #: A key of more rows than LONG and than a MOST_LONG-th of all is a long one.
 LONG, MOST_LONG, SHARE = 512, 20_000, 64
-#: Pairs that one copy of a whole set answers; entries of a list that are paired without regard to groups; levels of bits beyond.
-COPY, PLAIN, LEVELS = 64, 64, 20
+#: Pairs that one copy of a whole set answers.
+COPY = 64
 #: Bytes of text hashed at once; only a longer word takes more. Bytes from which on a word is hashed by itself.
 CHUNK, LONG_WORD = 1 << 20, 256
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -400,11 +397,6 @@ def groups(links: DataFrame) -> DataFrame:
     return stage(labels, "groups")
 
 
-def size_block(n: Column, percent: int) -> Column:
-    """Blocks of like sizes: sets that link are at most BLOCKS of them apart."""
-    return F.floor(F.ln(n.cast("double")) * F.lit(BLOCKS / float(np.log(100 / percent)))).cast("int")
-
-
 def position_block(pos: Column) -> Column:
     """Blocks of positions, each four times the one before: 0 to 2, 3 to 14, 15 to 62 and so on."""
     return F.floor((F.length(F.bin(pos + 1)) - 1) / 2).cast("int")
@@ -454,55 +446,95 @@ def index_lists(docs: DataFrame, first: DataFrame, k: int, percent: int, moved:
     return lists
 
 
-def _bits_of(group: Column) -> Column:
-    """A hash of 63 bits by which the groups of long lists are told apart."""
-    return F.call_function("shiftrightunsigned", F.xxhash64(group, F.lit("bit")), F.lit(1))
-
-
-def _on_levels(rows: DataFrame) -> DataFrame:
-    """rows (group, level) with cell, the bits of the group's hash before the level, and bit, the one there; null on the last level and on -1."""
-    h = _bits_of(F.col("group"))
-    upto = F.greatest("level", F.lit(0))
-    bit = F.call_function("shiftrightunsigned", h, 62 - upto).bitwiseAND(F.lit(1))
-    cell = F.when(F.col("level") > 0, F.call_function("shiftrightunsigned", h, 63 - upto)).otherwise(0)
-    return rows.withColumn("cell", cell).withColumn("bit", F.when(F.col("level").between(0, LEVELS - 1), bit))
-
-
-def _mask_bit(of: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(of, F.lit(64)).cast("int"))
-
-
-def _in_mask(mask: Column, of: Column) -> Column:
-    return mask.bitwiseAND(_mask_bit(of)) != 0
+def dealt_by_group(entries: DataFrame) -> DataFrame:
+    """entries (token, set, group and others) of lists with several groups, with pack, and own, the group of a pack of one group.
 
+    A group that fills half a pack or more in a list has packs of its own; smaller ones share packs, each of them whole.
+    """
+    c = F.count(F.lit(1)).alias("c")
+    mixed = stage(entries.groupBy("token").agg(c, F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token", "c"), "mixed")
+    rows = stage(join_by(entries, mixed, "token").withColumn("tg", F.concat_ws("/", "token", "group")), "mixed-entries")
+    sizes = stage(rows.groupBy("tg", "token", "group").agg(c), "sizes")
+    large = F.col("c") * 2 >= PACK
+    shared = stage(sizes.groupBy("token").agg(c, F.ceil(F.coalesce(F.sum(F.when(~large, F.col("c"))), F.lit(0)) / PACK).alias("parts")), "shared")
+    at = F.when(large, F.concat_ws("/", "tg", F.lit("own"))).otherwise(F.concat_ws("/", "token", F.lit("of"), F.pmod(F.xxhash64("group"), F.col("parts"))))
+    named = join_by(sizes.withColumnRenamed("c", "here"), shared, "token").withColumnRenamed("here", "c").select("tg", "c", at.alias("at"), F.when(large, F.col("group")).alias("own"), F.ceil(F.col("c") / PACK).alias("copies"))
+    pack = F.when(F.col("own").isNull(), F.col("at")).otherwise(F.concat_ws("/", "at", F.pmod(F.xxhash64("set"), F.col("copies"))))
+    return join_by(rows, named, "tg").withColumn("pack", pack).drop("tg", "at", "copies")
+
+
+def pack_pairs(packs: DataFrame) -> DataFrame:
+    """token, p and q for all packs (token, pack, own) of a list that meet: not those of one and the same group; a shared pack meets itself."""
+    left, right = (packs.select("token", F.col("pack").alias(p), F.col("own").alias(f"{p}_own")) for p in ("p", "q"))
+    apart = F.col("p_own").isNull() | F.col("q_own").isNull() | (F.col("p_own") != F.col("q_own"))
+    return left.join(right, "token").where(((F.col("p") < F.col("q")) & apart) | ((F.col("p") == F.col("q")) & F.col("p_own").isNull())).select("token", "p", "q")
+
+
+class Block:
+    """A block of a list as arrays."""
+
+    def __init__(self, rows: pa.StructArray):
+        column = lambda name: rows.field(name).to_numpy(zero_copy_only=False)
+        self.sets, self.groups = column("set"), column("group")
+        self.n, self.pos, self.most = (column(c).astype(np.int64) for c in ("n", "pos", "most"))
+        self.x = rows.field("x").fill_null(0).to_numpy()
+        self.o = rows.field("o").fill_null(0).to_numpy().astype(np.int64)
+        self.placed = rows.field("x").is_valid().to_numpy(zero_copy_only=False)
+        self.sketch = rows.field("sketch").flatten().to_numpy().reshape(len(self.sets), -1).view(np.uint64)
+
+
+def block_pairs(a: Block, b: Block, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs of different groups that no bound rules out, and whether their pivot is the same one."""
+    n, m = a.n[:, None], b.n[None]
+    need = -(-percent * (n + m) // (100 + percent))
+    fits = (a.groups[:, None] != b.groups[None]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+    # among the first n - need + 1 shingles of both sets at least one is shared, or they don't link
+    fits &= (a.pos[:, None] <= n - need) & (b.pos[None] <= m - need) & (np.maximum(a.most[:, None], b.most[None]) >= need)
+    fits &= np.minimum(a.pos[:, None], b.pos[None]) + 1 + np.minimum(n - 1 - a.pos[:, None], m - 1 - b.pos[None]) >= need
+    if same:
+        fits &= np.arange(len(a.n))[:, None] < np.arange(len(b.n))[None]
+    i, j = np.nonzero(fits)
+    n, m, need = a.n[i], b.n[j], need[i, j]
+    told = a.placed[i] & b.placed[j] & (a.x[i] == b.x[j])
+    derived = np.minimum(a.o[i], b.o[j]) + np.minimum(n - a.o[i], m - b.o[j])
+    apart = np.bitwise_count(a.sketch[i] ^ b.sketch[j]).sum(axis=1, dtype=np.int64)
+    near = (~told | (derived >= need)) & (apart <= n + m - 2 * need)
+    return i[near], j[near], told[near]
+
+
+def list_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """a, b, n, m and told (whether both are near the same pivot) of all pairs of different groups that share a list and that bounds leave.
+
+    entries: token, set, n, pos, most, group, x, o, sketch. Lists are blocks by group and position; two blocks are skipped whose
+    sizes or positions leave no room for a link, and of a list those entries that are behind the last position for any.
+    """
+    n = F.col("n")
+    found = entries.where(F.col("pos") <= n - needed(n, F.ceil(n * (percent / 100.0) - 1e-9), percent))
+    dealt = dealt_by_group(found).withColumn("pack", F.concat_ws("/", "pack", position_block(F.col("pos"))))
+    rows = dealt.groupBy("pack", "token", "own").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(n - F.col("pos")).alias("reach"),
+        F.collect_list(F.struct("set", "n", "pos", "most", "group", "x", "o", "sketch")).alias("sets"),
+    )
+    packs = stage(rows, "packs")
+    met = pack_pairs(packs)
+    for c in ("p", "q"):
+        met = met.join(packs.select(F.col("pack").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("low", "high", "reach"))), c)
+    least = needed(F.col("p_low"), F.col("q_low"), percent)
+    room = (F.col("p_reach") >= least) & (F.col("q_reach") >= least) & (F.col("p_high") * 100 >= F.col("q_low") * percent) & (F.col("q_high") * 100 >= F.col("p_low") * percent)
+    met = stage(met.where(room).select("p", "q"), "met")
+    sides = [packs.select(F.col("pack").alias(c), F.col("sets").alias(f"{c}_sets")) for c in ("p", "q")]
+    visits = attach(attach(met, "p", "q", sides[0], met), "q", "p", sides[1], met)
 
-def by_first_bit(entries: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """entries with level, cell and bit: pairs of different groups of a list meet once, on level and cell with other bits.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for same, x, y in zip(*batch.columns, strict=True):
+                a, b = Block(x.values), Block(y.values)
+                i, j, told = block_pairs(a, b, same.as_py(), percent)
+                larger = (a.n[i] > b.n[j]) | ((a.n[i] == b.n[j]) & (a.sets[i] < b.sets[j]))
+                pick = lambda p, q, kind: pa.array(np.where(larger, p, q), kind)  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([pick(a.sets[i], b.sets[j], pa.int64()), pick(b.sets[j], a.sets[i], pa.int64()), pick(a.n[i], b.n[j], pa.int32()), pick(b.n[j], a.n[i], pa.int32()), pa.array(told)], names=["a", "b", "n", "m", "told"])
 
-    lists: token, c, for lists of several groups. In a list of at most PLAIN entries, all meet on level -1. In longer
-    ones, an entry stands on the levels on which its group parts from another one of the list (where a list has over
-    PLAIN groups, on those on which any of its groups part), and on the last level all of a cell meet. Long lists have two
-    masks of 64 bits, blocks and places: which blocks of sizes and of positions hold entries that can be found. A bit
-    may stand for several blocks, so a mask never hides one.
-    """
-    n, found = F.col("n"), F.col("pos") <= F.col("n") - needed(F.col("n"), F.col("n"), percent)
-    masks = [F.bit_or(c).alias(c) for c in ("blocks", "places")]
-    bits = [F.when(found, _mask_bit(x)).otherwise(0).alias(c) for c, x in (("blocks", size_block(n, percent)), ("places", position_block(F.col("pos"))))]
-    several = join_by(entries.select("token", "group", *bits), lists.where(F.col("c") > PLAIN), "token").groupBy("token", "group").agg(*masks)
-    several = stage(several, "several")
-    numbers = stage(several.groupBy("token").agg(F.count(F.lit(1)).alias("c"), *masks), "numbers")
-    told = join_by(several.select("token", "group"), numbers.select("token", "c", (F.col("c") <= PLAIN).alias("few")), "token")
-    few = told.where("few").groupBy("token").agg(F.collect_list("group").alias("others"))
-    cells = _on_levels(told.where("not few").withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))).groupBy("token", "level", "cell")
-    parting = cells.agg(F.coalesce(F.min("bit") != F.max("bit"), F.min("group") != F.max("group")).alias("part")).where("part")
-    levels = parting.groupBy("token").agg(F.collect_set("level").alias("levels"))
-    known = lists.join(numbers.drop("c"), "token", "left").join(levels, "token", "left").join(few, "token", "left")
-    known = stage(known.withColumn("levels", F.when(F.col("others").isNull(), F.coalesce("levels", F.array(F.lit(-1))))), "levels")
-    unstage(several, numbers)
-    # the first bit in which two hashes differ
-    apart = F.transform(F.filter("others", lambda x: x != F.col("group")), lambda x: _bits_of(x).bitwiseXOR(_bits_of(F.col("group"))))
-    first = F.array_distinct(F.transform(apart, lambda x: F.when(x == 0, LEVELS).otherwise(F.least(F.lit(LEVELS), 63 - F.length(F.bin(x))))))
-    return stage(_on_levels(join_by(entries, known, "token").withColumn("level", F.explode(F.coalesce("levels", first))).drop("levels", "others")), "spread")
+    return visits.select((F.col("p") == F.col("q")).alias("same"), "p_sets", "q_sets").mapInArrow(run, "a long, b long, n int, m int, told boolean").distinct()
 
 
 def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Moved) -> DataFrame:
@@ -532,40 +564,10 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Mo
     near = stage(answers.where("less is not null").groupBy(F.col("b").alias("set")).agg(best.alias("best")).select("set", "best.*"), "near")
     sketches = first.where(F.size("sketch") > 0).groupBy("set").agg(F.first("sketch").alias("sketch"))
     about = lists.select("set").distinct().join(sketches, "set").join(labels, "set", "left").join(near.select("set", "x", "o"), "set", "left")
-    about = about.select("set", F.coalesce("group", "set").alias("group"), "x", "o", *(F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)))
+    about = about.select("set", F.coalesce("group", "set").alias("group"), "x", "o", "sketch")
     entries = stage(lists.select("token", "set", "n", "pos", "most").join(about, "set"), "entries")
-    mixed = stage(entries.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token", "c"), "mixed")
-    # the larger set of a pair looks into the blocks of sizes from its lower bound up to its own size, as far as positions leave room
-    low = F.ceil(n * (percent / 100.0) - 1e-9)
-    names = ("set", "n", "pos", "most", "group", "x", "o", *(f"s{i}" for i in range(SKETCH)))
-    where = ("token", "level", "cell", "bit", "block", "place")
-    spread = by_first_bit(entries, mixed, percent)
-    probing = spread.withColumn("low", low).where(F.col("pos") <= n - needed(n, F.col("low"), percent)).withColumn("bit", F.coalesce(1 - F.col("bit"), F.lit(0)))
-    long, one = F.col("level") >= 0, F.array(F.lit(-1))  # a list of at most PLAIN entries is one block
-    blocks = F.filter(F.sequence(size_block(F.col("low"), percent), size_block(n, percent)), lambda b: _in_mask(F.col("blocks"), b))
-    probing = probing.withColumn("block", F.explode(F.when(long, blocks).otherwise(one)))
-    places = F.filter(F.sequence(F.lit(0), position_block(F.greatest(n - needed(n, n, percent), F.lit(0)))), lambda p: _in_mask(F.col("places"), p))
-    probing = probing.withColumn("place", F.explode(F.when(long, places).otherwise(one)))
-    left = probing.select(*where, *(F.col(c).alias(f"l_{c}") for c in names))
-    right = spread.withColumn("bit", F.coalesce("bit", F.lit(0))).where(F.col("pos") <= n - needed(n, n, percent))
-    right = right.withColumn("block", F.when(long, size_block(n, percent)).otherwise(-1)).withColumn("place", F.when(long, position_block(F.col("pos"))).otherwise(-1))
-    right = right.select(*where, *(F.col(c).alias(f"r_{c}") for c in names))
-    need = needed(F.col("l_n"), F.col("r_n"), percent)
-    room = F.least("l_pos", "r_pos") + 1 + F.least(F.col("l_n") - 1 - F.col("l_pos"), F.col("r_n") - 1 - F.col("r_pos"))
-    derived = F.least("l_o", "r_o") + F.least(F.col("l_n") - F.col("l_o"), F.col("r_n") - F.col("r_o"))
-    apart = reduce(operator.add, (F.bit_count(F.col(f"l_s{i}").bitwiseXOR(F.col(f"r_s{i}"))) for i in range(SKETCH)))
-    pairs = (
-        left.join(right, list(where))
-        .where((F.col("l_group") != F.col("r_group")) & ((F.col("l_n") > F.col("r_n")) | ((F.col("l_n") == F.col("r_n")) & (F.col("l_set") < F.col("r_set")))))
-        # among the first n - need + 1 shingles of both sets at least one is shared, or they don't link
-        .where((F.greatest("l_most", "r_most") >= need) & (F.col("l_pos") <= F.col("l_n") - need) & (F.col("r_pos") <= F.col("r_n") - need) & (room >= need))
-        .where(F.coalesce(F.col("l_x") != F.col("r_x"), F.lit(True)) | (derived >= need))
-        .where((F.col("r_n") * 100 >= F.col("l_n") * percent) & (apart <= F.col("l_n") + F.col("r_n") - 2 * need))
-        .select(F.col("l_set").alias("a"), F.col("r_set").alias("b"), F.col("l_n").alias("n"), F.col("r_n").alias("m"), F.coalesce(F.col("l_x") == F.col("r_x"), F.lit(False)).alias("told"))
-        .distinct()
-    )
-    pairs = stage(pairs, "pairs")
-    unstage(lists, entries, mixed)
+    pairs = stage(list_pairs(entries, percent), "pairs")
+    unstage(lists, entries)
     told = derive(pairs.where("told").drop("told"), near)
     rest = verified(pairs.where("not told").drop("told"), "rest")
     columns = ("a", "b", "n", "m", "overlap")

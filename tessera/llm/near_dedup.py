@@ -46,8 +46,7 @@ from .common import stage, unstage
 SHINGLE, PERCENT = 4, 80
 BANDS, ROWS, ROUNDS = 40, 5, 2
 EMPTY = np.uint64((1 << 64) - 1)
-#: Sets of a pack, about; shingles that go through the levels together.
-PACK = 256
+#: Shingles that go through the levels together.
 CHUNK = 1 << 15
 _LOW, _HALF = np.uint64((1 << 32) - 1), np.uint64(32)
 _STEP = 0x9E3779B97F4A7C15
@@ -170,35 +169,12 @@ def stars(lists: DataFrame, labels: DataFrame, percent: int, turn: int) -> DataF
     return best.select("best.a", "b", "best.n", "m")
 
 
-def packed(lists: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame:
-    """Of buckets with several groups: pack, band, own (the group that a pack of one group has) and sets.
-
-    A group that fills half a pack or more in a bucket has packs of its own; smaller ones share packs, each of them whole.
-    """
-    known = lists.join(labels, "set", "left").withColumn("group", F.coalesce("group", "set"))
-    mixed = known.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
-    entries = J.join_by(known, stage(mixed.select("band", "c"), "mixed"), "band").withColumn("bg", F.concat_ws("/", "band", "group"))
-    entries = stage(entries, "entries")
-    sizes = stage(entries.groupBy("bg", "band", "group").agg(F.count(F.lit(1)).alias("c")), "sizes")
-    large = F.col("c") * 2 >= PACK
-    shared = stage(sizes.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.ceil(F.coalesce(F.sum(F.when(~large, F.col("c"))), F.lit(0)) / PACK).alias("parts")), "shared")
-    at = F.when(large, F.concat_ws("/", "bg", F.lit("own"), F.ceil(F.col("c") / PACK))).otherwise(F.concat_ws("/", "band", F.lit("of"), F.pmod(F.xxhash64("group"), F.col("parts"))))
-    named = J.join_by(sizes.withColumnRenamed("c", "here"), shared, "band").withColumnRenamed("here", "c").select("bg", "c", at.alias("at"), F.when(large, F.col("group")).alias("own"), F.ceil(F.col("c") / PACK).alias("copies"))
-    dealt = J.join_by(entries, named, "bg").withColumn("pack", F.when(F.col("own").isNull(), F.col("at")).otherwise(F.concat_ws("/", "at", F.pmod(F.xxhash64("set"), F.col("copies")))))
-    rows = dealt.select("pack", "band", "own", "set", "group").join(signed.select("set", "n", "sketch", "bands"), "set")
-    packs = rows.groupBy("pack", "band", "own").agg(F.collect_list(F.struct("set", "n", "group", "sketch", "bands")).alias("sets"))
-    packs = stage(packs, "packs")
-    unstage(entries, sizes, shared)
-    return packs
-
-
 def rest_pairs(lists: DataFrame, labels: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """a, b, n, m of all pairs of different groups that share a bucket, each once, but for those that sizes or sketches rule out."""
-    packs = packed(lists, labels, signed)
-    left, right = (packs.select("band", F.col("pack").alias(p), F.col("own").alias(o)) for p, o in (("p", "p_own"), ("q", "q_own")))
-    apart = F.col("p_own").isNull() | F.col("q_own").isNull() | (F.col("p_own") != F.col("q_own"))
-    met = left.join(right, "band").where(((F.col("p") < F.col("q")) & apart) | ((F.col("p") == F.col("q")) & F.col("p_own").isNull())).select("band", "p", "q")
-    met = stage(met, "met")
+    known = lists.join(labels, "set", "left").select(F.col("band").alias("token"), "set", F.coalesce("group", "set").alias("group"))
+    rows = J.dealt_by_group(known).join(signed.select("set", "n", "sketch", "bands"), "set")
+    packs = stage(rows.groupBy("pack", "token", "own").agg(F.collect_list(F.struct("set", "n", "group", "sketch", "bands")).alias("sets")), "packs")
+    met = stage(J.pack_pairs(packs), "met")
     sides = [packs.select(F.col("pack").alias(c), F.col("sets").alias(f"{c}_sets")) for c in ("p", "q")]
     visits = J.attach(J.attach(met, "p", "q", sides[0], met), "q", "p", sides[1], met)
 
@@ -215,7 +191,7 @@ def rest_pairs(lists: DataFrame, labels: DataFrame, signed: DataFrame, percent:
                 pick = lambda p, q: pa.array(np.where(swap, q, p))  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays([pick(a.sets[i], b.sets[j]), pick(b.sets[j], a.sets[i]), pick(a.n[i], b.n[j]), pick(b.n[j], a.n[i])], names=["a", "b", "n", "m"])
 
-    return visits.select("band", (F.col("p") == F.col("q")).alias("same"), "p_sets", "q_sets").mapInArrow(run, "a long, b long, n int, m int")
+    return visits.select("token", (F.col("p") == F.col("q")).alias("same"), "p_sets", "q_sets").mapInArrow(run, "a long, b long, n int, m int")
 
 
 class _Sets:

@@ -168,7 +168,7 @@ def weak_shingler(plain: type) -> type:
     return Weak
 
 
-@pytest.mark.parametrize(("small", "k", "percent"), [({"LONG": 3, "PLAIN": 2, "COPY": 2}, 3, 90), ({"LONG": 3, "PLAIN": 2, "LEVELS": 1, "MOST_LONG": 5}, 2, 70)])
+@pytest.mark.parametrize(("small", "k", "percent"), [({"LONG": 3, "PACK": 2, "COPY": 2}, 3, 90), ({"LONG": 3, "PACK": 5, "MOST_LONG": 5}, 2, 70)])
 def test_long_lists_and_hot_keys_lose_no_link(spark, monkeypatch, small, k, percent):
     """Two large groups of near copies and others near them share passages, with every limit small."""
     for name, value in small.items():

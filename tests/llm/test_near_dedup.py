@@ -57,7 +57,7 @@ def test_bands_miss_few_pairs_at_the_threshold():
 
 @pytest.mark.parametrize(("k", "percent"), [(4, 80), (2, 80), (5, 90)])
 def test_components_match_brute_force(spark, monkeypatch, k, percent):
-    monkeypatch.setattr(N, "PACK", 8)
+    monkeypatch.setattr(J, "PACK", 8)
     rng = random.Random(k)
     passage = prose(60, 13).split()
     rows: list[tuple] = []
