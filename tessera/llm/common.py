@@ -3,79 +3,24 @@
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
-import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import CLEANUP, shared_dir, stage, unstage
+
+__all__ = ["CLEANUP", "SPACES", "SPACE_CLASS", "WORD_PATTERN", "literal_array", "literal_table", "shared_dir", "stage", "table", "trimmed", "unstage", "word_count", "words"]
+
 #: White space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 #: The same as a regular expression for Spark (Java) and DuckDB (RE2).
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-#: Whether Spark deletes an execution's shuffle files when it ends.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, as the cluster names it.
-
-    Only where spark.checkpoint.dir is unset and Spark runs in one process, a temporary folder takes its place.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = tempfile.mkdtemp(prefix="tessera-shared-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table into the shared folder and reads it again: later jobs don't repeat the work, and a lost executor loses nothing.
-
-    What was shuffled for it goes as soon as it's written. The files go with `unstage`, or when the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    schema = df.schema
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
-    files, where = _files(spark, path)
-    files.deleteOnExit(where)
-    out = spark.read.schema(schema).parquet(path)
-    _paths[out] = path
-    return out
-
-
-def unstage(*tables: DataFrame) -> None:
-    """Deletes staged tables that nothing will read any more."""
-    for table in tables:
-        if path := _paths.pop(table, None):
-            files, where = _files(table.sparkSession, path)
-            files.delete(where, True)
-
-
-def _files(spark: SparkSession, path: str) -> tuple:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
 def literal_table(spark: SparkSession, rows: list[list], schema: str) -> DataFrame:
     """A small table made of SQL literals only. schema: like "a int, b string"."""
     names = [c.split()[0] for c in schema.split(",")]
