@@ -7,9 +7,9 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import CLEANUP, shared_dir, stage, unstage
+from ..sources.shared import stage, unstage
 
-__all__ = ["CLEANUP", "SPACES", "SPACE_CLASS", "WORD_PATTERN", "literal_array", "literal_table", "shared_dir", "stage", "table", "trimmed", "unstage", "word_count", "words"]
+__all__ = ["SPACES", "SPACE_CLASS", "WORD_PATTERN", "literal_array", "literal_table", "stage", "table", "trimmed", "unstage", "word_count", "words"]
 
 #: White space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -17,6 +17,7 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

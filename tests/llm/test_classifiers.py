@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -129,6 +130,65 @@ def test_ordinal_regression_on_five_grades():
     assert (((tails >= 0.5).sum(axis=1)) == y).mean() > 0.6
 
 
+def plain_fit(sample: list[tuple[str, int]], steps: int, size: int) -> tuple[dict[int, float], list[float]]:
+    """Weights and thresholds by loops over single texts; gradients are differences of the likelihood at two points."""
+    grades = sorted({y for _, y in sample})
+    k, n = len(grades) - 1, len(sample)
+    rows = [list(zip(*(x.tolist() for x in quality_model.text_row(t, {})), strict=True)) for t, _ in sample]
+    level = [grades.index(y) for _, y in sample]
+    logit = [math.log(p / (1 - p)) for p in (sum(g <= i for g in level) / n for i in range(k))]
+    cut = [logit[0], *(math.log(max(b - a, 1e-3)) for a, b in zip(logit, logit[1:], strict=False))]
+    w: dict[int, float] = {}
+    seen: dict[int, float] = {}
+    cut_seen, order, rng = [1e-2] * k, [], np.random.default_rng(quality_model.SEED)
+
+    def thresholds(c):
+        out = [c[0]]
+        for x in c[1:]:
+            out.append(out[-1] + math.exp(x))
+        return out
+
+    def loss(f, g, c):
+        theta = thresholds(c)
+        below = lambda i: 0.0 if i < 0 else 1.0 if i >= k else 1 / (1 + math.exp(f - theta[i]))
+        return -math.log(below(g) - below(g - 1))
+
+    for step in range(steps):
+        rate = quality_model.RATE * (1 - 0.9 * step / steps)
+        if len(order) < size:
+            order += rng.permutation(n).tolist()
+        batch, order = order[:size], order[size:]
+        f = {i: sum(w.get(b, 0.0) * v for b, v in rows[i]) for i in batch}
+        e = 1e-5
+        d_f = {i: (loss(f[i] + e, level[i], cut) - loss(f[i] - e, level[i], cut)) / (2 * e) / size for i in batch}
+        d_cut = []
+        for j in range(k):
+            up, down = ([x + (s * e if i == j else 0) for i, x in enumerate(cut)] for s in (1, -1))
+            d_cut.append(sum(loss(f[i], level[i], up) - loss(f[i], level[i], down) for i in batch) / (2 * e) / size)
+        slope: dict[int, float] = {}
+        for i in batch:
+            for b, v in rows[i]:
+                slope[b] = slope.get(b, 0.0) + d_f[i] * v
+        for j, d in enumerate(d_cut):
+            cut_seen[j] += d * d
+            cut[j] -= 0.5 * rate * d / math.sqrt(cut_seen[j])
+        for b, d in slope.items():
+            d += quality_model.DECAY * w.get(b, 0.0)
+            seen[b] = seen.get(b, 1e-2) + d * d
+            w[b] = w.get(b, 0.0) - rate * d / math.sqrt(seen[b])
+    return w, thresholds(cut)
+
+
+def test_fit_matches_plain_loops_with_numeric_gradients(monkeypatch):
+    monkeypatch.setattr(quality_model, "STEPS", 40)
+    monkeypatch.setattr(quality_model, "BATCH", 16)
+    sample = graded(120, 3)
+    model = quality_model.train(sample)
+    w, theta = plain_fit(sample, 40, 16)
+    assert model.thresholds.tolist() == pytest.approx(theta, abs=1e-4)
+    assert {int(i): model.weights[i] for i in np.flatnonzero(model.weights)} == pytest.approx({i: x for i, x in w.items() if x}, abs=1e-4)
+
+
 def test_scorer_matches_training_features():
     model = quality_model.train(graded(100, 3))
     known: dict = {}
