@@ -11,8 +11,9 @@ stage's docs. All but the last return the columns of documents.
 4. mixing: each document is there as many times as the mix of sources takes it, or not at all.
 5. bpe: token count and digests of the tokens and of the decoded text of every row.
 
-No stage is to be had in SQL as a whole (the classifier is trained), so ORACLE_SQL is None; tests hold each stage against
-a brute-force version.
+No stage is to be had in SQL as a whole (the classifier is trained), so ORACLE_SQL is None; tests hold near duplicates and
+tokens against brute force and the tokenizers library, the classifier's choice against its features added up one by one, the
+mix against targets filled by hand, and the rules against plain counts of what every rule set has to reject.
 """
 
 from __future__ import annotations
