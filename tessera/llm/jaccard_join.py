@@ -339,11 +339,15 @@ def needed(n: Column, m: Column, percent: int) -> Column:
 def join_by(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """rows with table's columns by key, which is unique there; its column c counts the rows of a key, or more.
 
-    Long keys are joined by broadcast: c adds up to the rows, so that there are at most MOST_LONG of them.
+    Long keys are joined by broadcast: c adds up to the rows, so that there are at most MOST_LONG of them. The driver sees
+    them, so that the others' rows are told by a filter.
     """
     limit = table.agg(F.greatest(F.lit(LONG), F.sum("c") / MOST_LONG).alias("limit")).scalar()
     long, short = table.where(F.col("c") > limit).drop("c"), table.where(F.col("c") <= limit).drop("c")
-    return rows.join(F.broadcast(long), key).unionByName(rows.join(F.broadcast(long.select(key)), key, "left_anti").join(short, key))
+    keys = [r[0] for r in long.select(key).collect()]
+    if not keys:
+        return rows.join(short, key)
+    return rows.join(F.broadcast(long), key).unionByName(rows.where(~F.col(key).isin(keys)).join(short, key))
 
 
 def attach(rows: DataFrame, key: str, other: str, table: DataFrame, pairs: DataFrame) -> DataFrame:
