@@ -25,7 +25,12 @@ def database(tmp_path):
     path = tmp_path / "raw.db"
     con = sqlite3.connect(path)
     con.execute(DDL)
-    con.executemany("INSERT INTO contents (content_id, newsletter_id, source_key, title, author, content_md, vector_status, stored_at) VALUES (?, 1, 'src', ?, '', ?, ?, ?)", [("item-1", "One", "text " * 20, "pending", "2026-03-01T10:00:00"), ("item-2", None, "short", "indexed", "2026-03-02T10:00:00")])
+    rows = [
+        ("leaf:42", 3, "garden", "", "Of leaves", None, "", "green " * 15, "pending", "2025-11-30T23:59:59"),
+        ("süd/7", 8, "garden", "2024-02-29", None, "N. N.", None, "tiny", "indexed", "2025-12-05T00:00:00"),
+        ("gap", None, "field", None, "", "", None, None, None, None),
+    ]
+    con.executemany("INSERT INTO contents (content_id, newsletter_id, source_key, content_date, title, author, url, content_md, vector_status, stored_at) VALUES (?, ?, ?, ?, ?, ?, ?, ?, ?, ?)", rows)
     con.commit()
     con.close()
     return path
@@ -40,18 +45,18 @@ def test_sqlite_contents(spark, database):
     sqlite.register(spark)
     table = spark.read.format("sqlite").option("path", str(database)).option("table", "contents").load()
     rows = contents.decode(table)
-    assert contents.count_contents(rows) == 2
-    assert [r.content_id for r in contents.in_scan_order(rows).collect()] == ["item-1", "item-2"]
-    assert [r.content_id for r in contents.get_contents(rows, vector_status="pending").collect()] == ["item-1"]
-    second = rows.where("content_id = 'item-2'").first()
-    assert second.title == "" and second.scrape_status == "full" and second.content_date is None and second.stored_at == datetime(2026, 3, 2, 10)
-    done = contents.set_vector_status(rows, spark.createDataFrame([("item-1", "indexed"), ("none", "x")], "content_id string, vector_status string"))
+    assert contents.count_contents(rows) == 3
+    assert [r.content_id for r in contents.in_scan_order(rows).collect()] == ["gap", "leaf:42", "süd/7"]
+    assert {r.content_id for r in contents.get_contents(rows, vector_status="pending").collect()} == {"gap", "leaf:42"}
+    one = rows.where("content_id = 'süd/7'").first()
+    assert one.title == "" and one.scrape_status == "full" and one.content_date == date(2024, 2, 29) and one.stored_at == datetime(2025, 12, 5)
+    done = contents.set_vector_status(rows, spark.createDataFrame([("leaf:42", "indexed"), ("none", "x")], "content_id string, vector_status string"))
     assert contents.get_contents(done, vector_status="indexed").count() == 2
-    assert contents.get_contents(rows, since="2026-03-02").count() == 1 and contents.get_contents(rows, source_key="other").count() == 0
-    assert [r.content_id for r in contents.work_items(rows).collect()] == ["item-1"]
-    assert table.where("newsletter_id = 1 and content_id = 'item-2'").count() == 1 and table.count() == 2
+    assert [r.content_id for r in contents.get_contents(rows, since="2025-11-30").collect()] == ["leaf:42"] and contents.get_contents(rows, source_key="other").count() == 0
+    assert [r.content_id for r in contents.work_items(rows).collect()] == ["leaf:42"]
+    assert table.where("newsletter_id = 8 and content_id = 'süd/7'").count() == 1 and table.count() == 3
     own = spark.read.format("sqlite").option("path", str(database)).option("where", "vector_status = 'pending'").load()
-    assert [r.content_id for r in own.collect()] == ["item-1"]
+    assert [r.content_id for r in own.collect()] == ["leaf:42"]
 
 
 def test_json_records(spark, tmp_path):
@@ -228,7 +233,7 @@ def test_backups(spark, database, tmp_path):
     assert gone == ["2026-01-01T00-00-00Z", "2026-01-02T00-00-00Z"] and len(list(target.iterdir())) == 7
     assert backup.clean_up(spark, target) == [] and backup.clean_up(spark, tmp_path / "none") == []
     made = backup.snapshot(database, tmp_path / "snap" / "copy.db")
-    assert made["row_count"] == 2 and made["corpus_hash"] == backup.hash_file(tmp_path / "snap" / "copy.db")
+    assert made["row_count"] == 3 and made["corpus_hash"] == backup.hash_file(tmp_path / "snap" / "copy.db")
     with pytest.raises(FileNotFoundError):
         backup.snapshot(tmp_path / "none.db", tmp_path / "x.db")
     assert ("raw.db", database.stat().st_size) in backup.list_files(database.parent) and backup.list_files(tmp_path / "none") == []
