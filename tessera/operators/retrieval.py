@@ -45,7 +45,8 @@ def vector_topk(rows: DataFrame, queries: DataFrame, k: int, id_column: str = "i
 
     A pass over the rows holds at most PACK query vectors in each worker, multiplies batch by batch and keeps k rows a
     query and task; only those meet in the ranking. Rows or queries of length zero score 0. A query meets the rows whose
-    vectors have as many components; vectors that are null or hold a null take no part.
+    vectors have as many components; vectors that are null or hold a null take no part. Each row of queries has a list of
+    its own, whatever its query_id.
     """
     spark = rows.sparkSession
     whole = lambda c: F.coalesce(~F.exists(c, lambda x: x.isNull()), F.lit(False))
@@ -58,13 +59,14 @@ def vector_topk(rows: DataFrame, queries: DataFrame, k: int, id_column: str = "i
         got = first if packs == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(packs)) == p).collect()
         for size in sorted({len(r.v) for r in got}):
             own = [r for r in got if len(r.v) == size]
-            shared = spark.sparkContext.broadcast((np.array([r.query_id for r in own], dtype=object), unit_rows(np.array([r.v for r in own], dtype=np.float64))))
+            named = np.array([f"{p}/{size}/{i}" for i in range(len(own))], dtype=object), np.array([r.query_id for r in own], dtype=object)
+            shared = spark.sparkContext.broadcast((*named, unit_rows(np.array([r.v for r in own], dtype=np.float64))))
             alike = rows.select(id_column, vector).where(whole(vector) & (F.size(vector) == size))
-            part = alike.mapInArrow(_scan(shared, k), f"query_id string, {id_column} {kind}, score double")
+            part = alike.mapInArrow(_scan(shared, k), f"q string, query_id string, {id_column} {kind}, score double")
             found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], f"query_id string, {id_column} {kind}, score double, rank int")
-    return ranked(found, k, F.col("score").desc(), F.col(id_column))
+    return ranked(found, k, F.col("score").desc(), F.col(id_column), by="q").drop("q")
 
 
 def unit_rows(m: np.ndarray) -> np.ndarray:
@@ -74,7 +76,7 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
 
 def _scan(shared, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:  # noqa: ANN001
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, q = shared.value
+        keys, names, q = shared.value
         ids: list = [np.zeros(0, dtype=object)] * len(q)
         scores: list = [np.zeros(0)] * len(q)
         schema = None
@@ -93,7 +95,8 @@ def _scan(shared, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                         scores[i], ids[i] = both[order], who[order]
         if schema is not None:
             n = [len(x) for x in ids]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, n).tolist(), pa.string()), pa.array(np.concatenate(ids).tolist(), schema.field(0).type), pa.array(np.concatenate(scores))], names=["query_id", schema.field(0).name, "score"])
+            named = [pa.array(np.repeat(x, n).tolist(), pa.string()) for x in (keys, names)]
+            yield pa.RecordBatch.from_arrays([*named, pa.array(np.concatenate(ids).tolist(), schema.field(0).type), pa.array(np.concatenate(scores))], names=["q", "query_id", schema.field(0).name, "score"])
 
     return run
 

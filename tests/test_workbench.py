@@ -293,6 +293,8 @@ def test_vectors_of_other_lengths_and_nulls_take_no_part(spark):
     found = retrieval.vector_topk(rows, q, 5).orderBy("query_id", "rank").collect()
     assert [(r.query_id, r.id, r.score) for r in found] == [("x", 1, 1.0), ("x", 5, 0.0), ("y", 4, 0.0)]
     assert retrieval.vector_topk(rows, q.where("query_id = 'z'"), 5).count() == 0
+    twice = spark.createDataFrame([("x", [1.0, 0.0]), ("x", [0.0, 1.0]), (None, [1.0, 0.0])], "query_id string, embedding array<double>")
+    assert sorted((str(r.query_id), r.id) for r in retrieval.vector_topk(rows, twice, 1).collect()) == [("None", 1), ("x", 1), ("x", 5)]
 
 
 def test_an_index_of_chunks_that_went_keeps_its_places(spark):
