@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -76,10 +77,9 @@ class BlockIndex(Files):
 
     def _table(self, name: str, schema: str, *columns: str) -> DataFrame:
         """A table of all segments, with the segment's number (at)."""
-        empty = self.spark.createDataFrame([], f"{schema}, at int")
-        for at, s in enumerate(self.state.segments):
-            empty = empty.unionByName(self.spark.read.schema(schema).parquet(f"{self.root}/segments/{s}/{name}").withColumn("at", F.lit(at)))
-        return empty.select(*columns, "at") if columns else empty
+        parts = [self.spark.read.schema(schema).parquet(f"{self.root}/segments/{s}/{name}").withColumn("at", F.lit(at)) for at, s in enumerate(self.state.segments)]
+        rows = reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], f"{schema}, at int")
+        return rows.select(*columns, "at") if columns else rows
 
     def postings(self) -> DataFrame:
         return self._table("postings", "term string, range int, max_tf int, min_dl int, entries array<struct<chunk_id: string, tf: int, dl: int>>, bucket int")
@@ -89,7 +89,10 @@ class BlockIndex(Files):
 
     def terms(self) -> DataFrame:
         """term, df and idf of all terms that a chunk has."""
-        df = self._table("terms", "term string, df long, bucket int").groupBy("term", "bucket").agg(F.sum("df").alias("df")).where("df > 0")
+        df = self._table("terms", "term string, df long, bucket int")
+        if len(self.state.segments) > 1:  # each segment has a term once
+            df = df.groupBy("term", "bucket").agg(F.sum("df").alias("df"))
+        df = df.select("term", "df", "bucket").where("df > 0")
         raw = raw_idf(self.state.chunks, F.col("df"))
         return df.withColumn("idf", F.when(raw < 0, F.lit(EPSILON) * F.lit(self.state.mean_raw)).otherwise(raw))
 
@@ -200,12 +203,12 @@ class BlockIndex(Files):
         only = wanted.where(F.col("bucket").isin(buckets))
         ranges = stage(self._ranges(only), "ranges")
         ahead = Window.partitionBy("q").orderBy(F.col("upper").desc(), "at", "range")
-        early = stage(ranges.withColumn("place", F.row_number().over(ahead)).where(F.col("place") <= FIRST), "early")
+        early = ranges.withColumn("place", F.row_number().over(ahead)).where(F.col("place") <= FIRST)
         summed = lambda parts: parts.groupBy("q", "chunk_id").agg(F.round(F.sum("part"), 9).alias("score"))
         first = stage(self._scored(early, only), "first")
         floors = summed(first).withColumn("rank", F.row_number().over(order)).where(F.col("rank") == n).select("q", F.col("score").alias("floor"))
         rest = ranges.join(early.select("q", "at", "range"), ["q", "at", "range"], "left_anti").join(floors, "q", "left").where(F.col("floor").isNull() | (F.col("upper") >= F.col("floor") - SLACK))
-        rest = stage(rest.select("q", "at", "range"), "rest")
+        rest = rest.select("q", "at", "range")
         fill = self.forward().select("chunk_id").orderBy("chunk_id").limit(n)  # only these can fill a list up
         parts = first.unionByName(self._scored(rest, only)).unionByName(queries.select("q").crossJoin(F.broadcast(fill)).withColumn("part", F.lit(0.0)))
         found = summed(parts).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
