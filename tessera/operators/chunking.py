@@ -27,7 +27,8 @@ MARKDOWN = (re.compile(r"\n#{1,6} "), re.compile(r"```\n"), re.compile(r"\n\*\*\
 LEVELS = {"#": 1, "##": 2, "###": 3}
 _WHITE = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 SENTENCE_END = re.compile(r"(?<=[.?!])[\x09-\x0d\x20]+")
-BREAK_PERCENTILE = 80
+#: Distances are rounded, so that equal ones stay equal however they are summed.
+BREAK_PERCENTILE, DIGITS = 80, 9
 #: Tokens for the two token chunkers: together they make up the whole text.
 WORD_TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]"
 PIECE_TOKEN = r"[\p{L}\p{N}_]{1,6}|[^\p{L}\p{N}_]"
@@ -176,7 +177,12 @@ def distances(parts: list[str], dim: int = 384) -> np.ndarray:
         return np.zeros(0)
     around = [" ".join(parts[max(0, i - 1) : i + 2]) for i in range(len(parts))]
     v = hashed_vectors(around, dim)
-    return 1 - (v[:-1] * v[1:]).sum(axis=1)
+    return np.round(1 - (v[:-1] * v[1:]).sum(axis=1), DIGITS)
+
+
+def cut_long(text: str, sizes: Sizes) -> list[str]:
+    """A text up to the size as it is, a longer one cut recursively; none of white space."""
+    return [c for c in (recursive(text, sizes) if len(text) > sizes.size else [text.strip(_WHITE)]) if c]
 
 
 def semantic(text: str, sizes: Sizes) -> list[str]:
@@ -186,7 +192,7 @@ def semantic(text: str, sizes: Sizes) -> list[str]:
     breaks = np.flatnonzero(d > np.percentile(d, BREAK_PERCENTILE)) + 1 if len(d) else []
     edges = [0, *breaks, len(parts)]
     joined = [" ".join(parts[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-    return [c for t in joined for c in (recursive(t, sizes) if len(t) > sizes.size else [t.strip(_WHITE)]) if c]
+    return [c for t in joined for c in cut_long(t, sizes)]
 
 
 KERNELS: dict[str, Callable[[str, Sizes], list[tuple[str, str]]]] = {

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import RETRIEVALS
 from ..functions import metrics as M
 from ..functions import text as X
-from ..operators import backup, chunking, contents, embedding, evaluation, generation, postprocess, retrieval
+from ..operators import backup, chunking, contents, embedding, evaluation, generation, postprocess, retrieval, semantic
 from ..operators.collections import Store, by_content, indexing_counts, summary, upserted
 from ..operators.lexical_index import BlockIndex
 from ..operators.vector_index import VectorIndex
@@ -300,6 +300,22 @@ def _hash_sql(rows: str, key: str, text: str) -> str:
  FROM (SELECT {key}, unnest(regexp_extract_all(lower({text}), '{_TOKENS_SQL}')) AS t FROM {rows}) GROUP BY ALL))"""
 
 
+_SEMANTIC_SQL = f"""WITH {CONTENTS_SQL}, st AS (SELECT content_id, list_filter(string_split(regexp_replace(coalesce(content_md, ''), '([.?!])[\\x09-\\x0d\\x20]+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS ss FROM c),
+ sn AS (SELECT content_id, pos, ss[pos] AS s FROM (SELECT content_id, ss, unnest(range(1, len(ss) + 1)) AS pos FROM st)),
+ ar AS (SELECT content_id, pos, concat_ws(' ', lag(s) OVER w, s, lead(s) OVER w) AS t FROM sn WINDOW w AS (PARTITION BY content_id ORDER BY pos)),
+ hv AS MATERIALIZED {_hash_sql("ar", "content_id, pos", "t")},
+ dd AS (SELECT y.content_id, y.pos, sum(x.n / x.len * y.n / y.len) AS dot FROM hv x JOIN hv y ON x.content_id = y.content_id AND x.pos + 1 = y.pos AND x.b = y.b GROUP BY ALL),
+ ds AS (SELECT content_id, pos, s, CASE WHEN pos > 1 THEN round(1 - coalesce(dot, 0), {chunking.DIGITS}) END AS d FROM sn LEFT JOIN dd USING (content_id, pos)),
+ cu AS (SELECT *, quantile_cont(d, 0.8) OVER (PARTITION BY content_id) AS cut FROM ds),
+ gr AS (SELECT *, CAST(sum(CASE WHEN d > cut THEN 1 ELSE 0 END) OVER (PARTITION BY content_id ORDER BY pos) AS INTEGER) AS part FROM cu)
+ SELECT content_id, part, md5(string_agg(s, ' ' ORDER BY pos)) AS text_md5, CAST(count(*) AS INTEGER) AS sentences FROM gr GROUP BY content_id, part"""
+
+
+@query(_SEMANTIC_SQL)
+def semantic_parts(spark: SparkSession, d: str) -> DataFrame:
+    return semantic.parts(contents_of(spark, d), "content_id").select("content_id", "part", F.md5(F.col("text").cast("binary")).alias("text_md5"), "sentences")
+
+
 _DENSE_SQL = f"""{CONTENTS_SQL}, q AS (SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark),
  dv AS MATERIALIZED {_hash_sql("c", "content_id", "content_md")}, qv AS MATERIALIZED {_hash_sql("q", "query_id", "query")},
  ds AS (SELECT query_id, content_id AS chunk_id, round(sum(qv.n / qv.len * dv.n / dv.len), 12) AS s FROM qv JOIN dv USING (b) GROUP BY ALL),
