@@ -31,6 +31,17 @@ def missing(wanted: DataFrame, existing: DataFrame, name: str = "collection") ->
     return wanted.select(name).distinct().join(existing.select(name).distinct(), name, "left_anti")
 
 
+def categories(queries: DataFrame, position: str = "position") -> DataFrame:
+    """category, first (the least position of its queries) and queries: each category once, to be sorted by first."""
+    return queries.groupBy("category").agg(F.min(position).alias("first"), F.count(F.lit(1)).alias("queries"))
+
+
+def unresolved(queries: DataFrame, contents: DataFrame) -> DataFrame:
+    """query_id and content_id of expected contents that aren't there: no retrieval can find these."""
+    wanted = queries.select("query_id", F.explode("expected").alias("content_id")).distinct()
+    return wanted.join(contents.select("content_id").distinct(), "content_id", "left_anti").select("query_id", "content_id")
+
+
 #: Bytes of queries' texts that one pass over contents looks for; more take more passes.
 NEEDLES = 1 << 24
 

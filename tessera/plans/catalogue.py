@@ -450,6 +450,11 @@ def eval_queries(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("category", F.when(F.size("expected") == 0, "negative").when(F.size("expected") == 1, "easy").otherwise("cross"))
 
 
+@query(f"WITH {CONTENTS_SQL}, q AS (SELECT CAST(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark), {_EXPECTED_SQL} SELECT category, min(CAST(query_id AS BIGINT)) AS first, count(*) AS queries FROM xc GROUP BY category")
+def eval_categories(spark: SparkSession, d: str) -> DataFrame:
+    return evaluation.categories(eval_queries(spark, d).withColumn("position", F.col("query_id").cast("long")))
+
+
 @query(f"WITH {_METRICS_SQL} SELECT query_id, category, round(recall, 6) AS recall, round(precision, 6) AS precision, round(mrr, 6) AS mrr FROM m")
 def metrics_per_query(spark: SparkSession, d: str) -> DataFrame:
     q = eval_queries(spark, d)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import EVAL_COMBOS, model_of_collection, parse_combo
 from ..operators.backup import STAMP
-from ..operators.evaluation import evaluate, preflight, rollup
+from ..operators.evaluation import categories, evaluate, preflight, rollup
 from ..operators.lexical_index import BlockIndex
 from ..operators.retrieval import K, build_strategy
 from ..sources.shared import shared_dir
@@ -22,12 +22,17 @@ from ..sources.shared import shared_dir
 METRICS = ("recall", "precision", "mrr")
 
 
-def report(combos: DataFrame, totals: DataFrame, version: str, num_queries: int, latency_ms: dict[str, float] | None = None, now: datetime | None = None) -> dict:
-    """combos: collection, strategy, status, chunk_count; totals: what rollup() gives. latency_ms: mean by combination."""
+def report(combos: DataFrame, totals: DataFrame, version: str, num_queries: int, latency_ms: dict[str, float] | None = None, now: datetime | None = None, order: Iterable[str] = ()) -> dict:
+    """combos: collection, strategy, status, chunk_count; totals: what rollup() gives. latency_ms: mean by combination.
+
+    order: categories in the order that they are reported in; others follow by name.
+    """
+    place = {c: i for i, c in enumerate(order)}
     out: dict = {"query_set_version": version, "timestamp": (now or datetime.now(UTC)).strftime(STAMP), "num_queries": num_queries, "combos": {}}
     for r in combos.orderBy("collection", "strategy").collect():
         out["combos"][f"{r.collection}__{r.strategy}"] = {"collection": r.collection, "strategy": r.strategy, "status": r.status, "chunk_count": r.chunk_count}
-    for r in totals.orderBy("collection", "strategy", "category").collect():
+    rows = totals.orderBy("collection", "strategy", "category").collect()
+    for r in sorted(rows, key=lambda r: place.get(r.category, len(place))):
         name = f"{r.collection}__{r.strategy}"
         own = {m: r[m] for m in METRICS} | {"queries": r.queries}
         if r.is_overall:
@@ -94,8 +99,13 @@ def lone_latencies(store, queries: DataFrame, combos: Iterable[str] = EVAL_COMBO
 
 
 def run(store, queries: DataFrame, folder: str | Path, version: str, combos: Iterable[str] = EVAL_COMBOS, k: int = K, model: Callable[[str], str] = model_of_collection, lone: int = LONE) -> tuple[Path, Path]:  # noqa: ANN001
-    """The whole evaluation: preflight, all combinations at once, roll-ups, latencies of lone queries, and the report's two files."""
+    """The whole evaluation: preflight, all combinations at once, roll-ups, latencies of lone queries, and the report's two files.
+
+    queries with a position have their categories reported in the order in which these first come.
+    """
     combos = tuple(combos)
     preflight(queries, store.names(), combos)
     by_query, status = evaluate(store, queries, combos, k, model)
-    return write_report(report(status, rollup(by_query), version, queries.count(), lone_latencies(store, queries, combos, k, model, lone)), folder)
+    order = [r.category for r in categories(queries).orderBy("first").collect()] if "position" in queries.columns else []
+    latencies = lone_latencies(store, queries, combos, k, model, lone)
+    return write_report(report(status, rollup(by_query), version, queries.count(), latencies, order=order), folder)
