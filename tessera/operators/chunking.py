@@ -25,7 +25,7 @@ CHUNKS = "array<struct<text:string,heading:string,index:int>>"
 PLAIN = ("\n\n", "\n", " ", "")
 MARKDOWN = (re.compile(r"\n#{1,6} "), re.compile(r"```\n"), re.compile(r"\n\*\*\*+\n"), re.compile(r"\n---+\n"), re.compile(r"\n___+\n"), "\n\n", "\n", " ", "")
 LEVELS = {"#": 1, "##": 2, "###": 3}
-_WHITE = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+_WHITE = X.WHITE_CHARACTERS
 SENTENCE_END = re.compile(r"(?<=[.?!])[\x09-\x0d\x20]+")
 #: Distances are rounded, so that equal ones stay equal however they are summed.
 BREAK_PERCENTILE, DIGITS = 80, 9
