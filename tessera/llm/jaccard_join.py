@@ -11,7 +11,9 @@ before anything is compared, and of a pair's two sets the one whose prefix ends
 its lists; as a row doesn't tell which one that is, the larger of both bounds holds. A list ends where no
 position leaves room for the overlap that linking takes; the rest is cut into blocks by group and position, and two
 blocks are skipped if their sizes and positions leave no room. Of two blocks that meet a pair is skipped if both positions
-together leave no room, or if the sets' parity sketches differ in more bits than the sets may in shingles.
+together leave no room, or if the sets' parity sketches differ in more bits than the sets may in shingles. Near copies share
+dozens of lists; an entry names its set's BEFORE lists before, and a pair is left out where one of these has both sets: the
+first list that both share never is, so the pair comes from that one and few others.
 
 Answers from answers. A list isn't expanded into its pairs. First each list's pivot, the set with the largest possible
 overlap, is compared with the list's other sets. Its answers keep the overlap and, for sets much like it, the difference
@@ -57,6 +59,8 @@ SHINGLE, PERCENT = 3, 90
 FREQUENT, FREQUENT_FROM = 200_000, 12
 #: Numbers of 64 bits in a set's parity sketch; sets of a block, about.
 SKETCH, PACK = 8, 256
+#: Lists before its own that an entry names; pairs of a task that go through the bounds together.
+BEFORE, TOGETHER = 8, 1 << 17
 #: Bits of the map of wanted sets: at least so many, so many a set, at most so many.
 BITS, BITS_A_SET, MOST_BITS = 1 << 22, 16, 1 << 28
 #: A key of more rows than LONG and than a MOST_LONG-th of all is a long one.
@@ -474,42 +478,76 @@ def pack_pairs(packs: DataFrame) -> DataFrame:
     return left.join(right, "token").where(((F.col("p") < F.col("q")) & apart) | ((F.col("p") == F.col("q")) & F.col("p_own").isNull())).select("token", "p", "q")
 
 
-class Block:
-    """A block of a list as arrays."""
+class Blocks:
+    """The blocks of a batch, end to end, as arrays; starts: where each begins, and the end."""
 
-    def __init__(self, rows: pa.StructArray):
+    def __init__(self, blocks: pa.ListArray):
+        rows = blocks.values
         column = lambda name: rows.field(name).to_numpy(zero_copy_only=False)
+        self.starts = blocks.offsets.to_numpy().astype(np.int64)
         self.sets, self.groups = column("set"), column("group")
         self.n, self.pos, self.most = (column(c).astype(np.int64) for c in ("n", "pos", "most"))
         self.x = rows.field("x").fill_null(0).to_numpy()
         self.o = rows.field("o").fill_null(0).to_numpy().astype(np.int64)
         self.placed = rows.field("x").is_valid().to_numpy(zero_copy_only=False)
         self.sketch = rows.field("sketch").flatten().to_numpy().reshape(len(self.sets), -1).view(np.uint64)
+        ends = rows.field("before").offsets.to_numpy()
+        have = np.diff(ends)
+        self.before = np.zeros((len(self.sets), BEFORE), dtype=np.int64)
+        self.before[np.repeat(np.arange(len(have)), have), np.arange(ends[0], ends[-1]) - np.repeat(ends[:-1], have)] = rows.field("before").flatten().to_numpy()
 
 
-def block_pairs(a: Block, b: Block, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the pairs of different groups that no bound rules out, and whether their pivot is the same one."""
-    n, m = a.n[:, None], b.n[None]
-    need = -(-percent * (n + m) // (100 + percent))
-    fits = (a.groups[:, None] != b.groups[None]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
-    # among the first n - need + 1 shingles of both sets at least one is shared, or they don't link
-    fits &= (a.pos[:, None] <= n - need) & (b.pos[None] <= m - need) & (np.maximum(a.most[:, None], b.most[None]) >= need)
-    fits &= np.minimum(a.pos[:, None], b.pos[None]) + 1 + np.minimum(n - 1 - a.pos[:, None], m - 1 - b.pos[None]) >= need
-    if same:
-        fits &= np.arange(len(a.n))[:, None] < np.arange(len(b.n))[None]
-    i, j = np.nonzero(fits)
-    n, m, need = a.n[i], b.n[j], need[i, j]
-    told = a.placed[i] & b.placed[j] & (a.x[i] == b.x[j])
-    derived = np.minimum(a.o[i], b.o[j]) + np.minimum(n - a.o[i], m - b.o[j])
-    apart = np.bitwise_count(a.sketch[i] ^ b.sketch[j]).sum(axis=1, dtype=np.int64)
-    near = (~told | (derived >= need)) & (apart <= n + m - 2 * need)
-    return i[near], j[near], told[near]
+def met_before(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether rows of x and y share a number other than 0."""
+    hit = np.zeros(len(x), dtype=bool)
+    for c in range(x.shape[1]):
+        hit |= (x[:, c, None] == y).any(axis=1) & (x[:, c] != 0)
+    return hit
+
+
+def block_pairs(a: Blocks, b: Blocks, same: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each block of a with its block of b, places of the pairs of different groups that no bound rules out, and whether their pivot is the same one.
+
+    Blocks go through the bounds together, about TOGETHER pairs at a time. A pair is left out where it also meets in one of the lists before.
+    """
+    wide, long = np.diff(b.starts), np.diff(a.starts)
+    ends = np.cumsum(wide * long)
+    at = 0
+    while at < len(ends):
+        until = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOGETHER, side="right")))
+        block = np.repeat(np.arange(at, until), long[at:until])  # of each row of a
+        own = wide[block]
+        i = np.repeat(np.arange(a.starts[at], a.starts[until]), own)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(own) - own - b.starts[block], own)
+        fits = a.groups[i] != b.groups[j]
+        if same[at:until].any():
+            # of a block with itself each pair once
+            limit = np.where(same[block], np.arange(len(block)) + a.starts[at] - a.starts[block] + b.starts[block], -1)
+            fits &= j > np.repeat(limit, own)
+        i, j = i[fits], j[fits]
+        n, m = a.n[i], b.n[j]
+        fits = np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
+        i, j, n, m = i[fits], j[fits], n[fits], m[fits]
+        need = -(-percent * (n + m) // (100 + percent))
+        p, q = a.pos[i], b.pos[j]
+        # among the first n - need + 1 shingles of both sets at least one is shared, or they don't link
+        fits = (p <= n - need) & (q <= m - need) & (np.maximum(a.most[i], b.most[j]) >= need)
+        fits &= np.minimum(p, q) + 1 + np.minimum(n - 1 - p, m - 1 - q) >= need
+        i, j, n, m, need = i[fits], j[fits], n[fits], m[fits], need[fits]
+        apart = np.bitwise_count(a.sketch[i] ^ b.sketch[j]).sum(axis=1, dtype=np.int64)
+        told = a.placed[i] & b.placed[j] & (a.x[i] == b.x[j])
+        derived = np.minimum(a.o[i], b.o[j]) + np.minimum(n - a.o[i], m - b.o[j])
+        fits = (~told | (derived >= need)) & (apart <= n + m - 2 * need)
+        i, j, told = i[fits], j[fits], told[fits]
+        new = ~met_before(a.before[i], b.before[j])
+        yield i[new], j[new], told[new]
+        at = until
 
 
 def list_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """a, b, n, m and told (whether both are near the same pivot) of all pairs of different groups that share a list and that bounds leave.
 
-    entries: token, set, n, pos, most, group, x, o, sketch. Lists are blocks by group and position; two blocks are skipped whose
+    entries: token, set, n, pos, most, group, x, o, sketch, before. Lists are blocks by group and position; two blocks are skipped whose
     sizes or positions leave no room for a link, and of a list those entries that are behind the last position for any.
     """
     n = F.col("n")
@@ -517,7 +555,7 @@ def list_pairs(entries: DataFrame, percent: int) -> DataFrame:
     dealt = dealt_by_group(found).withColumn("pack", F.concat_ws("/", "pack", position_block(F.col("pos"))))
     rows = dealt.groupBy("pack", "token", "own").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.max(n - F.col("pos")).alias("reach"),
-        F.collect_list(F.struct("set", "n", "pos", "most", "group", "x", "o", "sketch")).alias("sets"),
+        F.collect_list(F.struct("set", "n", "pos", "most", "group", "x", "o", "sketch", "before")).alias("sets"),
     )
     packs = stage(rows, "packs")
     met = pack_pairs(packs)
@@ -531,9 +569,8 @@ def list_pairs(entries: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for same, x, y in zip(*batch.columns, strict=True):
-                a, b = Block(x.values), Block(y.values)
-                i, j, told = block_pairs(a, b, same.as_py(), percent)
+            same, a, b = batch.column(0).to_numpy(zero_copy_only=False), Blocks(batch.column(1)), Blocks(batch.column(2))
+            for i, j, told in block_pairs(a, b, same, percent):
                 larger = (a.n[i] > b.n[j]) | ((a.n[i] == b.n[j]) & (a.sets[i] < b.sets[j]))
                 pick = lambda p, q, kind: pa.array(np.where(larger, p, q), kind)  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays([pick(a.sets[i], b.sets[j], pa.int64()), pick(b.sets[j], a.sets[i], pa.int64()), pick(a.n[i], b.n[j], pa.int32()), pick(b.n[j], a.n[i], pa.int32()), pa.array(told)], names=["a", "b", "n", "m", "told"])
@@ -569,7 +606,8 @@ def link_sets(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: Mo
     sketches = first.where(F.size("sketch") > 0).groupBy("set").agg(F.first("sketch").alias("sketch"))
     about = lists.select("set").distinct().join(sketches, "set").join(labels, "set", "left").join(near.select("set", "x", "o"), "set", "left")
     about = about.select("set", F.coalesce("group", "set").alias("group"), "x", "o", "sketch")
-    entries = stage(lists.select("token", "set", "n", "pos", "most").join(about, "set"), "entries")
+    before = F.collect_list("token").over(Window.partitionBy("set").orderBy("pos").rowsBetween(-BEFORE, -1))  # of a set's prefix
+    entries = stage(lists.select("token", "set", "n", "pos", "most").join(about, "set").withColumn("before", before), "entries")
     pairs = stage(list_pairs(entries, percent), "pairs")
     unstage(lists, entries)
     told = derive(pairs.where("told").drop("told"), near)

@@ -182,6 +182,26 @@ def test_long_lists_and_hot_keys_lose_no_link(spark, monkeypatch, small, k, perc
     assert sorted(map(tuple, J.connect(docs, k, percent).collect())) == sorted(brute(rows, k, percent))
 
 
+def test_a_pair_comes_from_few_of_the_lists_that_it_shares(spark, monkeypatch):
+    """Near copies that link with some of a group only share dozens of lists; each pair used to be made once for each."""
+    rng = random.Random(4)
+    base, plain, seen = [f"w{i}" for i in range(200)], J.list_pairs, []
+    rows = [(i, " ".join(edited(rng, base, rng.randrange(9)))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+    def counted(entries, percent):
+        with monkeypatch.context() as m:
+            m.setattr(type(entries), "distinct", lambda self: self)
+            made = J.stage(plain(entries, percent), "made")
+        seen.append((made.count(), made.distinct().count()))
+        return made.distinct()
+
+    monkeypatch.setattr(J, "list_pairs", counted)
+    assert sorted(map(tuple, J.connect(docs).collect())) == sorted(brute(rows, 3, 90))
+    ((made, pairs),) = seen
+    assert pairs > 100 and made < 3 * pairs
+
+
 def test_overlaps_derived_from_a_pivot_s_answers(spark):
     rng = random.Random(8)
     x = set(range(60))
