@@ -16,8 +16,11 @@ Links. A bucket isn't expanded into its pairs. In each of ROUNDS rounds every bu
 round's hash), and every set is compared with that one of its buckets' pivots which it shares most buckets with, so a
 round compares each set once. Sets that link are one group, known to be connected. Buckets that hold several groups
 after that are packed by group, and packs of a bucket meet unless both are of one and the same group, so a group of
-thousands meets the few other sets of its buckets and not itself. Two packs give those pairs of different groups, each from the
-first of its bands only, that sizes and parity sketches don't rule out; all these are verified.
+thousands meets the few other sets of its buckets and not itself. Pairs of different groups, each in the first of its bands only,
+are candidates where sizes and parity sketches don't rule them out. They are looked through twice. The first time two packs
+give each group's most alike candidate only, of which one a group is verified: sets that belong to a large group
+mostly join it by that one comparison instead of one with each of its sets. Then, with the groups that this makes, all
+candidates that are left are verified.
 
 How it runs. Texts are read as Arrow batches and never shuffled: once for the sets' hashes and signatures, and once for
 the whole sets of those that are compared in a round. Equal sets are one from the first task on, so a group of exact copies that
@@ -169,8 +172,11 @@ def stars(lists: DataFrame, labels: DataFrame, percent: int, turn: int) -> DataF
     return best.select("best.a", "b", "best.n", "m")
 
 
-def rest_pairs(lists: DataFrame, labels: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
-    """a, b, n, m of all pairs of different groups that share a bucket, each once, but for those that sizes or sketches rule out."""
+def rest_pairs(lists: DataFrame, labels: DataFrame, signed: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
+    """a, b, n, m, apart (bits between sketches) and both groups of all pairs of different groups that share a bucket, each once, but for those that sizes or sketches rule out.
+
+    nearest: of two packs only each group's pair of the fewest bits.
+    """
     known = lists.join(labels, "set", "left").select(F.col("band").alias("token"), "set", F.coalesce("group", "set").alias("group"))
     rows = J.dealt_by_group(known).join(signed.select("set", "n", "sketch", "bands"), "set")
     packs = stage(rows.groupBy("pack", "token", "own").agg(F.collect_list(F.struct("set", "n", "group", "sketch", "bands")).alias("sets")), "packs")
@@ -182,16 +188,29 @@ def rest_pairs(lists: DataFrame, labels: DataFrame, signed: DataFrame, percent:
         for batch in batches:
             for band, same, x, y in zip(*batch.columns, strict=True):
                 a, b = _Sets(x.values), _Sets(y.values)
-                i, j = _near(a, b, same.as_py(), percent)
+                i, j, apart = _near(a, b, same.as_py(), percent)
                 # a pair comes from the first of its bands
                 first = (a.bands[i] == b.bands[j]).argmax(axis=1)
                 new = a.bands[i, first] == band.as_py()
-                i, j = i[new], j[new]
+                i, j, apart = i[new], j[new], apart[new]
+                if nearest:
+                    order = np.argsort(apart, kind="stable")
+                    i, j, apart = i[order], j[order], apart[order]
+                    one = np.union1d(*(np.unique(g, return_index=True)[1] for g in (a.groups[i], b.groups[j])))
+                    i, j, apart = i[one], j[one], apart[one]
                 swap = a.sets[i] > b.sets[j]
                 pick = lambda p, q: pa.array(np.where(swap, q, p))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([pick(a.sets[i], b.sets[j]), pick(b.sets[j], a.sets[i]), pick(a.n[i], b.n[j]), pick(b.n[j], a.n[i])], names=["a", "b", "n", "m"])
+                both = [c for x, y in ((a.sets, b.sets), (a.n, b.n), (a.groups, b.groups)) for c in (pick(x[i], y[j]), pick(y[j], x[i]))]
+                yield pa.RecordBatch.from_arrays([*both, pa.array(apart)], names=["a", "b", "n", "m", "a_group", "b_group", "apart"])
+
+    return visits.select("token", (F.col("p") == F.col("q")).alias("same"), "p_sets", "q_sets").mapInArrow(run, "a long, b long, n int, m int, a_group long, b_group long, apart long")
+
 
-    return visits.select("token", (F.col("p") == F.col("q")).alias("same"), "p_sets", "q_sets").mapInArrow(run, "a long, b long, n int, m int")
+def nearest_pairs(lists: DataFrame, labels: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """a, b, n, m: for each group that one of its rest_pairs whose sketches are most alike."""
+    pairs = rest_pairs(lists, labels, signed, percent, nearest=True)
+    ends = pairs.select(F.explode(F.array("a_group", "b_group")).alias("group"), F.struct("apart", "a", "b", "n", "m").alias("best"))
+    return ends.groupBy("group").agg(F.min("best").alias("best")).select("best.a", "best.b", "best.n", "best.m").distinct()
 
 
 class _Sets:
@@ -202,8 +221,8 @@ class _Sets:
         self.sketch, self.bands = (rows.field(c).flatten().to_numpy().reshape(len(self.sets), -1) for c in ("sketch", "bands"))
 
 
-def _near(a: _Sets, b: _Sets, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of different groups that their sizes and sketches let link; of one pack, each pair once."""
+def _near(a: _Sets, b: _Sets, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs of different groups that their sizes and sketches let link, and bits between sketches; of one pack, each pair once."""
     n, m = a.n.astype(np.int64)[:, None], b.n.astype(np.int64)[None]
     fits = (a.groups[:, None] != b.groups[None]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
     if same:
@@ -212,7 +231,7 @@ def _near(a: _Sets, b: _Sets, same: bool, percent: int) -> tuple[np.ndarray, np.
     n, m = a.n.astype(np.int64)[i], b.n.astype(np.int64)[j]
     apart = np.bitwise_count(a.sketch[i].view(np.uint64) ^ b.sketch[j].view(np.uint64)).sum(axis=1, dtype=np.int64)
     near = apart <= n + m - 2 * -(-percent * (n + m) // (100 + percent))
-    return i[near], j[near]
+    return i[near], j[near], apart[near]
 
 
 def links(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: J.Moved) -> DataFrame:
@@ -224,11 +243,12 @@ def links(docs: DataFrame, first: DataFrame, k: int, percent: int, moved: J.Move
     lists = stage(J.join_by(entries, several, "band").select("band", "set", "n"), "lists")
     found = docs.sparkSession.createDataFrame([], "a long, b long")
     labels = docs.sparkSession.createDataFrame([], "set long, group long")
-    for turn in range(ROUNDS):
-        new = verified(docs, k, percent, stars(lists, labels, percent, turn), moved, f"star{turn}")
+    for turn in range(ROUNDS + 1):
+        pairs = stars(lists, labels, percent, turn) if turn < ROUNDS else nearest_pairs(lists, labels, signed, percent)
+        new = verified(docs, k, percent, pairs, moved, f"round{turn}")
         found = stage(found.unionByName(new), "links")
         labels = J.groups(found)
-    last = verified(docs, k, percent, rest_pairs(lists, labels, signed, percent), moved, "rest")
+    last = verified(docs, k, percent, rest_pairs(lists, labels, signed, percent).select("a", "b", "n", "m"), moved, "rest")
     unstage(signed, several, lists)
     return found.unionByName(last)
 

@@ -87,6 +87,18 @@ def test_pairs_near_the_threshold(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == sorted(expected)
 
 
+def test_a_group_meets_another_by_its_most_alike_pair_first(spark):
+    """A set that shares buckets with a large group was compared with each set of it."""
+    sets = [(i, 100, list(range(N.BANDS)), [(1 << i % 3) - 1] * J.SKETCH) for i in range(1, 41)] + [(100, 100, list(range(N.BANDS)), [3] * J.SKETCH)]
+    signed = spark.createDataFrame(sets, "set long, n int, bands array<long>, sketch array<long>")
+    lists = signed.select(N.F.explode("bands").alias("band"), "set", "n")
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 41)], "set long, group long")
+    assert N.rest_pairs(lists, labels, signed, 80).count() == 40
+    assert N.rest_pairs(lists, labels, signed, 80, nearest=True).count() == 1
+    ((a, b, n, m),) = N.nearest_pairs(lists, labels, signed, 80).collect()
+    assert b == 100 and a % 3 == 2 and n == m == 100
+
+
 def test_odd_rows(spark, odd, empty):
     key = lambda r: tuple(str(x) for x in r)
     got = N.deduplicate(odd).collect()
