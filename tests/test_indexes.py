@@ -170,3 +170,41 @@ def test_copies_of_an_id_as_long_as_each_other_are_one_chunk(spark, tmp_path):
     rows = texts(spark, [("a", "a", "one two two"), ("a", "a", "two three one"), ("a", "a", "one"), ("b", "b", "one four"), ("b", "b", "five six")])
     terms = lambda df: sorted((r.term, r.df, round(r.idf, 9)) for r in df.collect())
     assert terms(BlockIndex.build(rows, str(tmp_path / "i")).terms()) == terms(retrieval.LexicalIndex.build(rows).terms)
+
+
+def test_a_search_keeps_no_table_that_grows_with_the_ranges(spark, tmp_path, monkeypatch):
+    """A row for each query and range, and one for each entry scored, used to be written between the steps."""
+    index, kept = BlockIndex.build(texts(spark, corpus(600)), str(tmp_path / "i")), []
+    plain = lexical_index.stage
+
+    def counted(df, name):
+        out = plain(df, name)
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(lexical_index, "stage", counted)
+    assert index.top(asked(spark, *QUESTIONS), 5).count() == 5 * len(QUESTIONS)
+    assert sum(kept) <= len(QUESTIONS)
+
+
+@pytest.mark.parametrize("queries", [2048, 2])
+def test_equal_scores_come_in_the_order_of_ids(spark, tmp_path, monkeypatch, queries):
+    """Over many packs, some chunks of which are gone, and over several passes."""
+    monkeypatch.setattr(lexical_index, "QUERIES", queries)
+    rows = [(f"c{i:03}", f"c{i:03}", ("same words here", "same words", "all other")[i % 3]) for i in range(240)]
+    random.Random(1).shuffle(rows)
+    index = BlockIndex.build(texts(spark, rows).repartition(9), str(tmp_path / "i"))
+    index.delete(spark.createDataFrame([(f"c{i:03}",) for i in (0, 3, 1, 100, 239)], "content_id string"))
+    living = [r for r in rows if r[1] not in ("c000", "c003", "c001", "c100", "c239")]
+    words = ("same", "here words", "here all", "absent", "other other here")
+    key = lambda df: sorted((r.query_id, r["rank"], r.chunk_id, round(r.score, 7)) for r in df.collect())
+    for n in (7, 90):
+        assert key(index.top(asked(spark, *words), n)) == key(retrieval.LexicalIndex.build(texts(spark, living)).top(asked(spark, *words), n))
+
+
+def test_scores_below_nothing(spark, tmp_path):
+    """Of terms that most chunks have, in a corpus with few others, the mean idf is negative, and so are scores."""
+    rows = texts(spark, [(f"c{i}", f"c{i}", "in all of them" + " rare" * (i == 3)) for i in range(9)])
+    key = lambda df: sorted((r.query_id, r["rank"], r.chunk_id, round(r.score, 7)) for r in df.collect())
+    for n in (2, 20):
+        assert key(BlockIndex.build(rows, str(tmp_path / f"{n}")).top(asked(spark, "all", "all rare"), n)) == key(retrieval.LexicalIndex.build(rows).top(asked(spark, "all", "all rare"), n))
