@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..model import COLLECTION
-from ..sources.shared import Conflict, Files, stage, unstage
+from ..sources.shared import Conflict, Files, stage, tidy, unstage
 
 #: Buckets of a new collection, and how often a writer tries to publish.
 BUCKETS, TRIES = 32, 20
@@ -125,11 +125,21 @@ class Store(Files):
         return self._change(name, self._rows(name, found, ()), contents.select("content_id"), None)
 
     def replace(self, name: str, rows: DataFrame) -> None:
-        """The collection has these rows only."""
-        kept = stage(one_of_each_id(rows).withColumn("bucket", bucket_of(self.buckets)), "replace")
-        written = self._write(name, kept)
+        """The collection has these rows only, and of rows with equal ids one (`one_of_each_id`).
+
+        Rows are shuffled once, by bucket. Only if ids turn out to be equal their rows are compared, and the rest written again.
+        """
+        written = self._write(name, rows.withColumn("bucket", bucket_of(self.buckets)))
+        found = self._rows(name, Manifest(0, self.buckets, rows.schema.json(), written), written)
+        twice = stage(found.groupBy("id").count().where("count > 1").select(F.col("id").alias("again")), "twice")
+        if not twice.isEmpty():
+            same = F.col("id").eqNullSafe(F.col("again"))
+            kept = found.join(twice, same, "left_anti").unionByName(one_of_each_id(found.join(twice, same, "left_semi")))
+            first, written = written, self._write(name, kept.withColumn("bucket", bucket_of(self.buckets)))
+            for folder in {p.rpartition("/")[0] for p, _ in first.values()}:
+                self._fs.delete(self._path(f"{self.root}/{name}/{folder}"), True)
+        unstage(twice)
         self._commit(name, lambda old: Manifest((old.version if old else 0) + 1, self.buckets, rows.schema.json(), written, old.streams if old else {}))
-        unstage(kept)
 
     def _change(self, name: str, rows: DataFrame, gone: DataFrame, batch: tuple[str, int] | None) -> bool:
         old = self.manifest(name)
@@ -169,7 +179,8 @@ class Store(Files):
         folder = f"data/{uuid.uuid4().hex}"
         path = f"{self.root}/{name}/{folder}"
         # large buckets are split over tasks and small ones share one
-        rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        with tidy(self.spark):
+            rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
         if not any(f.startswith("bucket=") for f in self._list(path)):
             return {}
         counts = self.spark.read.parquet(path).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()

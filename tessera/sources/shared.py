@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import weakref
+from collections.abc import Iterator
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextlib.contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled for an execution within goes as soon as that ends."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table into the shared folder and reads it again: later jobs don't repeat the work, and a lost executor loses nothing.
 
@@ -38,15 +54,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with tidy(spark):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
     files, where = files_of(spark, path)
     files.deleteOnExit(where)
     out = spark.read.schema(schema).parquet(path)

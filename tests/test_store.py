@@ -152,3 +152,25 @@ def test_a_stream_takes_in_every_batch_once(spark, tmp_path, store, monkeypatch)
     raw(spark, 5).write.mode("append").parquet(source)
     run()
     assert store.versions("b") == [1, 2] and store.read("b").select(F.count_distinct("content_id")).first()[0] == 5
+
+
+def test_replacing_shuffles_rows_once_and_keeps_no_copy(spark, store, monkeypatch):
+    """All rows used to be shuffled by id, kept as a table, and shuffled again by bucket."""
+    plain, kept, wide = collections.stage, [], []
+
+    def counted(df, name):
+        out = plain(df, name)
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(collections, "stage", counted)
+    monkeypatch.setattr(collections, "one_of_each_id", lambda rows: wide.append(rows))
+    store.replace("a", rows_for(spark, range(40), "x"))
+    assert not any(kept) and not wide and len(held(store)) == 80
+
+
+def test_equal_ids_of_several_contents_and_null_ids(spark, store, tmp_path):
+    rows = [("i", f"c{i}", f"d{i}") for i in range(20)] + [(None, "c", "x"), (None, "d", "y"), ("k", "c", "z")]
+    store.replace("a", spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert held(store) == {"i": "d9", None: "y", "k": "z"} and store.count("a") == 3
+    assert len(store._list(f"{store.root}/a/data")) == 1  # the first writing is gone
