@@ -81,8 +81,9 @@ def ready(spark: SparkSession, d: str) -> Prepared:
 def _strategy(spark: SparkSession, d: str, spec: str) -> retrieval.Retriever:
     """A strategy over the stored collection, with the lexical index that was written for it."""
     own = ready(spark, d)
+    rows = own.collection  # before the index, as what is shuffled for it takes the most disk
     how = {"lexical": own.lexical, "in_step": True} if "hybrid" in spec else {}
-    return retrieval.build_strategy(own.collection, spec, embedding.WHOLE_MODEL, **how)
+    return retrieval.build_strategy(rows, spec, embedding.WHOLE_MODEL, **how)
 
 
 # --- scans, filters, updates

@@ -52,6 +52,21 @@ def test_search_reads_texts_to_their_end(spark, tmp_path):
     assert [r.score > 0.5 for r in catalogue.QUERIES["deduplicated_results"](spark, str(tmp_path)).orderBy("rank").collect()] == [True, False]
 
 
+@pytest.mark.parametrize("spec", ["hybrid", "rerank_hybrid"])
+def test_the_collection_is_made_while_there_is_no_index(spark, monkeypatch, spec):
+    """What is shuffled for the collection takes the most disk; the index used to stand beside it."""
+    made = []
+    rows = spark.createDataFrame([], "id string, content_id string, document string, embedding array<double>, metadata string")
+
+    class Own:
+        collection = property(lambda self: made.append("collection") or rows)
+        lexical = property(lambda self: made.append("lexical"))
+
+    monkeypatch.setattr(catalogue, "ready", lambda spark, d: Own())
+    catalogue._strategy(spark, "", spec)
+    assert made == ["collection", "lexical"]
+
+
 def test_documents_of_all_chunks(spark, tmp_path):
     texts = {i: " ".join(f"word{i}x{j}" for j in range(n)) for i, n in ((1, 20), (2, 300), (3, 900), (4, 2000))}
     spark.createDataFrame([(i, "s", "en", t) for i, t in texts.items()], "doc_id long, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
