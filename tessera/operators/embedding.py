@@ -23,20 +23,35 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 
-_tokens = regex.compile(r"[\p{L}\p{N}_]+").finditer
+_token = regex.compile(r"[\p{L}\p{N}_]+")
 
 
-@lru_cache(maxsize=200_000)
-def _place(token: str, dim: int) -> int:
-    return int(hashlib.md5(token.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16) % dim
+class _Places(dict):
+    """The places of tokens. Those of at most KEPT are remembered, and then all are forgotten."""
+
+    KEPT = 200_000
+
+    def __init__(self, dim: int):
+        self.dim = dim
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= self.KEPT:
+            self.clear()
+        place = self[token] = int(hashlib.md5(token.encode("utf-8", "surrogatepass")).hexdigest()[:8], 16) % self.dim
+        return place
+
+
+#: A worker's places, by dimension.
+_places = lru_cache(maxsize=4)(_Places)
 
 
 def hashed_vectors(texts: list[str], dim: int, max_tokens: int | None = None) -> np.ndarray:
-    out = np.zeros((len(texts), dim))
+    out, place = np.zeros((len(texts), dim)), _places(dim).__getitem__
     for i, t in enumerate(texts):
-        found = [m[0] for m in islice(_tokens((t or "").lower()), max_tokens)]
+        t = (t or "").lower()
+        found = _token.findall(t) if max_tokens is None else [m[0] for m in islice(_token.finditer(t), max_tokens)]
         if found:
-            counts = np.bincount([_place(x, dim) for x in found], minlength=dim)
+            counts = np.bincount(np.fromiter(map(place, found), np.int64, len(found)), minlength=dim)
             out[i] = counts / np.sqrt((counts * counts).sum())
     return out
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +80,16 @@ def test_a_worker_keeps_few_models(monkeypatch):
     for name in ("a", "b", "a", "c", "a", "b"):
         embedding._model(name, "", lambda name=name: made.append(name) or poisonous(), None)
     assert made == ["a", "b", "c", "b"] and len(embedding._kept) == embedding.KEPT_MODELS
+
+
+def test_tokens_that_were_forgotten_keep_their_places(monkeypatch):
+    texts = [" ".join(f"w{i * j}" for i in range(40)) for j in (1, 3, 7)] + ["", "W7 w7 İ _a 漢字"]
+    monkeypatch.setattr(embedding._Places, "KEPT", 3)
+    for dim, most in ((384, None), (97, None), (97, 5)):
+        embedding._places.cache_clear()
+        for t, v in zip(texts, embedding.hashed_vectors(texts, dim, most), strict=True):
+            expected = [0.0] * dim
+            for w in re.findall(r"\w+", t.lower().replace("̇", " "))[:most]:
+                expected[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dim] += 1
+            assert np.allclose(v, np.array(expected) / max(1e-9, np.linalg.norm(expected)))
+    assert len(embedding._places(97)) <= 3
